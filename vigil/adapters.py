@@ -25,9 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _emotion(col: str = "event_type"):
-    out = F.lit(None).cast("string")
-    for et, emo in reversed(EVENT_EMOTION):
-        out = F.when(F.col(col) == F.lit(et), F.lit(emo)).otherwise(out)
+    out = F.when(F.col(col) == F.lit(EVENT_EMOTION[0][0]), F.lit(EVENT_EMOTION[0][1]))
+    for et, emo in EVENT_EMOTION[1:]:
+        out = out.when(F.col(col) == F.lit(et), F.lit(emo))
     return out
 
 

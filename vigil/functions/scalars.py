@@ -183,14 +183,14 @@ def risk_columns(emotion: str | Column = "emotion", confidence: str | Column = "
     ``threshold=None`` drops the confidence condition; ``strict`` uses ``>``.
     """
     e, c = _col(emotion), _col(confidence)
-    risk = F.lit(K.SAFE)
-    sig = F.lit(K.SIGNAL_SAFE)
-    for emo, (lvl, s) in reversed(list(K.EMOTION_RISK.items())):
+    risk = sig = None
+    for emo, (lvl, s) in K.EMOTION_RISK.items():
         cond = e == F.lit(emo)
         if threshold is not None:
             cond = cond & ((c > F.lit(float(threshold))) if strict else (c >= F.lit(float(threshold))))
-        risk = F.when(cond, F.lit(lvl)).otherwise(risk)
-        sig = F.when(cond, F.lit(s)).otherwise(sig)
+        risk = F.when(cond, F.lit(lvl)) if risk is None else risk.when(cond, F.lit(lvl))
+        sig = F.when(cond, F.lit(s)) if sig is None else sig.when(cond, F.lit(s))
+    risk, sig = risk.otherwise(F.lit(K.SAFE)), sig.otherwise(F.lit(K.SIGNAL_SAFE))
     # a null comparison must still fall through to SAFE
     return F.coalesce(risk, F.lit(K.SAFE)), F.coalesce(sig, F.lit(K.SIGNAL_SAFE))
 
@@ -252,12 +252,13 @@ def with_alert_colour(df: DataFrame, col: str = "risk_level") -> DataFrame:
 def class_of(c: str | Column, mapping: Sequence[tuple[str, Iterable[str]]]) -> Column:
     """Label -> class; unmatched 'Unassigned'; a later class overrides an earlier one."""
     c = _col(c)
-    out = F.lit(K.UNASSIGNED)
-    for name, labels in mapping:  # later entries wrap earlier ones, so they win
+    out = None
+    for name, labels in reversed(list(mapping)):  # a later class overrides an earlier one
         labels = list(labels)
         if labels:
-            out = F.when(F.coalesce(c.isin(*labels), F.lit(False)), F.lit(name)).otherwise(out)
-    return out
+            hit = F.coalesce(c.isin(*labels), F.lit(False))
+            out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
+    return F.lit(K.UNASSIGNED) if out is None else out.otherwise(F.lit(K.UNASSIGNED))
 
 
 def classify(df: DataFrame, mapping: Sequence[tuple[str, Iterable[str]]] = K.DEFAULT_CLASS_MAP,
