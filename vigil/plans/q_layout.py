@@ -1 +1,65 @@
-"""Queries (filled in below)."""
+"""Layout, format and clustering queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil import adapters as A
+from vigil.functions.scalars import danger
+from vigil.operators import hotspots as H
+from vigil.operators import layout as P
+from vigil.plans.catalog import register
+from vigil.plans.sql_inputs import DANGER, SE, with_
+from vigil.session import scratch_path
+from vigil.sources.files import write_parquet
+
+
+def se(spark, d):
+    return A.safety_events(spark, d)
+
+
+@register("partition_sizes")
+def q_partition_sizes(spark, d):
+    """Rows per input partition of the event table (rows check)."""
+    return P.partition_sizes(se(spark, d))
+
+
+@register("repartition_report")
+def q_repartition_report(spark, d):
+    """Rows per partition after a round-robin repartition into 5 (rows check)."""
+    return P.repartition_report(se(spark, d), 5)
+
+
+@register("format_counts", with_(SE) + "SELECT 'CSV' AS format, count(*) AS rows FROM se "
+                                     "UNION ALL SELECT 'Parquet', count(*) FROM se")
+def q_format_counts(spark, d):
+    """The events written as CSV and as Parquet, then counted in each format."""
+    df = se(spark, d)
+    csv = scratch_path(spark, "csv")
+    df.write.mode("overwrite").option("header", True).csv(csv)
+    pq = write_parquet(df, scratch_path(spark, "parquet"))
+    return P.format_counts(spark, csv, pq, infer=False)
+
+
+@register("api_sql_counts", with_(SE) + "SELECT 'Spark DataFrame API' AS method, count(*) AS rows FROM se "
+                                      "UNION ALL SELECT 'Spark SQL', count(*) FROM se")
+def q_api_sql_counts(spark, d):
+    return P.api_sql_counts(se(spark, d))
+
+
+@register("geo_features", with_(SE) + f"""SELECT id, latitude, longitude FROM se
+WHERE risk_level = '{DANGER}' AND latitude IS NOT NULL AND longitude IS NOT NULL""")
+def q_geo_features(spark, d):
+    """Danger events with their (latitude, longitude) feature vector; the
+    vector is checked by its parts."""
+    from pyspark.ml.functions import vector_to_array
+
+    v = H.geo_features(danger(se(spark, d)))
+    x = v.withColumn("_f", vector_to_array("features"))
+    return x.select("id", F.col("_f")[0].alias("latitude"), F.col("_f")[1].alias("longitude"))
+
+
+@register("geo_hotspots")
+def q_geo_hotspots(spark, d):
+    """KMeans (k=10, seed 1) centres of danger events (rows check)."""
+    return H.geo_hotspots(se(spark, d), 10, 1)

@@ -1 +1,63 @@
-"""Queries (filled in below)."""
+"""Round trips through the readers and writers, and the keyed event log."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil import adapters as A
+from vigil.plans.catalog import register
+from vigil.plans.sql_inputs import SE, with_
+from vigil.schema import SAFETY_EVENT_COLUMNS
+from vigil.session import scratch_path
+from vigil.sources import files as I
+
+W = with_(SE)
+ALL = ", ".join(f'"{c}"' for c in SAFETY_EVENT_COLUMNS)
+CUTOFF = "2024-01-10 00:00:00"
+
+
+def se(spark, d):
+    return A.safety_events(spark, d)
+
+
+@register("read_events_csv", W + f"SELECT {ALL} FROM se")
+def q_read_events_csv(spark, d):
+    """Events written as CSV with a header, read back with the fixed schema."""
+    path = scratch_path(spark, "events-csv")
+    (se(spark, d).write.mode("overwrite").option("header", True)
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
+    return I.read_events_csv(spark, path).select(*SAFETY_EVENT_COLUMNS)
+
+
+@register("read_events", W + f"SELECT {ALL} FROM se")
+def q_read_events(spark, d):
+    """Events written as snappy Parquet, read back."""
+    path = I.write_parquet(se(spark, d), scratch_path(spark, "events-parquet"))
+    return I.read_events(spark, path).select(*SAFETY_EVENT_COLUMNS)
+
+
+@register("sql_row_count", W + "SELECT count(*) AS total_rows FROM se")
+def q_sql_row_count(spark, d):
+    return I.sql_row_count(spark, se(spark, d))
+
+
+@register("new_events", W + f"""SELECT {ALL} FROM se WHERE "timestamp" >= TIMESTAMP '{CUTOFF}'""")
+def q_new_events(spark, d):
+    """A batch holding every event twice against a log that already holds the
+    events before the cut-off: first row per id, ids on disk refused."""
+    events = se(spark, d)
+    log = I.write_parquet(events.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp")),
+                          scratch_path(spark, "log"))
+    batch = events.unionByName(events)
+    return I.new_events(batch, spark.read.parquet(log)).select(*SAFETY_EVENT_COLUMNS)
+
+
+@register("append_events", W + f"SELECT {ALL} FROM se")
+def q_append_events(spark, d):
+    """Two appends (early events, then all events twice) to a keyed log; the
+    log read back holds every id once."""
+    events = se(spark, d)
+    path = scratch_path(spark, "event-log")
+    I.append_events(spark, events.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp")), path)
+    I.append_events(spark, events.unionByName(events), path)
+    return I.read_log(spark, path).select(*SAFETY_EVENT_COLUMNS)
