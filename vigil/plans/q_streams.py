@@ -1 +1,79 @@
-"""Queries (filled in below)."""
+"""Streaming jobs run with an available-now trigger over the events folder;
+the sink is read back as a batch table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil.plans.catalog import register
+from vigil.plans.sql_inputs import DANGER, SE, with_
+from vigil.schema import SAFETY_EVENT_COLUMNS
+from vigil.session import scratch_path
+from vigil.streaming import jobs as S
+
+W = with_(SE)
+ALL = ", ".join(f'"{c}"' for c in SAFETY_EVENT_COLUMNS)
+
+
+def raw(spark, d):
+    return S.event_stream(spark, d, "events.parquet")
+
+
+def run(spark, name, start):
+    out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
+    q = start(out, ckpt)
+    q.awaitTermination()
+    return out
+
+
+@register("stream_risk_log", W + f"SELECT {ALL} FROM se")
+def q_stream_risk_log(spark, d):
+    out = run(spark, "risk-log", lambda o, c: S.stream_risk_log(raw(spark, d), o, c))
+    return spark.read.parquet(out).select(*SAFETY_EVENT_COLUMNS)
+
+
+@register("stream_danger_alerts", W + f"""SELECT "timestamp", latitude, longitude, risk_level FROM se
+WHERE risk_level = '{DANGER}'""")
+def q_stream_danger_alerts(spark, d):
+    out = run(spark, "alerts", lambda o, c: S.stream_danger_alerts(raw(spark, d), o, c))
+    return spark.read.parquet(out)
+
+
+@register("stream_event_total", "SELECT count(*) AS streaming_events FROM events")
+def q_stream_event_total(spark, d):
+    out = run(spark, "total", lambda o, c: S.stream_event_total(raw(spark, d), o, c))
+    return spark.read.parquet(out)
+
+
+@register("stream_recent", W + f"""SELECT {ALL} FROM se ORDER BY "timestamp" DESC, id DESC LIMIT 10""")
+def q_stream_recent(spark, d):
+    out = run(spark, "recent", lambda o, c: S.stream_recent(raw(spark, d), o, c, 10))
+    return S.read_recent(spark, out).select(*SAFETY_EVENT_COLUMNS)
+
+
+@register("stream_rolling_rms", W + """, loud AS (SELECT device_id, "timestamp", rms_energy FROM se WHERE rms_energy >= 0.01::DOUBLE),
+wm AS (SELECT max(epoch_us("timestamp")) - 10000000 AS wm FROM loud),
+w AS (SELECT device_id, rms_energy, (epoch_us("timestamp") - epoch_us("timestamp") % 500000) - k * 500000 AS ws
+      FROM loud, range(0, 6) t(k))
+SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + 3000000) AS window_end, device_id,
+       count(*) AS n, round(avg(rms_energy), 9) AS mean_rms
+FROM w, wm WHERE ws + 3000000 <= wm GROUP BY ws, device_id""")
+def q_stream_rolling_rms(spark, d):
+    """3 s / 0.5 s windows per device; closed windows (end <= watermark) are emitted."""
+    out = run(spark, "rolling", lambda o, c: S.stream_rolling_rms(raw(spark, d), o, c))
+    return spark.read.parquet(out).withColumn("mean_rms", F.round("mean_rms", 9))
+
+
+@register("stream_dedup", W + f"SELECT {ALL} FROM se")
+def q_stream_dedup(spark, d):
+    """The event stream read twice (every id arrives two times), de-duplicated."""
+    both = raw(spark, d).unionByName(raw(spark, d))
+    out = run(spark, "dedup", lambda o, c: S.stream_dedup(both, o, c))
+    return spark.read.parquet(out).select(*SAFETY_EVENT_COLUMNS)
+
+
+@register("stream_hotspots")
+def q_stream_hotspots(spark, d):
+    """Hotspot centres maintained per micro-batch (rows check)."""
+    out = run(spark, "hotspots", lambda o, c: S.stream_hotspots(raw(spark, d), o, c, 10, 1))
+    return S.read_recent(spark, out)
