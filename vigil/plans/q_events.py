@@ -318,3 +318,45 @@ def q_title_label(spark, d):
 inference_of_emotion FROM il""")
 def q_to_numeric(spark, d):
     return X.to_numeric(A.inference_log(spark, d), ["id", "time"])
+
+
+# ---- profiling A12-A14, samples L1/L2, stamping X22 ------------------------------------
+from vigil.operators import profile as PF  # noqa: E402
+from vigil.schema import SAFETY_EVENT_COLUMNS  # noqa: E402
+
+ALL_SE = ", ".join(f'"{c}"' for c in SAFETY_EVENT_COLUMNS)
+
+
+@register("null_counts", W + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count_if(\"{c}\" IS NULL) AS nulls FROM se" for c in SAFETY_EVENT_COLUMNS))
+def q_null_counts(spark, d):
+    return PF.null_counts(se(spark, d))
+
+
+NUMERIC_SE = ["latitude", "longitude", "confidence", "rms_energy", "zero_crossing_rate", "spectral_centroid",
+              "spectral_bandwidth", "mfcc_mean", "mfcc_std", "duration", "silence_ratio", "processing_time_ms"]
+
+
+@register("describe_table", W + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 9) AS mean,
+       round(stddev_samp({c}), 9) AS stddev, min({c}) AS min, max({c}) AS max FROM se""" for c in NUMERIC_SE))
+def q_describe_table(spark, d):
+    out = PF.describe_table(se(spark, d))
+    return out.withColumns({"mean": F.round("mean", 9), "stddev": F.round("stddev", 9)})
+
+
+@register("sample_records", W + f"SELECT {ALL_SE} FROM se ORDER BY id LIMIT 10")
+def q_sample_records(spark, d):
+    return PF.sample_records(se(spark, d), 10)
+
+
+@register("recent_events", W + f"""SELECT {ALL_SE} FROM se ORDER BY "timestamp" DESC, id DESC LIMIT 10""")
+def q_recent_events(spark, d):
+    return PF.recent_events(se(spark, d), 10)
+
+
+@register("stamp_events")
+def q_stamp_events(spark, d):
+    """Events re-stamped as live arrivals: new uuid and current time (rows check)."""
+    out = X.stamp_events(se(spark, d), "live")
+    return out.select("id", "timestamp", "source", "model_version", "device_id", "emotion", "risk_level")

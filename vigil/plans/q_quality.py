@@ -176,3 +176,10 @@ al2 AS (
 SELECT alert_index, alert FROM al2 WHERE alert IS NOT NULL""")
 def q_drift_alerts(spark, d):
     return frames(spark, d)["alerts"]
+
+
+@register("drift_report")
+def q_drift_report(spark, d):
+    """One-row drift report (sizes, counts, shares, metrics, alerts); rows check."""
+    a, b = sides(spark, d)
+    return D.drift_report(a, b, "inference_of_emotion", "emotion")
