@@ -59,3 +59,10 @@ SIGNAL = T.StructType(
     [T.StructField("clip_id", T.LongType(), True), T.StructField("sample_rate", T.IntegerType(), True),
      T.StructField("samples", T.ArrayType(D), True)]
 )
+
+# raw events as they arrive (the stream source); event time without zone
+RAW_EVENT = T.StructType(
+    [T.StructField("event_id", T.LongType(), True), T.StructField("ts", T.TimestampNTZType(), True),
+     T.StructField("user_id", T.LongType(), True), T.StructField("event_type", S, True),
+     T.StructField("value", D, True), T.StructField("props", S, True)]
+)

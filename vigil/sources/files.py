@@ -19,7 +19,6 @@ from vigil.functions import scalars as X
 from vigil.schema import INFERENCE_LOG, SAFETY_EVENT, SAFETY_EVENT_CSV, SAFETY_EVENT_COLUMNS
 
 DELIMITERS = [",", ";", "\t", "|"]
-REPLACEMENT_CHAR = "�"
 
 
 # I1
@@ -50,15 +49,15 @@ def sniff_delimiter(header: str) -> str:
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
     """Tolerant CSV: delimiter from the header line, UTF-8 else Latin-1, names stripped.
 
-    Two small actions (header line, and a probe for undecodable bytes that
-    stops at the first hit) decide the options; the data itself is read by
+    Two small actions (header line, and a probe for bytes that are not
+    valid UTF-8, stopping at the first hit) decide the options; the data itself is read by
     Spark's CSV source in parallel.
     """
     text = spark.read.text(path)
     first = text.limit(1).collect()
     header = first[0][0] if first else ""
     sep = sniff_delimiter(header)
-    bad = text.filter(F.col("value").contains(REPLACEMENT_CHAR)).limit(1).count() > 0
+    bad = text.filter(~F.is_valid_utf8("value")).limit(1).count() > 0
     enc = "ISO-8859-1" if bad else "UTF-8"
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", enc)
           .option("inferSchema", False).csv(path))

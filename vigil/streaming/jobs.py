@@ -19,21 +19,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from vigil import adapters as A
 from vigil import constants as K
 from vigil.functions.scalars import danger
+from vigil.schema import RAW_EVENT
 
 ROLLING_WINDOW = "3 seconds"
 ROLLING_SLIDE = "500 milliseconds"
 
 
 def event_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw events arriving as Parquet files in ``folder`` (fixed schema,
-    taken from the files present; event time cast to TIMESTAMP because
+                 max_files_per_trigger: int | None = None, schema: StructType = RAW_EVENT) -> DataFrame:
+    """Raw events arriving as Parquet files in ``folder`` with a fixed schema
+    (no inference; the adapter casts event time to TIMESTAMP because
     watermarks refuse TIMESTAMP_NTZ)."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(folder).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
