@@ -15,10 +15,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil import constants as K
+from vigil.operators.joins import broadcast_if_small
 from vigil.operators.ordered import global_position
 
 
@@ -132,11 +133,13 @@ def corpus_manifest_safety(paths: DataFrame) -> DataFrame:
 
 # M4
 def encode_labels(df: DataFrame, label: str = "label", out: str = "label_id") -> DataFrame:
-    """label -> 0-based id in alphabetical order. The ranking runs over the
-    distinct labels (a handful of rows), broadcast back to the rows."""
+    """label -> 0-based id in alphabetical order: the distinct labels get
+    their position in sorted order (a range-partitioned ranking, no single
+    task), and the code table goes back to the rows by a join that is
+    broadcast after its size is checked."""
     codes = df.select(label).distinct().filter(F.col(label).isNotNull())
-    codes = codes.withColumn(out, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int"))
-    return df.join(F.broadcast(codes), on=label, how="left")
+    codes = global_position(codes, [label], out="_pos").select(label, F.col("_pos").cast("int").alias(out))
+    return df.join(broadcast_if_small(codes), on=label, how="left")
 
 
 # A23
@@ -155,7 +158,7 @@ def stratified_split(df: DataFrame, test_share: float = 0.2, seed: int = 42, lab
     pos = global_position(h, [label, "_h", key], out="_row")
     per = pos.groupBy(label).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     per = per.withColumn("_k", F.floor(F.col("_n") * F.lit(float(test_share)) + F.lit(0.5)))
-    j = pos.join(F.broadcast(per), on=label, how="inner")  # one row per label
+    j = pos.join(broadcast_if_small(per), on=label, how="inner")  # one row per label, size checked
     split = F.when(F.col("_row") - F.col("_first") < F.col("_k"), F.lit("test")).otherwise(F.lit("train"))
     return j.withColumn("split", split).drop("_h", "_row", "_first", "_n", "_k")
 

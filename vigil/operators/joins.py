@@ -1,0 +1,22 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# a side is broadcast only below this many rows (checked, not assumed)
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after counting it.
+
+    ``df`` is an aggregate whose size depends on the data (e.g. one row per
+    label). It is persisted, so the count and the join read it once; above
+    ``max_rows`` it is left to the planner (sort-merge join, with AQE's skew
+    split on the large side).
+    """
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(small) if small.count() <= max_rows else small

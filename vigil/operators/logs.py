@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import constants as K
-from vigil.operators.ordered import lag_by_group
+from vigil.operators.ordered import lag_by_group, lag_pair_counts
 
 
 def _n():
@@ -79,12 +79,18 @@ def with_previous_class(df: DataFrame, partitions: int | None = None) -> DataFra
 def transition_matrix(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """n per (prev_class, class) and its share of the source class.
 
-    The share window runs over the aggregated matrix (classes^2 rows)."""
-    pairs = with_previous_class(df, partitions).groupBy("prev_class", "class").agg(_n())
+    Pairs are counted inside each range partition (no row-level output is
+    materialised); the share window runs over the matrix (classes^2 rows)."""
+    pairs = lag_pair_counts(df.select("id", "timestamp", "inference", "class"), ["id"], ["timestamp", "inference"],
+                            "class", partitions=partitions)
+    pairs = pairs.filter(F.col("prev").isNotNull()).select(F.col("prev").alias("prev_class"),
+                                                           F.col("cur").alias("class"), "n")
     w = Window.partitionBy("prev_class")
     return pairs.withColumn("prob", F.col("n") / F.sum("n").over(w)).orderBy("prev_class", "class")
 
 
 def device_class_share(df: DataFrame, device: str) -> DataFrame:
     per = df.filter(F.col("id") == F.lit(device)).groupBy("class").agg(_n())
-    return per.withColumn("pct", F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy())).orderBy("class")
+    total = per.agg(F.sum("n").alias("_total"))  # one row
+    return (per.crossJoin(F.broadcast(total))
+            .select("class", "n", (F.col("n") * F.lit(100.0) / F.col("_total")).alias("pct")).orderBy("class"))

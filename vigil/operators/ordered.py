@@ -38,19 +38,19 @@ def global_position(df: DataFrame, order_cols: Sequence[str] | None = None, out:
     (input order when None), computed without a single-partition window."""
     ensure_checkpoint_dir(df.sparkSession)
     if not order_cols:
-        df = df.withColumn("_in", F.monotonically_increasing_id())
-        order_cols = ["_in"]
+        df = df.withColumn("__in", F.monotonically_increasing_id())
+        order_cols = ["__in"]
     r = _range_sorted(df, list(order_cols), partitions)
     pid = F.spark_partition_id().cast("long")
-    tagged = (r.withColumn("_pid", pid)
-               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))
+    tagged = (r.withColumn("__pid", pid)
+               .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))
                .checkpoint(eager=True))
-    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    res = tagged.join(F.broadcast(offsets), on="_pid", how="inner")
-    res = res.withColumn(out, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off")
-    return res.drop("_in") if "_in" in res.columns else res
+    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
+    offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    res = tagged.join(F.broadcast(offsets), on="__pid", how="inner")
+    res = res.withColumn(out, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off")
+    return res.drop("__in") if "__in" in res.columns else res
 
 
 def _same(a: pd.Series, b: pd.Series):
@@ -119,3 +119,76 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     for v in value_cols:
         out = out.withColumn(prefix + v, F.when(F.col("_head"), F.col("_fix_" + v)).otherwise(F.col(prefix + v)))
     return out.drop("_pid", "_pos", "_head", *["_fix_" + v for v in value_cols])
+
+
+def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str,
+                    partitions: int | None = None) -> DataFrame:
+    """Counts of (previous value, value) over consecutive rows of the same
+    group in ``order_cols`` order: the aggregate of ``lag_by_group`` without
+    materialising the rows.
+
+    Each range partition emits its own pair counts plus its first and last
+    row; only that output (about partitions x (values^2 + 2) rows) is
+    checkpointed, and the pairs that straddle partition edges are added from
+    the head/tail rows.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    keys = group_cols + order_cols
+    r = _range_sorted(df.select(*keys, value_col), keys, partitions)
+    vtype = r.schema[value_col].dataType
+    gfields = [T.StructField(g, r.schema[g].dataType, True) for g in group_cols]
+    out_schema = T.StructType([T.StructField("_kind", T.StringType(), False),
+                               T.StructField("_pid", T.LongType(), False)] + gfields + [
+        T.StructField("prev", vtype, True), T.StructField("cur", vtype, True), T.StructField("n", T.LongType(), False)])
+    names = [f.name for f in out_schema.fields]
+
+    def local_pairs(batches):
+        pid = TaskContext.get().partitionId()
+        counts: dict = {}
+        head = carry = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            if head is None:
+                head = pdf.iloc[0]
+            same = pd.Series(True, index=pdf.index)
+            for g in group_cols:
+                same &= _same(pdf[g], pdf[g].shift(1))
+            prev = pdf[value_col].shift(1)
+            if carry is not None:
+                same.iloc[0] = all(_same(pd.Series([carry[g]]), pd.Series([pdf.loc[0, g]])).iloc[0]
+                                   for g in group_cols)
+                prev.iloc[0] = carry[value_col]
+            else:
+                same.iloc[0] = False
+            pairs = pd.DataFrame({"prev": prev[same], "cur": pdf[value_col][same]})
+            for (p, c), n in pairs.groupby(["prev", "cur"], dropna=False).size().items():
+                key = (None if pd.isna(p) else p, None if pd.isna(c) else c)
+                counts[key] = counts.get(key, 0) + int(n)
+            carry = pdf.iloc[-1]
+        if head is None:
+            return
+        out = [dict(_kind="pair", _pid=pid, prev=p, cur=c, n=n, **{g: None for g in group_cols})
+               for (p, c), n in counts.items()]
+        for kind, row in (("head", head), ("tail", carry)):
+            out.append(dict(_kind=kind, _pid=pid, prev=None, cur=row[value_col], n=0,
+                            **{g: row[g] for g in group_cols}))
+        yield pd.DataFrame(out, columns=names)
+
+    parts = r.mapInPandas(local_pairs, out_schema).checkpoint(eager=True)
+    inner = parts.filter(F.col("_kind") == "pair").select("prev", "cur", "n")
+    g = F.struct(*[F.col(c) for c in group_cols])
+    tails = parts.filter(F.col("_kind") == "tail").select("_pid", F.struct(g.alias("g"), F.col("cur").alias("v"))
+                                                            .alias("_tail"))
+    heads = parts.filter(F.col("_kind") == "head").select("_pid", g.alias("_hg"), F.col("cur").alias("_hv"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
+    edges = heads.join(tails, on="_pid", how="full").withColumn(
+        "_before", F.last("_tail", ignorenulls=True).over(w)).filter(F.col("_hg").isNotNull())
+    same = F.lit(True)
+    for c in group_cols:
+        same = same & F.col(f"_before.g.{c}").eqNullSafe(F.col(f"_hg.{c}"))
+    cross = edges.filter(F.col("_before").isNotNull() & same).select(
+        F.col("_before.v").alias("prev"), F.col("_hv").alias("cur"), F.lit(1).cast("long").alias("n"))
+    return inner.unionByName(cross).groupBy("prev", "cur").agg(F.sum("n").alias("n"))
