@@ -1,6 +1,7 @@
 """Data validation of inference logs.
 
-All data checks of one input come from a single aggregation (one scan,
+All data checks and diagnostics of one input come from a single
+aggregation (one scan,
 partial aggregation; the distinct-id count is Spark's two-phase distinct
 aggregate), reshaped to one row per check with ``inline``. Schema checks
 look at the schema only and touch no data.
@@ -58,17 +59,20 @@ def _check_exprs(df: DataFrame, required: Sequence[str]) -> list[tuple[str, Colu
     return checks
 
 
-def validation_checks(df: DataFrame, allow_extra: bool = False,
-                      required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
-    """(check, ok) rows for one normalised log: schema, non-empty, not-null,
-    unique id, labels in the valid set (false when the label column is absent)."""
+def _check_structs(df: DataFrame, allow_extra: bool, required: Sequence[str]) -> list[Column]:
     schema_ok = check_columns(df, required, exact=not allow_extra)
     checks = _check_exprs(df, required)
     if LABEL not in df.columns:
         checks.append(("labels_valid", F.lit(False)))
     rows = [F.struct(F.lit("schema_ok").alias("check"), F.lit(schema_ok).alias("ok"))]
-    rows += [F.struct(F.lit(name).alias("check"), expr.alias("ok")) for name, expr in checks]
-    return df.agg(F.array(*rows).alias("_c")).select(F.inline("_c"))
+    return rows + [F.struct(F.lit(name).alias("check"), expr.alias("ok")) for name, expr in checks]
+
+
+def validation_checks(df: DataFrame, allow_extra: bool = False,
+                      required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
+    """(check, ok) rows for one normalised log: schema, non-empty, not-null,
+    unique id, labels in the valid set (false when the label column is absent)."""
+    return df.agg(F.array(*_check_structs(df, allow_extra, required)).alias("_c")).select(F.inline("_c"))
 
 
 def validation_verdict(checks: DataFrame) -> DataFrame:
@@ -88,9 +92,7 @@ def time_unparseable(c: str = "time") -> Column:
     return parsed.isNull()
 
 
-def diagnostics(df: DataFrame, required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
-    """(metric, value) rows: rows, invalid labels, unparseable times,
-    duplicate ids (a null id is a value), nulls per required column."""
+def _metric_structs(df: DataFrame, required: Sequence[str]) -> list[Column]:
     m: list[tuple[str, Column]] = [("row_count", F.count(F.lit(1)))]
     if LABEL in df.columns:
         m.append(("invalid_label_count", F.count_if(~F.coalesce(_valid(F.col(LABEL)), F.lit(False)))))
@@ -102,8 +104,13 @@ def diagnostics(df: DataFrame, required: Sequence[str] = K.REQUIRED_LOG_COLUMNS)
     for c in required:
         if c in df.columns:
             m.append((f"null_{c}_count", F.count_if(F.col(c).isNull())))
-    rows = [F.struct(F.lit(k).alias("metric"), v.cast("long").alias("value")) for k, v in m]
-    return df.agg(F.array(*rows).alias("_m")).select(F.inline("_m"))
+    return [F.struct(F.lit(k).alias("metric"), v.cast("long").alias("value")) for k, v in m]
+
+
+def diagnostics(df: DataFrame, required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
+    """(metric, value) rows: rows, invalid labels, unparseable times,
+    duplicate ids (a null id is a value), nulls per required column."""
+    return df.agg(F.array(*_metric_structs(df, required)).alias("_m")).select(F.inline("_m"))
 
 
 # J4 / W4 / L3 / L4
@@ -141,15 +148,20 @@ RUN_SCHEMA = T.StructType([
 ])
 
 
-def validate_log(df: DataFrame, path: str, strict: bool = True, allow_extra: bool = False) -> DataFrame:
-    """One row per input with its verdict, checks and diagnostics."""
+def validate_log(df: DataFrame, path: str, strict: bool = True, allow_extra: bool = False,
+                 required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
+    """One row per input with its verdict, checks and diagnostics, from a
+    single aggregation over the log."""
     df = normalize_log(df)
-    checks = validation_checks(df, allow_extra)
-    verdict = validation_verdict(checks).select(F.col("strict_ok" if strict else "lenient_ok").alias("success"))
-    c = checks.agg(F.collect_list(F.struct("check", "ok")).alias("checks"))  # a handful of rows
-    d = diagnostics(df).agg(F.collect_list(F.struct("metric", "value")).alias("diagnostics"))
-    return verdict.crossJoin(c).crossJoin(d).select(
-        F.lit(path).alias("file"), "success", F.lit(None).cast("string").alias("error"), "checks", "diagnostics")
+    row = df.agg(F.array(*_check_structs(df, allow_extra, required)).alias("checks"),
+                 F.array(*_metric_structs(df, required)).alias("diagnostics"))
+    oks = F.transform("checks", lambda c: c["ok"])
+    lenient = F.filter("checks", lambda c: c["check"].isin("schema_ok", "labels_valid"))
+    strict_ok = F.aggregate(oks, F.lit(True), lambda a, x: a & x)
+    lenient_ok = (F.size(lenient) == 2) & F.aggregate(F.transform(lenient, lambda c: c["ok"]), F.lit(True),
+                                                      lambda a, x: a & x)
+    return row.select(F.lit(path).alias("file"), (strict_ok if strict else lenient_ok).alias("success"),
+                      F.lit(None).cast("string").alias("error"), "checks", "diagnostics")
 
 
 def validate_all(spark: SparkSession, paths: Sequence[str], strict: bool = True,
