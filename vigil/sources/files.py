@@ -145,11 +145,21 @@ def first_per_id(df: DataFrame, order_col: str | None = None) -> DataFrame:
 
 
 def new_events(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Rows of ``batch`` that may be appended: first row per id, ids on disk refused."""
+    """Rows of ``batch`` that may be appended: first row per id, ids on disk refused.
+
+    The batch's ids are counted and, when few, broadcast: the log is then
+    only scanned (id column) and semi-joined map-side, never shuffled; a
+    large batch falls back to a shuffle join.
+    """
+    from vigil.operators.joins import broadcast_if_small
+
     firsts = first_per_id(batch.filter(F.col("id").isNotNull()))
     if existing is None:
         return firsts
-    return firsts.join(existing.select("id"), on="id", how="left_anti")
+    firsts = firsts.persist()
+    ids = broadcast_if_small(firsts.select("id"))
+    known = existing.select("id").join(ids, on="id", how="left_semi")
+    return firsts.join(known, on="id", how="left_anti")
 
 
 def append_events(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
