@@ -27,13 +27,26 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = bool(int(__import__("os").environ.get("ORACLE_STRICT", "0")))  # exact float equality
+
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "TimestampType": "TIMESTAMP", "TimestampNTZType": "TIMESTAMP",
+                 "DateType": "DATE", "FloatType": "FLOAT", "ShortType": "SMALLINT"}
+
+
+def type_diff(sdf, con, sql):
+    st = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, f.dataType.simpleString()) for f in sdf.schema.fields}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
@@ -86,8 +99,11 @@ def compare(spark, sf_dir, names=None, verbose=True):
             if verbose:
                 print(f"{name:32s} SQL-ERROR {results[name][1]}", flush=True)
             continue
+        types = type_diff(sdf, con, sqls[name]) if sorted(scols) == sorted(dcols) else {}
         if sorted(scols) != sorted(dcols):
             results[name] = ("COLS", f"spark={sorted(scols)} sql={sorted(dcols)}")
+        elif types:
+            results[name] = ("TYPES", str(types))
         elif len(srows) != len(drows):
             results[name] = ("COUNT", f"spark={len(srows)} sql={len(drows)}")
         else:

@@ -45,7 +45,8 @@ FIX = ("CASE WHEN len(samples) >= {n} THEN samples[1:{n}] "
 
 
 @register("fix_length", WG + f""", f AS (SELECT clip_id, {FIX.format(n=48)} AS cut, {FIX.format(n=80)} AS pad FROM sg)
-SELECT clip_id, len(cut) AS len_cut, round(list_sum(cut), 9) AS sum_cut, len(pad) AS len_pad,
+SELECT clip_id, CAST(len(cut) AS INTEGER) AS len_cut, round(list_sum(cut), 9) AS sum_cut,
+       CAST(len(pad) AS INTEGER) AS len_pad,
        round(list_sum(pad), 9) AS sum_pad, pad[80] AS last_pad FROM f""")
 def q_fix_length(spark, d):
     df = G.fix_length(G.fix_length(sg(spark, d), 48, out="cut"), 80, out="pad")
@@ -77,7 +78,7 @@ def q_normalize_vector(spark, d):
                     r9(F.col("v.minmax")).alias("minmax"), r9(F.col("v.z")).alias("z"))
 
 
-@register("drop_short", WG + "SELECT clip_id, len(samples) AS n FROM sg WHERE len(samples) >= 0.1 * sample_rate")
+@register("drop_short", WG + "SELECT clip_id, CAST(len(samples) AS INTEGER) AS n FROM sg WHERE len(samples) >= 0.1 * sample_rate")
 def q_drop_short(spark, d):
     return G.drop_short(sg(spark, d)).select("clip_id", F.size("samples").alias("n"))
 
@@ -92,7 +93,7 @@ k AS (SELECT clip_id, sample_rate, samples, n, st,
              samples[st + 1: least(st + n, len(samples))] AS raw FROM c)
 SELECT clip_id, CAST(st // n AS INTEGER) AS chunk_index, st / sample_rate AS start_s,
        least(st + n, len(samples)) / sample_rate AS end_s,
-       len(list_concat(raw, list_transform(range(n - len(raw)), lambda i: 0.0::DOUBLE))) AS chunk_len,
+       CAST(len(list_concat(raw, list_transform(range(n - len(raw)), lambda i: 0.0::DOUBLE))) AS INTEGER) AS chunk_len,
        round(list_sum(list_concat(raw, list_transform(range(n - len(raw)), lambda i: 0.0::DOUBLE))), 9) AS chunk_sum
 FROM k""")
 def q_chunk_signal(spark, d):
@@ -117,7 +118,8 @@ k AS (SELECT *, greatest(0, cur - win + step) AS cs FROM c),
 k2 AS (SELECT *, samples[cs + 1: least(len(samples), cs + win)] AS ctx FROM k),
 k3 AS (SELECT *, {RMS.format(s='ctx')} AS r FROM k2 WHERE len(ctx) >= sub)
 SELECT clip_id, CAST(cur // step AS INTEGER) AS report_index, cur / sample_rate AS report_s,
-       cs AS context_start, len(ctx) AS context_len, round(r, 9) AS rms, r < 0.01::DOUBLE AS silent,
+       CAST(cs AS INTEGER) AS context_start, CAST(len(ctx) AS INTEGER) AS context_len, round(r, 9) AS rms,
+       r < 0.01::DOUBLE AS silent,
        CAST(CASE WHEN r < 0.01::DOUBLE THEN 0
             ELSE (len(ctx) - sub) // greatest(CAST(trunc(sub * 0.5) AS INTEGER), 1) + 1 END AS INTEGER) AS n_sub
 FROM k3""")
@@ -130,7 +132,7 @@ def q_report_windows(spark, d):
   SELECT clip_id, samples, sample_rate AS w, CAST(trunc(sample_rate * 0.5) AS INTEGER) AS step,
          unnest(range(0, len(samples) - sample_rate, CAST(trunc(sample_rate * 0.5) AS INTEGER))) AS start FROM sg),
 k AS (SELECT clip_id, step, start, {RMS.format(s='samples[start + 1: start + w]')} AS r FROM c)
-SELECT clip_id, CAST(start // step AS INTEGER) AS window_index, start, round(r, 9) AS rms
+SELECT clip_id, CAST(start // step AS INTEGER) AS window_index, CAST(start AS INTEGER) AS start, round(r, 9) AS rms
 FROM k WHERE r >= 0.01::DOUBLE""")
 def q_half_windows(spark, d):
     hw = WN.half_windows(sg(spark, d))
