@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import constants as K
-from vigil.functions.scalars import risk_columns
-from vigil.schema import AUDIO_MEASURES
+from vigil.functions.scalars import with_risk
+from vigil.schema import AUDIO_MEASURES, SAFETY_EVENT_COLUMNS
 
 # fixed values: event type -> emotion of the stand-in safety events
 EVENT_EMOTION = [("error", "fear"), ("click", "angry"), ("view", "neutral"),
@@ -31,8 +31,8 @@ def _emotion(col: str = "event_type"):
     return out
 
 
-def safety_events_from(events: DataFrame) -> DataFrame:
-    """SE: the 20-column safety event table."""
+def event_projection(events: DataFrame) -> DataFrame:
+    """Raw events as safety-event columns, before any risk level is assigned."""
     conf = F.get_json_object("props", "$.k").try_cast("double")
     lat = F.lit(28.6139) + ((F.col("user_id") % F.lit(41)) - F.lit(20)).cast("double") * F.lit(0.01)
     lon = F.lit(77.209) + ((F.col("event_id") % F.lit(37)) - F.lit(18)).cast("double") * F.lit(0.01)
@@ -47,21 +47,24 @@ def safety_events_from(events: DataFrame) -> DataFrame:
         F.col("value"),
         F.concat(F.lit("device_"), F.col("user_id").cast("string")).alias("device_id"),
     )
-    risk, sig = risk_columns("emotion", "confidence")
     measures = {m: F.lit(None).cast("double") for m in AUDIO_MEASURES}
     measures["rms_energy"] = F.col("value") / F.lit(1000.0)
     measures["duration"] = F.lit(3.0)
     return base.select(
         "id", "timestamp", "source", "latitude", "longitude", "emotion", "confidence",
-        risk.alias("risk_level"),
         *[measures[m].alias(m) for m in AUDIO_MEASURES],
         F.lit(K.MODEL_VERSION).alias("model_version"),
         "device_id",
-        sig.alias("mqtt_signal"),
         F.lit(None).cast("double").alias("processing_time_ms"),
     )
 
 
+def safety_events_from(events: DataFrame) -> DataFrame:
+    """SE: the 20-column safety event table as the event log stores it (the
+    risk level is the one the live rule assigned when the event was logged)."""
+    return with_risk(event_projection(events)).select(*SAFETY_EVENT_COLUMNS)
+
+
 def safety_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return safety_events_from(table(spark, sf_dir, "events"))
 

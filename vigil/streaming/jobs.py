@@ -23,8 +23,8 @@ from pyspark.sql.types import StructType
 
 from vigil import adapters as A
 from vigil import constants as K
-from vigil.functions.scalars import danger
-from vigil.schema import RAW_EVENT
+from vigil.functions.scalars import danger, with_risk
+from vigil.schema import RAW_EVENT, SAFETY_EVENT_COLUMNS
 
 ROLLING_WINDOW = "3 seconds"
 ROLLING_SLIDE = "500 milliseconds"
@@ -60,9 +60,10 @@ def _start_batches(df: DataFrame, fn: Callable, ckpt: str, mode: str = "append",
 
 
 # S1
-def risk_events(raw: DataFrame) -> DataFrame:
-    """Raw events -> the 20-column event log with the risk rule applied."""
-    return A.safety_events_from(raw)
+def risk_events(raw: DataFrame, threshold: float | None = K.CONFIDENCE_THRESHOLD, strict: bool = False) -> DataFrame:
+    """Raw events -> the 20-column event log: the risk rule (X14) assigns
+    risk level and signal to every arriving event."""
+    return with_risk(A.event_projection(raw), threshold=threshold, strict=strict).select(*SAFETY_EVENT_COLUMNS)
 
 
 def stream_risk_log(raw: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
