@@ -67,3 +67,19 @@ def test_status_share_and_union(spark):
     assert rows(L.device_class_share(df, "d"), "class", "pct") == [("Unassigned", 50.0), ("x", 50.0)]
     u = L.union_logs([df.select("id", "timestamp"), df.select("id", "inference")])
     assert u.count() == 6 and set(u.columns) == {"id", "timestamp", "inference"}
+
+
+def test_identical_copies_are_split_and_counted(spark):
+    from vigil.operators.ordered import _range_sorted, lag_pair_counts
+
+    # a third of the rows are copies of one (group, time, value) row
+    data = [("hot", 5, "x")] * 1500 + [("hot", i, "xy"[i % 2]) for i in range(1500) if i != 5] + \
+           [("g%d" % (i % 5), i, "yz"[i % 2]) for i in range(1500)]
+    df = spark.createDataFrame(data, "g string, t long, v string")
+    spread = _range_sorted(df, ["g", "t"], 12).filter("g = 'hot' AND t = 5").select(
+        F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 1
+    got = lag_pair_counts(df, ["g"], ["t"], "v", partitions=12).filter("prev IS NOT NULL")
+    want = (df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t")))
+              .filter("prev IS NOT NULL").groupBy("prev", F.col("v").alias("cur")).agg(F.count("*").alias("n")))
+    assert rows(got, "prev", "cur", "n") == rows(want, "prev", "cur", "n")

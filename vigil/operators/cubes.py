@@ -83,12 +83,13 @@ def split_cubes(cells: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build_cubes(df: DataFrame, out: str, files: int | None = 1) -> dict[str, str]:
+def build_cubes(df: DataFrame, out: str, files: int | None = None) -> dict[str, str]:
     """Write the five cubes under ``out``; returns name -> path.
 
     Cubes are small by construction (bounded by hours x emotions x risk
-    levels, or by the number of 0.1-degree cells), so one file each is the
-    reference's layout and is safe; pass ``files=None`` to keep Spark's.
+    levels, or by the number of 0.1-degree cells); AQE coalesces their
+    shuffle output into few partitions, so the default keeps Spark's file
+    layout. ``files=n`` forces n files per cube.
     """
     from vigil.sources.files import write_parquet
 

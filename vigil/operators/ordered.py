@@ -26,10 +26,21 @@ from pyspark.sql import types as T
 from vigil.session import ensure_checkpoint_dir, partitions_for
 
 
-def _range_sorted(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+TIE = "__tie"
+
+
+def _range_sorted(df: DataFrame, keys: Sequence[str], partitions: int | None, tiebreak: bool = True) -> DataFrame:
+    """Range-partition and sort on ``keys``. With ``tiebreak`` the input
+    position is appended to the key: rows with equal keys keep their input
+    order (a stable sort), and a pile of identical keys can still be split
+    over several partitions. The position is taken before the exchange, so
+    a retried task reads the same split and produces the same values."""
     n = partitions or partitions_for(df.sparkSession)
-    return df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys]).sortWithinPartitions(
-        *[F.col(k).asc_nulls_first() for k in keys])
+    if tiebreak:
+        df = df.withColumn(TIE, F.monotonically_increasing_id())
+        keys = list(keys) + [TIE]
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def global_position(df: DataFrame, order_cols: Sequence[str] | None = None, out: str = "_row",
@@ -40,7 +51,7 @@ def global_position(df: DataFrame, order_cols: Sequence[str] | None = None, out:
     if not order_cols:
         df = df.withColumn("__in", F.monotonically_increasing_id())
         order_cols = ["__in"]
-    r = _range_sorted(df, list(order_cols), partitions)
+    r = _range_sorted(df, list(order_cols), partitions).drop(TIE)
     pid = F.spark_partition_id().cast("long")
     tagged = (r.withColumn("__pid", pid)
                .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))
@@ -64,7 +75,7 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     ensure_checkpoint_dir(df.sparkSession)
     group_cols, order_cols, value_cols = list(group_cols), list(order_cols), list(value_cols)
     keys = group_cols + order_cols
-    r = _range_sorted(df, keys, partitions)
+    r = _range_sorted(df, keys, partitions).drop(TIE)
     in_schema = r.schema
     prev_fields = [T.StructField(prefix + v, in_schema[v].dataType, True) for v in value_cols]
     out_schema = T.StructType(list(in_schema.fields) + prev_fields + [
@@ -135,7 +146,7 @@ def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     ensure_checkpoint_dir(df.sparkSession)
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
-    r = _range_sorted(df.select(*keys, value_col), keys, partitions)
+    r = _range_sorted(df.select(*keys, value_col), keys, partitions).drop(TIE)
     vtype = r.schema[value_col].dataType
     gfields = [T.StructField(g, r.schema[g].dataType, True) for g in group_cols]
     out_schema = T.StructType([T.StructField("_kind", T.StringType(), False),

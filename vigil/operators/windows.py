@@ -52,11 +52,9 @@ def clip_verdict(chunks: DataFrame, key: str = "clip_id", emotion: str = "emotio
 
 
 # W6
-def report_windows(df: DataFrame, samples: str = "samples", rate: str = "sample_rate",
-                   key: str = "clip_id") -> DataFrame:
+def _report_contexts(df: DataFrame, samples: str, rate: str, key: str) -> DataFrame:
     """Every 3 s a 4 s context ending at the report point; contexts shorter
-    than one sub-window are skipped; ``silent`` when the context RMS < 0.01;
-    ``n_sub`` half-overlapping 1 s sub-windows inside a non-silent context."""
+    than one sub-window are skipped."""
     step = _samples_of(rate, K.REPORT_INTERVAL_SECONDS)
     win = _samples_of(rate, K.REPORT_CONTEXT_SECONDS)
     sub = _samples_of(rate, K.SUB_WINDOW_SECONDS)
@@ -68,30 +66,35 @@ def report_windows(df: DataFrame, samples: str = "samples", rate: str = "sample_
         "_ctx_end", F.least(F.size(samples), F.col("_ctx_start") + F.col("_win")))
     x = x.withColumn("_ctx", F.slice(samples, F.col("_ctx_start") + 1, F.col("_ctx_end") - F.col("_ctx_start")))
     x = x.filter(F.size("_ctx") >= F.col("_sub"))
-    ctx_rms = rms("_ctx")
-    sub_step = (F.col("_sub").cast("double") * F.lit(0.5)).cast("int")
-    n_sub = F.floor((F.size("_ctx") - F.col("_sub")) / F.greatest(sub_step, F.lit(1))).cast("int") + F.lit(1)
-    silent = ctx_rms < F.lit(K.SILENCE_RMS)
+    return x.withColumns({"_rms": rms("_ctx"),
+                          "_sub_step": F.greatest((F.col("_sub").cast("double") * F.lit(0.5)).cast("int"), F.lit(1))})
+
+
+def report_windows(df: DataFrame, samples: str = "samples", rate: str = "sample_rate",
+                   key: str = "clip_id") -> DataFrame:
+    """Report contexts: ``silent`` when the context RMS < 0.01; ``n_sub``
+    half-overlapping 1 s sub-windows inside a non-silent context."""
+    x = _report_contexts(df, samples, rate, key)
+    n_sub = F.floor((F.size("_ctx") - F.col("_sub")) / F.col("_sub_step")).cast("int") + F.lit(1)
+    silent = F.col("_rms") < F.lit(K.SILENCE_RMS)
     return x.select(key, F.col("report_index").cast("int").alias("report_index"),
                     (F.col("_cur") / F.col(rate).cast("double")).alias("report_s"),
                     F.col("_ctx_start").alias("context_start"), F.size("_ctx").alias("context_len"),
-                    ctx_rms.alias("rms"), silent.alias("silent"),
+                    F.col("_rms").alias("rms"), silent.alias("silent"),
                     F.when(silent, F.lit(0)).otherwise(n_sub).alias("n_sub"))
 
 
 def report_subwindows(df: DataFrame, samples: str = "samples", rate: str = "sample_rate",
                       key: str = "clip_id") -> DataFrame:
-    """The 1 s sub-windows (every 0.5 s) of each non-silent report context."""
-    rep = report_windows(df, samples, rate, key).filter(~F.col("silent"))
-    j = rep.join(df.select(key, samples, rate), on=key)
-    sub = _samples_of(rate, K.SUB_WINDOW_SECONDS)
-    sub_step = (sub.cast("double") * F.lit(0.5)).cast("int")
-    offs = _positions(F.col("context_len") - sub + 1, sub_step)
-    x = j.select(key, "report_index", "context_start", samples, sub.alias("_sub"),
+    """The 1 s sub-windows (every 0.5 s) of each non-silent report context,
+    exploded from the context on the same row (no join back to the clips)."""
+    x = _report_contexts(df, samples, rate, key).filter(F.col("_rms") >= F.lit(K.SILENCE_RMS))
+    offs = _positions(F.size("_ctx") - F.col("_sub") + 1, F.col("_sub_step"))
+    y = x.select(key, F.col("report_index").cast("int").alias("report_index"), "_ctx_start", "_ctx", "_sub",
                  F.posexplode(offs).alias("sub_index", "_off"))
-    return x.select(key, "report_index", F.col("sub_index").cast("int").alias("sub_index"),
-                    (F.col("context_start") + F.col("_off")).alias("sub_start"),
-                    F.slice(samples, F.col("context_start") + F.col("_off") + 1, F.col("_sub")).alias("window"))
+    return y.select(key, "report_index", F.col("sub_index").cast("int").alias("sub_index"),
+                    (F.col("_ctx_start") + F.col("_off")).alias("sub_start"),
+                    F.slice("_ctx", F.col("_off") + 1, F.col("_sub")).alias("window"))
 
 
 # W7
