@@ -9,7 +9,6 @@ look at the schema only and touch no data.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -167,11 +166,11 @@ def validate_log(df: DataFrame, path: str, strict: bool = True, allow_extra: boo
 def validate_all(spark: SparkSession, paths: Sequence[str], strict: bool = True,
                  allow_extra: bool = False) -> tuple[DataFrame, DataFrame]:
     """Per-file rows and the overall verdict; a missing file is a failed row."""
-    from vigil.sources.files import read_log_csv
+    from vigil.sources.files import _exists, read_log_csv
 
     runs = []
     for p in paths:
-        if not os.path.exists(p) and not p.startswith(("hdfs:", "s3", "gs:", "abfs")):
+        if not _exists(spark, p):
             msg = f"CRITICAL ERROR: File {p} not found!"
             runs.append(spark.range(1).select(F.lit(p).alias("file"), F.lit(False).alias("success"),
                                               F.lit(msg).alias("error"),

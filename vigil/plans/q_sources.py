@@ -61,3 +61,61 @@ def q_append_events(spark, d):
     I.append_events(spark, events.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp")), path)
     I.append_events(spark, events.unionByName(events), path)
     return I.read_log(spark, path).select(*SAFETY_EVENT_COLUMNS)
+
+
+# ---- file-based log readers: files written from the test tables, read back by the library ----------
+from vigil.operators import quality as Q  # noqa: E402
+from vigil.plans.q_logs import ILH_SQL, REF_DATE  # noqa: E402
+from vigil.plans.q_quality import CHECKS_CTE, WQ  # noqa: E402
+from vigil.plans.sql_inputs import HL, IL  # noqa: E402
+
+
+def _write_csv(df, path, sep=",", encoding="UTF-8"):
+    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
+    return path
+
+
+@register("read_log_csv", with_(IL) + 'SELECT id, "time", inference_of_emotion FROM il')
+def q_read_log_csv(spark, d):
+    """The inference log written as ';'-separated Latin-1 CSV with blanks
+    around the header names, read back with delimiter and encoding sniffing."""
+    il = A.inference_log(spark, d)
+    raw = il.toDF(" id ", "time ", " inference_of_emotion")
+    path = _write_csv(raw, scratch_path(spark, "log-latin1"), sep=";", encoding="ISO-8859-1")
+    return I.read_log_csv(spark, path)
+
+
+@register("ingest_logs", with_(SE, HL, IL) + f""", ilh AS ({ILH_SQL})
+SELECT id, "timestamp", inference FROM ilh
+UNION ALL SELECT id, "timestamp", upper(substr(lower(inference), 1, 1)) || substr(lower(inference), 2) FROM hl""")
+def q_ingest_logs(spark, d):
+    """Two log files with different headers (bare times and counter ids;
+    device ids with full timestamps and upper-case labels) plus one
+    unreadable path, harmonised into one (id, timestamp, inference) table."""
+    il = A.inference_log(spark, d)
+    hl = A.harmonised_log(spark, d).select(F.col("id").alias("ID"), F.col("timestamp").alias("Timestamp"),
+                                           F.upper("inference").alias("Inference_Of_Emotion"))
+    p1 = _write_csv(il, scratch_path(spark, "log-a"))
+    p2 = _write_csv(hl, scratch_path(spark, "log-b"), sep="\t")
+    return I.ingest_logs(spark, [p1, p2, scratch_path(spark, "missing")], ref_date=REF_DATE)
+
+
+@register("convert_folder", W + f"SELECT {ALL} FROM se")
+def q_convert_folder(spark, d):
+    """CSV files in a folder converted one by one to Parquet, read back."""
+    folder = scratch_path(spark, "csv-folder")
+    se(spark, d).write.option("header", True).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(folder)
+    outs = I.convert_folder(spark, folder, out=scratch_path(spark, "converted"), infer=False)
+    back = spark.read.parquet(*outs)  # text columns, as converted without inference
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in se(spark, d).schema.fields])
+
+
+@register("validate_files", WQ + CHECKS_CTE + 'SELECT "check", ok FROM checks')
+def q_validate_files(spark, d):
+    """The inference log written as a CSV file and validated from the file
+    (strict mode); one row per check of the run."""
+    path = _write_csv(A.inference_log(spark, d), scratch_path(spark, "log-validate"))
+    runs, _ = Q.validate_all(spark, [path], strict=True)
+    return runs.select(F.inline("checks"))
