@@ -35,7 +35,7 @@ def _range_sorted(df: DataFrame, keys: Sequence[str], partitions: int | None, ti
     order (a stable sort), and a pile of identical keys can still be split
     over several partitions. The position is taken before the exchange, so
     a retried task reads the same split and produces the same values."""
-    n = partitions or partitions_for(df.sparkSession)
+    n = partitions or partitions_for(df.sparkSession, df)
     if tiebreak:
         df = df.withColumn(TIE, F.monotonically_increasing_id())
         keys = list(keys) + [TIE]

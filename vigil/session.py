@@ -59,6 +59,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def partitions_for(spark: SparkSession) -> int:
-    """Partition count for range-ordered scans: the session's shuffle width."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def partitions_for(spark: SparkSession, df=None, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for range-ordered scans.
+
+    An explicit count is not resized by AQE, so it follows the data: the
+    optimizer's size estimate of ``df`` divided by ``target_bytes``, never
+    below the session's shuffle width (and capped)."""
+    base = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    if df is None:
+        return base
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: keep the session width
+        return base
+    return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
