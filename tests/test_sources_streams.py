@@ -130,3 +130,23 @@ def test_streams_dedup_late_rows_and_empty_file(spark, tmp):
     roll = spark.read.parquet(run("roll", S.stream_rolling_rms))
     assert roll.filter(F.col("window_end") > F.lit("2026-03-01 10:29:50").cast("timestamp")).count() == 0
     assert roll.agg(F.sum("n")).first()[0] == 6 * 3  # rows at 10:00:00, 10:00:01 (twice): 6 windows each
+
+
+def test_cli_jobs(spark, se, tmp):
+    import json
+
+    from vigil import cli
+
+    good = os.path.join(tmp, "good.csv")
+    pd.DataFrame({"id": ["1", "2"], "time": ["10:00:00", "10:00:01"],
+                  "inference_of_emotion": ["fear", "Surprised"]}).to_csv(good, index=False)
+    assert cli.main(["validate", good, "--out", os.path.join(tmp, "v1")]) == 0
+    assert cli.main(["validate", good, os.path.join(tmp, "nope.csv"), "--out", os.path.join(tmp, "v2")]) == 1
+    doc = json.loads(open([os.path.join(tmp, "v2", f) for f in os.listdir(os.path.join(tmp, "v2"))
+                           if f.endswith(".json")][0]).read())
+    assert doc["overall_success"] is False and len(doc["runs"]) == 2
+    assert cli.main(["drift", "--tess", good, "--synth", good, "--out", os.path.join(tmp, "d")]) == 0
+    pq = I.write_parquet(se, os.path.join(tmp, "ev"))
+    assert cli.main(["cubes", pq, "--out", os.path.join(tmp, "cubes")]) == 0
+    assert spark.read.parquet(os.path.join(tmp, "cubes", "hour_risk_cube")).agg(F.sum("count")).first()[0] == se.count()
+    assert cli.main(["summary", pq, "--out", os.path.join(tmp, "sum")]) == 0
