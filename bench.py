@@ -70,6 +70,10 @@ def main() -> None:
         "geo_hotspots": lambda: H.geo_hotspots(se, 10, 1).collect(),
         "threat_verdict": lambda: materialise(WN.threat_verdict(A.window_scores(spark, SF_DIR))),
         "corpus_manifest": lambda: materialise(M.corpus_manifest(A.corpus_paths(spark, SF_DIR), "/corpus")),
+        "previous_class_rows": lambda: materialise(L.with_previous_class(X.classify(A.harmonised_log(spark, SF_DIR)))),
+        "corpus_log": lambda: materialise(M.corpus_log(A.corpus_paths(spark, SF_DIR))),
+        "report_windows": lambda: materialise(WN.report_windows(A.signals(spark, SF_DIR))),
+        "half_windows": lambda: materialise(WN.half_windows(A.signals(spark, SF_DIR))),
     }
 
     medians = {}

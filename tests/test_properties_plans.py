@@ -68,3 +68,30 @@ def test_drift_metrics_read_only_the_checkpoint(spark):
     b = X.danger(A.safety_events(spark, "/root/testdata/sf0.001"))
     f = D.drift_frames(a, b, "inference_of_emotion", "emotion")
     assert "FileScan" not in plan(f["alerts"]) and "FileScan" not in plan(f["js"])
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "hot", None]), st.integers(0, 6), st.sampled_from(["x", "y", "z"])),
+                min_size=0, max_size=60)
+
+
+@settings(max_examples=6, deadline=None)
+@given(data=ROWS, parts=st.integers(1, 7))
+def test_ordered_helpers_match_windows(spark, data, parts):
+    from pyspark.sql import Window
+
+    from vigil.operators.ordered import global_position, lag_by_group, lag_pair_counts
+
+    # distinct (g, t, v) rows with a unique order key, so the window answer is unique
+    df = spark.createDataFrame([(g, t * 100 + i, v) for i, (g, t, v) in enumerate(data)], "g string, t long, v string")
+    w = Window.partitionBy("g").orderBy("t")
+    want = df.withColumn("prev_v", F.lag("v").over(w))
+    got = lag_by_group(df, ["g"], ["t"], ["v"], partitions=parts)
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, got.select("g", "t", "v", "prev_v").collect()), key=key) == \
+        sorted(map(tuple, want.select("g", "t", "v", "prev_v").collect()), key=key)
+    pairs = lag_pair_counts(df, ["g"], ["t"], "v", partitions=parts).filter("prev IS NOT NULL")
+    want_pairs = want.filter("prev_v IS NOT NULL").groupBy("prev_v", "v").count()
+    assert sorted(map(tuple, pairs.select("prev", "cur", "n").collect())) == \
+        sorted(map(tuple, want_pairs.collect()))
+    pos = global_position(df, ["t"], out="p", partitions=parts)
+    assert sorted(r.p for r in pos.collect()) == list(range(len(data)))

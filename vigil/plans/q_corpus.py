@@ -8,7 +8,7 @@ from vigil import adapters as A
 from vigil import constants as K
 from vigil.operators import corpus as M
 from vigil.plans.catalog import register
-from vigil.plans.sql_inputs import CP, PR, SE, SG, with_
+from vigil.plans.sql_inputs import CP, PR, SE, with_
 
 ROOT = "/corpus"
 WC = with_(CP) + """, pp AS (
