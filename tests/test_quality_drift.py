@@ -107,3 +107,13 @@ def test_drift_report_json(spark, tmp):
     doc = json.loads(open(os.path.join(path, files[0])).read())
     assert doc["a_n"] == 200 and doc["b_n"] == 150 and doc["thresholds"]["js"] == K.DRIFT_JS
     assert set(doc["per_label_abs_drift"]) == set(K.VALID_LABELS)
+
+
+def test_single_checks(spark):
+    df = logdf(spark, [("a", None, "fear"), ("a", "10:00:00", "weird")])
+    assert Q.check_nonempty(df).first().ok is True
+    assert Q.check_nonempty(df.filter("false")).first().ok is False
+    assert rows(Q.check_not_null(df)) == [("id", True), ("inference_of_emotion", True), ("time", False)]
+    assert Q.check_unique(df).first().ok is False
+    assert Q.check_labels(df).first().ok is False
+    assert Q.check_labels(df.drop("inference_of_emotion")).first().ok is False

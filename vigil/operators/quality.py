@@ -58,6 +58,31 @@ def _check_exprs(df: DataFrame, required: Sequence[str]) -> list[tuple[str, Colu
     return checks
 
 
+def check_nonempty(df: DataFrame) -> DataFrame:
+    """V1: one row, ``ok`` when the table has at least one row."""
+    return df.agg((F.count(F.lit(1)) >= F.lit(1)).alias("ok"))
+
+
+def check_not_null(df: DataFrame, cols: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
+    """V3: one row per present column, ``ok`` when it has no null."""
+    rows = [F.struct(F.lit(c).alias("column"), (F.count_if(F.col(c).isNull()) == F.lit(0)).alias("ok"))
+            for c in cols if c in df.columns]
+    return df.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
+
+
+def check_unique(df: DataFrame, col: str = "id") -> DataFrame:
+    """V4: ``ok`` when the non-null values of ``col`` are distinct."""
+    return df.agg((F.count(col) == F.count_distinct(col)).alias("ok"))
+
+
+def check_labels(df: DataFrame) -> DataFrame:
+    """V5: ``ok`` when every (normalised) label is in the valid set; false
+    when the label column is absent."""
+    if LABEL not in df.columns:
+        return df.agg(F.lit(False).alias("ok"))
+    return df.agg((F.count_if(~F.coalesce(_valid(F.col(LABEL)), F.lit(False))) == F.lit(0)).alias("ok"))
+
+
 def _check_structs(df: DataFrame, allow_extra: bool, required: Sequence[str]) -> list[Column]:
     schema_ok = check_columns(df, required, exact=not allow_extra)
     checks = _check_exprs(df, required)
