@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -141,12 +142,13 @@ def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     Each range partition emits its own pair counts plus its first and last
     row; only that output (about partitions x (values^2 + 2) rows) is
     checkpointed, and the pairs that straddle partition edges are added from
-    the head/tail rows.
+    the head/tail rows. Only the group and value columns cross into Python:
+    the rows arrive already sorted.
     """
     ensure_checkpoint_dir(df.sparkSession)
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
-    r = _range_sorted(df.select(*keys, value_col), keys, partitions).drop(TIE)
+    r = _range_sorted(df.select(*keys, value_col), keys, partitions).select(*group_cols, value_col)
     vtype = r.schema[value_col].dataType
     gfields = [T.StructField(g, r.schema[g].dataType, True) for g in group_cols]
     out_schema = T.StructType([T.StructField("_kind", T.StringType(), False),
@@ -154,6 +156,20 @@ def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
         T.StructField("prev", vtype, True), T.StructField("cur", vtype, True), T.StructField("n", T.LongType(), False)])
     names = [f.name for f in out_schema.fields]
 
+    def same_as_previous(cols, carry):
+        """Row i belongs to the same group as row i-1 (row 0: as the carried row)."""
+        same = None
+        for g in group_cols:
+            a = cols[g]
+            prev = np.empty(len(a), dtype=object)
+            prev[1:] = a[:-1]
+            prev[0] = None if carry is None else carry[g]
+            eq = (a == prev) | (pd.isna(a) & pd.isna(prev))
+            same = eq if same is None else same & eq
+        if carry is None:
+            same[0] = False
+        return same
+
     def local_pairs(batches):
         pid = TaskContext.get().partitionId()
         counts: dict = {}
@@ -161,24 +177,23 @@ def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
         for pdf in batches:
             if pdf.empty:
                 continue
-            pdf = pdf.reset_index(drop=True)
+            cols = {c: pdf[c].to_numpy(dtype=object) for c in group_cols + [value_col]}
             if head is None:
-                head = pdf.iloc[0]
-            same = pd.Series(True, index=pdf.index)
-            for g in group_cols:
-                same &= _same(pdf[g], pdf[g].shift(1))
-            prev = pdf[value_col].shift(1)
-            if carry is not None:
-                same.iloc[0] = all(_same(pd.Series([carry[g]]), pd.Series([pdf.loc[0, g]])).iloc[0]
-                                   for g in group_cols)
-                prev.iloc[0] = carry[value_col]
-            else:
-                same.iloc[0] = False
-            pairs = pd.DataFrame({"prev": prev[same], "cur": pdf[value_col][same]})
-            for (p, c), n in pairs.groupby(["prev", "cur"], dropna=False).size().items():
-                key = (None if pd.isna(p) else p, None if pd.isna(c) else c)
-                counts[key] = counts.get(key, 0) + int(n)
-            carry = pdf.iloc[-1]
+                head = {c: cols[c][0] for c in cols}
+            same = same_as_previous(cols, carry)
+            v = cols[value_col]
+            prev = np.empty(len(v), dtype=object)
+            prev[1:] = v[:-1]
+            prev[0] = None if carry is None else carry[value_col]
+            codes, uniq = pd.factorize(np.concatenate([prev[same], v[same]]), use_na_sentinel=False)
+            k, m = len(uniq), int(same.sum())
+            if m:
+                hits = np.bincount(codes[:m] * k + codes[m:], minlength=k * k)
+                for code in np.nonzero(hits)[0]:
+                    key = (uniq[code // k], uniq[code % k])
+                    key = tuple(None if pd.isna(x) else x for x in key)
+                    counts[key] = counts.get(key, 0) + int(hits[code])
+            carry = {c: cols[c][-1] for c in cols}
         if head is None:
             return
         out = [dict(_kind="pair", _pid=pid, prev=p, cur=c, n=n, **{g: None for g in group_cols})
