@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       cached: list | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only after counting it.
 
     ``df`` is an aggregate whose size depends on the data (e.g. one row per

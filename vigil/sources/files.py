@@ -144,12 +144,13 @@ def first_per_id(df: DataFrame, order_col: str | None = None) -> DataFrame:
     return first.select("id", *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*df.columns)
 
 
-def new_events(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+def new_events(batch: DataFrame, existing: DataFrame | None, cached: list | None = None) -> DataFrame:
     """Rows of ``batch`` that may be appended: first row per id, ids on disk refused.
 
     The batch's ids are counted and, when few, broadcast: the log is then
     only scanned (id column) and semi-joined map-side, never shuffled; a
-    large batch falls back to a shuffle join.
+    large batch falls back to a shuffle join. Frames persisted on the way
+    are appended to ``cached`` for the caller to release.
     """
     from vigil.operators.joins import broadcast_if_small
 
@@ -157,7 +158,9 @@ def new_events(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     if existing is None:
         return firsts
     firsts = firsts.persist()
-    ids = broadcast_if_small(firsts.select("id"))
+    if cached is not None:
+        cached.append(firsts)
+    ids = broadcast_if_small(firsts.select("id"), cached=cached)
     known = existing.select("id").join(ids, on="id", how="left_semi")
     return firsts.join(known, on="id", how="left_anti")
 
@@ -167,9 +170,12 @@ def append_events(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame
     existing = None
     if _exists(spark, path):
         existing = spark.read.schema(SAFETY_EVENT).parquet(path)
-    rows = new_events(batch.select(*SAFETY_EVENT_COLUMNS), existing)
+    cached: list = []
+    rows = new_events(batch.select(*SAFETY_EVENT_COLUMNS), existing, cached)
     # materialise once: the anti-join must not see the rows it is about to write
     staged = rows.checkpoint(eager=True)
+    for df in cached:
+        df.unpersist()
     staged.write.mode("append").option("compression", "snappy").parquet(path)
     return staged
 
