@@ -152,3 +152,23 @@ SELECT a.clip_id, a.max_threat,
 FROM a JOIN t ON a.clip_id = t.clip_id AND t.rn = 1""")
 def q_threat_verdict(spark, d):
     return WN.threat_verdict(A.window_scores(spark, d))
+
+
+@register("report_subwindows", WG + f""", c AS (
+  SELECT clip_id, sample_rate, samples, {STEP.format(sec=3.0)} AS step, {STEP.format(sec=4.0)} AS win,
+         {STEP.format(sec=1.0)} AS sub, unnest(range(0, len(samples), {STEP.format(sec=3.0)})) AS cur FROM sg),
+k AS (SELECT *, greatest(0, cur - win + step) AS cs FROM c),
+k2 AS (SELECT *, samples[cs + 1: least(len(samples), cs + win)] AS ctx FROM k),
+k3 AS (SELECT *, greatest(CAST(trunc(sub * 0.5) AS INTEGER), 1) AS sstep FROM k2
+       WHERE len(ctx) >= sub AND {RMS.format(s='ctx')} >= 0.01::DOUBLE),
+s AS (SELECT clip_id, cur // step AS report_index, cs, ctx, sub, sstep,
+             unnest(range(0, len(ctx) - sub + 1, sstep)) AS off FROM k3)
+SELECT clip_id, CAST(report_index AS INTEGER) AS report_index, CAST(off // sstep AS INTEGER) AS sub_index,
+       CAST(cs + off AS INTEGER) AS sub_start, CAST(len(ctx[off + 1: off + sub]) AS INTEGER) AS window_len,
+       round({RMS.format(s='ctx[off + 1: off + sub]')}, 9) AS window_rms
+FROM s""")
+def q_report_subwindows(spark, d):
+    """The 1 s sub-windows, every 0.5 s, of every non-silent 4 s report context."""
+    sw = WN.report_subwindows(sg(spark, d))
+    return sw.select("clip_id", "report_index", "sub_index", "sub_start", F.size("window").alias("window_len"),
+                     r9(G.rms("window")).alias("window_rms"))

@@ -119,3 +119,23 @@ def q_validate_files(spark, d):
     path = _write_csv(A.inference_log(spark, d), scratch_path(spark, "log-validate"))
     runs, _ = Q.validate_all(spark, [path], strict=True)
     return runs.select(F.inline("checks"))
+
+
+SUMMARY_SCHEMA = ("total_events long, danger_events long, danger_rate double, top_emotion string, "
+                  "peak_danger_hour int, streaming_events long")
+
+
+def _summary_sql():
+    from vigil.plans.catalog import ORACLE
+    from vigil.plans import q_events  # noqa: F401 - registers summary_report
+
+    return ORACLE["summary_report"]
+
+
+@register("summary_csv", _summary_sql())
+def q_summary_csv(spark, d):
+    """The one-row summary report written as a CSV file and read back."""
+    from vigil.operators.risk import summary_report
+
+    path = I.write_summary_csv(summary_report(se(spark, d)), scratch_path(spark, "summary-csv"))
+    return spark.read.option("header", True).schema(SUMMARY_SCHEMA).csv(path)
