@@ -139,3 +139,24 @@ def q_summary_csv(spark, d):
 
     path = I.write_summary_csv(summary_report(se(spark, d)), scratch_path(spark, "summary-csv"))
     return spark.read.option("header", True).schema(SUMMARY_SCHEMA).csv(path)
+
+
+NOW = "2026-03-01 12:00:00"
+
+
+@register("ingest_logs_defaults", with_(SE) + f"""
+SELECT 'Device_1' AS id, strptime('{REF_DATE} ' || strftime("timestamp", '%H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS "timestamp",
+       'Unknown' AS inference FROM se
+UNION ALL
+SELECT 'Device_1', TIMESTAMP '{NOW}' - to_minutes(CAST(row_number() OVER (ORDER BY CAST(id AS BIGINT)) - 1 AS BIGINT)),
+       upper(substr(emotion, 1, 1)) || lower(substr(emotion, 2)) FROM se""")
+def q_ingest_logs_defaults(spark, d):
+    """Logs missing columns: one with only a ``time_log`` column (synonym;
+    default id and inference), one with only labels (no id, no time: rows are
+    stamped ``now`` minus i minutes in file order)."""
+    ev = se(spark, d).orderBy(F.col("id").cast("long"))
+    tl = ev.select(F.date_format("timestamp", "HH:mm:ss").alias("Time_Log"))
+    nt = ev.select(F.col("emotion").alias("inference"))
+    p1 = _write_csv(tl, scratch_path(spark, "log-timeonly"))
+    p2 = _write_csv(nt.coalesce(1), scratch_path(spark, "log-labels-only"))  # one file: file order is row order
+    return I.ingest_logs(spark, [p1, p2], ref_date=REF_DATE, now=NOW)
