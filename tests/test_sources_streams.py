@@ -150,3 +150,26 @@ def test_cli_jobs(spark, se, tmp):
     assert cli.main(["cubes", pq, "--out", os.path.join(tmp, "cubes")]) == 0
     assert spark.read.parquet(os.path.join(tmp, "cubes", "hour_risk_cube")).agg(F.sum("count")).first()[0] == se.count()
     assert cli.main(["summary", pq, "--out", os.path.join(tmp, "sum")]) == 0
+
+
+def test_stream_hotspots_seed_then_update(spark, tmp):
+    src = os.path.join(tmp, "hsrc")
+    os.makedirs(src)
+    # user_id sets the latitude cell, event_id the longitude cell of the stand-in events
+    def batch(name, ids, users):
+        df = pd.DataFrame({"event_id": pd.Series(ids, dtype="int64"),
+                           "ts": pd.Series(pd.to_datetime(["2026-03-01 10:00:00"] * len(ids)), dtype="datetime64[us]"),
+                           "user_id": pd.Series(users, dtype="int64"), "event_type": ["error"] * len(ids),
+                           "value": [50.0] * len(ids), "props": ['{"k": 90}'] * len(ids)})
+        df.to_parquet(os.path.join(src, name))
+    batch("a.parquet", list(range(0, 40)), [0] * 20 + [30] * 20)
+    batch("b.parquet", list(range(100, 120)), [0] * 20)
+    raw = S.event_stream(spark, src, max_files_per_trigger=1)
+    out, ck = os.path.join(tmp, "hot"), os.path.join(tmp, "hot_ck")
+    S.stream_hotspots(raw, out, ck, k=2, seed=1).awaitTermination()
+    versions = sorted(os.listdir(out))
+    assert versions == ["v=0", "v=1"]
+    first = spark.read.parquet(os.path.join(out, "v=0"))
+    last = S.read_recent(spark, out)
+    assert first.agg(F.sum("weight")).first()[0] == 40 and last.agg(F.sum("weight")).first()[0] == 60
+    assert last.count() == 2 and set(last.columns) >= {"hotspot", "latitude", "longitude", "weight", "batch_id"}
