@@ -171,8 +171,15 @@ def stream_hotspots(raw: DataFrame, out: str, ckpt: str, k: int = 10, seed: int
     events = risk_events(raw)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
         pts = danger(batch).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+        pts = pts.select("latitude", "longitude", "risk_level").persist()  # read by several actions below
+        try:
+            update(pts, epoch)
+        finally:
+            pts.unpersist()
+
+    def update(pts: DataFrame, epoch: int) -> None:
+        spark = pts.sparkSession
         prev = latest_version(spark, out, before=epoch)  # a replayed batch recomputes the same version
         if prev is None:
             if pts.limit(k).count() < k:
