@@ -89,17 +89,16 @@ def build_cubes(df: DataFrame, out: str, files: int | None = None) -> dict[str,
     Cubes are small by construction (bounded by hours x emotions x risk
     levels, or by the number of 0.1-degree cells); AQE coalesces their
     shuffle output into few partitions, so the default keeps Spark's file
-    layout. ``files=n`` forces n files per cube.
+    layout. ``files=n`` forces n files per cube. The five writes read the
+    checkpointed cells and run as concurrent jobs.
     """
+    from vigil.session import run_concurrently
     from vigil.sources.files import write_parquet
 
     cells = cube_aggregate(df).checkpoint(eager=True)
-    paths = {}
-    for name, cube in split_cubes(cells).items():
-        path = os.path.join(out, name)
-        write_parquet(cube, path, files=files)
-        paths[name] = path
-    return paths
+    jobs = {name: (lambda c=cube, p=os.path.join(out, name): write_parquet(c, p, files=files))
+            for name, cube in split_cubes(cells).items()}
+    return run_concurrently(jobs)  # five independent writes of small frames
 
 
 def read_cube(spark: SparkSession, out: str, name: str) -> DataFrame:

@@ -79,3 +79,15 @@ def partitions_for(spark: SparkSession, df=None, target_bytes: int = TARGET_PART
     except Exception:  # noqa: BLE001 - no estimate: keep the session width
         return base
     return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
+
+
+def run_concurrently(jobs: dict, max_workers: int = 8) -> dict:
+    """Run independent Spark actions from threads (Spark schedules concurrent
+    jobs); returns name -> result, re-raising the first failure."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if not jobs:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}

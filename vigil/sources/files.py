@@ -111,15 +111,18 @@ def list_files(spark: SparkSession, root: str, glob: str, recursive: bool = True
 def convert_folder(spark: SparkSession, folder: str, out: str | None = None, infer: bool = True,
                    files: int | None = None) -> list[str]:
     """Every ``*.csv`` in ``folder`` -> ``<name>.parquet`` (snappy)."""
+    from vigil.session import run_concurrently
+
     out = out or folder
     names = [r["path"] for r in list_files(spark, folder, "*.csv", recursive=False).select("path").collect()]
-    written = []
-    for p in sorted(names):
-        local = p[len("file:"):] if p.startswith("file:") else p
-        base = os.path.basename(local)[: -len(".csv")]
-        df = spark.read.option("header", True).option("inferSchema", infer).csv(local)
-        written.append(write_parquet(df, os.path.join(out, base + ".parquet"), files=files))
-    return written
+
+    def convert(p: str) -> str:
+        base = os.path.basename(p)[: -len(".csv")]
+        df = spark.read.option("header", True).option("inferSchema", infer).csv(p)
+        return write_parquet(df, os.path.join(out, base + ".parquet"), files=files)
+
+    done = run_concurrently({p: (lambda p=p: convert(p)) for p in sorted(names)})  # one job per file
+    return [done[p] for p in sorted(names)]
 
 
 # I7
