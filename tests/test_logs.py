@@ -83,3 +83,9 @@ def test_identical_copies_are_split_and_counted(spark):
     want = (df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t")))
               .filter("prev IS NOT NULL").groupBy("prev", F.col("v").alias("cur")).agg(F.count("*").alias("n")))
     assert rows(got, "prev", "cur", "n") == rows(want, "prev", "cur", "n")
+
+
+def test_lag_numeric_values_stay_null(spark):
+    df = spark.createDataFrame([("a", 1, 1.5), ("a", 2, 2.5), ("b", 1, 7.0)], "g string, t long, v double")
+    got = lag_by_group(df, ["g"], ["t"], ["v"], partitions=2)
+    assert rows(got, "g", "t", "prev_v") == [("a", 1, None), ("a", 2, 1.5), ("b", 1, None)]

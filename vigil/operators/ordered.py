@@ -95,8 +95,8 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
             same = pd.Series(True, index=pdf.index)
             for g in group_cols:
                 same &= _same(pdf[g], pdf[g].shift(1))
-            for v in value_cols:
-                pdf[prefix + v] = pdf[v].shift(1).where(same, None)
+            for v in value_cols:  # object dtype keeps a missing value null (not NaN) for numeric columns
+                pdf[prefix + v] = pdf[v].astype(object).shift(1).where(same, None)
             head = pd.Series(False, index=pdf.index)
             if carry is None:
                 head.iloc[0] = True
