@@ -131,3 +131,11 @@ def test_evaluate_predictions(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 1)], "label int, prediction int")
     r = M.evaluate_predictions(df).first()
     assert (r.accuracy, r.recall, r.n) == (0.5, 0.5, 4)
+
+
+def test_manifest_without_root(spark):
+    paths = spark.createDataFrame([(p,) for p in NAMES], "path string")
+    with_root = sorted(map(tuple, M.corpus_manifest(paths, "/c").collect()))
+    assert sorted(map(tuple, M.corpus_manifest(paths).collect())) == with_root
+    assert sorted(map(tuple, M.corpus_manifest_binary(paths).collect())) == \
+        sorted(map(tuple, M.corpus_manifest_binary(paths, "/c").collect()))

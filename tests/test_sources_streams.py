@@ -63,8 +63,8 @@ def test_summary_csv_and_sql_count(spark, se, tmp):
 def test_append_refuses_known_and_repeated_ids(spark, se, tmp):
     path = os.path.join(tmp, "log")
     first = se.limit(10)
-    assert I.append_events(spark, first, path).count() == 10
-    again = I.append_events(spark, se.unionByName(first), path)
+    assert I.append_events(first, path).count() == 10
+    again = I.append_events(se.unionByName(first), path)
     assert again.count() == se.count() - 10
     log = I.read_log(spark, path)
     assert log.count() == se.count() and log.select("id").distinct().count() == se.count()

@@ -39,18 +39,26 @@ def _present(label: Column, name: str = "label") -> Column:
     return F.explode(F.array_compact(F.array(label))).alias(name)
 
 
-def path_parts(df: DataFrame, root: str, path: str = "path") -> DataFrame:
-    """scheme (first folder below root), depth below root, file and parent names."""
-    root = root.rstrip("/") + "/"
+SCHEMES = ["ravdess", "cremad", "tess", "savee"]
+
+
+def path_parts(df: DataFrame, root: str | None = None, path: str = "path") -> DataFrame:
+    """scheme (first folder below ``root``; without a root, the first folder
+    named after one of the four corpora), depth below it, file and parent names."""
     p = F.col(path)
-    rel = F.when(p.startswith(root), F.substring(p, len(root) + 1, 1 << 30))
-    parts = F.split(rel, "/")
     full = F.split(p, "/")
+    if root is not None:
+        root = root.rstrip("/") + "/"
+        rel = F.when(p.startswith(root), F.substring(p, len(root) + 1, 1 << 30))
+        parts = F.split(rel, "/")
+    else:
+        at = F.array_position(F.transform(full, lambda x: x.isin(*SCHEMES)), F.lit(True))  # 1-based, 0 if none
+        parts = F.when(at > 0, F.slice(full, F.greatest(at, F.lit(1)), F.size(full)))
     return df.withColumns({
         "_scheme": F.when(F.size(parts) >= 2, F.get(parts, 0)),
         "_depth": F.size(parts),
         "_base": F.element_at(full, -1),
-        "_parent": F.element_at(full, -2),
+        "_parent": F.try_element_at(full, F.lit(-2)),
     })
 
 
@@ -76,7 +84,7 @@ def _scheme_rule(scheme: str, flat: bool) -> Column:
     return c & F.col("_base").endswith(".wav")
 
 
-def _scheme_fields(paths: DataFrame, root: str) -> DataFrame:
+def _scheme_fields(paths: DataFrame, root: str | None) -> DataFrame:
     """One column per naming-scheme field, so the label rules below refer to
     plain columns (keeps the generated code small)."""
     x = path_parts(paths, root)
@@ -92,7 +100,7 @@ def _scheme_fields(paths: DataFrame, root: str) -> DataFrame:
 
 
 # M1 / U3
-def corpus_manifest(paths: DataFrame, root: str) -> DataFrame:
+def corpus_manifest(paths: DataFrame, root: str | None = None) -> DataFrame:
     """(path, label) over the four corpora; unmatched files dropped (TESS is
     always kept, as in the reference), then fearful -> fear, calm -> neutral."""
     x = _scheme_fields(paths, root)
@@ -105,7 +113,7 @@ def corpus_manifest(paths: DataFrame, root: str) -> DataFrame:
 
 
 # M2
-def corpus_manifest_binary(paths: DataFrame, root: str) -> DataFrame:
+def corpus_manifest_binary(paths: DataFrame, root: str | None = None) -> DataFrame:
     """(path, label) with 1 = unsafe, 0 = safe; every other file dropped."""
     x = _scheme_fields(paths, root)
     low = F.col("_low")
@@ -122,7 +130,7 @@ def corpus_manifest_safety(paths: DataFrame) -> DataFrame:
     """(path, label) 0 safe / 1 danger / 2 caution: the first emotion name,
     in map order, found in the folder or file name (lower case)."""
     full = F.split(F.col("path"), "/")
-    base, parent = F.lower(F.element_at(full, -1)), F.lower(F.element_at(full, -2))
+    base, parent = F.lower(F.element_at(full, -1)), F.lower(F.try_element_at(full, F.lit(-2)))
     out = None
     for emotion, cls in K.SAFETY_CLASS_ORDER:  # first match in map order wins
         hit = (F.instr(F.coalesce(parent, F.lit("")), emotion) > 0) | (F.instr(base, emotion) > 0)
@@ -238,6 +246,6 @@ def corpus_log(paths: DataFrame, start: str = K.CORPUS_LOG_START, gap: int = K.C
     pos = global_position(x, ["_key", "path"], out="_row")
     t0 = F.to_timestamp(F.lit(f"1900-01-01 {start}"))
     ts = t0 + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_row") * F.lit(gap)).cast("decimal(18,6)"))
-    label = F.element_at(F.split(F.element_at(full, -2), "_"), -1)
+    label = F.element_at(F.split(F.try_element_at(full, F.lit(-2)), "_"), -1)
     return pos.select((F.col("_row") + 1).alias("id"), F.date_format(ts, "HH:mm:ss").alias("time"),
                       label.alias("inference_of_emotion"))

@@ -58,8 +58,8 @@ def q_append_events(spark, d):
     log read back holds every id once."""
     events = se(spark, d)
     path = scratch_path(spark, "event-log")
-    I.append_events(spark, events.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp")), path)
-    I.append_events(spark, events.unionByName(events), path)
+    I.append_events(events.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp")), path)
+    I.append_events(events.unionByName(events), path)
     return I.read_log(spark, path).select(*SAFETY_EVENT_COLUMNS)
 
 

@@ -168,8 +168,9 @@ def new_events(batch: DataFrame, existing: DataFrame | None, cached: list | None
     return firsts.join(known, on="id", how="left_anti")
 
 
-def append_events(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
+def append_events(batch: DataFrame, path: str) -> DataFrame:
     """Append to the event log; returns the rows that were written."""
+    spark = batch.sparkSession
     existing = None
     if _exists(spark, path):
         existing = spark.read.schema(SAFETY_EVENT).parquet(path)
