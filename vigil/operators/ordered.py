@@ -81,12 +81,13 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     prev_fields = [T.StructField(prefix + v, in_schema[v].dataType, True) for v in value_cols]
     out_schema = T.StructType(list(in_schema.fields) + prev_fields + [
         T.StructField("_pid", T.LongType(), False), T.StructField("_pos", T.LongType(), False),
-        T.StructField("_head", T.BooleanType(), False)])
+        T.StructField("_head", T.BooleanType(), False), T.StructField("_tail", T.BooleanType(), False)])
     names = [f.name for f in out_schema.fields]
 
     def local_lag(batches):
         pid = TaskContext.get().partitionId()
         carry = None  # last row of the previous batch of this partition
+        pending = None  # a batch is held back until the next one shows it was not the last
         pos = 0
         for pdf in batches:
             if pdf.empty:
@@ -109,15 +110,20 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
             pdf["_pid"] = pid
             pdf["_pos"] = range(pos, pos + len(pdf))
             pdf["_head"] = head
+            pdf["_tail"] = False
             pos += len(pdf)
             carry = pdf.iloc[-1]
-            yield pdf[names]
+            if pending is not None:
+                yield pending[names]
+            pending = pdf
+        if pending is not None:
+            pending.loc[len(pending) - 1, "_tail"] = True
+            yield pending[names]
 
     tagged = r.mapInPandas(local_lag, out_schema).checkpoint(eager=True)
 
     # edge repair: the head row of partition p follows the tail row of the last non-empty partition < p
-    tails = tagged.groupBy("_pid").agg(
-        F.max_by(F.struct(*[F.col(c) for c in group_cols + value_cols]), F.col("_pos")).alias("_tail"))
+    tails = tagged.filter("_tail").select("_pid", F.struct(*[F.col(c) for c in group_cols + value_cols]).alias("_tail"))
     heads = tagged.filter("_head").select("_pid", F.struct(*[F.col(c) for c in group_cols]).alias("_hg"))
     edges = heads.join(tails, on="_pid", how="full")
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
@@ -130,7 +136,7 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     out = tagged.join(F.broadcast(fix), on="_pid", how="left")
     for v in value_cols:
         out = out.withColumn(prefix + v, F.when(F.col("_head"), F.col("_fix_" + v)).otherwise(F.col(prefix + v)))
-    return out.drop("_pid", "_pos", "_head", *["_fix_" + v for v in value_cols])
+    return out.drop("_pid", "_pos", "_head", "_tail", *["_fix_" + v for v in value_cols])
 
 
 def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str,
