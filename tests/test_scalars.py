@@ -108,3 +108,9 @@ def test_last_days_and_radius(mk):
             "id string, ts string, latitude double, longitude double").withColumn("timestamp", F.to_timestamp("ts"))
     assert rows(X.last_days(df, 7, "2026-03-05 00:00:00"), "id") == [("a",)]
     assert rows(X.within_radius(df, 28.6139, 77.209, 1.5), "id") == [("a",)]
+
+
+def test_parse_log_time_one_digit_fields(mk):
+    df = mk([("9:05:07",), ("3/4/2026 9:5:7",), ("2026-3-4 10:00:00",)], "time string")
+    out = X.parse_log_time(df, ref_date="2026-03-05").select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    assert [r[0] for r in out.collect()] == ["2026-03-05 09:05:07", "2026-03-04 09:05:07", "2026-03-04 10:00:00"]

@@ -107,15 +107,16 @@ def canonical_label(c: str | Column) -> Column:
 
 
 # X11 ---------------------------------------------------------------------------
+# one-letter fields take one or two digits (9:05:07, 3/4/2026), as R's parser does
 DATETIME_LAYOUTS = [
     # ymd HMS
-    "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-M-d H:m:s", "yyyy/M/d H:m:s", "yyyy-M-d'T'H:m:s",
     # mdy HMS
-    "MM/dd/yyyy HH:mm:ss", "MM-dd-yyyy HH:mm:ss",
+    "M/d/yyyy H:m:s", "M-d-yyyy H:m:s",
     # dmy HMS
-    "dd/MM/yyyy HH:mm:ss", "dd-MM-yyyy HH:mm:ss", "dd.MM.yyyy HH:mm:ss",
+    "d/M/yyyy H:m:s", "d-M-yyyy H:m:s", "d.M.yyyy H:m:s",
 ]
-TIME_ONLY_LAYOUT = "HH:mm:ss"
+TIME_ONLY_LAYOUT = "H:m:s"
 
 
 def parse_log_time_column(c: str | Column, ref_date: str | None) -> Column:
@@ -123,7 +124,7 @@ def parse_log_time_column(c: str | Column, ref_date: str | None) -> Column:
     c = F.trim(_col(c).cast("string"))
     tries = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_LAYOUTS]
     if ref_date is not None:
-        tries.append(F.try_to_timestamp(F.concat(F.lit(ref_date + " "), c), F.lit("yyyy-MM-dd HH:mm:ss")))
+        tries.append(F.try_to_timestamp(F.concat(F.lit(ref_date + " "), c), F.lit("yyyy-M-d H:m:s")))
     return F.coalesce(*tries)
 
 
