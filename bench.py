@@ -36,7 +36,6 @@ def main() -> None:
     from vigil.operators import cubes as C
     from vigil.operators import drift as D
     from vigil.operators import hotspots as H
-    from vigil.operators import layout as P
     from vigil.operators import logs as L
     from vigil.operators import risk as R
     from vigil.operators import windows as WN
@@ -51,6 +50,7 @@ def main() -> None:
     csv, pq = scratch_path(spark, "bench-csv"), scratch_path(spark, "bench-parquet")
     se.write.mode("overwrite").option("header", True).csv(csv)
     write_parquet(se, pq)
+    reader = spark.read.option("header", True).option("inferSchema", True)
 
     def materialise(df):
         df.write.format("noop").mode("overwrite").save()
@@ -59,9 +59,17 @@ def main() -> None:
         a, b = A.inference_log(spark, SF_DIR), X.danger(A.safety_events(spark, SF_DIR))
         materialise(D.drift_frames(a, b, "inference_of_emotion", "emotion")["js"])
 
+    from vigil.operators.risk import row_count
+    from vigil.sources.files import convert_folder, size_report, sql_row_count
+
+    log = spark.read.parquet(pq)
     jobs = {
-        "csv_vs_parquet_count": lambda: P.compare_formats(spark, csv, pq),
-        "dataframe_vs_sql_count": lambda: P.compare_api_sql(spark.read.parquet(pq)),
+        # BASELINE rows: CSV / Parquet load + count, DataFrame / SQL count, CSV -> Parquet conversion
+        "csv_load_count": lambda: reader.csv(csv).count(),
+        "parquet_load_count": lambda: spark.read.parquet(pq).count(),
+        "dataframe_count": lambda: row_count(log).first(),
+        "sql_count": lambda: sql_row_count(spark, log).first(),
+        "csv_to_parquet": lambda: convert_folder(spark, csv, out=scratch_path(spark, "bench-converted")),
         "risk_score_by_emotion": lambda: materialise(R.risk_score_by_emotion(se)),
         "summary_report": lambda: materialise(R.summary_report(se)),
         "build_cubes": lambda: C.build_cubes(se, scratch_path(spark, "bench-cubes")),
@@ -86,6 +94,7 @@ def main() -> None:
             times.append(time.perf_counter() - t0)
         medians[name] = round(statistics.median(times), 4)
 
+    sizes = size_report(spark, csv, pq).first()
     print(json.dumps({
         "metric": "sum of median query seconds",
         "value": round(sum(medians.values()), 4),
@@ -94,6 +103,9 @@ def main() -> None:
         "sf": sf_of(SF_DIR),
         "cpus": CPUS,
         "runs": RUNS,
+        "rows": log.count(),
+        "sizes": {"csv_bytes": sizes.csv_bytes, "parquet_bytes": sizes.parquet_bytes,
+                  "csv_parquet_ratio": round(sizes.ratio, 3)},
     }))
     spark.stop()
 
