@@ -139,3 +139,11 @@ def test_manifest_without_root(spark):
     assert sorted(map(tuple, M.corpus_manifest(paths).collect())) == with_root
     assert sorted(map(tuple, M.corpus_manifest_binary(paths).collect())) == \
         sorted(map(tuple, M.corpus_manifest_binary(paths, "/c").collect()))
+
+
+def test_threat_verdict_per_report_window(spark):
+    ws = spark.createDataFrame([(1, 0, "2026-03-01 00:00:00", 0.1, 0.7), (1, 1, "2026-03-01 00:00:03", 0.1, 0.1)],
+                               "clip_id long, report_index int, ts string, p_fear double, p_angry double")
+    ws = ws.withColumn("window_start", F.to_timestamp("ts"))
+    got = rows(WN.threat_verdict(ws, ["clip_id", "report_index"]), "clip_id", "report_index", "danger")
+    assert got == [(1, 0, True), (1, 1, False)]

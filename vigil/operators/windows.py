@@ -43,11 +43,16 @@ def chunk_signal(df: DataFrame, seconds: float = K.CHUNK_SECONDS, samples: str =
         chunk.alias("chunk"))
 
 
-def clip_verdict(chunks: DataFrame, key: str = "clip_id", emotion: str = "emotion") -> DataFrame:
-    """A clip is unsafe if any chunk's emotion is unsafe (disgust never is)."""
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def clip_verdict(chunks: DataFrame, key="clip_id", emotion: str = "emotion") -> DataFrame:
+    """A clip is unsafe if any chunk's emotion is unsafe (disgust never is).
+    ``key`` is one column or a list of columns."""
     e = F.col(emotion)
     unsafe = F.coalesce(e.isin(*K.UNSAFE_EMOTIONS) & (e != F.lit("disgust")), F.lit(False))
-    return chunks.groupBy(key).agg(F.count(F.lit(1)).alias("chunks"), F.count_if(unsafe).alias("unsafe_chunks"),
+    return chunks.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias("chunks"), F.count_if(unsafe).alias("unsafe_chunks"),
                                    F.bool_or(unsafe).alias("unsafe"))
 
 
@@ -112,21 +117,22 @@ def half_windows(df: DataFrame, samples: str = "samples", rate: str = "sample_ra
 
 
 # W8
-def threat_verdict(ws: DataFrame, key: str = "clip_id", threshold: float = K.THREAT_THRESHOLD) -> DataFrame:
-    """Per clip: max(p_fear + p_angry), the driver at the first window that
-    reaches it (Fear if p_fear > p_angry else Scream (Angry); Safe when the
-    max is not above 0), DANGER when above the threshold."""
+def threat_verdict(ws: DataFrame, key="clip_id", threshold: float = K.THREAT_THRESHOLD) -> DataFrame:
+    """Per clip (or per any key columns, e.g. clip and report window):
+    max(p_fear + p_angry), the driver at the first window that reaches it
+    (Fear if p_fear > p_angry else Scream (Angry); Safe when the max is not
+    above 0), DANGER when above the threshold."""
     threat = F.col("p_fear") + F.col("p_angry")
     driver = F.when(F.col("p_fear") > F.col("p_angry"), F.lit(K.VERDICT_DANGER_FEAR)).otherwise(
         F.lit(K.VERDICT_DANGER_ANGRY))
     order = F.struct(-threat, F.col("window_start"), -F.col("p_fear"), -F.col("p_angry"))
-    agg = ws.groupBy(key).agg(
+    agg = ws.groupBy(*_keys(key)).agg(
         F.max(threat).alias("max_threat"),
         F.min_by(driver, order).alias("_driver"),
         F.count(F.lit(1)).alias("windows"),
         F.count_if(threat > F.lit(threshold)).alias("danger_windows"),
     )
     return agg.select(
-        key, "max_threat",
+        *_keys(key), "max_threat",
         F.when(F.col("max_threat") > F.lit(0.0), F.col("_driver")).otherwise(F.lit(K.VERDICT_SAFE)).alias("dominant"),
         (F.col("max_threat") > F.lit(threshold)).alias("danger"), "windows", "danger_windows")
