@@ -173,3 +173,22 @@ def test_stream_hotspots_seed_then_update(spark, tmp):
     last = S.read_recent(spark, out)
     assert first.agg(F.sum("weight")).first()[0] == 40 and last.agg(F.sum("weight")).first()[0] == 60
     assert last.count() == 2 and set(last.columns) >= {"hotspot", "latitude", "longitude", "weight", "batch_id"}
+
+
+def test_streams_resume_from_checkpoint(spark, tmp):
+    src = os.path.join(tmp, "rsrc")
+    os.makedirs(src)
+    write_events(src, "a.parquet", [1, 2], ["2026-03-01 10:00:00", "2026-03-01 10:00:01"])
+    out, ck = os.path.join(tmp, "rlog"), os.path.join(tmp, "rlog_ck")
+    rout, rck = os.path.join(tmp, "rrec"), os.path.join(tmp, "rrec_ck")
+    S.stream_risk_log(S.event_stream(spark, src), out, ck).awaitTermination()
+    S.stream_recent(S.event_stream(spark, src), rout, rck, 2).awaitTermination()
+    # a restart with nothing new writes nothing new
+    S.stream_risk_log(S.event_stream(spark, src), out, ck).awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+    # a new file is picked up once, incrementally
+    write_events(src, "b.parquet", [3], ["2026-03-01 11:00:00"])
+    S.stream_risk_log(S.event_stream(spark, src), out, ck).awaitTermination()
+    S.stream_recent(S.event_stream(spark, src), rout, rck, 2).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
+    assert sorted(r.id for r in S.read_recent(spark, rout).collect()) == ["2", "3"]
