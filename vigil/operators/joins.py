@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +9,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       cached: list | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after counting it.
 
     ``df`` is an aggregate whose size depends on the data (e.g. one row per
-    label). It is persisted, so the count and the join read it once; above
-    ``max_rows`` it is left to the planner (sort-merge join, with AQE's skew
-    split on the large side).
+    label). It is checkpointed into the shared folder, so the count and the
+    join read it once and nothing stays registered in the cache (the files
+    go when the frame is garbage-collected, with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``). Above ``max_rows``
+    it is left to the planner (sort-merge join, with AQE's skew split on the
+    large side).
     """
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    from vigil.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    small = df.checkpoint(eager=True)
     return F.broadcast(small) if small.count() <= max_rows else small
