@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from vigil import adapters as A
 from vigil.functions import scalars as X
 from vigil.operators import cubes as C
+from vigil.operators import profile as PF
 from vigil.operators import risk as R
 from vigil.plans.catalog import register
 from vigil.plans.sql_inputs import CAUTION, DANGER, IL, PV, SAFE, SE, risk_case, with_
+from vigil.schema import SAFETY_EVENT_COLUMNS
 
 W = with_(SE)
 HOUR = 'CAST(hour("timestamp") AS INTEGER)'
@@ -321,8 +323,6 @@ def q_to_numeric(spark, d):
 
 
 # ---- profiling A12-A14, samples L1/L2, stamping X22 ------------------------------------
-from vigil.operators import profile as PF  # noqa: E402
-from vigil.schema import SAFETY_EVENT_COLUMNS  # noqa: E402
 
 ALL_SE = ", ".join(f'"{c}"' for c in SAFETY_EVENT_COLUMNS)
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil import adapters as A
+from vigil.operators import quality as Q
 from vigil.plans.catalog import register
-from vigil.plans.sql_inputs import SE, with_
+from vigil.plans.q_logs import ILH_SQL, REF_DATE
+from vigil.plans.q_quality import CHECKS_CTE, WQ
+from vigil.plans.sql_inputs import HL, IL, SE, with_
 from vigil.schema import SAFETY_EVENT_COLUMNS
 from vigil.session import scratch_path
 from vigil.sources import files as I
@@ -64,10 +67,6 @@ def q_append_events(spark, d):
 
 
 # ---- file-based log readers: files written from the test tables, read back by the library ----------
-from vigil.operators import quality as Q  # noqa: E402
-from vigil.plans.q_logs import ILH_SQL, REF_DATE  # noqa: E402
-from vigil.plans.q_quality import CHECKS_CTE, WQ  # noqa: E402
-from vigil.plans.sql_inputs import HL, IL  # noqa: E402
 
 
 def _write_csv(df, path, sep=",", encoding="UTF-8"):
