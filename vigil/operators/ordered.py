@@ -10,7 +10,11 @@ or two rows per partition, a size bound fixed by the partition count, so
 they are broadcast.
 
 Results are checkpointed into ``spark.checkpoint.dir`` so the per-partition
-tags stay stable if an executor is lost and a stage is recomputed.
+tags stay stable if an executor is lost and a stage is recomputed. The
+checkpoint matters for correctness too: two separately planned range
+exchanges over the same rows may sample different boundaries (the sampling
+seed includes the RDD id), so every consumer reads the one materialised
+partitioning.
 """
 
 from __future__ import annotations
