@@ -39,9 +39,9 @@ MAP = [
     ("X17", "functions.scalars.with_alert_colour", ["with_alert_colour"], "test_scalars"),
     ("X18", "functions.scalars.classify", ["classify"], "test_scalars"),
     ("X19", "functions.scalars.last_days", ["last_days"], "test_scalars"),
-    ("X20", "functions.scalars.for_device", ["for_device"], ""),
-    ("X21", "functions.scalars.to_numeric", ["to_numeric", "cube_explorer"], ""),
-    ("X22", "functions.scalars.stamp_events", ["stamp_events"], ""),
+    ("X20", "functions.scalars.for_device", ["for_device"], "test_profile"),
+    ("X21", "functions.scalars.to_numeric", ["to_numeric", "cube_explorer"], "test_profile"),
+    ("X22", "functions.scalars.stamp_events", ["stamp_events"], "test_profile"),
     ("X23", "functions.scalars.within_radius", ["within_radius"], "test_scalars"),
     ("X24", "functions.scalars.fill_measures", ["fill_measures"], ""),
     ("X25", "functions.scalars.class_probabilities", ["class_probabilities"], "test_scalars"),
@@ -61,9 +61,9 @@ MAP = [
     ("A9", "operators.risk.peak_danger_hour", ["peak_danger_hour"], "test_risk_cubes"),
     ("A10", "operators.risk.top_emotion", ["top_emotion"], "test_risk_cubes"),
     ("A11", "operators.risk.summary_report", ["summary_report", "summary_csv"], "test_risk_cubes"),
-    ("A12", "operators.profile.null_counts", ["null_counts"], ""),
-    ("A13", "operators.profile.describe_table", ["describe_table"], ""),
-    ("A14", "operators.profile.schema_report", [], "(schema only)"),
+    ("A12", "operators.profile.null_counts", ["null_counts"], "test_profile"),
+    ("A13", "operators.profile.describe_table", ["describe_table"], "test_profile"),
+    ("A14", "operators.profile.schema_report", [], "test_profile"),
     ("A15", "operators.cubes.hour_emotion_pivot", ["hour_emotion_pivot"], ""),
     ("A16", "operators.logs.class_distribution", ["class_distribution"], ""),
     ("A17", "operators.logs.daily_trend", ["daily_trend"], ""),
@@ -91,8 +91,8 @@ MAP = [
     ("W6", "operators.windows.report_windows / report_subwindows", ["report_windows", "report_subwindows"], "test_signals_corpus"),
     ("W7", "operators.windows.half_windows", ["half_windows"], "test_signals_corpus"),
     ("W8", "operators.windows.threat_verdict", ["threat_verdict"], "test_signals_corpus"),
-    ("L1", "operators.profile.sample_records", ["sample_records"], ""),
-    ("L2", "operators.profile.recent_events", ["recent_events"], ""),
+    ("L1", "operators.profile.sample_records", ["sample_records"], "test_profile"),
+    ("L2", "operators.profile.recent_events", ["recent_events"], "test_profile"),
     ("L3", "operators.quality.top_invalid_labels", ["top_invalid_labels"], "test_quality_drift"),
     ("L4", "operators.quality.sample_invalid_rows", ["sample_invalid_rows"], "test_quality_drift"),
     ("U1", "operators.logs.union_logs", ["union_logs", "ingest_logs"], "test_logs"),
