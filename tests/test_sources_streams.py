@@ -144,7 +144,9 @@ def test_cli_jobs(spark, se, tmp):
     assert cli.main(["validate", good, os.path.join(tmp, "nope.csv"), "--out", os.path.join(tmp, "v2")]) == 1
     doc = json.loads(open([os.path.join(tmp, "v2", f) for f in os.listdir(os.path.join(tmp, "v2"))
                            if f.endswith(".json")][0]).read())
-    assert doc["overall_success"] is False and len(doc["runs"]) == 2
+    assert doc["overall_success"] is False and len(doc["runs"]) == 2 and doc["suite"] == "integrity_suite"
+    ok_run = [r for r in doc["runs"] if r["success"]][0]
+    assert ok_run["checks"]["labels_valid"] is True and ok_run["diagnostics"]["row_count"] == 2
     assert cli.main(["drift", "--tess", good, "--synth", good, "--out", os.path.join(tmp, "d")]) == 0
     pq = I.write_parquet(se, os.path.join(tmp, "ev"))
     assert cli.main(["cubes", pq, "--out", os.path.join(tmp, "cubes")]) == 0
