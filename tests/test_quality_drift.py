@@ -105,7 +105,8 @@ def test_drift_report_json(spark, tmp):
     path = I.write_report_json(rep, os.path.join(tmp, "report"))
     files = [f for f in os.listdir(path) if f.endswith(".json")]
     doc = json.loads(open(os.path.join(path, files[0])).read())
-    assert doc["a_n"] == 200 and doc["b_n"] == 150 and doc["thresholds"]["js"] == K.DRIFT_JS
+    assert doc["sizes"] == {"tess_n": 200, "synth_n": 150} and doc["thresholds"]["js"] == K.DRIFT_JS
+    assert set(doc["unknown_share"]) == {"tess", "synth", "abs_drift"} and doc["tess_label_counts"]["fear"] == 100
     assert set(doc["per_label_abs_drift"]) == set(K.VALID_LABELS)
 
 

@@ -62,14 +62,17 @@ def cmd_drift(a) -> int:
     spark = _session()
     x, y = read_log_csv(spark, a.tess), read_log_csv(spark, a.synth)
     rep = D.drift_report(x, y, per_label=a.per_label_threshold, js_threshold=a.js_threshold,
-                         min_rows=a.min_rows_warn).persist()
+                         min_rows=a.min_rows_warn)
+    rep = rep.select(F.struct(F.lit(a.tess).alias("tess_path"), F.lit(a.synth).alias("synth_path")).alias("inputs"),
+                     "*").persist()
     if a.out:
         write_report_json(rep, a.out)
     r = rep.first()
-    print(f"n={r.a_n} | n={r.b_n}")
+    print(f"TESS n={r.sizes.tess_n} | SYNTH n={r.sizes.synth_n}")
     print(f"JS divergence: {r.metrics.js_divergence:.3f}")
     print(f"L1 distance:  {r.metrics.l1_distance:.3f}")
     print(f"Unknown-label drift: {r.unknown_share.abs_drift:.3f}")
+    print("Per-label abs drift:")
     for lab in K.VALID_LABELS:
         print(f"  {lab:8s} {r.per_label_abs_drift[lab]:.2%}")
     print("\n".join(r.alerts) if r.alerts else "No alerts. Drift within thresholds.")
