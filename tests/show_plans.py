@@ -17,7 +17,9 @@ def main() -> None:
     from vigil.operators import drift as D
     from vigil.operators import logs as L
     from vigil.operators import risk as R
+    from vigil.operators import corpus as M
     from vigil.operators import windows as WN
+    from vigil.operators.ordered import _range_sorted
     from vigil.session import local_session, scratch_path
     from vigil.sources.files import read_events, write_parquet
 
@@ -34,6 +36,9 @@ def main() -> None:
         "transition matrix (W2)": L.transition_matrix(hl),
         "drift alerts after the label checkpoint (D5)": f["alerts"],
         "threat verdict (W8)": WN.threat_verdict(A.window_scores(spark, sf)),
+        "corpus manifest, no shuffle (M1)": M.corpus_manifest(A.corpus_paths(spark, sf)),
+        "range-partitioned scan feeding the lag pass (W1, before its checkpoint)": _range_sorted(
+            hl.select("id", "timestamp", "inference", "class"), ["id", "timestamp", "inference"], None),
     }
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `tests/show_plans.py` on `{sf}` (local[8]); file locations shortened.", ""]
