@@ -1,9 +1,11 @@
 """Stand-in inputs built from the driver's test tables.
 
-Each adapter is a plain projection of one test table into the schema an
-operator expects; none of them does an operator's work. They are narrow
-(no shuffle), so an adapter followed by an operator is one scan of the
-source table with its columns pruned at the Parquet reader.
+Each adapter is a projection of one test table into the schema an operator
+expects; none of them does an operator's work. The one rule applied here
+is the stored ``risk_level`` of the safety-event table, assigned by the
+library's risk rule as the live logger does when an event is written. They
+are narrow (no shuffle), so an adapter followed by an operator is one scan
+of the source table with its columns pruned at the Parquet reader.
 """
 
 from __future__ import annotations
