@@ -114,3 +114,9 @@ def test_parse_log_time_one_digit_fields(mk):
     df = mk([("9:05:07",), ("3/4/2026 9:5:7",), ("2026-3-4 10:00:00",)], "time string")
     out = X.parse_log_time(df, ref_date="2026-03-05").select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
     assert [r[0] for r in out.collect()] == ["2026-03-05 09:05:07", "2026-03-04 09:05:07", "2026-03-04 10:00:00"]
+
+
+def test_text_timestamp_column_layouts(mk):
+    df = mk([("2026-03-01 10:00:00",), ("2026/03/02 11:00:00",), ("bad",)], "timestamp string")
+    out = X.parse_log_time(df).select(F.date_format("timestamp", "yyyy-MM-dd HH"))
+    assert [r[0] for r in out.collect()] == ["2026-03-01 10", "2026-03-02 11", None]

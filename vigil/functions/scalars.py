@@ -138,7 +138,11 @@ def parse_log_time(df: DataFrame, ref_date: str | None = None, now: str | None =
       (a global position: see ``vigil.operators.ordered.global_position``).
     """
     if "timestamp" in df.columns:
-        return df.withColumn("timestamp", parse_timestamp("timestamp", df.schema["timestamp"].dataType))
+        dtype = df.schema["timestamp"].dataType
+        if isinstance(dtype, T.StringType):  # ISO text first, then the same layouts as a time column
+            return df.withColumn("timestamp", F.coalesce(parse_timestamp("timestamp", dtype),
+                                                         parse_log_time_column("timestamp", None)))
+        return df.withColumn("timestamp", parse_timestamp("timestamp", dtype))
     if "time" in df.columns:
         return df.withColumn("timestamp", parse_log_time_column("time", ref_date))
     from vigil.operators.ordered import global_position
