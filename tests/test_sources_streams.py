@@ -194,3 +194,27 @@ def test_streams_resume_from_checkpoint(spark, tmp):
     S.stream_recent(S.event_stream(spark, src), rout, rck, 2).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
     assert sorted(r.id for r in S.read_recent(spark, rout).collect()) == ["2", "3"]
+
+
+def test_ingest_groups_files_by_shape(spark, tmp):
+    shape_a = [os.path.join(tmp, f"a{i}.csv") for i in range(3)]
+    for i, p in enumerate(shape_a):
+        pd.DataFrame({"ID": [f"dev{i}"] * 2, "Time_Log": ["10:00:00", "10:00:01"],
+                      "Inference_Of_Emotion": ["fear", "sad"]}).to_csv(p, index=False)
+    other = os.path.join(tmp, "b.csv")
+    pd.DataFrame({"inference": ["happy", "fear"]}).to_csv(other, index=False, sep=";")
+    out = I.ingest_logs(spark, shape_a + [other, os.path.join(tmp, "missing.csv")], ref_date="2026-03-01",
+                        now="2026-03-01 12:00:00")
+    got = rows(out)
+    assert len(got) == 8
+    assert {r[0] for r in got} == {"dev0", "dev1", "dev2", "Device_1"}
+    assert sum(1 for r in got if r[0] == "Device_1") == 2 and {r[2] for r in got} == {"Fear", "Sad", "Happy"}
+
+
+def test_ingest_counter_ids_decided_per_file(spark, tmp):
+    paths = [os.path.join(tmp, f"c{i}.csv") for i in range(2)]
+    for p in paths:  # each file: ids 1..10 are a row counter; together 10 distinct ids on 20 rows are not
+        pd.DataFrame({"id": list(range(1, 11)), "time": ["10:00:00"] * 10,
+                      "inference_of_emotion": ["fear"] * 10}).to_csv(p, index=False)
+    out = I.ingest_logs(spark, paths, ref_date="2026-03-01")
+    assert {r.id for r in out.collect()} == {"Stream_1"} and out.count() == 20

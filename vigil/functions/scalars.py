@@ -163,18 +163,21 @@ def fill_log_defaults(df: DataFrame) -> DataFrame:
     return df
 
 
-def collapse_counter_ids(df: DataFrame, share: float = K.COUNTER_ID_SHARE) -> DataFrame:
+def collapse_counter_ids(df: DataFrame, share: float = K.COUNTER_ID_SHARE, by: str | None = None) -> DataFrame:
     """If more than ``share`` of the rows have distinct ids, the id is a row
     counter: keep it as ``id_original`` and use one stream id instead.
 
     A null id counts as one more distinct value, as R's ``n_distinct`` does.
+    With ``by`` (e.g. the source file) the decision is taken per value of
+    that column; the decision table has one row per value.
     """
-    stats = df.agg(
+    keys = [by] if by else []
+    stats = df.groupBy(*keys).agg(
         (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("_nd"),
         F.count(F.lit(1)).alias("_n"),
     )
-    flag = stats.select((F.coalesce(F.col("_nd"), F.lit(0)) > F.col("_n") * F.lit(share)).alias("_counter"))
-    j = df.crossJoin(F.broadcast(flag))
+    flag = stats.select(*keys, (F.coalesce(F.col("_nd"), F.lit(0)) > F.col("_n") * F.lit(share)).alias("_counter"))
+    j = df.join(F.broadcast(flag), on=by, how="left") if by else df.crossJoin(F.broadcast(flag))
     return (j.withColumn("id_original", F.when(F.col("_counter"), F.col("id").cast("string")))
              .withColumn("id", F.when(F.col("_counter"), F.lit(K.STREAM_LOG_ID)).otherwise(F.col("id").cast("string")))
              .drop("_counter"))

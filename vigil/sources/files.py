@@ -46,33 +46,47 @@ def sniff_delimiter(header: str) -> str:
     return best[2] if best[0] > 0 else ","
 
 
-def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Tolerant CSV: delimiter from the header line, UTF-8 else Latin-1, names stripped.
+def sniff_log_csv(spark: SparkSession, path: str) -> tuple[str, str, str]:
+    """(separator, encoding, header line) of one delimited text file.
 
-    Two small actions (header line, and a probe for bytes that are not
-    valid UTF-8, stopping at the first hit) decide the options; the data itself is read by
-    Spark's CSV source in parallel.
-    """
+    Two small actions: the header line, and a probe for bytes that are not
+    valid UTF-8 (it stops at the first hit)."""
     text = spark.read.text(path)
     first = text.limit(1).collect()
     header = first[0][0] if first else ""
-    sep = sniff_delimiter(header)
     bad = text.filter(~F.is_valid_utf8("value")).limit(1).count() > 0
-    enc = "ISO-8859-1" if bad else "UTF-8"
+    return sniff_delimiter(header), ("ISO-8859-1" if bad else "UTF-8"), header
+
+
+def _read_csv(spark: SparkSession, paths, sep: str, enc: str) -> DataFrame:
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", enc)
-          .option("inferSchema", False).csv(path))
+          .option("inferSchema", False).csv(paths))
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Tolerant CSV: delimiter from the header line, UTF-8 else Latin-1, names
+    stripped. The data itself is read by Spark's CSV source in parallel."""
+    sep, enc, _ = sniff_log_csv(spark, path)
+    return _read_csv(spark, path, sep, enc)
+
+
 # I3
-def harmonise_log(df: DataFrame, ref_date: str | None = None, now: str | None = None) -> DataFrame:
-    """One log of any header shape -> (id, timestamp, inference)."""
+def harmonise_log(df: DataFrame, ref_date: str | None = None, now: str | None = None,
+                  by_file: bool = False) -> DataFrame:
+    """One log of any header shape -> (id, timestamp, inference).
+
+    ``by_file``: ``df`` is a multi-file scan of one header shape; rules that
+    the reference applies per file (counter-id detection) are taken per
+    source file."""
+    if by_file:
+        df = df.withColumn("__file", F.col("_metadata.file_path"))
     df = X.rename_synonyms(X.normalize_columns(df, lower=True, strip=False))
     if "inference" in df.columns:
         df = df.withColumn("inference", X.title_label("inference"))
     df = X.parse_log_time(df, ref_date=ref_date, now=now)
     if "id" in df.columns:
-        df = X.collapse_counter_ids(df)
+        df = X.collapse_counter_ids(df, by="__file" if by_file else None)
     df = X.fill_log_defaults(df)
     return df.select(F.col("id").cast("string").alias("id"), F.col("timestamp").cast("timestamp").alias("timestamp"),
                      F.col("inference").cast("string").alias("inference"))
@@ -80,16 +94,30 @@ def harmonise_log(df: DataFrame, ref_date: str | None = None, now: str | None =
 
 def ingest_logs(spark: SparkSession, paths: Sequence[str], ref_date: str | None = None,
                 now: str | None = None) -> DataFrame | None:
-    """Harmonise many logs and bind their rows; unreadable files are skipped."""
+    """Harmonise many logs and bind their rows; unreadable files are skipped.
+
+    Files are grouped by their sniffed shape (separator, encoding, header);
+    each shape is read with one multi-path scan and harmonised once, so many
+    files with a few header variants cost a few scans, not one per file.
+    Logs without any time column get generated times per file, so they are
+    harmonised one file at a time.
+    """
     from vigil.operators.logs import union_logs
 
-    frames = []
+    shapes: dict[tuple[str, str, str], list[str]] = {}
     for p in paths:
         try:
-            raw = read_log_csv(spark, p)
+            shapes.setdefault(sniff_log_csv(spark, p), []).append(p)
         except Exception:  # noqa: BLE001 - an unreadable file is skipped, as in the reference
             continue
-        frames.append(harmonise_log(raw, ref_date=ref_date, now=now))
+    frames = []
+    for (sep, enc, _), group in shapes.items():
+        probe = _read_csv(spark, group[0], sep, enc)
+        names = {c.lower() for c in probe.columns}
+        timed = {"timestamp", "time", "time_log"} & names
+        for part in ([group] if timed else [[p] for p in group]):
+            raw = _read_csv(spark, part, sep, enc)
+            frames.append(harmonise_log(raw, ref_date=ref_date, now=now, by_file=len(part) > 1))
     return union_logs(frames) if frames else None
 
 
