@@ -53,7 +53,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster (e.g. on HDFS or S3)")
         path = tempfile.mkdtemp(prefix="vigil-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
