@@ -218,3 +218,9 @@ def test_ingest_counter_ids_decided_per_file(spark, tmp):
                       "inference_of_emotion": ["fear"] * 10}).to_csv(p, index=False)
     out = I.ingest_logs(spark, paths, ref_date="2026-03-01")
     assert {r.id for r in out.collect()} == {"Stream_1"} and out.count() == 20
+
+
+def test_ingest_repeated_path_is_bound_twice(spark, tmp):
+    p = os.path.join(tmp, "r.csv")
+    pd.DataFrame({"id": ["d", "d"], "time": ["10:00:00", "10:00:01"], "inference": ["fear", "sad"]}).to_csv(p, index=False)
+    assert I.ingest_logs(spark, [p, p], ref_date="2026-03-01").count() == 4

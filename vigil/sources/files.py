@@ -103,13 +103,19 @@ def ingest_logs(spark: SparkSession, paths: Sequence[str], ref_date: str | None
     harmonised one file at a time.
     """
     from vigil.operators.logs import union_logs
+    from vigil.session import run_concurrently
 
-    shapes: dict[tuple[str, str, str], list[str]] = {}
-    for p in paths:
+    def sniff(p: str):
         try:
-            shapes.setdefault(sniff_log_csv(spark, p), []).append(p)
+            return sniff_log_csv(spark, p)
         except Exception:  # noqa: BLE001 - an unreadable file is skipped, as in the reference
-            continue
+            return None
+
+    sniffed = run_concurrently({p: (lambda p=p: sniff(p)) for p in dict.fromkeys(paths)})  # tiny jobs, in parallel
+    shapes: dict[tuple[str, str, str], list[str]] = {}
+    for p in dict.fromkeys(paths):
+        if sniffed[p] is not None:
+            shapes.setdefault(sniffed[p], []).append(p)
     frames = []
     for (sep, enc, _), group in shapes.items():
         probe = _read_csv(spark, group[0], sep, enc)
@@ -118,6 +124,9 @@ def ingest_logs(spark: SparkSession, paths: Sequence[str], ref_date: str | None
         for part in ([group] if timed else [[p] for p in group]):
             raw = _read_csv(spark, part, sep, enc)
             frames.append(harmonise_log(raw, ref_date=ref_date, now=now, by_file=len(part) > 1))
+        for p in group:  # a path listed more than once is bound that many times
+            for _ in range(list(paths).count(p) - 1):
+                frames.append(harmonise_log(_read_csv(spark, p, sep, enc), ref_date=ref_date, now=now))
     return union_logs(frames) if frames else None
 
 
