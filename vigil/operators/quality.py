@@ -190,20 +190,24 @@ def validate_log(df: DataFrame, path: str, strict: bool = True, allow_extra: boo
 
 def validate_all(spark: SparkSession, paths: Sequence[str], strict: bool = True,
                  allow_extra: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Per-file rows and the overall verdict; a missing file is a failed row."""
+    """Per-file rows and the overall verdict; a missing file is a failed row.
+
+    The per-file sniffing (header line, encoding probe) runs as concurrent
+    small jobs; the checks of all files then run as one union job."""
+    from vigil.session import run_concurrently
     from vigil.sources.files import _exists, read_log_csv
 
-    runs = []
-    for p in paths:
+    def one(p: str) -> DataFrame:
         if not _exists(spark, p):
             msg = f"CRITICAL ERROR: File {p} not found!"
-            runs.append(spark.range(1).select(F.lit(p).alias("file"), F.lit(False).alias("success"),
-                                              F.lit(msg).alias("error"),
-                                              F.lit(None).cast(RUN_SCHEMA["checks"].dataType).alias("checks"),
-                                              F.lit(None).cast(RUN_SCHEMA["diagnostics"].dataType)
-                                              .alias("diagnostics")))
-            continue
-        runs.append(validate_log(read_log_csv(spark, p), p, strict, allow_extra))
+            return spark.range(1).select(F.lit(p).alias("file"), F.lit(False).alias("success"),
+                                         F.lit(msg).alias("error"),
+                                         F.lit(None).cast(RUN_SCHEMA["checks"].dataType).alias("checks"),
+                                         F.lit(None).cast(RUN_SCHEMA["diagnostics"].dataType).alias("diagnostics"))
+        return validate_log(read_log_csv(spark, p), p, strict, allow_extra)
+
+    built = run_concurrently({i: (lambda p=p: one(p)) for i, p in enumerate(paths)})
+    runs = [built[i] for i in range(len(paths))]
     out = runs[0]
     for r in runs[1:]:
         out = out.unionByName(r)
