@@ -95,3 +95,25 @@ def test_ordered_helpers_match_windows(spark, data, parts):
         sorted(map(tuple, want_pairs.collect()))
     pos = global_position(df, ["t"], out="p", partitions=parts)
     assert sorted(r.p for r in pos.collect()) == list(range(len(data)))
+
+
+EVENTS = st.lists(st.tuples(st.sampled_from(["2026-03-01 01:00:00", "2026-03-01 23:59:59", "bad", None]),
+                            st.sampled_from(["fear", "angry", "sad", None]),
+                            st.sampled_from(["\U0001F6A8 DANGER", "✅ SAFE"]),
+                            st.one_of(st.none(), st.floats(-90, 90, allow_nan=False)),
+                            st.one_of(st.none(), st.floats(-180, 180, allow_nan=False))),
+                  min_size=0, max_size=25)
+
+
+@settings(max_examples=5, deadline=None)
+@given(data=EVENTS)
+def test_cube_counts_sum_to_rows(spark, data):
+    df = spark.createDataFrame(data, "ts string, emotion string, risk_level string, latitude double, longitude double")
+    df = df.withColumn("timestamp", F.col("ts"))
+    cubes = C.split_cubes(C.cube_aggregate(df))
+    for name, cube in cubes.items():
+        measure = "total_events" if name == "risk_score_cube" else "count"
+        assert (cube.agg(F.sum(measure)).first()[0] or 0) == len(data), name
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, cubes["hour_risk_cube"].collect()), key=key) == \
+        sorted(map(tuple, C.hour_risk_cube(df).select("hour", "risk_level", "count").collect()), key=key)
