@@ -89,3 +89,10 @@ def test_lag_numeric_values_stay_null(spark):
     df = spark.createDataFrame([("a", 1, 1.5), ("a", 2, 2.5), ("b", 1, 7.0)], "g string, t long, v double")
     got = lag_by_group(df, ["g"], ["t"], ["v"], partitions=2)
     assert rows(got, "g", "t", "prev_v") == [("a", 1, None), ("a", 2, 1.5), ("b", 1, None)]
+
+
+def test_histogram_single_instant_and_empty_status(spark):
+    df = log(spark, [("d", "2026-03-01 00:00:00", "A", "x"), ("e", "2026-03-01 00:00:00", "A", "y")])
+    assert rows(L.timeline_histogram(df, 50), "bin", "class", "n") == [(0, "x", 1), (0, "y", 1)]
+    st = L.log_status(df.filter(F.lit(False))).first()
+    assert (st.rows, st.mapped, st.first_ts, st.last_ts) == (0, 0, None, None)
