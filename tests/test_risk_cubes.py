@@ -81,3 +81,9 @@ def test_cube_readers(spark):
     assert [(r.lat_bucket, r.lat) for r in top] == [(-17, -1.7)]
     with pytest.raises(FileNotFoundError):
         C.cube_explorer(spark, "/nonexistent/cube")
+
+
+def test_cube_explorer_status(spark):
+    cube = spark.createDataFrame([(1, "fear", D, 2)], "hour int, emotion string, risk_level string, count long")
+    assert tuple(C.cube_explorer_status(cube).first()) == (1, False)
+    assert tuple(C.cube_explorer_status(cube.filter(F.lit(False))).first()) == (0, True)

@@ -143,3 +143,9 @@ def hour_emotion_pivot(cube: DataFrame, emotions=K.MODEL_CLASSES) -> DataFrame:
     cols = [F.coalesce(F.sum(F.when(F.col("emotion") == F.lit(e), F.col("count"))), F.lit(0)).cast("long").alias(e)
             for e in emotions]
     return cube.groupBy("hour").agg(*cols).orderBy(F.asc_nulls_last("hour"))
+
+
+def cube_explorer_status(cube: DataFrame) -> DataFrame:
+    """One row for the explorer: number of cells and whether the cube is empty
+    (the explorer shows a message instead of a chart then)."""
+    return cube.agg(F.count(F.lit(1)).alias("cells")).withColumn("empty", F.col("cells") == F.lit(0))
