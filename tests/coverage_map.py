@@ -82,7 +82,7 @@ MAP = [
     ("C7", "operators.cubes.cube_peak_hours", ["cube_peak_hours"], "test_risk_cubes"),
     ("C8", "operators.cubes.cube_geo_hotspots", ["cube_geo_hotspots"], "test_risk_cubes"),
     ("C9", "operators.cubes.cube_top_risk", ["cube_top_risk"], ""),
-    ("C10", "operators.cubes.cube_explorer", ["cube_explorer"], "test_risk_cubes"),
+    ("C10", "operators.cubes.cube_explorer / cube_explorer_status", ["cube_explorer"], "test_risk_cubes"),
     ("W1", "operators.logs.with_previous_class (ordered.lag_by_group)", ["with_previous_class"], "test_logs"),
     ("W2", "operators.logs.transition_matrix (ordered.lag_pair_counts)", ["transition_matrix"], "test_logs"),
     ("W3", "operators.logs.device_class_share", ["device_class_share"], "test_logs"),
