@@ -3,11 +3,11 @@ with DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
-from vigil.llm import bpe
+from vigil.llm import bpe, decontam, secrets, urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
-for module in (bpe,):
+for module in (bpe, decontam, secrets, urls):
     QUERIES |= module.QUERIES
     ORACLE |= module.ORACLE
