@@ -217,14 +217,15 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     def short(batches):
         c = codec(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 yield result((d, c.encode(t)) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
 
     def cut(batches):
         c = codec(vocabulary)
         for batch in batches:
-            for row, d, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for i in range(batch.num_rows):
+                row, d, text = batch.slice(i, 1).to_pylist()[0].values()
                 pieces = c.leaves(text, leaf_chars)
                 glued = [g for _, g in pieces] + [False]
                 yield pa.RecordBatch.from_pydict({
@@ -235,7 +236,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     def encode_leaves(batches):
         c = codec(vocabulary)
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
                 ids, head, tail = c.leaf(r["text"], r["glued"], r["glues"])
                 yield pa.RecordBatch.from_pydict({
                     "row": pa.array([r["row"]], pa.int64()), "doc_id": pa.array([r["doc_id"]], pa.int64()),
@@ -245,7 +247,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     def join_leaves(batches):
         c = codec(vocabulary)
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):  # Python lists of one text's tokens at a time
+                r = batch.slice(i, 1).to_pylist()[0]
                 nodes = [(x["ids"], x["head"], x["tail"], x["glued"]) for x in r["leaves"]]
                 yield result([(r["doc_id"], c.tree(nodes))])
 
