@@ -3,11 +3,11 @@ with DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
-from vigil.llm import bpe, decontam, quality, secrets, urls
+from vigil.llm import bpe, decontam, quality, secrets, toxicity, urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
-for module in (bpe, decontam, quality, secrets, urls):
+for module in (bpe, decontam, quality, secrets, toxicity, urls):
     QUERIES |= module.QUERIES
     ORACLE |= module.ORACLE
