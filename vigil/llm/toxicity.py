@@ -172,14 +172,19 @@ def logits(net: dict, words: Words, start: np.ndarray, size: np.ndarray, batch:
     return out
 
 
-def gradients(net: dict, words: Words, start: np.ndarray, size: np.ndarray, y: np.ndarray, weight: np.ndarray):
+def gradients(net: dict, words: Words, start: np.ndarray, size: np.ndarray, y: np.ndarray, weight: np.ndarray,
+              rng: np.random.Generator | None = None):
     """Gradient of the weighted logistic loss of some windows: dense arrays by
-    name, and (rows, gradient) for the two vector tables."""
+    name, and (rows, gradient) for the two vector tables. With ``rng``, the
+    word half of the input is dropped for a random half of the words, so that
+    the network learns from their characters too."""
     index, filled = grid(words, start, size)
     some, index = np.unique(index, return_inverse=True)
     index = index.reshape(filled.shape)
     taken = words.take(some)
     x = word_inputs(net, taken)
+    stay = np.ones((len(some), 1), np.float32) if rng is None else 2 * (rng.random((len(some), 1)) < 0.5).astype(np.float32)
+    x[:, :SIDE] *= stay
     runs = {d: recur(net, d, x @ net[f"in_{d}"] + net[f"bias_{d}"], index, filled, True) for d in "fb"}
     states = np.concatenate([runs[d][0] for d in "fb"], 2)
     pooled, a, act = pool(net, states, filled)
@@ -208,7 +213,7 @@ def gradients(net: dict, words: Words, start: np.ndarray, size: np.ndarray, y: n
         g |= {f"state_{d}": d_u, f"in_{d}": x.T @ d_gates, f"bias_{d}": d_gates.sum(0)}
         d_x += d_gates @ net[f"in_{d}"].T
     ids, grams, place, n = taken
-    return g, {"word": (ids, d_x[:, :SIDE]), "gram": (grams, (d_x[:, SIDE:] / n[:, None])[place])}
+    return g, {"word": (ids, d_x[:, :SIDE] * stay), "gram": (grams, (d_x[:, SIDE:] / n[:, None])[place])}
 
 
 class Adam:
@@ -262,7 +267,7 @@ def train(sample: list[tuple[str, int]], seed: int = 9) -> dict[str, np.ndarray]
             batch = chosen[at:at + 64]
             target = y[doc[batch]]
             weight = np.where(target == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32) / len(batch)
-            adam.step(*gradients(net, words, start[batch], size[batch], target, weight))
+            adam.step(*gradients(net, words, start[batch], size[batch], target, weight, rng))
     # scale and bias of the document score: logistic regression by Newton steps
     s = np.maximum.reduceat(logits(net, words, start, size), first[:-1]).astype(float)
     x, w = np.stack([s, np.ones_like(s)], 1), np.array([1.0, 0.0])
