@@ -3,11 +3,11 @@ with DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
-from vigil.llm import ann, bpe, decontam, quality, secrets, toxicity, urls
+from vigil.llm import ann, bpe, decontam, quality, rlz, secrets, toxicity, urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
-for module in (ann, bpe, decontam, quality, secrets, toxicity, urls):
+for module in (ann, bpe, decontam, quality, rlz, secrets, toxicity, urls):
     QUERIES |= module.QUERIES
     ORACLE |= module.ORACLE
