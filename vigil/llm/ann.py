@@ -11,8 +11,8 @@ held-out sample rows, so it follows the data.
 Bounds: the sample (``sample_rows``) and the classifier live on the driver and
 are broadcast. Index parts and query lists are split into blocks of at most
 about ``BLOCK`` rows, every block of queries meets every block of rows of a
-part, and each such pair keeps ``k`` rows a query before the last merge, so a
-part that holds a third of all rows is spread over many tasks.
+part, and each such pair sends one list of ``k`` rows a query to the last merge,
+so a part that holds a third of all rows is spread over many tasks.
 
 Cases: rows whose vector is null, empty, zero, or has null or non-finite
 components, or another length than most vectors, take no part. A row without
@@ -27,14 +27,15 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SAMPLE = 8192
 HOLDOUT = 512
-ROWS_PER_PART = 2000
+ROWS_PER_PART = 4096
+MIN_PARTS = 16
 MAX_PARTS = 256
-WANTED = 0.97
+WANTED = 0.95
 BLOCK = 8192
 NO_ID = (1 << 63) - 1
 
@@ -208,7 +209,7 @@ def nearest(table: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
         return spark.createDataFrame([], schema)
     dims, n = sizes
     rows = rows.where(F.size("v") == dims)
-    parts = min(MAX_PARTS, max(4, 1 << max(0, round(math.log2(n / rows_per_part)))))
+    parts = min(MAX_PARTS, max(MIN_PARTS, 1 << max(0, round(math.log2(n / rows_per_part)))))
     share = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < math.ceil((1 << 30) * min(1, (sample_rows + HOLDOUT) / n))
     sample = np.array([r["v"] for r in rows.where(share).select("row", "v").limit(2 * (sample_rows + HOLDOUT)).collect()], np.float64).reshape(-1, dims)
     model = fit(sample, parts, k, wanted) if len(sample) >= 4 * parts else None
@@ -237,22 +238,27 @@ def nearest(table: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     asks = (index.where("asks").select("row", "vec_id", "v", F.explode("parts").alias("part"))
             .withColumn("qb", F.pmod(F.hash("row"), query_blocks[F.col("part")]))
             .withColumn("rb", F.explode(F.sequence(F.lit(0), row_blocks[F.col("part")] - 1))))
-    found = "q_row long, query_id long, row long, vec_id long, score double"
+    found = "q_row long, query_id long, best array<struct<minus:double,vec_id:long,row:long>>"
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        names = [x.split()[0] for x in found.split(", ")]
+        """One row per query: its best rows of the block, best first."""
         if not left.num_rows or not right.num_rows:
-            return pa.table({n: pa.array([], pa.float64() if n == "score" else pa.int64()) for n in names})
-        q_row, row = left.column("row").to_numpy(), right.column("row").to_numpy()
-        ids = right.column("vec_id").fill_null(NO_ID).to_numpy()
-        qi, ri, score = best_of(vectors_of(left.column("v")), q_row, vectors_of(right.column("v")), row, ids, k)
-        return pa.table([pa.array(q_row[qi]), left.column("vec_id").combine_chunks().take(pa.array(qi)), pa.array(row[ri]),
-                         right.column("vec_id").combine_chunks().take(pa.array(ri)), pa.array(score)], names)
+            q_row, row = left.column("row").to_numpy()[:0], np.zeros(0, np.int64)
+            qi, ri, score, ids = row, row, np.zeros(0), row
+        else:
+            q_row, row = left.column("row").to_numpy(), right.column("row").to_numpy()
+            ids = right.column("vec_id").fill_null(NO_ID).to_numpy()
+            qi, ri, score = best_of(vectors_of(left.column("v")), q_row, vectors_of(right.column("v")), row, ids, k)
+        first = np.flatnonzero(np.diff(qi, prepend=-1))
+        best = pa.StructArray.from_arrays([pa.array(-score), pa.array(ids[ri], pa.int64()), pa.array(row[ri], pa.int64())], ["minus", "vec_id", "row"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(qi)), pa.int32()), best)
+        return pa.table([pa.array(q_row[qi[first]], pa.int64()), left.column("vec_id").combine_chunks().take(pa.array(qi[first])), lists], ["q_row", "query_id", "best"])
 
     keys = ["part", "rb", "qb"]
     near = asks.groupBy(keys).cogroup(base.groupBy(keys)).applyInArrow(search, found)
-    order = Window.partitionBy("q_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = near.groupBy("q_row", "query_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
+    return (best.select("query_id", F.posexplode("best").alias("rank", "b"))
+            .select("query_id", (F.col("rank") + 1).alias("rank"), F.nullif(F.col("b.vec_id"), F.lit(NO_ID)).alias("vec_id"), (-F.col("b.minus")).alias("score")))
 
 
 def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
