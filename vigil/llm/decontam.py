@@ -152,6 +152,13 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     return out
 
 
+def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Documents (doc_id, text, ...) that contain none of the items."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
+    hits = contained_items(keyed, items, id_col="_key").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(hits, "_key", "left_anti").drop("_key")
+
+
 def op6_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item contained in any document."""
     return contained_items(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

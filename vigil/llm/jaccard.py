@@ -241,7 +241,8 @@ def meet_groups(members: DataFrame, visits: DataFrame, words: int, percent: int,
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id and ``fp``, the class of equal sets."""
+    """One row per document: doc_id, n_shingles, component_id, ``key`` (hash of
+    id and text) and ``class`` (a number per class of linked documents, null for empty sets)."""
     spark = docs.sparkSession
     rows = R.keyed(docs, id_col, text_col)
     sets = set_table(rows, words).checkpoint()
@@ -289,9 +290,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = inside.join(joined, "label", "left").select("fp", F.coalesce("component", "label").alias("class"))
 
     # every document: its set's class, and the smallest id of the class
-    every = sets.join(classes, "fp", "left").select("doc_id", "size", "fp", F.when(F.col("size") > 0, F.coalesce("class", "fp")).alias("class"))
+    every = sets.join(classes, "fp", "left").select("doc_id", "size", "key", F.when(F.col("size") > 0, F.coalesce("class", "fp")).alias("class"))
     least = every.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return every.join(least, "class", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "fp")
+    return every.join(least, "class", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "key", "class")
+
+
+def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Documents without their near copies: of each class the row with the
+    smallest id (nulls last) stays, of repeated rows one; documents with empty
+    sets stay all. ``docs`` has doc_id and text."""
+    found = jaccard_components(docs, words=words, percent=percent)
+    stays = found.where("class is not null").groupBy("class").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(R.NULL_ID)), "key")).alias("first")).select(F.col("first.key").alias("_stay"))
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
+    blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return keyed.where(~blank).join(stays, F.col("_key") == F.col("_stay"), "left_semi").dropDuplicates(["_key"]).unionByName(keyed.where(blank)).drop("_key")
 
 
 def op2_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,9 +146,8 @@ def score_slice(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, bias: f
 
 def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], keep: float = KEEP, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of (doc_id, text);
-    ``carry`` names columns of ``docs`` to hand through, text included."""
-    rows = docs.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("text").alias("text"),
-                       *(F.col(c).alias(f"carry_{c}") for c in carry))
+    ``carry`` names columns of ``docs`` to hand through as ``carry_<name>``."""
+    rows = docs.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "text", *(F.col(c).alias(f"carry_{c}") for c in carry if c != "text"))
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", "held_out", "score", "predicted", *(f"carry_{c}" for c in carry)]
 
@@ -157,8 +156,8 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], keep: float
         for batch in text_slices(batches, "text"):
             data, offsets = column_bytes(batch.column(2))
             score = score_slice(data, offsets, odds, bias, table, pows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= keep).astype(np.int32)),
-                                              *batch.columns[3:]], names)
+            handed = [batch.column("text" if c == "text" else f"carry_{c}") for c in carry]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= keep).astype(np.int32)), *handed], names)
 
     types = dict(docs.dtypes)
     return rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, ", ".join([SCHEMA, *(f"carry_{c} {types[c]}" for c in carry)]))

@@ -123,6 +123,32 @@ def secret_spans(docs: DataFrame, repo: Column, owner: Column, id_col: str = "do
                     F.coalesce("n_copied", F.lit(0)).alias("n_copied"), F.coalesce("n_live", F.lit(0)).alias("n_live")))
 
 
+def redacted(docs: DataFrame, repo: Column, owner: Column, mark: str = "[SECRET]") -> DataFrame:
+    """Documents (doc_id, text, ...) whose owner-specific spans are replaced by
+    ``mark``, overlapping ones by one; widely copied examples stay."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
+    found = secret_spans(keyed, repo, owner, id_col="_key").select(F.col("doc_id").alias("_key"), F.filter("found", lambda s: s["live"]).alias("_spans"))
+    found = found.where(F.size("_spans") > 0).groupBy("_key").agg(F.first("_spans").alias("_spans"))  # repeated rows have equal spans
+    names = docs.columns
+    at = names.index("text")
+
+    def replace(batches):
+        for batch in batches:
+            texts = []
+            for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
+                end, out = 0, []
+                for s in spans or []:  # by start
+                    if s["start"] >= end:
+                        out += [text[end:s["start"]], mark]
+                    end = max(end, s["end"])
+                texts.append("".join(out) + text[end:] if spans else text)
+            columns = list(batch.columns[:len(names)])
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return keyed.join(found, "_key", "left").select(*names, "_spans").mapInArrow(replace, docs.schema)
+
+
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of every document. The table names no repository: a source stands
     for an owner, and a source and language together for a repository."""
