@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm.tables import saved
+
 SAMPLE = 8192
 HOLDOUT = 512
 ROWS_PER_PART = 4096
@@ -226,7 +228,7 @@ def nearest(table: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["row", "vec_id", "v", "asks", "parts"])
 
     # read three times: counted, searched in and searched for
-    index = rows.mapInArrow(route, f"row long, vec_id long, v {kind}, asks boolean, parts array<int>").checkpoint()
+    index = saved(rows.mapInArrow(route, f"row long, vec_id long, v {kind}, asks boolean, parts array<int>"))
     size = {r["p"]: r["n"] for r in index.groupBy(F.col("parts")[0].alias("p")).agg(F.count("*").alias("n")).collect()}  # at most MAX_PARTS rows
     asked = {r["p"]: r["n"] for r in index.where("asks").select(F.explode("parts").alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()}
     block = lambda counts: F.create_map(*[F.lit(x) for p in range(parts) for x in (p, -(-counts.get(p, 0) // BLOCK) or 1)])

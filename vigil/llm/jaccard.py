@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm import repeats as R
 from vigil.llm.graph import components
+from vigil.llm.tables import saved
 from vigil.llm.text import Powers, byte_values, column_bytes, gram_hashes, mix, text_slices, word_hashes, word_spans
 
 WORDS = 4
@@ -245,7 +246,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id and text) and ``class`` (a number per class of linked documents, null for empty sets)."""
     spark = docs.sparkSession
     rows = R.keyed(docs, id_col, text_col)
-    sets = set_table(rows, words).checkpoint()
+    sets = saved(set_table(rows, words))
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, words))
     shared = R.contested_of(R.block_table(rows.select("key", "id", "text"), prefix_maker(words, percent, frequent), same_document=True))
     shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"), F.col("pick").alias("token"))
@@ -253,13 +254,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     need = 1 + F.floor(F.ceil(F.col("size") * percent / 100) * 3 / 100)
     sets_in = shared.groupBy("fp").agg(F.first("size").alias("size"), F.count("*").alias("n"), F.min("token").alias("first")).where(F.col("n") >= need).drop("n")
     groups = sets_in.groupBy("first").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
-    sets_in = sets_in.join(groups, "first").select("fp", "size", F.xxhash64("first", F.pmod(F.xxhash64("fp"), F.col("blocks"))).alias("block")).checkpoint()
-    shared = shared.join(sets_in.select("fp", "block"), "fp").checkpoint()  # (fp, size, token, block)
+    sets_in = saved(sets_in.join(groups, "first").select("fp", "size", F.xxhash64("first", F.pmod(F.xxhash64("fp"), F.col("blocks"))).alias("block")))
+    shared = saved(shared.join(sets_in.select("fp", "block"), "fp"))  # (fp, size, token, block)
     # the token-group matrix over prefixes
     matrix = shared.groupBy("token", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     first_row = sets.groupBy("fp").agg(F.min("key").alias("key"))
-    texts = rows.select("key", "text").join(sets_in.join(first_row, "fp"), "key").select("fp", "block", "text").checkpoint()
-    R.release(spark)
+    texts = saved(rows.select("key", "text").join(sets_in.join(first_row, "fp"), "key").select("fp", "block", "text"), free=True)
     size_fits = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("low") * percent <= F.col("size") * 100)
 
     # first round: classes inside each group; a few sets of each ask one other group
@@ -269,11 +269,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .groupBy("q.fp").agg(F.min("m.block").alias("block")))
     none = F.lit(0).cast("long").alias("label")
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", none, "text")
-    met = meet_groups(texts.select("block", "fp", none, "text"), visits, words, percent, classes=True).checkpoint()
+    met = saved(meet_groups(texts.select("block", "fp", none, "text"), visits, words, percent, classes=True))
     inside = met.where(~F.col("visitor")).select("fp", "block", "label")
     links = met.where("visitor").select("fp", F.col("label").alias("b")).join(inside.select("fp", F.col("label").alias("a")), "fp").select("a", "b")
     joined = components(links).select(F.col("node").alias("label"), "component")
-    inside = inside.join(joined, "label", "left").select("fp", "block", F.coalesce("component", "label").alias("label")).checkpoint()
+    inside = saved(inside.join(joined, "label", "left").select("fp", "block", F.coalesce("component", "label").alias("label")), free=True)
 
     # second round: who may still be linked with a member of another class
     main = inside.groupBy("block", "label").count().groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
@@ -284,8 +284,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", "label", "text")
     targets = visits.select("block").distinct()
     members = texts.join(targets, "block", "left_semi").join(inside.select("fp", "label"), "fp").select("block", "fp", "label", "text")
-    more = meet_groups(members, visits, words, percent, classes=False).join(inside.select("fp", F.col("label").alias("own")), "fp").select(F.col("own").alias("a"), F.col("label").alias("b")).checkpoint()
-    R.release(spark)
+    more = meet_groups(members, visits, words, percent, classes=False).join(inside.select("fp", F.col("label").alias("own")), "fp")
+    more = saved(more.select(F.col("own").alias("a"), F.col("label").alias("b")), free=True)
     joined = components(more).select(F.col("node").alias("label"), "component")
     classes = inside.join(joined, "label", "left").select("fp", F.coalesce("component", "label").alias("class"))
 

@@ -26,22 +26,21 @@ id and text; rows with an equal id are one document, a null id comes last.
 
 from __future__ import annotations
 
-import gc
-import time
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm.tables import saved
 from vigil.llm.text import P1, mix, powers
 
 SEGMENT = 1 << 20  # symbols hashed at once
-FLUSH = 1 << 17  # records settled together before they are dealt
+FLUSH = 1 << 18  # records settled together before they are dealt
 NULL_ID = (1 << 63) - 1
 # packed columns of a block: pick, content, id, key, start, windows, flags
 BLOCK = [("pick", "<u8"), ("content", "<u8"), ("id", "<i8"), ("key", "<i8"), ("start", "<i4"), ("n", "<i4"), ("flag", "u1")]
 PERIODIC, EXTRA, MARKER = 1, 2, 4  # flags: may repeat inside itself; more of the same document; says only that a pick is contested
+ASK = [c for c in BLOCK if c[0] != "content"]  # what step 2 needs of a block
 # packed columns of a result: key, start, windows, and the id and start of the earlier block; or the pick
 SPAN = [("key", "<i8"), ("start", "<i4"), ("n", "<i4"), ("from_id", "<i8"), ("from_start", "<i4")]
 OPEN = [("key", "<i8"), ("id", "<i8"), ("start", "<i4"), ("n", "<i4"), ("pick", "<u8")]
@@ -72,7 +71,7 @@ def deal(kind: int, columns: dict[str, np.ndarray], layout: list, to: np.ndarray
     """Packed rows (kind, to, data) for columns dealt to the numbers ``to``."""
     if not len(to):
         return []
-    order = np.argsort(to, kind="stable")
+    order = np.lexsort((columns["start"], columns["key"], to))  # a document's records side by side pack well
     cuts = np.flatnonzero(np.diff(to[order])) + 1
     return [(kind, int(to[part[0]]), pack(pick_rows(columns, part), layout)) for part in np.split(order, cuts)]
 
@@ -193,12 +192,24 @@ def settle(b: dict[str, np.ndarray], same_document: bool) -> tuple[dict, dict]:
     else:
         stays = ~later
     flag = np.where(new, b["flag"] & ~np.uint8(EXTRA), b["flag"] | np.uint8(EXTRA))
-    spans = pick_rows({"key": b["key"], "start": b["start"], "n": b["n"], "from_id": b["id"][lead], "from_start": b["start"][lead]}, later)
+    spans = joined(pick_rows({"key": b["key"], "start": b["start"], "n": b["n"], "from_id": b["id"][lead], "from_start": b["start"][lead]}, later))
     # equal rows (same id and start, or same document) under another key: each keeps its own record
     twin = ~new & ~later & (b["key"] != b["key"][lead])
     return pick_rows(b | {"flag": flag}, stays | twin), spans
 
 
+def joined(spans: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Spans of a document that follow each other in one earlier document as one."""
+    if not len(spans["key"]):
+        return spans
+    s = pick_rows(spans, np.lexsort((spans["start"], spans["key"])))
+    new = np.ones(len(s["key"]), bool)
+    new[1:] = ((np.diff(s["key"]) != 0) | (s["start"][1:] != s["start"][:-1] + s["n"][:-1]) | (np.diff(s["from_id"]) != 0)
+               | (s["from_start"][1:] != s["from_start"][:-1] + s["n"][:-1]))
+    lead = np.flatnonzero(new)
+    return pick_rows(s, lead) | {"n": np.add.reduceat(s["n"], lead)}
+
+
 def first_look(b: dict[str, np.ndarray]) -> tuple[dict, dict]:
     """Settled blocks that meet by content: those known to be contested, and
     those (and markers) that must ask by pick. The input is sorted by pick."""
@@ -244,7 +255,7 @@ def dealer(parts: int):
         return deal(BLOCKS, b, BLOCK, ((b["pick"] ^ (b["content"] >> np.uint64(7))) % np.uint64(parts)).astype(np.int64))
 
     def by_pick(b):
-        return deal(BLOCKS, b, BLOCK, (b["pick"] % np.uint64(parts)).astype(np.int64))
+        return deal(BLOCKS, b, ASK, (b["pick"] % np.uint64(parts)).astype(np.int64))
 
     def results(spans, contested):
         return (deal(REPEATS, spans, SPAN, spans["key"] % parts) if spans is not None else []) + \
@@ -269,7 +280,7 @@ def collected(batches):
 
 def block_table(rows: DataFrame, block_maker, same_document: bool) -> DataFrame:
     """Steps 1 and 2 for the documents of ``keyed``: packed rows of repeats
-    (SPAN) and of contested blocks (OPEN), written to the checkpoint folder.
+    (SPAN) and of contested blocks (OPEN), written to the shared folder.
     ``block_maker()`` gives a function from a record batch to the blocks of its rows."""
     parts = partitions(rows.sparkSession)
 
@@ -303,12 +314,11 @@ def block_table(rows: DataFrame, block_maker, same_document: bool) -> DataFrame:
     def meet_by_pick(batches):
         _, _, results = dealer(parts)
         found = collected(batches)
-        yield batch_of([(kind, 0, d) for kind in (REPEATS, CONTESTED) for d in found[kind]] + results(None, second_look(unpack(found[BLOCKS], BLOCK))))
+        yield batch_of([(kind, 0, d) for kind in (REPEATS, CONTESTED) for d in found[kind]] + results(None, second_look(unpack(found[BLOCKS], ASK))))
 
     out = (rows.mapInArrow(make, PACKED).repartitionById(parts, "to").mapInArrow(meet_by_content, PACKED)
-           .repartitionById(parts, "to").mapInArrow(meet_by_pick, PACKED).checkpoint())
-    release(rows.sparkSession)
-    return out
+           .repartitionById(parts, "to").mapInArrow(meet_by_pick, PACKED))
+    return saved(out, free=True)
 
 
 def rows_of(packed: DataFrame, kind: int, layout: list, schema: str) -> DataFrame:
@@ -361,15 +371,6 @@ def with_spans(rows: DataFrame, spans: DataFrame, columns: list[str], how: str)
     return rows.join(lists, "key", how)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of steps that are written out: its
-    cleaner acts when the driver has collected the plans that held them."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def list_column(column: pa.Array, fields: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Bounds and fields of a column of lists of structs; nulls are empty."""
     size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import repeats as R
+from vigil.llm.tables import saved
 from vigil.llm.text import Powers, byte_values, column_bytes, mix, text_slices, word_hashes, word_spans
 
 WIDTH = 50
@@ -116,8 +117,7 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = R.keyed(docs, id_col, text_col)
     packed = R.block_table(rows.select("key", "id", "text"), blocks_maker(width, inner), same_document=False)
     open_ = R.with_spans(rows.select("key", "id", "text"), R.contested_of(packed), ["start", "n"], "inner")
-    single = R.single_windows(open_, windows_maker(width), same_document=False).checkpoint()
-    R.release(docs.sparkSession)
+    single = saved(R.single_windows(open_, windows_maker(width), same_document=False), free=True)
     hits = R.repeats_of(packed).unionByName(R.repeats_of(single))
     schema = f"doc_id long, n_words long, n_removed long, factors {FACTORS}, kept string"
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm.tables import saved
+
 # The base patterns and the least length of each, kinds in order.
 KINDS = ("assign", "access", "hex", "owned")
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -110,7 +112,7 @@ def secret_spans(docs: DataFrame, repo: Column, owner: Column, id_col: str = "do
     number of base spans held to be copied examples and owner-specific.
 
     ``repo`` and ``owner`` are expressions over ``docs``."""
-    scanned = scan(docs, id_col, text_col, repo, owner).checkpoint()  # small beside the text; read three times
+    scanned = saved(scan(docs, id_col, text_col, repo, owner))  # small beside the text; read three times
     each = scanned.select("row", "repo", "owner", F.explode("found").alias("s")).select("row", "repo", "owner", "s.*")
     verdict = ownership(each).select("hash", ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).alias("live"))
     judged = (each.join(verdict, "hash").where((F.col("kind") < 3) | F.col("live"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import repeats as R
+from vigil.llm.tables import saved
 from vigil.llm.text import byte_values, column_bytes, text_slices
 
 WIDTH = 100
@@ -195,8 +196,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .where((F.col("pieces") > max_pieces) | (F.col("longest") > MAX_RUN)).select("pick", F.lit(True).alias("many")))
     contested = contested.join(many, "pick", "left").withColumn("heavy", F.coalesce("many", F.lit(False)))
     open_ = R.with_spans(rows.select("key", "id", "text"), contested, ["start", "n", "pick", "heavy"], "inner")
-    single = contested_repeats(open_, width).checkpoint()
-    R.release(docs.sparkSession)
+    single = saved(contested_repeats(open_, width), free=True)
     hits = R.repeats_of(packed).unionByName(R.repeats_of(single))
     schema = "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary"
 
