@@ -8,7 +8,8 @@ Method. Equal sets are one class. Similar sets are partitioned into groups: a
 set's prefix (its first shingles in one order of all shingles, rare ones first)
 must share ``need`` shingles with that of any linked set, so shingles that no
 other prefix holds, and sets with too few shared ones, drop out; the rest are
-grouped by their first shared shingle, large groups in blocks of bounded size.
+grouped by their shared prefix shingle that most sets hold, large groups in
+blocks of bounded size.
 The token-group matrix holds, per group, the union of its members' shingles: its
 prefix part is a table (token, group) that names the groups a set must ask,
 and the whole union is built where the group's members meet. A set that asks a
@@ -252,7 +253,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"), F.col("pick").alias("token"))
     # sets with fewer shared prefix shingles than any linked pair has are linked with none
     need = 1 + F.floor(F.ceil(F.col("size") * percent / 100) * 3 / 100)
-    sets_in = shared.groupBy("fp").agg(F.first("size").alias("size"), F.count("*").alias("n"), F.min("token").alias("first")).where(F.col("n") >= need).drop("n")
+    # a set's group is its shared prefix shingle that most sets hold, so that similar sets meet in few groups
+    held = shared.join(shared.groupBy("token").agg(F.count("*").alias("held")), "token")
+    sets_in = (held.groupBy("fp").agg(F.first("size").alias("size"), F.count("*").alias("n"), F.max_by("token", F.struct("held", "token")).alias("first"))
+               .where(F.col("n") >= need).drop("n"))
     groups = sets_in.groupBy("first").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
     sets_in = saved(sets_in.join(groups, "first").select("fp", "size", F.xxhash64("first", F.pmod(F.xxhash64("fp"), F.col("blocks"))).alias("block")))
     shared = saved(shared.join(sets_in.select("fp", "block"), "fp"))  # (fp, size, token, block)

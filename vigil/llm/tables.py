@@ -27,7 +27,6 @@ def saved(df: DataFrame, free: bool = False) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of steps that are written out: its
     cleaner acts when the driver has collected the plans that held them."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.2)
