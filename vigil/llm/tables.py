@@ -26,7 +26,11 @@ def saved(df: DataFrame, free: bool = False) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of steps that are written out: its
-    cleaner acts when the driver has collected the plans that held them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.2)
+    cleaner acts when the driver has collected the plans that held them. The
+    scheduler holds on to the last job's plan until another has run, so a
+    trivial job goes first."""
+    spark.range(1).count()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
