@@ -33,9 +33,9 @@ from vigil.llm.text import byte_values, column_bytes, text_slices
 
 WIDTH = 100
 INNER = 20
-MAX_PIECES = 512
-MAX_RUN = 1024
-CHUNK = 200_000  # windows sorted at once
+MAX_PIECES = 256
+MAX_RUN = 256
+CHUNK = 50_000  # windows sorted at once
 PIECES = 3  # kind of packed rows that carry blocks with their bytes
 PIECE = [("pick", "<u8"), ("id", "<i8"), ("key", "<i8"), ("start", "<i4"), ("n", "<i4")]
 
