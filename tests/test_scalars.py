@@ -76,7 +76,7 @@ def test_parse_log_time_layouts(mk):
     df = mk([("2026-03-01 10:00:00",), ("03/04/2026 10:00:00",), ("25/12/2026 10:00:00",), ("09:30:00",), ("x",)],
             "time string")
     out = X.parse_log_time(df, ref_date="2026-03-05").select(F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("t"))
-    assert [r[0] for r in out.collect()] == ["2026-03-01 10:00", "2026-03-04 10:00", "2026-12-25 10:00",
+    assert [r[0] for r in out.collect()] == ["2026-03-01 10:00", "2026-04-03 10:00", "2026-12-25 10:00",
                                              "2026-03-05 09:30", None]
 
 
@@ -120,3 +120,26 @@ def test_text_timestamp_column_layouts(mk):
     df = mk([("2026-03-01 10:00:00",), ("2026/03/02 11:00:00",), ("bad",)], "timestamp string")
     out = X.parse_log_time(df).select(F.date_format("timestamp", "yyyy-MM-dd HH"))
     assert [r[0] for r in out.collect()] == ["2026-03-01 10", "2026-03-02 11", None]
+
+
+def test_log_times_iso_fractions_zones_and_one_day_order(spark):
+    from vigil.functions import scalars as X
+
+    def parse(values, **kw):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, time string")
+        return [str(r.timestamp) if r.timestamp else None for r in X.parse_log_time(df, ref_date="2026-03-01", **kw).orderBy("i").collect()]
+
+    assert parse(["2026-03-01T10:15:00.123456", "2026-03-01T10:15:00Z", "10:15:00.5", "2026-03-01", "2026-03-01 10:15", "10:15", "9:05:07", "x", None, "2026"]) == [
+        "2026-03-01 10:15:00.123456", "2026-03-01 10:15:00", "2026-03-01 10:15:00.500000", "2026-03-01 00:00:00", "2026-03-01 10:15:00",
+        "2026-03-01 10:15:00", "2026-03-01 09:05:07", None, None, None]
+    assert parse(["03/04/2026 00:00:00", "13/04/2026 00:00:00"]) == ["2026-04-03 00:00:00", "2026-04-13 00:00:00"]
+    assert parse(["03/04/2026 00:00:00", "04/13/2026 00:00:00"]) == ["2026-03-04 00:00:00", "2026-04-13 00:00:00"]
+    assert parse(["03/04/2026", "3.4.2026 10:00"]) == ["2026-04-03 00:00:00", "2026-04-03 10:00:00"]
+
+
+def test_generated_times_pass_the_int_range(spark):
+    from pyspark.sql import functions as F
+
+    row = F.lit(3_000_000_000)
+    back = F.make_dt_interval((row / 1440).cast("int"), F.lit(0), (row % 1440).cast("int"))
+    assert str(spark.range(1).select((F.to_timestamp(F.lit("9000-01-01 00:00:00")) - back).cast("string")).first()[0]) == "3296-01-10 16:00:00"

@@ -79,8 +79,13 @@ def inference_log(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(eid % 97 == 0, F.lit("unknown_x"))
              .when(eid % 101 == 0, F.lit(None).cast("string"))
              .otherwise(_emotion()))
+    time = (F.when(eid % 53 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+            .when(eid % 59 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm"))
+            .when(eid % 61 == 0, F.lit("n/a"))
+            .when(eid % 67 == 0, F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+            .otherwise(F.date_format("ts", "HH:mm:ss")))
     return ev.select(eid.cast("string").alias("id"),
-                     F.date_format("ts", "HH:mm:ss").alias("time"),
+                     time.alias("time"),
                      label.alias("inference_of_emotion"))
 
 

@@ -108,50 +108,70 @@ def canonical_label(c: str | Column) -> Column:
 
 # X11 ---------------------------------------------------------------------------
 # one-letter fields take one or two digits (9:05:07, 3/4/2026), as R's parser does
-DATETIME_LAYOUTS = [
-    # ymd HMS
-    "yyyy-M-d H:m:s", "yyyy/M/d H:m:s", "yyyy-M-d'T'H:m:s",
-    # mdy HMS
-    "M/d/yyyy H:m:s", "M-d-yyyy H:m:s",
-    # dmy HMS
-    "d/M/yyyy H:m:s", "d-M-yyyy H:m:s", "d.M.yyyy H:m:s",
-]
-TIME_ONLY_LAYOUT = "H:m:s"
-
-
-def parse_log_time_column(c: str | Column, ref_date: str | None) -> Column:
-    """First layout that parses wins; a bare HH:mm:ss is placed on ``ref_date``."""
+CLOCKS = [" H:m:s", " H:m", ""]
+YEAR_FIRST = ["yyyy/M/d" + t for t in CLOCKS]
+MONTH_FIRST = [d + t for d in ("M/d/yyyy", "M-d-yyyy") for t in CLOCKS]
+DAY_FIRST = [d + t for d in ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy") for t in CLOCKS]
+ISO_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([T ].+)?$"  # a date, with or without time, fraction and zone
+TIME_TEXT = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"  # a bare time of day
+
+
+def _first_layout(c: Column, layouts: Sequence[str]) -> Column:
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in layouts])
+
+
+def parse_log_time_column(c: str | Column, ref_date: str | None, day_first: Column | None = None) -> Column:
+    """Text -> timestamp: ISO text, then year-first, then month-first or (where
+    ``day_first``) day-first layouts, each with the other order as a last
+    resort; a bare time of day is placed on ``ref_date``."""
     c = F.trim(_col(c).cast("string"))
-    tries = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATETIME_LAYOUTS]
+    tries = [F.when(c.rlike(ISO_TEXT), F.try_to_timestamp(c)), _first_layout(c, YEAR_FIRST)]
+    month, day = _first_layout(c, MONTH_FIRST), _first_layout(c, DAY_FIRST)
+    tries.append(F.coalesce(month, day) if day_first is None else
+                 F.when(day_first, F.coalesce(day, month)).otherwise(F.coalesce(month, day)))
     if ref_date is not None:
-        tries.append(F.try_to_timestamp(F.concat(F.lit(ref_date + " "), c), F.lit("yyyy-M-d H:m:s")))
+        tries.append(F.when(c.rlike(TIME_TEXT), F.try_to_timestamp(F.concat(F.lit(ref_date + " "), c))))
     return F.coalesce(*tries)
 
 
+def with_day_first(df: DataFrame, col: str, by: str | None = None, out: str = "_day_first") -> DataFrame:
+    """Whether more values of ``col`` can be read day first than month first,
+    over the whole column or per value of ``by`` (e.g. the source file): one
+    order for each log, not one per row."""
+    c = F.trim(F.col(col).cast("string"))
+    counts = df.groupBy(*([by] if by else [])).agg(
+        (F.count(_first_layout(c, DAY_FIRST)) > F.count(_first_layout(c, MONTH_FIRST))).alias(out))
+    return df.join(counts, on=by, how="left") if by else df.crossJoin(F.broadcast(counts))  # one row without ``by``
+
+
 def parse_log_time(df: DataFrame, ref_date: str | None = None, now: str | None = None,
-                   order_col: str | None = None) -> DataFrame:
+                   order: Sequence[str] | None = None, by: str | None = None) -> DataFrame:
     """Harmonised ``timestamp`` column from whatever the log carries.
 
-    * a ``timestamp`` column is kept (text is parsed leniently);
-    * else ``time`` is parsed through the layouts above;
-    * else rows get ``now`` minus i minutes, i = 0, 1, ... in input order
-      (a global position: see ``vigil.operators.ordered.global_position``).
+    * a ``timestamp`` column is kept (text is parsed as below);
+    * else ``time`` is parsed: ISO text or the layouts above, with one
+      day/month order per log (``by``), or a bare time on ``ref_date``;
+    * else rows get ``now`` minus i minutes, i = 0, 1, ... in the order of
+      the columns ``order`` (default: input order), counted per ``by``.
     """
-    if "timestamp" in df.columns:
-        dtype = df.schema["timestamp"].dataType
-        if isinstance(dtype, T.StringType):  # ISO text first, then the same layouts as a time column
-            return df.withColumn("timestamp", F.coalesce(parse_timestamp("timestamp", dtype),
-                                                         parse_log_time_column("timestamp", None)))
-        return df.withColumn("timestamp", parse_timestamp("timestamp", dtype))
-    if "time" in df.columns:
-        return df.withColumn("timestamp", parse_log_time_column("time", ref_date))
+    for name, date in (("timestamp", None), ("time", ref_date)):
+        if name in df.columns:
+            if not isinstance(df.schema[name].dataType, T.StringType):
+                return df.withColumnRenamed(name, "timestamp")
+            known = with_day_first(df, name, by)
+            parsed = parse_log_time_column(name, date, F.coalesce("_day_first", F.lit(False)))
+            return known.withColumn("timestamp", parsed).drop("_day_first")
     from vigil.operators.ordered import global_position
 
     if now is None:
         raise ValueError("a log without time columns needs `now`")
-    ordered = global_position(df, [order_col] if order_col else None, out="_row")
-    ts = F.to_timestamp(F.lit(now)) - F.make_dt_interval(F.lit(0), F.lit(0), F.col("_row"))
-    return ordered.withColumn("timestamp", ts).drop("_row")
+    ordered = global_position(df, list(order) if order else None, out="_row")
+    if by:
+        first = ordered.groupBy(by).agg(F.min("_row").alias("_first"))
+        ordered = ordered.join(first, on=by).withColumn("_row", F.col("_row") - F.col("_first")).drop("_first")
+    day = 24 * 60  # minutes; an interval's minutes field alone would overflow past 2**31 rows
+    back = F.make_dt_interval((F.col("_row") / day).cast("int"), F.lit(0), (F.col("_row") % day).cast("int"))
+    return ordered.withColumn("timestamp", F.to_timestamp(F.lit(now)) - back).drop("_row")
 
 
 # X12 / X13 -----------------------------------------------------------------------
@@ -177,7 +197,8 @@ def collapse_counter_ids(df: DataFrame, share: float = K.COUNTER_ID_SHARE, by: s
         F.count(F.lit(1)).alias("_n"),
     )
     flag = stats.select(*keys, (F.coalesce(F.col("_nd"), F.lit(0)) > F.col("_n") * F.lit(share)).alias("_counter"))
-    j = df.join(F.broadcast(flag), on=by, how="left") if by else df.crossJoin(F.broadcast(flag))
+    # one row without ``by``; with it, one row per log, and Spark picks the join by its size
+    j = df.join(flag, on=by, how="left") if by else df.crossJoin(F.broadcast(flag))
     return (j.withColumn("id_original", F.when(F.col("_counter"), F.col("id").cast("string")))
              .withColumn("id", F.when(F.col("_counter"), F.lit(K.STREAM_LOG_ID)).otherwise(F.col("id").cast("string")))
              .drop("_counter"))

@@ -11,12 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigil import constants as K
-from vigil.functions.scalars import DATETIME_LAYOUTS, TIME_ONLY_LAYOUT, canonical_label
+from vigil.functions.scalars import canonical_label, parse_log_time_column
 
 LABEL = "inference_of_emotion"
 
@@ -111,9 +110,7 @@ def validation_verdict(checks: DataFrame) -> DataFrame:
 
 # V7
 def time_unparseable(c: str = "time") -> Column:
-    x = F.trim(F.col(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in DATETIME_LAYOUTS + [TIME_ONLY_LAYOUT]])
-    return parsed.isNull()
+    return parse_log_time_column(c, "1970-01-01").isNull()
 
 
 def _metric_structs(df: DataFrame, required: Sequence[str]) -> list[Column]:
@@ -162,54 +159,75 @@ def sample_invalid_rows(df: DataFrame, n: int = 15, order: Sequence[Column] | No
 
 
 # V8
-RUN_SCHEMA = T.StructType([
-    T.StructField("file", T.StringType()), T.StructField("success", T.BooleanType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("checks", T.ArrayType(T.StructType([T.StructField("check", T.StringType()),
-                                                       T.StructField("ok", T.BooleanType())]))),
-    T.StructField("diagnostics", T.ArrayType(T.StructType([T.StructField("metric", T.StringType()),
-                                                            T.StructField("value", T.LongType())]))),
-])
-
-
-def validate_log(df: DataFrame, path: str, strict: bool = True, allow_extra: bool = False,
-                 required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
-    """One row per input with its verdict, checks and diagnostics, from a
-    single aggregation over the log."""
+TECHNICAL = ["__log", "__file", "__block", "__at"]
+
+
+def _report_parts(df: DataFrame, columns: Sequence[str], top: int, sample: int) -> DataFrame:
+    """Per log: its most common invalid labels and its first invalid rows."""
+    if LABEL not in columns:
+        return df.select("__log").distinct().select("__log", F.array().cast("array<struct<label:string,count:bigint>>").alias("top_invalid_labels"),
+                                                    F.array().cast("array<map<string,string>>").alias("sample_invalid_rows"))
+    bad = invalid_labels(df)
+    counts = bad.groupBy("__log", F.col(LABEL).alias("label")).agg(F.count(F.lit(1)).alias("count"))
+    common = Window.partitionBy("__log").orderBy(F.desc("count"), "label")
+    tops = counts.withColumn("_r", F.row_number().over(common)).where(F.col("_r") <= top).groupBy("__log").agg(
+        F.sort_array(F.collect_list(F.struct("_r", "label", "count"))).alias("_t"))
+    tops = tops.select("__log", F.transform("_t", lambda t: F.struct(t["label"].alias("label"), t["count"].alias("count"))).alias("top_invalid_labels"))
+    early = Window.partitionBy("__log").orderBy("__file", "__block", "__at")
+    row = F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*[F.col(c).cast("string") for c in columns]))
+    rows = (bad.withColumn("_r", F.row_number().over(early)).where(F.col("_r") <= sample)
+            .select("__log", "_r", row.alias("row")).groupBy("__log").agg(F.collect_list(F.struct("_r", "row")).alias("_s")))
+    rows = rows.select("__log", F.transform(F.array_sort("_s", lambda x, y: x["_r"] - y["_r"]), lambda x: x["row"]).alias("sample_invalid_rows"))
+    return tops.join(rows, "__log", "full")
+
+
+def validate_scan(df: DataFrame, logs: Sequence[int], strict: bool = True, allow_extra: bool = False,
+                  required: Sequence[str] = K.REQUIRED_LOG_COLUMNS, top: int = 20, sample: int = 15) -> DataFrame:
+    """One row per log of a scan (numbers ``logs``) with verdict, checks,
+    diagnostics, column lists, common invalid labels and first invalid rows.
+
+    Checks and diagnostics come from one aggregation per log; a log without
+    rows gets those of an empty table."""
     df = normalize_log(df)
-    row = df.agg(F.array(*_check_structs(df, allow_extra, required)).alias("checks"),
-                 F.array(*_metric_structs(df, required)).alias("diagnostics"))
+    columns = [c for c in df.columns if c not in TECHNICAL]
+    plain = df.select(*columns)  # the schema that the checks look at
+    facts = [F.array(*_check_structs(plain, allow_extra, required)).alias("checks"), F.array(*_metric_structs(plain, required)).alias("diagnostics")]
+    found = df.groupBy("__log").agg(*facts)
+    listed = df.sparkSession.createDataFrame([(i,) for i in logs], "__log int")
+    nothing = plain.limit(0).agg(*facts)  # one row
+    per = found.unionByName(listed.join(found.select("__log"), "__log", "left_anti").crossJoin(nothing))
     oks = F.transform("checks", lambda c: c["ok"])
     lenient = F.filter("checks", lambda c: c["check"].isin("schema_ok", "labels_valid"))
-    strict_ok = F.aggregate(oks, F.lit(True), lambda a, x: a & x)
-    lenient_ok = (F.size(lenient) == 2) & F.aggregate(F.transform(lenient, lambda c: c["ok"]), F.lit(True),
-                                                      lambda a, x: a & x)
-    return row.select(F.lit(path).alias("file"), (strict_ok if strict else lenient_ok).alias("success"),
-                      F.lit(None).cast("string").alias("error"), "checks", "diagnostics")
+    every = lambda a: F.forall(a, lambda ok: ok)
+    verdict = every(oks) if strict else (F.size(lenient) == 2) & every(F.transform(lenient, lambda c: c["ok"]))
+    missing, extra = column_diff(plain, required)
+    names = lambda cs: F.array(*[F.lit(c) for c in cs]).cast("array<string>")
+    return per.join(_report_parts(df, columns, top, sample), "__log", "left").select(
+        "__log", verdict.alias("success"), F.lit(None).cast("string").alias("error"), "checks", "diagnostics",
+        names(columns).alias("columns"), names(missing).alias("missing_columns"), names(extra).alias("extra_columns"),
+        F.coalesce("top_invalid_labels", F.array()).alias("top_invalid_labels"), F.coalesce("sample_invalid_rows", F.array()).alias("sample_invalid_rows"))
+
+
+RUN_SCHEMA = ("__log int, success boolean, error string, checks array<struct<check:string,ok:boolean>>, "
+              "diagnostics array<struct<metric:string,value:bigint>>, columns array<string>, missing_columns array<string>, "
+              "extra_columns array<string>, top_invalid_labels array<struct<label:string,count:bigint>>, sample_invalid_rows array<map<string,string>>")
 
 
 def validate_all(spark: SparkSession, paths: Sequence[str], strict: bool = True,
                  allow_extra: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Per-file rows and the overall verdict; a missing file is a failed row.
-
-    The per-file sniffing (header line, encoding probe) runs as concurrent
-    small jobs; the checks of all files then run as one union job."""
-    from vigil.session import run_concurrently
-    from vigil.sources.files import _exists, read_log_csv
-
-    def one(p: str) -> DataFrame:
-        if not _exists(spark, p):
-            msg = f"CRITICAL ERROR: File {p} not found!"
-            return spark.range(1).select(F.lit(p).alias("file"), F.lit(False).alias("success"),
-                                         F.lit(msg).alias("error"),
-                                         F.lit(None).cast(RUN_SCHEMA["checks"].dataType).alias("checks"),
-                                         F.lit(None).cast(RUN_SCHEMA["diagnostics"].dataType).alias("diagnostics"))
-        return validate_log(read_log_csv(spark, p), p, strict, allow_extra)
-
-    built = run_concurrently({i: (lambda p=p: one(p)) for i, p in enumerate(paths)})
-    runs = [built[i] for i in range(len(paths))]
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
-    overall = out.agg(F.bool_and("success").alias("overall_success"))
-    return out, overall
+    """One row per input path and the overall verdict; a missing or empty file
+    is a failed row. Files of one header shape are validated by one plan,
+    grouped by log."""
+    from vigil.sources.files import log_scans
+
+    runs, seen = None, set()
+    for scan, logs in log_scans(spark, paths):
+        rows = validate_scan(scan, logs, strict, allow_extra)
+        runs = rows if runs is None else runs.unionByName(rows)
+        seen |= set(logs)
+    lost = [(i, False, K.FILE_MISSING.format(path=p), *[None] * 7) for i, p in enumerate(paths) if i not in seen]
+    absent = spark.createDataFrame(lost, RUN_SCHEMA)
+    runs = absent if runs is None else runs.unionByName(absent)
+    named = spark.createDataFrame(list(enumerate(paths)), "__log int, file string")
+    runs = named.join(runs, "__log").orderBy("__log").drop("__log")
+    return runs, runs.agg(F.bool_and("success").alias("overall_success"))

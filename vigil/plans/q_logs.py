@@ -103,7 +103,8 @@ COLLAPSE = '''(SELECT count(DISTINCT id) + max(CASE WHEN id IS NULL THEN 1 ELSE
               > (SELECT count(*) FROM {t}) * 0.9::DOUBLE'''
 
 ILH_SQL = f'''SELECT CASE WHEN {COLLAPSE.format(t="il")} THEN 'Stream_1' ELSE id END AS id,
-       strptime('{REF_DATE} ' || trim("time"), '%Y-%m-%d %H:%M:%S') AS "timestamp",
+       coalesce(try_strptime(trim("time"), '%Y-%m-%dT%H:%M:%S.%f'), try_strptime(trim("time"), '%Y-%m-%d %H:%M'),
+                try_strptime(trim("time"), '%d/%m/%Y %H:%M:%S'), try_strptime('{REF_DATE} ' || trim("time"), '%Y-%m-%d %H:%M:%S')) AS "timestamp",
        CASE WHEN inference_of_emotion IS NULL THEN NULL ELSE {title_one("inference_of_emotion")} END AS inference
 FROM il'''
 

@@ -157,5 +157,5 @@ def q_ingest_logs_defaults(spark, d):
     tl = ev.select(F.date_format("timestamp", "HH:mm:ss").alias("Time_Log"))
     nt = ev.select(F.col("emotion").alias("inference"))
     p1 = _write_csv(tl, scratch_path(spark, "log-timeonly"))
-    p2 = _write_csv(nt.coalesce(1), scratch_path(spark, "log-labels-only"))  # one file: file order is row order
+    p2 = _write_csv(nt, scratch_path(spark, "log-labels-only"))  # part files in order: file order is row order
     return I.ingest_logs(spark, [p1, p2], ref_date=REF_DATE, now=NOW)

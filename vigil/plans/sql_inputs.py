@@ -56,7 +56,11 @@ FROM se_base)
 IL = f"""
 il AS (
 SELECT CAST(event_id AS VARCHAR) AS id,
-       strftime(ts, '%H:%M:%S') AS "time",
+       CASE WHEN event_id % 53 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+            WHEN event_id % 59 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M')
+            WHEN event_id % 61 = 0 THEN 'n/a'
+            WHEN event_id % 67 = 0 THEN strftime(ts, '%d/%m/%Y %H:%M:%S')
+            ELSE strftime(ts, '%H:%M:%S') END AS "time",
        CASE WHEN event_id % 50 = 0 THEN ' Surprised '
             WHEN event_id % 97 = 0 THEN 'unknown_x'
             WHEN event_id % 101 = 0 THEN NULL

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,16 +47,28 @@ def sniff_delimiter(header: str) -> str:
     return best[2] if best[0] > 0 else ","
 
 
-def sniff_log_csv(spark: SparkSession, path: str) -> tuple[str, str, str]:
-    """(separator, encoding, header line) of one delimited text file.
+def sniff_files(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, str, str]]:
+    """(separator, encoding, header line) of delimited text files, by path, from
+    one scan of all of them; a file without any line is left out."""
+    text = spark.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                               F.monotonically_increasing_id().alias("at"))
+    place = F.struct("block", "at")
+    found = text.groupBy("file").agg(F.min_by("value", place).alias("header"), F.bool_or(~F.is_valid_utf8("value")).alias("bad"))
+    return {r["file"]: (sniff_delimiter(r["header"]), "ISO-8859-1" if r["bad"] else "UTF-8", r["header"])
+            for r in found.collect()}  # one row per listed file
 
-    Two small actions: the header line, and a probe for bytes that are not
-    valid UTF-8 (it stops at the first hit)."""
-    text = spark.read.text(path)
-    first = text.limit(1).collect()
-    header = first[0][0] if first else ""
-    bad = text.filter(~F.is_valid_utf8("value")).limit(1).count() > 0
-    return sniff_delimiter(header), ("ISO-8859-1" if bad else "UTF-8"), header
+
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """Files that a path names: itself, what its pattern matches, or the files
+    right below a folder (names that start with ``_`` or ``.`` left out)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.globStatus(p) or []:
+        for f in fs.listStatus(st.getPath()) if st.isDirectory() else [st]:
+            if not f.isDirectory() and f.getPath().getName()[0] not in "_.":
+                out.append(f.getPath().toString())
+    return sorted(out)
 
 
 def _read_csv(spark: SparkSession, paths, sep: str, enc: str) -> DataFrame:
@@ -67,66 +80,68 @@ def _read_csv(spark: SparkSession, paths, sep: str, enc: str) -> DataFrame:
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
     """Tolerant CSV: delimiter from the header line, UTF-8 else Latin-1, names
     stripped. The data itself is read by Spark's CSV source in parallel."""
-    sep, enc, _ = sniff_log_csv(spark, path)
+    sniffed = sniff_files(spark, files_of(spark, path) or [path])
+    sep, enc, _ = sniffed[min(sniffed)] if sniffed else (",", "UTF-8", "")
     return _read_csv(spark, path, sep, enc)
 
 
 # I3
-def harmonise_log(df: DataFrame, ref_date: str | None = None, now: str | None = None,
-                  by_file: bool = False) -> DataFrame:
+def harmonise_log(df: DataFrame, ref_date: str | None = None, now: str | None = None, by: str | None = None,
+                  order: Sequence[str] | None = None) -> DataFrame:
     """One log of any header shape -> (id, timestamp, inference).
 
-    ``by_file``: ``df`` is a multi-file scan of one header shape; rules that
-    the reference applies per file (counter-id detection) are taken per
-    source file."""
-    if by_file:
-        df = df.withColumn("__file", F.col("_metadata.file_path"))
+    ``by`` names a column that tells several logs apart: rules that hold per log
+    (counter ids, day/month order, generated times) are taken per value of it.
+    ``order`` names the columns that give the input order of the rows."""
     df = X.rename_synonyms(X.normalize_columns(df, lower=True, strip=False))
     if "inference" in df.columns:
         df = df.withColumn("inference", X.title_label("inference"))
-    df = X.parse_log_time(df, ref_date=ref_date, now=now)
+    df = X.parse_log_time(df, ref_date=ref_date, now=now, order=order, by=by)
     if "id" in df.columns:
-        df = X.collapse_counter_ids(df, by="__file" if by_file else None)
+        df = X.collapse_counter_ids(df, by=by)
     df = X.fill_log_defaults(df)
     return df.select(F.col("id").cast("string").alias("id"), F.col("timestamp").cast("timestamp").alias("timestamp"),
                      F.col("inference").cast("string").alias("inference"))
 
 
-def ingest_logs(spark: SparkSession, paths: Sequence[str], ref_date: str | None = None,
-                now: str | None = None) -> DataFrame | None:
-    """Harmonise many logs and bind their rows; unreadable files are skipped.
-
-    Files are grouped by their sniffed shape (separator, encoding, header);
-    each shape is read with one multi-path scan and harmonised once, so many
-    files with a few header variants cost a few scans, not one per file.
-    Logs without any time column get generated times per file, so they are
-    harmonised one file at a time.
-    """
+def log_scans(spark: SparkSession, paths: Sequence[str], skipped: list | None = None) -> list[tuple[DataFrame, list[int]]]:
+    """One scan per header shape over the files of many logs, with the numbers
+    of its logs. Each row has its
+    log's place in ``paths`` (``__log``), its file, the place of its split in the
+    file and its own in the split (``__file``, ``__block``, ``__at``); a log listed twice comes twice.
+    Paths that name no file or only empty files go to ``skipped``; any other
+    failure is raised."""
+    units = [(i, f) for i, p in enumerate(paths) for f in files_of(spark, p)]
+    sniffed = sniff_files(spark, sorted({f for _, f in units})) if units else {}
+    if skipped is not None:
+        there = {i for i, f in units if f in sniffed}
+        skipped += [p for i, p in enumerate(paths) if i not in there]
+    shapes: dict[tuple[str, str, str], list[str]] = {}
+    for f in sorted(sniffed):
+        shapes.setdefault(sniffed[f], []).append(f)
+    out = []
+    for (sep, enc, _), files in shapes.items():
+        here = set(files)
+        own = [(i, f) for i, f in units if f in here]
+        logs = spark.createDataFrame(own, "__log int, __file string")
+        raw = _read_csv(spark, files, sep, enc)
+        raw = raw.withColumn("__file", F.col("_metadata.file_path")).withColumn("__block", F.col("_metadata.file_block_start"))
+        raw = raw.withColumn("__at", F.monotonically_increasing_id())  # within one split
+        out.append((raw.join(logs, on="__file"), sorted({i for i, _ in own})))
+    return out
+
+
+def ingest_logs(spark: SparkSession, paths: Sequence[str], ref_date: str | None = None, now: str | None = None,
+                skipped: list | None = None) -> DataFrame | None:
+    """Harmonise many logs and bind their rows (None if no path can be read).
+
+    Files are grouped by their shape (separator, encoding, header); each shape
+    is one scan, so the number of jobs does not grow with the files. Missing
+    paths and empty files are skipped and, if given, listed in ``skipped``."""
     from vigil.operators.logs import union_logs
-    from vigil.session import run_concurrently
 
-    def sniff(p: str):
-        try:
-            return sniff_log_csv(spark, p)
-        except Exception:  # noqa: BLE001 - an unreadable file is skipped, as in the reference
-            return None
-
-    sniffed = run_concurrently({p: (lambda p=p: sniff(p)) for p in dict.fromkeys(paths)})  # tiny jobs, in parallel
-    shapes: dict[tuple[str, str, str], list[str]] = {}
-    for p in dict.fromkeys(paths):
-        if sniffed[p] is not None:
-            shapes.setdefault(sniffed[p], []).append(p)
-    frames = []
-    for (sep, enc, _), group in shapes.items():
-        probe = _read_csv(spark, group[0], sep, enc)
-        names = {c.lower() for c in probe.columns}
-        timed = {"timestamp", "time", "time_log"} & names
-        for part in ([group] if timed else [[p] for p in group]):
-            raw = _read_csv(spark, part, sep, enc)
-            frames.append(harmonise_log(raw, ref_date=ref_date, now=now, by_file=len(part) > 1))
-        for p in group:  # a path listed more than once is bound that many times
-            for _ in range(list(paths).count(p) - 1):
-                frames.append(harmonise_log(_read_csv(spark, p, sep, enc), ref_date=ref_date, now=now))
+    frames = [harmonise_log(raw, ref_date=ref_date, now=now, by="__log", order=["__log", "__file", "__block", "__at"])
+              for raw, _ in log_scans(spark, paths, skipped)]
     return union_logs(frames) if frames else None
 
 
@@ -172,51 +187,47 @@ def size_report(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFr
 
 # I8 / J5
 def first_per_id(df: DataFrame, order_col: str | None = None) -> DataFrame:
-    """One row per id, the first by ``order_col`` (default: input order).
+    """One row per id, the first by ``order_col`` (default: input order: by
+    file and place in it where the rows come straight from files).
 
     A grouped ``min_by`` aggregates partially before the shuffle, so an id
     repeated in a third of the rows still ships one row per task.
     """
     cols = [c for c in df.columns if c != "id"]
-    key = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    here = F.monotonically_increasing_id()
+    try:
+        key = F.col(order_col) if order_col else F.struct(*[df.metadataColumn("_metadata")[c] for c in ("file_path", "file_block_start")], here)
+        df.select(key)
+    except AnalysisException:  # not a file scan
+        key = here
     tagged = df.withColumn("_ord", key)
     first = tagged.groupBy("id").agg(F.min_by(F.struct(*cols), F.col("_ord")).alias("_r"))
     return first.select("id", *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*df.columns)
 
 
-def new_events(batch: DataFrame, existing: DataFrame | None, cached: list | None = None) -> DataFrame:
-    """Rows of ``batch`` that may be appended: first row per id, ids on disk refused.
+def new_events(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Rows of ``batch`` that may be appended: first row per id, ids on disk
+    refused. A row without id fails the job, as a key column would refuse it.
 
-    The batch's ids are counted and, when few, broadcast: the log is then
-    only scanned (id column) and semi-joined map-side, never shuffled; a
-    large batch falls back to a shuffle join. Frames persisted on the way
-    are appended to ``cached`` for the caller to release.
-    """
-    from vigil.operators.joins import broadcast_if_small
-
-    firsts = first_per_id(batch.filter(F.col("id").isNotNull()))
+    The log is only scanned for its id column and reduced to the batch's ids
+    first, so a small batch (by Spark's own size limit) never shuffles the log."""
+    keyed = batch.withColumn("id", F.when(F.col("id").isNull(), F.raise_error(F.lit("event without id"))).otherwise(F.col("id")))
+    firsts = first_per_id(keyed)
     if existing is None:
         return firsts
-    firsts = firsts.persist()
-    if cached is not None:
-        cached.append(firsts)
-    ids = broadcast_if_small(firsts.select("id"))
-    known = existing.select("id").join(ids, on="id", how="left_semi")
+    known = existing.select("id").join(firsts.select("id"), on="id", how="left_semi")
     return firsts.join(known, on="id", how="left_anti")
 
 
 def append_events(batch: DataFrame, path: str) -> DataFrame:
     """Append to the event log; returns the rows that were written."""
+    from vigil.session import ensure_checkpoint_dir
+
     spark = batch.sparkSession
-    existing = None
-    if _exists(spark, path):
-        existing = spark.read.schema(SAFETY_EVENT).parquet(path)
-    cached: list = []
-    rows = new_events(batch.select(*SAFETY_EVENT_COLUMNS), existing, cached)
+    ensure_checkpoint_dir(spark)
+    existing = spark.read.schema(SAFETY_EVENT).parquet(path) if _exists(spark, path) else None
     # materialise once: the anti-join must not see the rows it is about to write
-    staged = rows.checkpoint(eager=True)
-    for df in cached:
-        df.unpersist()
+    staged = new_events(batch.select(*SAFETY_EVENT_COLUMNS), existing).checkpoint(eager=True)
     staged.write.mode("append").option("compression", "snappy").parquet(path)
     return staged
 
