@@ -1,4 +1,5 @@
 import os
+from datetime import datetime
 
 import pandas as pd
 import pytest
@@ -9,7 +10,7 @@ from vigil import adapters as A
 from vigil import constants as K
 from vigil.operators import hotspots as H
 from vigil.operators import layout as P
-from vigil.schema import SAFETY_EVENT_COLUMNS
+from vigil.schema import RAW_EVENT, SAFETY_EVENT_COLUMNS, STREAM_EVENT
 from vigil.sources import files as I
 from vigil.streaming import jobs as S
 
@@ -93,6 +94,11 @@ def test_hotspots_on_separated_blobs(spark):
     assert assigned.count() == 300 and assigned.groupBy("hotspot").count().count() == 3
 
 
+def live(spark, src):
+    """Files of raw events as a stream of event columns, one file per batch."""
+    return A.event_projection(S.event_stream(spark, src, max_files_per_trigger=1, schema=RAW_EVENT))
+
+
 def write_events(folder, name, ids, ts):
     df = pd.DataFrame({"event_id": pd.Series(ids, dtype="int64"), "ts": pd.Series(pd.to_datetime(ts), dtype="datetime64[us]"),
                        "user_id": pd.Series([1] * len(ids), dtype="int64"),
@@ -108,7 +114,7 @@ def test_streams_dedup_late_rows_and_empty_file(spark, tmp):
     write_events(src, "a.parquet", [1, 2], ["2026-03-01 10:00:00", "2026-03-01 10:00:01"])
     write_events(src, "b.parquet", [2, 3], ["2026-03-01 10:00:01", "2026-03-01 10:30:00"])
     write_events(src, "c.parquet", [], [])
-    raw = S.event_stream(spark, src, max_files_per_trigger=1)
+    raw = live(spark, src)
 
     def run(name, start):
         out, ck = os.path.join(tmp, name), os.path.join(tmp, name + "_ck")
@@ -116,11 +122,11 @@ def test_streams_dedup_late_rows_and_empty_file(spark, tmp):
         return out
 
     log = spark.read.parquet(run("log", S.stream_risk_log))
-    assert log.count() == 4 and set(log.columns) == set(SAFETY_EVENT_COLUMNS)
+    assert sorted(r.id for r in log.collect()) == ["1", "2", "3"] and set(log.columns) == set(SAFETY_EVENT_COLUMNS)
     assert {r.risk_level for r in log.collect()} == {K.DANGER}
     dd = spark.read.parquet(run("dedup", S.stream_dedup))
     assert sorted(r.id for r in dd.collect()) == ["1", "2", "3"]
-    total = spark.read.parquet(run("total", S.stream_event_total)).first()[0]
+    total = S.read_recent(spark, run("total", S.stream_event_total)).first()[0]
     assert total == 4
     recent = S.read_recent(spark, run("recent", lambda r, o, c: S.stream_recent(r, o, c, 2)))
     assert sorted(r.id for r in recent.collect()) == ["2", "3"]
@@ -147,7 +153,7 @@ def test_cli_jobs(spark, se, tmp):
     assert doc["overall_success"] is False and len(doc["runs"]) == 2 and doc["suite"] == "integrity_suite"
     ok_run = [r for r in doc["runs"] if r["success"]][0]
     assert ok_run["checks"]["labels_valid"] is True and ok_run["diagnostics"]["row_count"] == 2
-    assert cli.main(["drift", "--tess", good, "--synth", good, "--out", os.path.join(tmp, "d")]) == 0
+    assert cli.main(["drift", good, good, "--out", os.path.join(tmp, "d")]) == 0
     pq = I.write_parquet(se, os.path.join(tmp, "ev"))
     assert cli.main(["cubes", pq, "--out", os.path.join(tmp, "cubes")]) == 0
     assert spark.read.parquet(os.path.join(tmp, "cubes", "hour_risk_cube")).agg(F.sum("count")).first()[0] == se.count()
@@ -166,7 +172,7 @@ def test_stream_hotspots_seed_then_update(spark, tmp):
         df.to_parquet(os.path.join(src, name))
     batch("a.parquet", list(range(0, 40)), [0] * 20 + [30] * 20)
     batch("b.parquet", list(range(100, 120)), [0] * 20)
-    raw = S.event_stream(spark, src, max_files_per_trigger=1)
+    raw = live(spark, src)
     out, ck = os.path.join(tmp, "hot"), os.path.join(tmp, "hot_ck")
     S.stream_hotspots(raw, out, ck, k=2, seed=1).awaitTermination()
     versions = sorted(os.listdir(out))
@@ -183,15 +189,15 @@ def test_streams_resume_from_checkpoint(spark, tmp):
     write_events(src, "a.parquet", [1, 2], ["2026-03-01 10:00:00", "2026-03-01 10:00:01"])
     out, ck = os.path.join(tmp, "rlog"), os.path.join(tmp, "rlog_ck")
     rout, rck = os.path.join(tmp, "rrec"), os.path.join(tmp, "rrec_ck")
-    S.stream_risk_log(S.event_stream(spark, src), out, ck).awaitTermination()
-    S.stream_recent(S.event_stream(spark, src), rout, rck, 2).awaitTermination()
+    S.stream_risk_log(live(spark, src), out, ck).awaitTermination()
+    S.stream_recent(live(spark, src), rout, rck, 2).awaitTermination()
     # a restart with nothing new writes nothing new
-    S.stream_risk_log(S.event_stream(spark, src), out, ck).awaitTermination()
+    S.stream_risk_log(live(spark, src), out, ck).awaitTermination()
     assert spark.read.parquet(out).count() == 2
     # a new file is picked up once, incrementally
     write_events(src, "b.parquet", [3], ["2026-03-01 11:00:00"])
-    S.stream_risk_log(S.event_stream(spark, src), out, ck).awaitTermination()
-    S.stream_recent(S.event_stream(spark, src), rout, rck, 2).awaitTermination()
+    S.stream_risk_log(live(spark, src), out, ck).awaitTermination()
+    S.stream_recent(live(spark, src), rout, rck, 2).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
     assert sorted(r.id for r in S.read_recent(spark, rout).collect()) == ["2", "3"]
 
@@ -224,3 +230,45 @@ def test_ingest_repeated_path_is_bound_twice(spark, tmp):
     p = os.path.join(tmp, "r.csv")
     pd.DataFrame({"id": ["d", "d"], "time": ["10:00:00", "10:00:01"], "inference": ["fear", "sad"]}).to_csv(p, index=False)
     assert I.ingest_logs(spark, [p, p], ref_date="2026-03-01").count() == 4
+
+
+def test_hotspots_keep_every_event_before_seeding(spark, tmp):
+    src = os.path.join(tmp, "few")
+    os.makedirs(src)
+    for b, n in enumerate([3, 3, 0, 3, 3, 20]):
+        ids = list(range(b * 100, b * 100 + n))
+        write_events(src, f"{b}.parquet", ids, ["2026-03-01 10:00:00"] * n)
+    out = os.path.join(tmp, "few_out")
+    S.stream_hotspots(live(spark, src), out, os.path.join(tmp, "few_ck"), k=8, seed=1).awaitTermination()
+    assert S.read_hotspots(spark, out).agg(F.sum("weight")).first()[0] == 32 and 1 <= S.read_hotspots(spark, out).count() <= 8
+    assert len(S.versions(spark, out)) == 2  # older versions are removed
+
+
+def test_streams_take_four_column_events(spark, tmp):
+    src = os.path.join(tmp, "four")
+    spark.createDataFrame([(datetime(2026, 3, 1), 1.0, 2.0, level) for level in (K.DANGER, K.SAFE)], STREAM_EVENT).write.parquet(src)
+    events = S.event_stream(spark, src, schema=STREAM_EVENT)
+    S.stream_danger_alerts(events, os.path.join(tmp, "f_out"), os.path.join(tmp, "f_ck")).awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp, "f_out")).count() == 1
+
+
+def test_append_refuses_a_null_id_visibly(spark, se, tmp):
+    with pytest.raises(Exception, match="event without id"):
+        I.append_events(se.limit(3).withColumn("id", F.when(F.col("id") != "0", F.col("id"))), os.path.join(tmp, "nulls"))
+
+
+def test_ingest_reports_skipped_paths_and_keeps_part_order(spark, tmp):
+    folder = os.path.join(tmp, "parts")
+    os.makedirs(folder)
+    for i, n in enumerate([2, 2000]):  # the larger part would be scanned first
+        pd.DataFrame({"inference": [f"x{i}"] * n}).to_csv(os.path.join(folder, f"part-{i}.csv"), index=False)
+    open(os.path.join(tmp, "empty.csv"), "w").close()
+    skipped = []
+    out = I.ingest_logs(spark, [folder, os.path.join(tmp, "gone.csv"), os.path.join(tmp, "empty.csv")], now="2026-03-01 12:00:00", skipped=skipped)
+    assert skipped == [os.path.join(tmp, "gone.csv"), os.path.join(tmp, "empty.csv")]
+    assert [r.inference for r in out.orderBy(F.desc("timestamp")).limit(3).collect()] == ["X0", "X0", "X1"]
+
+
+def test_layout_takes_any_number_of_partitions(spark):
+    sizes = [r[1] for r in P.repartition_report(spark.range(1000), 50).collect()]
+    assert len(sizes) == 50 and sum(sizes) == 1000

@@ -6,10 +6,11 @@ recovered query resumes where it stopped. Every job can run with
 ``trigger(availableNow=True)``: it then drains what has arrived and stops,
 which makes it checkable against the same query run as a batch.
 
-State stays bounded: the rolling windows and the de-duplication are
-watermarked; the running total is one row; the "latest n" and the hotspot
-centres are n and k rows kept in versioned Parquet folders by
-``foreachBatch``.
+Jobs take events in the columns of the event log, with or without a risk
+level. State stays bounded: the rolling windows are watermarked; the running
+total, the "latest n" and the hotspot centres are 1, n and k rows kept in
+versioned Parquet folders (the last two versions) by ``foreachBatch``; the
+keyed log itself is the state that refuses repeated ids.
 """
 
 from __future__ import annotations
@@ -21,20 +22,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from vigil import adapters as A
 from vigil import constants as K
 from vigil.functions.scalars import danger, with_risk
-from vigil.schema import RAW_EVENT, SAFETY_EVENT_COLUMNS
+from vigil.schema import SAFETY_EVENT, SAFETY_EVENT_COLUMNS
 
 ROLLING_WINDOW = "3 seconds"
 ROLLING_SLIDE = "500 milliseconds"
 
 
 def event_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
-                 max_files_per_trigger: int | None = None, schema: StructType = RAW_EVENT) -> DataFrame:
-    """Raw events arriving as Parquet files in ``folder`` with a fixed schema
-    (no inference; the adapter casts event time to TIMESTAMP because
-    watermarks refuse TIMESTAMP_NTZ)."""
+                 max_files_per_trigger: int | None = None, schema: StructType = SAFETY_EVENT) -> DataFrame:
+    """Events arriving as Parquet files in ``folder`` with a fixed schema (no
+    inference): the 20-column event (``SAFETY_EVENT``), the four-column live
+    event (``STREAM_EVENT``), or any other whose columns the caller maps."""
     r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -60,81 +60,100 @@ def _start_batches(df: DataFrame, fn: Callable, ckpt: str, mode: str = "append",
 
 
 # S1
-def risk_events(raw: DataFrame, threshold: float | None = K.CONFIDENCE_THRESHOLD, strict: bool = False) -> DataFrame:
-    """Raw events -> the 20-column event log: the risk rule (X14) assigns
-    risk level and signal to every arriving event."""
-    return with_risk(A.event_projection(raw), threshold=threshold, strict=strict).select(*SAFETY_EVENT_COLUMNS)
+def risk_events(events: DataFrame, threshold: float | None = K.CONFIDENCE_THRESHOLD, strict: bool = False) -> DataFrame:
+    """Arriving events with their risk level: the risk rule (X14) assigns level
+    and signal to every event that does not carry a level yet."""
+    return events if "risk_level" in events.columns else with_risk(events, threshold=threshold, strict=strict)
 
 
-def stream_risk_log(raw: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
-    return _start(risk_events(raw), out, ckpt, available_now=available_now)
+def stream_risk_log(events: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
+    """The 20-column event log, keyed for ever: of an id only the first event is
+    written, whenever a repeat arrives. A replayed batch finds its ids written
+    and adds nothing, so a restart loses and repeats no event."""
+    from vigil.sources.files import append_events
 
+    def write(batch: DataFrame, epoch: int) -> None:
+        append_events(batch, out)
 
-# S2
-def stream_danger_alerts(raw: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
-    alerts = danger(risk_events(raw)).select("timestamp", "latitude", "longitude", "risk_level")
-    return _start(alerts, out, ckpt, available_now=available_now)
-
+    return _start_batches(risk_events(events).select(*SAFETY_EVENT_COLUMNS), write, ckpt, available_now=available_now)
 
-# S3
-def stream_event_total(raw: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
-    """Running count of events; each trigger overwrites a one-row table."""
-    total = raw.agg(F.count(F.lit(1)).alias("streaming_events"))
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    return _start_batches(total, write, ckpt, mode="complete", available_now=available_now)
+# S2
+def stream_danger_alerts(events: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
+    alerts = danger(risk_events(events)).select("timestamp", "latitude", "longitude", "risk_level")
+    return _start(alerts, out, ckpt, available_now=available_now)
 
 
-# S4
+# versioned tables: a folder ``v=<batch>`` per batch, of which the last two stay
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def latest_version(spark: SparkSession, out: str, before: int | None = None) -> str | None:
-    """Folder of the newest complete version below ``out`` (``v=<epoch>``),
-    optionally only among versions older than ``before``."""
+def versions(spark: SparkSession, out: str) -> list[int]:
+    """Complete versions below ``out``, oldest first."""
     fs, p = _fs(spark, out)
     if not fs.exists(p):
-        return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            v = int(name[2:])
-            if before is not None and v >= before:
-                continue
-            best = v if best is None or v > best else best
-    return None if best is None else f"{out.rstrip('/')}/v={best}"
-
-
-def stream_recent(raw: DataFrame, out: str, ckpt: str, n: int = 10, available_now: bool = True) -> StreamingQuery:
-    """Latest n events after every trigger: top-n of (kept n rows + batch),
-    written as a new version (idempotent when a batch is replayed)."""
-    events = risk_events(raw)
-    order = [F.desc("timestamp"), F.desc("id")]
+        return []
+    return sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")))
+
+
+def version_path(out: str, version: int) -> str:
+    return f"{out.rstrip('/')}/v={version}"
+
+
+def latest_version(spark: SparkSession, out: str, before: int | None = None) -> str | None:
+    """Folder of the newest complete version, optionally among those older
+    than ``before``."""
+    found = [v for v in versions(spark, out) if before is None or v < before]
+    return version_path(out, found[-1]) if found else None
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        prev = latest_version(spark, out, before=epoch)  # a replayed batch rebuilds from the older version
-        cand = batch
-        if prev is not None:
-            cand = cand.unionByName(spark.read.parquet(prev))
-        cand.orderBy(*order).limit(n).write.mode("overwrite").parquet(f"{out.rstrip('/')}/v={epoch}")
 
-    return _start_batches(events, write, ckpt, available_now=available_now)
+def write_version(df: DataFrame, out: str, epoch: int) -> None:
+    """Write version ``epoch`` and remove all but it and the one before (a
+    reader of the newest version never meets a half-written table, and a
+    replayed batch still finds the version it builds on)."""
+    df.write.mode("overwrite").parquet(version_path(out, epoch))
+    fs, _ = _fs(df.sparkSession, out)
+    for old in [v for v in versions(df.sparkSession, out) if v <= epoch][:-2]:
+        fs.delete(_fs(df.sparkSession, version_path(out, old))[1], True)
 
 
 def read_recent(spark: SparkSession, out: str) -> DataFrame:
+    """The newest version of a versioned table."""
     v = latest_version(spark, out)
     if v is None:
         raise FileNotFoundError(out)
     return spark.read.parquet(v)
 
 
+# S3
+def stream_event_total(events: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
+    """Running count of events as a one-row versioned table (``read_recent``)."""
+    total = events.agg(F.count(F.lit(1)).alias("streaming_events"))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        write_version(batch, out, epoch)
+
+    return _start_batches(total, write, ckpt, mode="complete", available_now=available_now)
+
+
+# S4
+def stream_recent(events: DataFrame, out: str, ckpt: str, n: int = 10, available_now: bool = True) -> StreamingQuery:
+    """Latest n events after every trigger: top-n of (kept n rows + batch),
+    written as a new version (idempotent when a batch is replayed)."""
+    order = [F.desc("timestamp"), F.desc("id")]
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        prev = latest_version(batch.sparkSession, out, before=epoch)  # a replayed batch rebuilds from the older version
+        cand = batch if prev is None else batch.unionByName(batch.sparkSession.read.parquet(prev))
+        write_version(cand.orderBy(*order).limit(n), out, epoch)
+
+    return _start_batches(risk_events(events).select(*SAFETY_EVENT_COLUMNS), write, ckpt, available_now=available_now)
+
+
 # S5
 def rolling_rms(events: DataFrame, watermark: str = "10 seconds") -> DataFrame:
     """3 s windows every 0.5 s per device over non-silent chunks."""
@@ -146,61 +165,68 @@ def rolling_rms(events: DataFrame, watermark: str = "10 seconds") -> DataFrame:
                     "device_id", "n", "mean_rms")
 
 
-def stream_rolling_rms(raw: DataFrame, out: str, ckpt: str, watermark: str = "10 seconds",
+def stream_rolling_rms(events: DataFrame, out: str, ckpt: str, watermark: str = "10 seconds",
                        available_now: bool = True) -> StreamingQuery:
-    return _start(rolling_rms(risk_events(raw), watermark), out, ckpt, available_now=available_now)
+    return _start(rolling_rms(events, watermark), out, ckpt, available_now=available_now)
 
 
 # S6
-def stream_dedup(raw: DataFrame, out: str, ckpt: str, watermark: str = "10 minutes",
-                 available_now: bool = True) -> StreamingQuery:
-    """Refuse repeated ids: the first event of an id within the watermark is kept."""
-    ev = risk_events(raw).withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["id"])
+def stream_dedup(events: DataFrame, out: str, ckpt: str, watermark: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Refuse repeated ids. By default for ever, against the keyed log ``out``
+    (as S1). With ``watermark``, only repeats within that event time of the
+    first are refused, in bounded state without reading the log."""
+    if watermark is None:
+        return stream_risk_log(events, out, ckpt, available_now=available_now)
+    ev = risk_events(events).select(*SAFETY_EVENT_COLUMNS).withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["id"])
     return _start(ev, out, ckpt, available_now=available_now)
 
 
 # S7
-def stream_hotspots(raw: DataFrame, out: str, ckpt: str, k: int = 10, seed: int = 1,
+def stream_hotspots(events: DataFrame, out: str, ckpt: str, k: int = 10, seed: int = 1,
                     available_now: bool = True) -> StreamingQuery:
-    """Hotspot centres updated per micro-batch: the first batch seeds the
-    centres with KMeans; later batches assign each danger event to its
-    nearest centre and move the centre to the count-weighted mean of its old
-    position and its new points. Centres (k rows) are written per batch id."""
+    """Hotspot centres updated per micro-batch, as a versioned table. Until k
+    located danger events are there they wait in the version (rows without
+    ``hotspot``); then KMeans seeds the centres with all of them. Later batches
+    assign each event to its nearest centre and move the centre to the
+    count-weighted mean of its old position and its new points, so the weights
+    always sum to the number of located danger events."""
     from vigil.operators.hotspots import assign_hotspot, geo_hotspots
 
-    events = risk_events(raw)
+    columns = ["hotspot", "latitude", "longitude", "weight"]
 
     def write(batch: DataFrame, epoch: int) -> None:
         pts = danger(batch).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        pts = pts.select("latitude", "longitude", "risk_level").persist()  # read by several actions below
+        prev = latest_version(batch.sparkSession, out, before=epoch)  # a replayed batch recomputes the same version
+        old = None if prev is None else batch.sparkSession.read.parquet(prev).select(*columns)
+        seeded = old is not None and not old.filter(F.col("hotspot").isNotNull()).isEmpty()
+        pts = pts.select("latitude", "longitude")
+        if not seeded and old is not None:
+            pts = pts.unionByName(old.select("latitude", "longitude"))
+        pts = pts.withColumn("risk_level", F.lit(K.DANGER)).persist()  # read by several actions below
         try:
-            update(pts, epoch)
+            new = moved(pts, old) if seeded else first(pts)
+            write_version(new.select(*columns).withColumn("batch_id", F.lit(epoch)), out, epoch)
         finally:
             pts.unpersist()
 
-    def update(pts: DataFrame, epoch: int) -> None:
-        spark = pts.sparkSession
-        prev = latest_version(spark, out, before=epoch)  # a replayed batch recomputes the same version
-        if prev is None:
-            if pts.limit(k).count() < k:
-                return  # not enough points to seed k centres yet
-            seeded = geo_hotspots(pts, k, seed)
-            counts = assign_hotspot(pts, seeded).groupBy("hotspot").agg(F.count(F.lit(1)).alias("weight"))
-            new = seeded.join(counts, on="hotspot", how="left").withColumn(
-                "weight", F.coalesce("weight", F.lit(0)))
-        else:
-            old = spark.read.parquet(prev)
-            upd = assign_hotspot(pts, old.select("hotspot", "latitude", "longitude")).groupBy("hotspot").agg(
-                F.sum("latitude").alias("_slat"), F.sum("longitude").alias("_slon"), F.count(F.lit(1)).alias("_n"))
-            j = old.join(upd, on="hotspot", how="left").fillna(0, subset=["_slat", "_slon", "_n"])
-            tot = F.col("weight") + F.col("_n")
-            new = j.select(
-                "hotspot",
-                F.when(tot > 0, (F.col("latitude") * F.col("weight") + F.col("_slat")) / tot)
-                 .otherwise(F.col("latitude")).alias("latitude"),
-                F.when(tot > 0, (F.col("longitude") * F.col("weight") + F.col("_slon")) / tot)
-                 .otherwise(F.col("longitude")).alias("longitude"),
-                tot.cast("long").alias("weight"))
-        new.withColumn("batch_id", F.lit(epoch)).write.mode("overwrite").parquet(f"{out.rstrip('/')}/v={epoch}")
-
-    return _start_batches(events, write, ckpt, available_now=available_now)
+    def first(pts: DataFrame) -> DataFrame:
+        if pts.limit(k).count() < k:  # fewer than k rows wait
+            return pts.select(F.lit(None).cast("int").alias("hotspot"), "latitude", "longitude", F.lit(1).cast("long").alias("weight"))
+        centres = geo_hotspots(pts, k, seed)
+        counts = assign_hotspot(pts, centres).groupBy("hotspot").agg(F.count(F.lit(1)).alias("weight"))
+        return centres.join(counts, on="hotspot", how="left").withColumn("weight", F.coalesce("weight", F.lit(0)))
+
+    def moved(pts: DataFrame, old: DataFrame) -> DataFrame:
+        upd = assign_hotspot(pts, old.select("hotspot", "latitude", "longitude")).groupBy("hotspot").agg(
+            F.sum("latitude").alias("_slat"), F.sum("longitude").alias("_slon"), F.count(F.lit(1)).alias("_n"))
+        j = old.join(upd, on="hotspot", how="left").fillna(0, subset=["_slat", "_slon", "_n"])
+        tot = F.col("weight") + F.col("_n")
+        mean = lambda c, s: F.when(tot > 0, (F.col(c) * F.col("weight") + F.col(s)) / tot).otherwise(F.col(c)).alias(c)
+        return j.select("hotspot", mean("latitude", "_slat"), mean("longitude", "_slon"), tot.cast("long").alias("weight"))
+
+    return _start_batches(risk_events(events), write, ckpt, available_now=available_now)
+
+
+def read_hotspots(spark: SparkSession, out: str) -> DataFrame:
+    """The newest centres (none while events still wait for seeding)."""
+    return read_recent(spark, out).filter(F.col("hotspot").isNotNull())
