@@ -57,7 +57,7 @@ def main() -> None:
 
     def drift_js():
         a, b = A.inference_log(spark, SF_DIR), X.danger(A.safety_events(spark, SF_DIR))
-        materialise(D.drift_frames(a, b, "inference_of_emotion", "emotion")["js"])
+        materialise(D.drift_frames(a, b, "inference_of_emotion", "emotion", names=("log", "events"))["js"])
 
     from vigil.operators.risk import row_count
     from vigil.sources.files import convert_folder, size_report, sql_row_count

@@ -72,7 +72,7 @@ def side(spark, labels):
 
 
 def metrics(spark, a, b):
-    f = D.drift_frames(side(spark, a), side(spark, b))
+    f = D.drift_frames(side(spark, a), side(spark, b), names=("tess", "synth"))
     return f["js"].first()[0], f["l1"].first()[0], [r.alert for r in f["alerts"].orderBy("alert_index").collect()]
 
 
@@ -92,16 +92,16 @@ def test_sample_size_warning_edge(spark):
 
 def test_unknown_share_and_symmetry(spark):
     a, b = ["fear"] * 90 + ["weird"] * 10, ["fear"] * 100
-    f = D.drift_frames(side(spark, a), side(spark, b))
+    f = D.drift_frames(side(spark, a), side(spark, b), names=("tess", "synth"))
     u = f["unknown"].first()
     assert (u.unknown_a, u.unknown_b, u.abs_drift) == (0.1, 0.0, 0.1)
     js_ab = f["js"].first()[0]
-    js_ba = D.drift_frames(side(spark, b), side(spark, a))["js"].first()[0]
+    js_ba = D.drift_frames(side(spark, b), side(spark, a), names=("tess", "synth"))["js"].first()[0]
     assert math.isclose(js_ab, js_ba, abs_tol=1e-12) and 0 <= js_ab <= 1
 
 
 def test_drift_report_json(spark, tmp):
-    rep = D.drift_report(side(spark, ["fear", "sad"] * 100), side(spark, ["fear"] * 150))
+    rep = D.drift_report(side(spark, ["fear", "sad"] * 100), side(spark, ["fear"] * 150), names=("tess", "synth"))
     path = I.write_report_json(rep, os.path.join(tmp, "report"))
     files = [f for f in os.listdir(path) if f.endswith(".json")]
     doc = json.loads(open(os.path.join(path, files[0])).read())

@@ -27,5 +27,5 @@ def test_readme_example(spark, tmp):
     logs = I.ingest_logs(spark, [os.path.join(tmp, "a.csv"), os.path.join(tmp, "b.csv")], ref_date="2026-03-01")
     assert L.transition_matrix(X.classify(logs)).count() > 0
     rep = D.drift_report(I.read_log_csv(spark, os.path.join(tmp, "a.csv")),
-                         I.read_log_csv(spark, os.path.join(tmp, "b.csv"))).first()
+                         I.read_log_csv(spark, os.path.join(tmp, "b.csv")), names=("tess", "synth")).first()
     assert rep.sizes.tess_n == 3 and rep.sizes.synth_n == 3

@@ -50,8 +50,8 @@ def test_ties_go_to_smallest_hour_and_first_name(spark):
 
 def test_pivots_fill_zero(spark):
     df = ev(spark, [("2026-03-01 05:00:00", "sad", D, 1.0, 1.0), ("2026-03-01 06:00:00", "fear", S, 1.0, 1.0)])
-    assert rows(R.emotion_risk_pivot(df)) == [("fear", 0, 0, 1), ("sad", 1, 0, 0)]
-    assert rows(R.hourly_risk_pivot(df)) == [(5, 1, 0, 0), (6, 0, 0, 1)]
+    assert rows(R.emotion_risk_pivot(df)) == [("fear", 0, 0, 1, 0), ("sad", 1, 0, 0, 0)]
+    assert rows(R.hourly_risk_pivot(df)) == [(5, 1, 0, 0, 0), (6, 0, 0, 1, 0)]
 
 
 def test_build_cubes_from_one_pass(spark, tmp):

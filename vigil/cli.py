@@ -1,7 +1,7 @@
 """Command-line jobs: ``python -m vigil.cli <job> ...`` (or spark-submit).
 
 validate  validation gate over log files: JSON report, exit code 0 / 1
-drift     label drift between two logs: JSON report, console summary
+drift     label drift between two logs: JSON report
 cubes     the five OLAP cubes from an event table (CSV or Parquet)
 convert   every CSV of a folder to Parquet
 summary   one-row summary report as CSV (streaming total read if present)
@@ -22,7 +22,7 @@ def _session() -> SparkSession:
     spark = SparkSession.builder.appName("vigil").getOrCreate()
     for k, v in {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true",
                  "spark.sql.adaptive.skewJoin.enabled": "true"}.items():
-        spark.conf.set(k, v)
+        spark.conf.set(k, v)  # cleaning of checkpoint files is the cluster's own setting
     from vigil.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
@@ -43,7 +43,8 @@ def cmd_validate(a) -> int:
     runs, overall = Q.validate_all(spark, a.paths, strict=not a.non_strict, allow_extra=a.allow_extra_columns)
     as_objects = runs.select(  # checks and diagnostics as name -> value objects in the JSON
         "file", "success", "error", F.map_from_entries("checks").alias("checks"),
-        F.map_from_entries("diagnostics").alias("diagnostics"))
+        F.map_from_entries("diagnostics").alias("diagnostics"), "columns", "missing_columns", "extra_columns",
+        "top_invalid_labels", "sample_invalid_rows")
     report = as_objects.agg(F.collect_list(F.struct(*as_objects.columns)).alias("runs")).crossJoin(overall).select(
         F.lit(a.suite).alias("suite"), F.lit(not a.non_strict).alias("strict"),
         F.lit(bool(a.allow_extra_columns)).alias("allow_extra_columns"), "runs", "overall_success")
@@ -60,22 +61,14 @@ def cmd_drift(a) -> int:
     from vigil.sources.files import read_log_csv, write_report_json
 
     spark = _session()
-    x, y = read_log_csv(spark, a.tess), read_log_csv(spark, a.synth)
-    rep = D.drift_report(x, y, per_label=a.per_label_threshold, js_threshold=a.js_threshold,
-                         min_rows=a.min_rows_warn)
-    rep = rep.select(F.struct(F.lit(a.tess).alias("tess_path"), F.lit(a.synth).alias("synth_path")).alias("inputs"),
-                     "*").persist()
+    x, y = read_log_csv(spark, a.first), read_log_csv(spark, a.second)
+    rep = D.drift_report(x, y, per_label=a.per_label, js_threshold=a.js, min_rows=a.min_rows, names=tuple(a.names))
+    paths = F.struct(*[F.lit(p).alias(f"{name}_path") for p, name in zip((a.first, a.second), a.names)])
+    rep = rep.select(paths.alias("inputs"), "*").persist()
     if a.out:
         write_report_json(rep, a.out)
-    r = rep.first()
-    print(f"TESS n={r.sizes.tess_n} | SYNTH n={r.sizes.synth_n}")
-    print(f"JS divergence: {r.metrics.js_divergence:.3f}")
-    print(f"L1 distance:  {r.metrics.l1_distance:.3f}")
-    print(f"Unknown-label drift: {r.unknown_share.abs_drift:.3f}")
-    print("Per-label abs drift:")
-    for lab in K.VALID_LABELS:
-        print(f"  {lab:8s} {r.per_label_abs_drift[lab]:.2%}")
-    print("\n".join(r.alerts) if r.alerts else "No alerts. Drift within thresholds.")
+    row = rep.first()
+    print(row.asDict(recursive=True)["alerts"])
     return 0
 
 
@@ -104,7 +97,9 @@ def cmd_summary(a) -> int:
     spark = _session()
     stream = None
     if a.stream_total and _exists(spark, a.stream_total):
-        stream = spark.read.parquet(a.stream_total)
+        from vigil.streaming.jobs import read_recent
+
+        stream = read_recent(spark, a.stream_total)
     rep = summary_report(_events(spark, a.events))
     if stream is not None:  # the streaming job keeps a one-row running total
         rep = rep.drop("streaming_events").crossJoin(stream.select(F.col("streaming_events").cast("long")))
@@ -124,11 +119,12 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--suite", default="integrity_suite")
     v.set_defaults(fn=cmd_validate)
     d = sub.add_parser("drift")
-    d.add_argument("--tess", required=True)
-    d.add_argument("--synth", required=True)
-    d.add_argument("--per_label_threshold", type=float, default=K.DRIFT_PER_LABEL)
-    d.add_argument("--js_threshold", type=float, default=K.DRIFT_JS)
-    d.add_argument("--min_rows_warn", type=int, default=K.DRIFT_MIN_ROWS)
+    d.add_argument("first")
+    d.add_argument("second")
+    d.add_argument("--names", nargs=2, default=["first", "second"])
+    d.add_argument("--per-label", type=float, default=K.DRIFT_PER_LABEL)
+    d.add_argument("--js", type=float, default=K.DRIFT_JS)
+    d.add_argument("--min-rows", type=int, default=K.DRIFT_MIN_ROWS)
     d.add_argument("--out", default="drift_report")
     d.set_defaults(fn=cmd_drift)
     c = sub.add_parser("cubes")

@@ -7,9 +7,9 @@ them; never retype them elsewhere.
 """
 
 # --- fixed values: risk levels and MQTT signals -----------------------------
-DANGER = "\U0001F6A8 DANGER"          # "🚨 DANGER"
-CAUTION = "⚠️ CAUTION"      # "⚠️ CAUTION" (warning sign + variation selector 16)
-SAFE = "✅ SAFE"                  # "✅ SAFE"
+DANGER = "🚨 DANGER"
+CAUTION = "⚠️ CAUTION"  # warning sign and variation selector 16
+SAFE = "✅ SAFE"
 RISK_LEVELS = [DANGER, CAUTION, SAFE]
 
 SIGNAL_DANGER = "D"
@@ -57,6 +57,13 @@ DRIFT_UNKNOWN = 0.05
 DRIFT_MIN_ROWS = 200
 JS_EPS = 1e-12
 
+# --- fixed values: drift alert texts (fields are filled in by the report) ------
+ALERT_FEW_ROWS = "WARNING: {side} sample size low (n={n})"
+ALERT_LABELS = "ALERT: per-label drift > {percent} for [{labels}]"
+ALERT_UNKNOWN = "ALERT: unknown-label share drift is high (check label normalization / new classes)"
+ALERT_JS = "ALERT: JS divergence {js} > {threshold}"
+FILE_MISSING = "CRITICAL ERROR: File {path} not found!"
+
 # --- fixed values: signal processing -----------------------------------------
 SILENCE_RMS = 0.01
 SHORT_CLIP_SECONDS = 0.1
@@ -97,7 +104,7 @@ GEO_BUCKET_SCALE = 10
 KM_PER_DEGREE = 111.0
 
 # --- fixed values: safety status texts ----------------------------------------
-STATUS_UNSAFE = "UNSAFE \U0001F6A8"
+STATUS_UNSAFE = "UNSAFE 🚨"
 STATUS_SAFE = "SAFE ✅"
 STATUS_FILTERED = "SAFE ✅ (Filtered Noise)"
 VERDICT_DANGER_FEAR = "Fear"

@@ -139,9 +139,12 @@ def cube_explorer(spark: SparkSession, path: str | None = None, cube: DataFrame
 
 # A15
 def hour_emotion_pivot(cube: DataFrame, emotions=K.MODEL_CLASSES) -> DataFrame:
-    """hour x emotion table of summed counts, empty cells 0 (fixed emotion list)."""
+    """hour x emotion table of summed counts, empty cells 0; emotions outside
+    the fixed list, and null, are summed in ``other``."""
+    known = F.coalesce(F.col("emotion").isin(*emotions), F.lit(False))
     cols = [F.coalesce(F.sum(F.when(F.col("emotion") == F.lit(e), F.col("count"))), F.lit(0)).cast("long").alias(e)
             for e in emotions]
+    cols.append(F.coalesce(F.sum(F.when(~known, F.col("count"))), F.lit(0)).cast("long").alias("other"))
     return cube.groupBy("hour").agg(*cols).orderBy(F.asc_nulls_last("hour"))
 
 

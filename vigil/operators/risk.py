@@ -51,8 +51,9 @@ def emotion_risk(df: DataFrame) -> DataFrame:
 
 
 def _risk_columns():
-    # pivot on the three fixed literals: one pass, no distinct-values job
-    return [F.count_if(F.col("risk_level") == F.lit(r)).alias(r) for r in K.RISK_LEVELS]
+    # pivot on the three fixed literals, any other level (or none) in ``other``: one pass, no distinct-values job
+    known = F.coalesce(F.col("risk_level").isin(*K.RISK_LEVELS), F.lit(False))
+    return [F.count_if(F.col("risk_level") == F.lit(r)).alias(r) for r in K.RISK_LEVELS] + [F.count_if(~known).alias("other")]
 
 
 def emotion_risk_pivot(df: DataFrame) -> DataFrame:

@@ -48,5 +48,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules fills the registry
     from vigil.plans import (  # noqa: F401
-        q_corpus, q_events, q_layout, q_logs, q_quality, q_signals, q_sources, q_streams,
+        q_chains, q_corpus, q_events, q_layout, q_logs, q_quality, q_signals, q_sources, q_streams,
     )

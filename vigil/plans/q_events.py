@@ -16,6 +16,7 @@ from vigil.schema import SAFETY_EVENT_COLUMNS
 W = with_(SE)
 HOUR = 'CAST(hour("timestamp") AS INTEGER)'
 RISK_COLS = ", ".join(f"count_if(risk_level = '{r}') AS \"{r}\"" for r in (DANGER, CAUTION, SAFE))
+RISK_COLS += f", count_if(NOT coalesce(risk_level IN ('{DANGER}', '{CAUTION}', '{SAFE}'), false)) AS other"
 
 
 def se(spark, d):
@@ -180,6 +181,8 @@ def q_cube_explorer(spark, d):
 
 PIVOT_COLS = ", ".join(f"CAST(coalesce(sum(CASE WHEN emotion = '{e}' THEN count END), 0) AS BIGINT) AS \"{e}\""
                        for e in X.K.MODEL_CLASSES)
+PIVOT_COLS += (", CAST(coalesce(sum(CASE WHEN NOT coalesce(emotion IN (" + ", ".join(f"'{e}'" for e in X.K.MODEL_CLASSES)
+               + "), false) THEN count END), 0) AS BIGINT) AS other")
 
 
 @register("hour_emotion_pivot", W + f", cube AS ({HER_SQL})\nSELECT hour, {PIVOT_COLS} FROM cube GROUP BY hour")

@@ -57,7 +57,7 @@ def q_validation_verdict(spark, d):
 
 TIME_OK = " AND ".join(
     f"try_strptime(trim(\"time\"), '{f}') IS NULL" for f in
-    ["%Y-%m-%d %H:%M:%S", "%Y/%m/%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%m/%d/%Y %H:%M:%S", "%m-%d-%Y %H:%M:%S",
+    ["%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%m/%d/%Y %H:%M:%S", "%m-%d-%Y %H:%M:%S",
      "%d/%m/%Y %H:%M:%S", "%d-%m-%Y %H:%M:%S", "%d.%m.%Y %H:%M:%S", "%H:%M:%S"])
 
 
@@ -104,13 +104,24 @@ def q_duplicate_ids(spark, d):
 
 
 # ---- drift: inference log (side a) vs emotions of danger events (side b) ----------------
+NAMES = ("log", "events")
+
+
+def alert_sql(text: str, **fields: str) -> str:
+    """A fixed alert text as SQL, its fields replaced by SQL expressions."""
+    out = "'" + text.replace("'", "''") + "'"
+    for name, value in fields.items():
+        out = f"replace({out}, '{{{name}}}', CAST({value} AS VARCHAR))"
+    return out
+
+
 def sides(spark, d):
     return A.inference_log(spark, d), X.danger(A.safety_events(spark, d))
 
 
 def frames(spark, d):
     a, b = sides(spark, d)
-    return D.drift_frames(a, b, "inference_of_emotion", "emotion")
+    return D.drift_frames(a, b, "inference_of_emotion", "emotion", names=NAMES)
 
 
 WD = with_(SE, IL) + f""", da AS (SELECT label, count(*) AS count FROM (SELECT {canon('inference_of_emotion')} AS label FROM il) GROUP BY 1),
@@ -168,11 +179,11 @@ def q_l1_distance(spark, d):
 r AS (SELECT (SELECT sum(count) FROM da) AS na, (SELECT sum(count) FROM db) AS nb, hl, hn,
              (SELECT abs_drift FROM unk2) AS ud, (SELECT js_divergence FROM js) AS jsv FROM h),
 al2 AS (
-  SELECT 0 AS alert_index, CASE WHEN na < {K.DRIFT_MIN_ROWS} THEN 'WARNING: tess sample size low (n=' || CAST(na AS VARCHAR) || ')' END AS alert FROM r
-  UNION ALL SELECT 1, CASE WHEN nb < {K.DRIFT_MIN_ROWS} THEN 'WARNING: synth sample size low (n=' || CAST(nb AS VARCHAR) || ')' END FROM r
-  UNION ALL SELECT 2, CASE WHEN hn > 0 THEN 'ALERT: per-label drift > 20% for [' || hl || ']' END FROM r
-  UNION ALL SELECT 3, CASE WHEN ud > {K.DRIFT_UNKNOWN}::DOUBLE THEN 'ALERT: unknown-label share drift is high (check label normalization / new classes)' END FROM r
-  UNION ALL SELECT 4, CASE WHEN jsv > {K.DRIFT_JS}::DOUBLE THEN printf('ALERT: JS divergence %.3f > 0.100', jsv) END FROM r)
+  SELECT 0 AS alert_index, CASE WHEN na < {K.DRIFT_MIN_ROWS} THEN {alert_sql(K.ALERT_FEW_ROWS, side=f"'{NAMES[0]}'", n="na")} END AS alert FROM r
+  UNION ALL SELECT 1, CASE WHEN nb < {K.DRIFT_MIN_ROWS} THEN {alert_sql(K.ALERT_FEW_ROWS, side=f"'{NAMES[1]}'", n="nb")} END FROM r
+  UNION ALL SELECT 2, CASE WHEN hn > 0 THEN {alert_sql(K.ALERT_LABELS, percent="'20%'", labels="hl")} END FROM r
+  UNION ALL SELECT 3, CASE WHEN ud > {K.DRIFT_UNKNOWN}::DOUBLE THEN {alert_sql(K.ALERT_UNKNOWN)} END FROM r
+  UNION ALL SELECT 4, CASE WHEN jsv > {K.DRIFT_JS}::DOUBLE THEN {alert_sql(K.ALERT_JS, js="printf('%.3f', jsv)", threshold="'0.100'")} END FROM r)
 SELECT alert_index, alert FROM al2 WHERE alert IS NOT NULL""")
 def q_drift_alerts(spark, d):
     return frames(spark, d)["alerts"]
@@ -182,4 +193,4 @@ def q_drift_alerts(spark, d):
 def q_drift_report(spark, d):
     """One-row drift report (sizes, counts, shares, metrics, alerts); rows check."""
     a, b = sides(spark, d)
-    return D.drift_report(a, b, "inference_of_emotion", "emotion")
+    return D.drift_report(a, b, "inference_of_emotion", "emotion", names=NAMES)
