@@ -27,17 +27,17 @@ def main() -> None:
     spark = local_session(8, 8)
     log = read_events(spark, write_parquet(A.safety_events(spark, sf), scratch_path(spark, "plans-log")))
     hl = X.classify(A.harmonised_log(spark, sf))
-    f = D.drift_frames(A.inference_log(spark, sf), X.danger(log), "inference_of_emotion", "emotion")
+    f = D.drift_frames(A.inference_log(spark, sf), X.danger(log), "inference_of_emotion", "emotion", names=("log", "events"))
     cases = {
         "danger events, two columns (X1)": X.danger(log).select("id", "latitude"),
         "risk score by emotion (J1)": R.risk_score_by_emotion(log),
         "summary report (A11)": R.summary_report(log),
         "cube cells, one pass (C6)": C.cube_aggregate(log),
         "transition matrix (W2)": L.transition_matrix(hl),
-        "drift alerts after the label checkpoint (D5)": f["alerts"],
+        "drift alerts (D5)": f["alerts"],
         "threat verdict (W8)": WN.threat_verdict(A.window_scores(spark, sf)),
         "corpus manifest, no shuffle (M1)": M.corpus_manifest(A.corpus_paths(spark, sf)),
-        "range-partitioned scan feeding the lag pass (W1, before its checkpoint)": _range_sorted(
+        "range-partitioned scan feeding global positions (M9, before its checkpoint)": _range_sorted(
             hl.select("id", "timestamp", "inference", "class"), ["id", "timestamp", "inference"], None),
     }
     out = ["# Physical plans of the headline queries", "",

@@ -15,7 +15,7 @@ def test_previous_class_drops_first_row_per_id(spark):
     df = log(spark, [("solo", "2026-03-01 00:00:00", "Fear", "U"),
                      ("d", "2026-03-01 00:00:00", "Fear", "U"), ("d", "2026-03-01 00:01:00", "Calm", "S"),
                      ("d", "2026-03-01 00:02:00", "Fear", "U")])
-    out = L.with_previous_class(df, partitions=3)
+    out = L.with_previous_class(df)
     assert rows(out, "id", "prev_class", "class") == [("d", "S", "U"), ("d", "U", "S")]
 
 
@@ -26,24 +26,24 @@ def test_equal_timestamps_break_on_inference(spark):
 
 def test_transition_rows_sum_to_one(spark):
     data = [("d%d" % (i % 3), "2026-03-01 00:%02d:00" % i, "L", "ABC"[(i * 7) % 3]) for i in range(60)]
-    tm = L.transition_matrix(log(spark, data), partitions=5)
+    tm = L.transition_matrix(log(spark, data))
     sums = tm.groupBy("prev_class").agg(F.sum("prob").alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-12 for r in sums)
     assert tm.agg(F.sum("n")).first()[0] == 57  # 60 rows, first row of 3 ids dropped
 
 
 def test_lag_with_hot_key_matches_window(spark):
-    # one id holds most rows; the range split spreads it over many partitions
+    # one id holds most rows; its windows are split by bucket
     data = [("hot" if i % 10 else "c%d" % (i % 7), i, "v%d" % (i % 4)) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, t long, v string")
-    got = lag_by_group(df, ["g"], ["t"], ["v"], partitions=16)
+    got = lag_by_group(df, ["g"], ["t"], ["v"], F.floor(F.col("t") / 50))
     want = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("g").orderBy("t")))
     assert rows(got, "g", "t", "v", "prev_v") == rows(want, "g", "t", "v", "prev_v")
 
 
 def test_lag_with_empty_partitions(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "g string, t long, v string")
-    got = lag_by_group(df, ["g"], ["t"], ["v"], partitions=12)
+    got = lag_by_group(df, ["g"], ["t"], ["v"], F.floor(F.col("t") / 50))
     assert rows(got, "t", "prev_v") == [(1, None), (2, "x")]
 
 
@@ -70,24 +70,35 @@ def test_status_share_and_union(spark):
 
 
 def test_identical_copies_are_split_and_counted(spark):
-    from vigil.operators.ordered import _range_sorted, lag_pair_counts
+    from vigil.operators.ordered import lag_pair_counts
 
     # a third of the rows are copies of one (group, time, value) row
     data = [("hot", 5, "x")] * 1500 + [("hot", i, "xy"[i % 2]) for i in range(1500) if i != 5] + \
-           [("g%d" % (i % 5), i, "yz"[i % 2]) for i in range(1500)]
+           [("g%d" % (i % 5), i // 5, "yz"[i % 2]) for i in range(1500)]
     df = spark.createDataFrame(data, "g string, t long, v string")
-    spread = _range_sorted(df, ["g", "t"], 12).filter("g = 'hot' AND t = 5").select(
-        F.spark_partition_id().alias("p")).distinct().count()
-    assert spread > 1
-    got = lag_pair_counts(df, ["g"], ["t"], "v", partitions=12).filter("prev IS NOT NULL")
-    want = (df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t")))
+    bucket = F.floor(F.col("t") / 100)
+    got = lag_pair_counts(df, ["g"], ["t"], "v", bucket).filter("prev IS NOT NULL")
+    want = (df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t", "v")))
               .filter("prev IS NOT NULL").groupBy("prev", F.col("v").alias("cur")).agg(F.count("*").alias("n")))
     assert rows(got, "prev", "cur", "n") == rows(want, "prev", "cur", "n")
+    each = lag_by_group(df, ["g"], ["t"], ["v"], bucket)
+    assert each.count() == len(data)
+    assert rows(each.filter("prev_v IS NOT NULL").groupBy("prev_v", "v").count(), "prev_v", "v", "count") == rows(want, "prev", "cur", "n")
+    # a window holds one bucket of the hot group's distinct rows, not the group
+    largest = df.distinct().groupBy("g", bucket.alias("b")).count().agg(F.max("count")).first()[0]
+    assert largest <= 100
+
+
+def test_far_dates_and_null_times(spark):
+    df = log(spark, [("d", "0001-01-01 00:00:00", "A", "x"), ("d", "9999-12-31 23:59:59", "B", "y"), ("d", None, "C", "z"),
+                     (None, "2026-03-01 00:00:00", "A", "x"), (None, "2026-03-02 00:00:00", "A", "y")])
+    assert rows(L.with_previous_class(df), "id", "prev_class", "class") == [("d", "x", "y"), ("d", "z", "x"), (None, "x", "y")]
+    assert "Python" not in L.transition_matrix(df)._jdf.queryExecution().toString()
 
 
 def test_lag_numeric_values_stay_null(spark):
     df = spark.createDataFrame([("a", 1, 1.5), ("a", 2, 2.5), ("b", 1, 7.0)], "g string, t long, v double")
-    got = lag_by_group(df, ["g"], ["t"], ["v"], partitions=2)
+    got = lag_by_group(df, ["g"], ["t"], ["v"], F.floor(F.col("t") / 50))
     assert rows(got, "g", "t", "prev_v") == [("a", 1, None), ("a", 2, 1.5), ("b", 1, None)]
 
 

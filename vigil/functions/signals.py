@@ -1,8 +1,9 @@
 """Signal measures on ``array<double>`` sample columns.
 
 All are higher-order array expressions (``aggregate``, ``transform``,
-``filter``, ``slice``), evaluated per row inside codegen; one clip is one
-row, so nothing here shuffles. Sums run in index order.
+``filter``, ``slice``), evaluated in the JVM row by row (Spark interprets
+lambdas, outside generated code); one clip is one row, so nothing here
+shuffles. Sums run in index order.
 """
 
 from __future__ import annotations

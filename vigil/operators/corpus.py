@@ -15,11 +15,10 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import constants as K
-from vigil.operators.joins import broadcast_if_small
 from vigil.operators.ordered import global_position
 
 
@@ -143,11 +142,11 @@ def corpus_manifest_safety(paths: DataFrame) -> DataFrame:
 def encode_labels(df: DataFrame, label: str = "label", out: str = "label_id") -> DataFrame:
     """label -> 0-based id in alphabetical order: the distinct labels get
     their position in sorted order (a range-partitioned ranking, no single
-    task), and the code table goes back to the rows by a join that is
-    broadcast after its size is checked."""
+    task), and the code table goes back to the rows by a join that Spark
+    broadcasts if its bytes are few."""
     codes = df.select(label).distinct().filter(F.col(label).isNotNull())
     codes = global_position(codes, [label], out="_pos").select(label, F.col("_pos").cast("int").alias(out))
-    return df.join(broadcast_if_small(codes), on=label, how="left")
+    return df.join(codes, on=label, how="left")
 
 
 # A23
@@ -159,16 +158,24 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
 def stratified_split(df: DataFrame, test_share: float = 0.2, seed: int = 42, label: str = "label",
                      key: str = "path") -> DataFrame:
     """Repeatable split with round(test_share * n) rows of every label in
-    'test': rows are ranked inside their label by a seeded hash of the key.
-    Ranks come from a range-partitioned global order, so a label holding
-    most rows is spread over many tasks."""
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    pos = global_position(h, [label, "_h", key], out="_row")
-    per = pos.groupBy(label).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    per = per.withColumn("_k", F.floor(F.col("_n") * F.lit(float(test_share)) + F.lit(0.5)))
-    j = pos.join(broadcast_if_small(per), on=label, how="inner")  # one row per label, size checked
-    split = F.when(F.col("_row") - F.col("_first") < F.col("_k"), F.lit("test")).otherwise(F.lit("train"))
-    return j.withColumn("split", split).drop("_h", "_row", "_first", "_n", "_k")
+    'test': the rows with the smallest seeded hashes of their key.
+
+    No order over the table is needed: rows are counted per label and bucket
+    of the hash (the top 12 bits), the bucket where the cut falls is found from
+    those counts, and only the rows of that bucket are ranked."""
+    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("_b", F.shiftright(F.col("_h"), 52))
+    counts = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    up_to = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= 4096 rows a label
+    everything = Window.partitionBy(label)
+    cuts = counts.select(label, "_b", "_n", F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_before"),
+                         F.floor(F.sum("_n").over(everything) * F.lit(float(test_share)) + F.lit(0.5)).alias("_k"))
+    cuts = cuts.select(F.col(label).alias("_l"), F.col("_b").alias("_c"), F.greatest(F.col("_k") - F.col("_before"), F.lit(0)).alias("_take"), "_n")
+    j = h.join(cuts, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_c"))).drop("_l", "_c")
+    cut_bucket = (F.col("_take") > 0) & (F.col("_take") < F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
+    ranked = j.where(cut_bucket).withColumn("split", F.when(rank <= F.col("_take"), F.lit("test")).otherwise(F.lit("train")))
+    whole = j.where(~cut_bucket).withColumn("split", F.when(F.col("_take") > 0, F.lit("test")).otherwise(F.lit("train")))
+    return whole.unionByName(ranked).drop("_h", "_b", "_take", "_n")
 
 
 # M6

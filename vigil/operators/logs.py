@@ -1,9 +1,10 @@
 """Harmonised inference logs: counts, trends and class transitions
 (A16-A21, W1-W3, U1).
 
-Input: (id, timestamp, inference[, class]). The transition operators use
-``vigil.operators.ordered.lag_by_group`` rather than a window partitioned
-by device id, so one very busy device does not land in a single task.
+Input: (id, timestamp, inference[, class]). The transition operators use the
+lag of ``vigil.operators.ordered``, whose windows are split by hour, rather than
+a window partitioned by device id, so one very busy device does not land in a
+single task.
 """
 
 from __future__ import annotations
@@ -68,21 +69,21 @@ def device_ids(df: DataFrame) -> DataFrame:
 
 
 # W1 / W2 / W3
-def with_previous_class(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Previous class of the same id in time order (ties: inference text);
-    the first row of every id is dropped."""
-    cols = ["id", "timestamp", "inference", "class"]
-    lagged = lag_by_group(df.select(*cols), ["id"], ["timestamp", "inference"], ["class"], partitions=partitions)
-    return lagged.filter(F.col("prev_class").isNotNull()).select("id", "timestamp", "prev_class", "class")
+def _hour():
+    return F.date_trunc("hour", F.col("timestamp"))
+
 
+def with_previous_class(df: DataFrame) -> DataFrame:
+    """Previous class of the same id in time order (ties: inference text,
+    then class); the first row of every id is dropped."""
+    lagged = lag_by_group(df, ["id"], ["timestamp", "inference"], ["class"], _hour())
+    return lagged.filter(F.col("prev_class").isNotNull()).select("id", "timestamp", "prev_class", "class")
 
-def transition_matrix(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """n per (prev_class, class) and its share of the source class.
 
-    Pairs are counted inside each range partition (no row-level output is
-    materialised); the share window runs over the matrix (classes^2 rows)."""
-    pairs = lag_pair_counts(df.select("id", "timestamp", "inference", "class"), ["id"], ["timestamp", "inference"],
-                            "class", partitions=partitions)
+def transition_matrix(df: DataFrame) -> DataFrame:
+    """n per (prev_class, class) and its share of the source class; the share
+    window runs over the matrix (classes^2 rows)."""
+    pairs = lag_pair_counts(df, ["id"], ["timestamp", "inference"], "class", _hour())
     pairs = pairs.filter(F.col("prev").isNotNull()).select(F.col("prev").alias("prev_class"),
                                                            F.col("cur").alias("class"), "n")
     w = Window.partitionBy("prev_class")

@@ -1,51 +1,86 @@
-"""Skew-safe ordered scans: global position and per-group lag.
-
-A window ``partitionBy(key).orderBy(t)`` sends every row of a key to one
-task; with a key that holds a third of the rows that task holds a third of
-the table. These helpers instead range-partition on the *full* sort key
-(group keys + order keys), which splits a hot key over as many partitions
-as its rows need, sort within partitions, and then repair the only thing a
-range split breaks: the rows at partition edges. The repair tables hold one
-or two rows per partition, a size bound fixed by the partition count, so
-they are broadcast.
-
-Results are checkpointed into ``spark.checkpoint.dir`` so the per-partition
-tags stay stable if an executor is lost and a stage is recomputed. The
-checkpoint matters for correctness too: two separately planned range
-exchanges over the same rows may sample different boundaries (the sampling
-seed includes the RDD id), so every consumer reads the one materialised
-partitioning.
+"""Skew-safe ordered scans: lag by group and global position.
+
+A window ``partitionBy(key).orderBy(t)`` sends every row of a key to one task;
+a key that holds a third of the rows makes that task hold a third of the table.
+
+*Lag.* The window is partitioned by (key, time bucket), which splits a hot key
+over its buckets; the one thing a bucket lacks, the last row before it, comes
+from a small table of one row per (key, bucket), aggregated with ``max_by``
+(partially, before the shuffle). Equal rows are counted first, so a pile of
+copies is one row in its window. Everything is built-in Spark functions.
+
+*Global position.* Rows are range-partitioned on the full sort key and
+numbered per partition; the offsets are one row per partition. The numbered
+rows are checkpointed into ``spark.checkpoint.dir``: two separately planned
+range exchanges may sample different boundaries, so both the counts and the
+rows must read the one materialised partitioning.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from vigil.session import ensure_checkpoint_dir, partitions_for
 
+from vigil.session import ensure_checkpoint_dir
 
 TIE = "__tie"
 
 
-def _range_sorted(df: DataFrame, keys: Sequence[str], partitions: int | None, tiebreak: bool = True) -> DataFrame:
-    """Range-partition and sort on ``keys``. With ``tiebreak`` the input
-    position is appended to the key: rows with equal keys keep their input
-    order (a stable sort), and a pile of identical keys can still be split
-    over several partitions. The position is taken before the exchange, so
-    a retried task reads the same split and produces the same values."""
-    n = partitions or partitions_for(df.sparkSession, df)
-    if tiebreak:
-        df = df.withColumn(TIE, F.monotonically_increasing_id())
-        keys = list(keys) + [TIE]
-    order = [F.col(k).asc_nulls_first() for k in keys]
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+# --- lag ------------------------------------------------------------------------
+def _lagged(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str], bucket: Column) -> DataFrame:
+    """Distinct (group, order, value) rows with their number ``_n`` and the
+    struct ``_prev`` of the values before them (null on a group's first row)."""
+    rows = (df.groupBy(*group_cols, *order_cols, *[v for v in value_cols if v not in order_cols]).agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_bucket", bucket))
+    values = F.struct(*[F.col(v).alias(v) for v in value_cols])
+    place = F.struct(*[F.col(c) for c in order_cols], *[F.col(v).alias(f"_v_{v}") for v in value_cols])
+    last = rows.groupBy(*group_cols, "_bucket").agg(F.max_by(values, place).alias("_last"))
+    before = Window.partitionBy(*group_cols).orderBy(F.asc_nulls_first("_bucket"))  # one row per group and bucket
+    carry = last.withColumn("_carry", F.lag("_last").over(before)).where(F.col("_carry").isNotNull())
+    both = rows.withColumn("_vals", values).withColumn("_is_carry", F.lit(False)).unionByName(
+        carry.select(*group_cols, "_bucket", F.col("_carry").alias("_vals"), F.lit(True).alias("_is_carry")), allowMissingColumns=True)
+    w = Window.partitionBy(*group_cols, "_bucket").orderBy(
+        F.desc("_is_carry"), *[F.asc_nulls_first(c) for c in order_cols], *[F.asc_nulls_first(f"_vals.{v}") for v in value_cols])
+    return both.withColumn("_prev", F.lag("_vals").over(w)).where(~F.col("_is_carry")).drop("_is_carry", "_bucket")
+
+
+def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_cols: Sequence[str],
+                 bucket: Column, prefix: str = "prev_") -> DataFrame:
+    """Group, order and value columns of every row, and ``prev_<v>``: the value
+    of the row before it in the same group by ``order_cols`` (nulls first;
+    ties by the values), null on a group's first row.
+
+    ``bucket`` is any expression over ``order_cols`` that never falls along
+    their order (e.g. the hour of a time); it only spreads the work."""
+    group_cols, order_cols, value_cols = list(group_cols), list(order_cols), list(value_cols)
+    rows = _lagged(df, group_cols, order_cols, value_cols, bucket)
+    each = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    before = [F.when(F.col("_copy") > 1, F.col(f"_vals.{v}")).otherwise(F.col(f"_prev.{v}")).alias(prefix + v) for v in value_cols]
+    return each.select(*group_cols, *order_cols, *[v for v in value_cols if v not in order_cols], *before)
+
+
+def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str, bucket: Column) -> DataFrame:
+    """Counts of (previous value, value) over consecutive rows of the same
+    group: the aggregate of ``lag_by_group`` without its rows."""
+    rows = _lagged(df, list(group_cols), list(order_cols), [value_col], bucket)
+    cur, prev = F.col(f"_vals.{value_col}"), F.col(f"_prev.{value_col}")
+    one = F.when(F.col("_prev").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    pairs = F.array(F.struct(prev.alias("prev"), cur.alias("cur"), one.alias("n")),
+                    F.struct(cur.alias("prev"), cur.alias("cur"), (F.col("_n") - 1).alias("n")))
+    return rows.select(F.inline(pairs)).where("n > 0").groupBy("prev", "cur").agg(F.sum("n").alias("n"))
+
+
+# --- global position --------------------------------------------------------------
+def _range_sorted(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """Range-partition and sort on ``keys`` and then the input position: rows
+    with equal keys keep their input order, and a pile of equal keys can
+    still be split. Without ``partitions`` Spark sizes the exchange."""
+    order = [F.col(k).asc_nulls_first() for k in [*keys, TIE]]
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    spread = tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
+    return spread.sortWithinPartitions(*order).drop(TIE)
 
 
 def global_position(df: DataFrame, order_cols: Sequence[str] | None = None, out: str = "_row",
@@ -53,10 +88,7 @@ def global_position(df: DataFrame, order_cols: Sequence[str] | None = None, out:
     """0-based position of every row in the total order ``order_cols``
     (input order when None), computed without a single-partition window."""
     ensure_checkpoint_dir(df.sparkSession)
-    if not order_cols:
-        df = df.withColumn("__in", F.monotonically_increasing_id())
-        order_cols = ["__in"]
-    r = _range_sorted(df, list(order_cols), partitions).drop(TIE)
+    r = _range_sorted(df, list(order_cols or []), partitions)
     pid = F.spark_partition_id().cast("long")
     tagged = (r.withColumn("__pid", pid)
                .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))
@@ -65,166 +97,4 @@ def global_position(df: DataFrame, order_cols: Sequence[str] | None = None, out:
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
     offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
     res = tagged.join(F.broadcast(offsets), on="__pid", how="inner")
-    res = res.withColumn(out, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off")
-    return res.drop("__in") if "__in" in res.columns else res
-
-
-def _same(a: pd.Series, b: pd.Series):
-    return (a == b) | (a.isna() & b.isna())
-
-
-def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                 value_cols: Sequence[str], prefix: str = "prev_", partitions: int | None = None) -> DataFrame:
-    """``prev_<v>`` = value of the previous row of the same group in
-    ``order_cols`` order (null on a group's first row)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    group_cols, order_cols, value_cols = list(group_cols), list(order_cols), list(value_cols)
-    keys = group_cols + order_cols
-    r = _range_sorted(df, keys, partitions).drop(TIE)
-    in_schema = r.schema
-    prev_fields = [T.StructField(prefix + v, in_schema[v].dataType, True) for v in value_cols]
-    out_schema = T.StructType(list(in_schema.fields) + prev_fields + [
-        T.StructField("_pid", T.LongType(), False), T.StructField("_pos", T.LongType(), False),
-        T.StructField("_head", T.BooleanType(), False), T.StructField("_tail", T.BooleanType(), False)])
-    names = [f.name for f in out_schema.fields]
-
-    def local_lag(batches):
-        pid = TaskContext.get().partitionId()
-        carry = None  # last row of the previous batch of this partition
-        pending = None  # a batch is held back until the next one shows it was not the last
-        pos = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            same = pd.Series(True, index=pdf.index)
-            for g in group_cols:
-                same &= _same(pdf[g], pdf[g].shift(1))
-            for v in value_cols:  # object dtype keeps a missing value null (not NaN) for numeric columns
-                pdf[prefix + v] = pdf[v].astype(object).shift(1).where(same, None)
-            head = pd.Series(False, index=pdf.index)
-            if carry is None:
-                head.iloc[0] = True
-                for v in value_cols:
-                    pdf.loc[0, prefix + v] = None
-            else:
-                same0 = all(_same(pd.Series([carry[g]]), pd.Series([pdf.loc[0, g]])).iloc[0] for g in group_cols)
-                for v in value_cols:
-                    pdf.loc[0, prefix + v] = carry[v] if same0 else None
-            pdf["_pid"] = pid
-            pdf["_pos"] = range(pos, pos + len(pdf))
-            pdf["_head"] = head
-            pdf["_tail"] = False
-            pos += len(pdf)
-            carry = pdf.iloc[-1]
-            if pending is not None:
-                yield pending[names]
-            pending = pdf
-        if pending is not None:
-            pending.loc[len(pending) - 1, "_tail"] = True
-            yield pending[names]
-
-    tagged = r.mapInPandas(local_lag, out_schema).checkpoint(eager=True)
-
-    # edge repair: the head row of partition p follows the tail row of the last non-empty partition < p
-    tails = tagged.filter("_tail").select("_pid", F.struct(*[F.col(c) for c in group_cols + value_cols]).alias("_tail"))
-    heads = tagged.filter("_head").select("_pid", F.struct(*[F.col(c) for c in group_cols]).alias("_hg"))
-    edges = heads.join(tails, on="_pid", how="full")
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
-    edges = edges.withColumn("_before", F.last("_tail", ignorenulls=True).over(w)).filter(F.col("_hg").isNotNull())
-    same = F.lit(True)
-    for g in group_cols:
-        same = same & F.col(f"_before.{g}").eqNullSafe(F.col(f"_hg.{g}"))
-    fix = edges.select("_pid", *[F.when(F.col("_before").isNotNull() & same, F.col(f"_before.{v}"))
-                                 .alias("_fix_" + v) for v in value_cols])
-    out = tagged.join(F.broadcast(fix), on="_pid", how="left")
-    for v in value_cols:
-        out = out.withColumn(prefix + v, F.when(F.col("_head"), F.col("_fix_" + v)).otherwise(F.col(prefix + v)))
-    return out.drop("_pid", "_pos", "_head", "_tail", *["_fix_" + v for v in value_cols])
-
-
-def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str,
-                    partitions: int | None = None) -> DataFrame:
-    """Counts of (previous value, value) over consecutive rows of the same
-    group in ``order_cols`` order: the aggregate of ``lag_by_group`` without
-    materialising the rows.
-
-    Each range partition emits its own pair counts plus its first and last
-    row; only that output (about partitions x (values^2 + 2) rows) is
-    checkpointed, and the pairs that straddle partition edges are added from
-    the head/tail rows. Only the group and value columns cross into Python:
-    the rows arrive already sorted.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    keys = group_cols + order_cols
-    r = _range_sorted(df.select(*keys, value_col), keys, partitions).select(*group_cols, value_col)
-    vtype = r.schema[value_col].dataType
-    gfields = [T.StructField(g, r.schema[g].dataType, True) for g in group_cols]
-    out_schema = T.StructType([T.StructField("_kind", T.StringType(), False),
-                               T.StructField("_pid", T.LongType(), False)] + gfields + [
-        T.StructField("prev", vtype, True), T.StructField("cur", vtype, True), T.StructField("n", T.LongType(), False)])
-    names = [f.name for f in out_schema.fields]
-
-    def same_as_previous(cols, carry):
-        """Row i belongs to the same group as row i-1 (row 0: as the carried row)."""
-        same = None
-        for g in group_cols:
-            a = cols[g]
-            prev = np.empty(len(a), dtype=object)
-            prev[1:] = a[:-1]
-            prev[0] = None if carry is None else carry[g]
-            eq = (a == prev) | (pd.isna(a) & pd.isna(prev))
-            same = eq if same is None else same & eq
-        if carry is None:
-            same[0] = False
-        return same
-
-    def local_pairs(batches):
-        pid = TaskContext.get().partitionId()
-        counts: dict = {}
-        head = carry = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            cols = {c: pdf[c].to_numpy(dtype=object) for c in group_cols + [value_col]}
-            if head is None:
-                head = {c: cols[c][0] for c in cols}
-            same = same_as_previous(cols, carry)
-            v = cols[value_col]
-            prev = np.empty(len(v), dtype=object)
-            prev[1:] = v[:-1]
-            prev[0] = None if carry is None else carry[value_col]
-            codes, uniq = pd.factorize(np.concatenate([prev[same], v[same]]), use_na_sentinel=False)
-            k, m = len(uniq), int(same.sum())
-            if m:
-                hits = np.bincount(codes[:m] * k + codes[m:], minlength=k * k)
-                for code in np.nonzero(hits)[0]:
-                    key = (uniq[code // k], uniq[code % k])
-                    key = tuple(None if pd.isna(x) else x for x in key)
-                    counts[key] = counts.get(key, 0) + int(hits[code])
-            carry = {c: cols[c][-1] for c in cols}
-        if head is None:
-            return
-        out = [dict(_kind="pair", _pid=pid, prev=p, cur=c, n=n, **{g: None for g in group_cols})
-               for (p, c), n in counts.items()]
-        for kind, row in (("head", head), ("tail", carry)):
-            out.append(dict(_kind=kind, _pid=pid, prev=None, cur=row[value_col], n=0,
-                            **{g: row[g] for g in group_cols}))
-        yield pd.DataFrame(out, columns=names)
-
-    parts = r.mapInPandas(local_pairs, out_schema).checkpoint(eager=True)
-    inner = parts.filter(F.col("_kind") == "pair").select("prev", "cur", "n")
-    g = F.struct(*[F.col(c) for c in group_cols])
-    tails = parts.filter(F.col("_kind") == "tail").select("_pid", F.struct(g.alias("g"), F.col("cur").alias("v"))
-                                                            .alias("_tail"))
-    heads = parts.filter(F.col("_kind") == "head").select("_pid", g.alias("_hg"), F.col("cur").alias("_hv"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= one row per partition
-    edges = heads.join(tails, on="_pid", how="full").withColumn(
-        "_before", F.last("_tail", ignorenulls=True).over(w)).filter(F.col("_hg").isNotNull())
-    same = F.lit(True)
-    for c in group_cols:
-        same = same & F.col(f"_before.g.{c}").eqNullSafe(F.col(f"_hg.{c}"))
-    cross = edges.filter(F.col("_before").isNotNull() & same).select(
-        F.col("_before.v").alias("prev"), F.col("_hv").alias("cur"), F.lit(1).cast("long").alias("n"))
-    return inner.unionByName(cross).groupBy("prev", "cur").agg(F.sum("n").alias("n"))
+    return res.withColumn(out, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off")

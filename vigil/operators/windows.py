@@ -109,14 +109,22 @@ def half_windows(df: DataFrame, samples: str = "samples", rate: str = "sample_ra
     not taken); silent windows (RMS < 0.01) dropped."""
     win = F.col(rate).cast("int")
     step = (win.cast("double") * F.lit(0.5)).cast("int")
-    x = df.select(key, samples, win.alias("_w"),
-                  F.posexplode(_positions(F.size(samples) - win, step)).alias("window_index", "start"))
-    w = F.slice(samples, F.col("start") + 1, F.col("_w"))
-    x = x.select(key, F.col("window_index").cast("int").alias("window_index"), "start", rms(w).alias("rms"))
+    # each generated row carries one window's start and RMS, never the clip
+    windows = F.transform(_positions(F.size(samples) - win, step),
+                          lambda at: F.struct(at.alias("start"), rms(F.slice(F.col(samples), at + 1, win)).alias("rms")))
+    x = df.select(key, F.posexplode(windows).alias("window_index", "_w"))
+    x = x.select(key, F.col("window_index").cast("int").alias("window_index"), F.col("_w.start").alias("start"), F.col("_w.rms").alias("rms"))
     return x.filter(F.col("rms") >= F.lit(K.SILENCE_RMS))
 
 
 # W8
+def clip_alarm(verdicts: DataFrame, key="clip_id") -> DataFrame:
+    """Verdicts per report -> one row per clip: reports, dangerous ones, and the
+    alarm that any of them raises."""
+    return verdicts.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias("reports"), F.count_if("danger").alias("danger_reports"),
+                                             F.bool_or("danger").alias("alarm"))
+
+
 def threat_verdict(ws: DataFrame, key="clip_id", threshold: float = K.THREAT_THRESHOLD) -> DataFrame:
     """Per clip (or per any key columns, e.g. clip and report window):
     max(p_fear + p_angry), the driver at the first window that reaches it

@@ -61,31 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
+    if base.startswith("file:") and spark.sparkContext.master.startswith("local["):
+        base = base[len("file:"):]  # a plain path, for tests that open it
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 200_000
-
-
-def partitions_for(spark: SparkSession, df=None, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Partition count for range-ordered scans.
-
-    An explicit count is not resized by AQE, so it follows the data: the
-    optimizer's size estimate of ``df`` divided by ``target_bytes``, never
-    below the session's shuffle width (and capped)."""
-    base = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    if df is None:
-        return base
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: keep the session width
-        return base
-    return int(min(MAX_PARTITIONS, max(base, -(-size // target_bytes))))
-
-
 def run_concurrently(jobs: dict, max_workers: int = 8) -> dict:
     """Run independent Spark actions from threads (Spark schedules concurrent
     jobs); returns name -> result, re-raising the first failure."""
