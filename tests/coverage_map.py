@@ -78,7 +78,7 @@ MAP = [
     ("C3", "operators.cubes.geographic_cube", ["geographic_cube"], ""),
     ("C4", "operators.cubes.hour_emotion_risk_cube", ["hour_emotion_risk_cube"], ""),
     ("C5", "operators.cubes.risk_score_cube / risk_score_from", ["risk_score_cube"], "test_risk_cubes"),
-    ("C6", "operators.cubes.build_cubes", ["build_cubes"], "test_risk_cubes"),
+    ("C6", "operators.cubes.build_cubes", ["build_cubes", "stored_hour_risk_cube", "stored_emotion_risk_cube", "stored_geographic_cube", "stored_hour_emotion_risk_cube", "stored_risk_score_cube"], "test_risk_cubes"),
     ("C7", "operators.cubes.cube_peak_hours", ["cube_peak_hours", "stored_cube_peak_hours"], "test_risk_cubes"),
     ("C8", "operators.cubes.cube_geo_hotspots", ["cube_geo_hotspots", "stored_cube_geo_hotspots"], "test_risk_cubes"),
     ("C9", "operators.cubes.cube_top_risk", ["cube_top_risk", "stored_cube_top_risk"], ""),

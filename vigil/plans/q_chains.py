@@ -105,6 +105,11 @@ def q_stored_cube_explorer(spark, d):
     return C.cube_explorer(spark, paths["hour_emotion_risk_cube"])
 
 
+CUBES = ("hour_risk_cube", "emotion_risk_cube", "geographic_cube", "hour_emotion_risk_cube", "risk_score_cube")
+for cube_name in CUBES:  # every cell of each stored cube
+    register(f"stored_{cube_name}", ORACLE[cube_name])(lambda spark, d, name=cube_name: stored(spark, d, name))
+
+
 # ---- validation report -------------------------------------------------------------
 INV = f"inv AS (SELECT *, CAST(id AS BIGINT) AS n FROM iln WHERE NOT coalesce(inference_of_emotion IN ({VALID}), false))"
 
