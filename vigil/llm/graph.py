@@ -17,9 +17,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     number of rounds grows with the logarithm of the longest path. Loops and
     repeated edges are allowed; null ends are ignored."""
     nodes = edges.select(F.col(a).alias("u")).union(edges.select(F.col(b).alias("u"))).dropna()
-    e = saved(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).dropna().where("u != v").distinct(), free=True)
-    before = None
+    e = saved(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).dropna().where("u != v").distinct())
+    before, rounds = None, 0
     while True:
+        rounds += 1
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == before or not state[0]:
             break
@@ -29,5 +30,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        e = saved(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u != v").distinct(), free=True)
+        e = saved(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u != v").distinct(), free=rounds % 3 == 0)
     return nodes.distinct().join(e, "u", "left").select(F.col("u").alias("node"), F.coalesce("v", "u").alias("component"))

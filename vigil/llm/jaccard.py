@@ -8,10 +8,10 @@ Method. Equal sets are one class. Similar sets are partitioned into groups: a
 set's prefix (its first shingles in one order of all shingles, rare ones first)
 must share ``need`` shingles with that of any linked set, so shingles that no
 other prefix holds, and sets with too few shared ones, drop out; the rest are
-grouped by their shared prefix shingle that most sets hold, large groups in
-blocks of bounded size.
+grouped by the last of their shared prefix shingles, large groups in blocks of
+bounded size.
 The token-group matrix holds, per group, the union of its members' shingles: its
-prefix part is a table (token, group) that names the groups a set must ask,
+prefix part is a table (token, group) that names the other groups a set must ask,
 and the whole union is built where the group's members meet. A set that asks a
 group first counts its shingles in that union; only if they reach the
 percentage of its own size is the group opened, and the set compared exactly
@@ -46,7 +46,7 @@ from vigil.llm.text import Powers, byte_values, column_bytes, gram_hashes, mix,
 
 WORDS = 4
 PERCENT = 85
-SAMPLE = 5000  # documents whose shingles tell which ones are frequent
+SAMPLE = 20_000  # documents whose shingles tell which ones are frequent
 SAMPLE_CHARS = 50_000
 FREQUENT = 5  # in so many of them
 BLOCK_SETS = 1024
@@ -102,16 +102,29 @@ def spare(size: np.ndarray) -> np.ndarray:
 
 
 def frequent_shingles(rows: DataFrame, words: int) -> np.ndarray:
-    """Sorted shingles that many documents of a bounded sample hold. They
-    come last in the order of shingles; any list gives right results."""
-    n = rows.count()
-    sample = rows.where((F.char_length("text") <= SAMPLE_CHARS) & (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < (1 << 30) * min(1.0, SAMPLE / max(1, n))))
-    table = sample.select("text").limit(2 * SAMPLE).toArrow()
-    read, found = set_reader(words), []
-    for batch in table.combine_chunks().to_batches():
-        found += [grams for _, grams, _ in read(batch)]
-    grams, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, int))
-    return grams[n >= FREQUENT]
+    """Sorted shingles that ``FREQUENT`` or more documents of a sample of about
+    ``SAMPLE`` hold. They come last in the order of shingles; any list gives
+    right results. At most 1 / FREQUENT of the sample's shingles come back."""
+    parts = R.partitions(rows.sparkSession)
+    share = min(1.0, SAMPLE / max(1, rows.count()))
+    sample = rows.where((F.char_length("text") <= SAMPLE_CHARS) & (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < (1 << 30) * share)).select("text")
+    layout = [("token", "<u8")]
+
+    def send(batches):
+        read = set_reader(words)
+        for batch in batches:
+            for _, grams, _ in read(batch):
+                to = np.sort(grams % np.uint64(parts))
+                order = grams[np.argsort(grams % np.uint64(parts), kind="stable")]
+                cuts = np.flatnonzero(np.diff(to)) + 1
+                yield R.batch_of([(0, int(p[0] % np.uint64(parts)), R.pack({"token": p}, layout)) for p in np.split(order, cuts) if len(p)])
+
+    def count(batches):
+        tokens, n = np.unique(R.unpack([x for b in batches for x in b.column(2).to_pylist()], layout)["token"], return_counts=True)
+        yield R.batch_of([(0, 0, R.pack({"token": tokens[n >= FREQUENT]}, layout))])
+
+    found = sample.mapInArrow(send, R.PACKED).repartitionById(parts, "to").mapInArrow(count, R.PACKED).select("data").collect()
+    return np.sort(R.unpack([bytes(r["data"]) for r in found], layout)["token"])
 
 
 def prefix_maker(words: int, percent: int, frequent):
@@ -251,16 +264,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, words))
     shared = R.contested_of(R.block_table(rows.select("key", "id", "text"), prefix_maker(words, percent, frequent), same_document=True))
     shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"), F.col("pick").alias("token"))
-    # sets with fewer shared prefix shingles than any linked pair has are linked with none
+    # sets with fewer shared prefix shingles than any linked pair has are linked with none; a set's
+    # group is the last of its shared ones (frequent ones come last), so that similar sets meet in few groups
     need = 1 + F.floor(F.ceil(F.col("size") * percent / 100) * 3 / 100)
-    # a set's group is its shared prefix shingle that most sets hold, so that similar sets meet in few groups
-    held = shared.join(shared.groupBy("token").agg(F.count("*").alias("held")), "token")
-    sets_in = (held.groupBy("fp").agg(F.first("size").alias("size"), F.count("*").alias("n"), F.max_by("token", F.struct("held", "token")).alias("first"))
-               .where(F.col("n") >= need).drop("n"))
-    groups = sets_in.groupBy("first").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
-    sets_in = saved(sets_in.join(groups, "first").select("fp", "size", F.xxhash64("first", F.pmod(F.xxhash64("fp"), F.col("blocks"))).alias("block")))
-    shared = saved(shared.join(sets_in.select("fp", "block"), "fp"))  # (fp, size, token, block)
-    # the token-group matrix over prefixes
+    own = Window.partitionBy("fp")  # one set's prefix
+    shared = (shared.withColumn("n", F.count("*").over(own)).withColumn("first", F.max("token").over(own))
+              .where(F.col("n") >= need).drop("n"))
+    shared = saved(shared, free=True)
+    heads = shared.groupBy("fp").agg(F.first("size").alias("size"), F.first("first").alias("first"))
+    large = (heads.groupBy("first").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
+             .where(F.col("blocks") > 1))  # groups of more than one block are few
+    block = F.xxhash64("first", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1)))).alias("block")
+    sets_in = saved(heads.join(large, "first", "left").select("fp", "size", block))
+    shared = shared.join(large, "first", "left").select("fp", "size", "token", block)
+    # the token-group matrix over prefixes, where a shingle is in more than one group
+    across = shared.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
+    shared = saved(shared.join(across, "token", "left_semi"), free=True)  # (fp, size, token, block)
     matrix = shared.groupBy("token", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     first_row = sets.groupBy("fp").agg(F.min("key").alias("key"))
     texts = saved(rows.select("key", "text").join(sets_in.join(first_row, "fp"), "key").select("fp", "block", "text"), free=True)

@@ -30,7 +30,6 @@ def release(spark: SparkSession) -> None:
     scheduler holds on to the last job's plan until another has run, so a
     trivial job goes first."""
     spark.range(1).count()
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.2)
