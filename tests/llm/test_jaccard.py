@@ -63,7 +63,7 @@ def run(spark, rows, **kw):
     return sorted((tuple(r)[:3] for r in J.jaccard_components(df.repartition(4), **kw).collect()), key=str)
 
 
-@pytest.mark.parametrize("seed,sets,asking,frequent", [(1, 1024, 8, 5), (2, 3, 1, 2), (3, 1, 0, 1), (4, 5, 2, 50)])
+@pytest.mark.parametrize("seed,sets,asking,frequent", [(1, 1024, 8, 5), (2, 3, 1, 2), (3, 1, 0, 1)])
 def test_against_all_pairs(spark, monkeypatch, seed, sets, asking, frequent):
     monkeypatch.setattr(J, "BLOCK_SETS", sets)
     monkeypatch.setattr(J, "ASKING", asking)
