@@ -85,3 +85,27 @@ def test_components(spark):
     got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges + [(None, 3)], "a long, b long")).collect()}
     nodes = {n for e in edges for n in e} | {3}
     assert got == union_find(nodes, edges)
+
+
+def test_repeated_rows_meet_once(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    near = words[:-1] + ["other"]
+    rows = [(1, " ".join(words))] * 40 + [(None, " ".join(near))] * 30 + [(2, " ".join(near[1:])), (3, "alone in the world here")]
+    met, meet = [], J.meet_groups
+
+    def counted(members, *args, **kw):
+        met.append(members.count())
+        return meet(members, *args, **kw)
+
+    monkeypatch.setattr(J, "meet_groups", counted)
+    assert run(spark, rows) == brute(rows)
+    assert max(met) <= 3
+
+
+def test_one_of_each_takes_repeated_rows_once(spark):
+    rows = [(1, "a b c d e f")] * 9 + [(2, "a b c d e f"), (None, "x y z u v w"), (None, "x y z u v w"), (4, " "), (4, " ")]
+    got = J.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "a b c d e f"), (4, " "), (4, " "), (None, "x y z u v w")]
+    # the repeats go within each task, before rows are dealt
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("Aggregate [_key")

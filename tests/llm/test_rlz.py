@@ -78,3 +78,22 @@ def test_production_width_and_empty(spark):
     assert sorted((r["doc_id"], r["n_removed"], r["kept"]) for r in Z.parse_documents(df).collect()) == [
         (1, 0, "x " + p + " y"), (2, 50, ""), (3, 0, rows[2][1]), (4, 100, "q")]
     assert Z.parse_documents(df.limit(0)).collect() == []
+
+
+def test_repeated_rows_meet_once(spark, monkeypatch):
+    rows = corpus(5, 20)
+    rows += [rows[3]] * 30 + [(None, rows[4][1])] * 30
+    met, table, single = [], R.block_table, R.single_windows
+
+    def counted(which):
+        def call(rows, *args, **kw):
+            met.append((rows.count(), rows.select("key").distinct().count()))
+            return which(rows, *args, **kw)
+        return call
+
+    monkeypatch.setattr(R, "block_table", counted(table))
+    monkeypatch.setattr(R, "single_windows", counted(single))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Z.parse_documents(df.repartition(5), width=10, inner=3).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute(rows, 10)
+    assert len(met) == 2 and all(n == keys > 0 for n, keys in met)

@@ -78,3 +78,17 @@ def test_longest_previous():
     order, same = S.suffix_order(text, np.arange(10), 3)
     found, least = S.longest_previous(order, same, np.arange(10))
     assert sorted(order[found].tolist()) == [3, 4, 5, 9] and all(order[least[np.flatnonzero(order == i)[0]]] == j for i, j in ((3, 0), (4, 1), (5, 2), (9, 0)))
+
+
+def test_repeated_rows_meet_once(spark, monkeypatch):
+    rows = corpus(5, 20)
+    rows += [rows[3]] * 30 + [(None, rows[4][1])] * 30
+    met, meet = [], S.contested_repeats
+
+    def counted(open_, width):
+        met.append((open_.count(), open_.select("key").distinct().count(), max(len({tuple(s) for s in r["spans"]}) - len(r["spans"]) for r in open_.collect())))
+        return meet(open_, width)
+
+    monkeypatch.setattr(S, "contested_repeats", counted)
+    assert run(spark, rows, width=10, inner=3) == brute(rows, 10)
+    assert met[0][0] == met[0][1] > 0 and met[0][2] == 0

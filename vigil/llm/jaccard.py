@@ -261,8 +261,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     rows = R.keyed(docs, id_col, text_col)
     sets = saved(set_table(rows, words))
-    frequent = spark.sparkContext.broadcast(frequent_shingles(rows, words))
-    shared = R.contested_of(R.block_table(rows.select("key", "id", "text"), prefix_maker(words, percent, frequent), same_document=True))
+    once = R.distinct_rows(rows.select("key", "id", "text"))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(once, words))
+    shared = R.contested_of(R.block_table(once, prefix_maker(words, percent, frequent), same_document=True))
     shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"), F.col("pick").alias("token"))
     # sets with fewer shared prefix shingles than any linked pair has are linked with none; a set's
     # group is the last of its shared ones (frequent ones come last), so that similar sets meet in few groups
@@ -282,7 +283,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = saved(shared.join(across, "token", "left_semi"), free=True)  # (fp, size, token, block)
     matrix = shared.groupBy("token", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     first_row = sets.groupBy("fp").agg(F.min("key").alias("key"))
-    texts = saved(rows.select("key", "text").join(sets_in.join(first_row, "fp"), "key").select("fp", "block", "text"), free=True)
+    texts = saved(once.select("key", "text").join(sets_in.join(first_row, "fp"), "key").select("fp", "block", "text"), free=True)
     size_fits = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("low") * percent <= F.col("size") * 100)
 
     # first round: classes inside each group; a few sets of each ask one other group
@@ -326,7 +327,7 @@ def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     stays = found.where("class is not null").groupBy("class").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(R.NULL_ID)), "key")).alias("first")).select(F.col("first.key").alias("_stay"))
     keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return keyed.where(~blank).join(stays, F.col("_key") == F.col("_stay"), "left_semi").dropDuplicates(["_key"]).unionByName(keyed.where(blank)).drop("_key")
+    return keyed.where(~blank).dropDuplicates(["_key"]).join(stays, F.col("_key") == F.col("_stay"), "left_semi").unionByName(keyed.where(blank)).drop("_key")
 
 
 def op2_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

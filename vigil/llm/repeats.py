@@ -247,6 +247,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.xxhash64(doc_id, text).alias("key"), doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NULL_ID)).alias("id"), text.alias("text"))
 
 
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """One row per key of ``keyed``: rows that repeat with id and text meet
+    once, and results go back to all of them by key. Repeats are dropped within
+    each task before the shuffle; where no key repeats, texts are not moved."""
+    repeated = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return rows if repeated.isEmpty() else rows.dropDuplicates(["key"])
+
+
 def dealer(parts: int):
     """Functions that put records on their way: blocks dealt by both hashes or
     by pick, results spread evenly."""
@@ -279,7 +287,7 @@ def collected(batches):
 
 
 def block_table(rows: DataFrame, block_maker, same_document: bool) -> DataFrame:
-    """Steps 1 and 2 for the documents of ``keyed``: packed rows of repeats
+    """Steps 1 and 2 for the documents of ``distinct_rows``: packed rows of repeats
     (SPAN) and of contested blocks (OPEN), written to the shared folder.
     ``block_maker()`` gives a function from a record batch to the blocks of its rows."""
     parts = partitions(rows.sparkSession)

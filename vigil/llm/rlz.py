@@ -115,8 +115,9 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, n_words, n_removed, ``factors`` and
     ``kept`` (the words that stay, joined by one space)."""
     rows = R.keyed(docs, id_col, text_col)
-    packed = R.block_table(rows.select("key", "id", "text"), blocks_maker(width, inner), same_document=False)
-    open_ = R.with_spans(rows.select("key", "id", "text"), R.contested_of(packed), ["start", "n"], "inner")
+    once = R.distinct_rows(rows.select("key", "id", "text"))
+    packed = R.block_table(once, blocks_maker(width, inner), same_document=False)
+    open_ = R.with_spans(once, R.contested_of(packed), ["start", "n"], "inner")
     single = saved(R.single_windows(open_, windows_maker(width), same_document=False), free=True)
     hits = R.repeats_of(packed).unionByName(R.repeats_of(single))
     schema = f"doc_id long, n_words long, n_removed long, factors {FACTORS}, kept string"

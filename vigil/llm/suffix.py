@@ -189,13 +189,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_bytes, n_removed, ``removed`` (maximal
     runs, end exclusive) and ``kept`` (the bytes that stay)."""
     rows = R.keyed(docs, id_col, text_col)
-    packed = R.block_table(rows.select("key", "id", "text"), blocks_maker(width, inner), same_document=True)
+    once = R.distinct_rows(rows.select("key", "id", "text"))
+    packed = R.block_table(once, blocks_maker(width, inner), same_document=True)
     contested = R.contested_of(packed)
     # all blocks of a pick go the same way, so that they meet
     many = (contested.groupBy("pick").agg(F.count("*").alias("pieces"), F.max("n").alias("longest"))
             .where((F.col("pieces") > max_pieces) | (F.col("longest") > MAX_RUN)).select("pick", F.lit(True).alias("many")))
     contested = contested.join(many, "pick", "left").withColumn("heavy", F.coalesce("many", F.lit(False)))
-    open_ = R.with_spans(rows.select("key", "id", "text"), contested, ["start", "n", "pick", "heavy"], "inner")
+    open_ = R.with_spans(once, contested, ["start", "n", "pick", "heavy"], "inner")
     single = saved(contested_repeats(open_, width), free=True)
     hits = R.repeats_of(packed).unionByName(R.repeats_of(single))
     schema = "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary"
