@@ -89,6 +89,16 @@ def test_identical_copies_are_split_and_counted(spark):
     assert largest <= 100
 
 
+def test_copies_come_back_in_many_tasks(spark):
+    n = 600_000  # equal rows, and one before them
+    df = spark.range(n).select(F.lit("hot").alias("g"), F.lit(5).cast("long").alias("t"), F.lit("x").alias("v"))
+    df = df.unionByName(spark.createDataFrame([("hot", 1, "y"), (None, 1, None), (None, 1, None)], "g string, t long, v string"))
+    got = lag_by_group(df, ["g"], ["t"], ["v"], F.floor(F.col("t") / 100))
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == n + 3 and max(per_task) < .75 * n
+    assert rows(got.groupBy("g", "t", "v", "prev_v").count()) == [("hot", 1, "y", None, 1), ("hot", 5, "x", "x", n - 1), ("hot", 5, "x", "y", 1), (None, 1, None, None, 2)]
+
+
 def test_far_dates_and_null_times(spark):
     df = log(spark, [("d", "0001-01-01 00:00:00", "A", "x"), ("d", "9999-12-31 23:59:59", "B", "y"), ("d", None, "C", "z"),
                      (None, "2026-03-01 00:00:00", "A", "x"), (None, "2026-03-02 00:00:00", "A", "y")])

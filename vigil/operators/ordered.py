@@ -7,7 +7,8 @@ a key that holds a third of the rows makes that task hold a third of the table.
 over its buckets; the one thing a bucket lacks, the last row before it, comes
 from a small table of one row per (key, bucket), aggregated with ``max_by``
 (partially, before the shuffle). Equal rows are counted first, so a pile of
-copies is one row in its window. Everything is built-in Spark functions.
+copies is one row in its window; the copies come back in pieces of bounded size
+that are dealt over all tasks. Everything is built-in Spark functions.
 
 *Global position.* Rows are range-partitioned on the full sort key and
 numbered per partition; the offsets are one row per partition. The numbered
@@ -26,14 +27,19 @@ from pyspark.sql import functions as F
 from vigil.session import ensure_checkpoint_dir
 
 TIE = "__tie"
+COPIES = 1 << 16  # equal rows brought back at once
 
 
 # --- lag ------------------------------------------------------------------------
+def _counted(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str]) -> DataFrame:
+    """Distinct (group, order, value) rows with their number ``_n``."""
+    return df.groupBy(*group_cols, *order_cols, *[v for v in value_cols if v not in order_cols]).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def _lagged(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str], bucket: Column) -> DataFrame:
     """Distinct (group, order, value) rows with their number ``_n`` and the
     struct ``_prev`` of the values before them (null on a group's first row)."""
-    rows = (df.groupBy(*group_cols, *order_cols, *[v for v in value_cols if v not in order_cols]).agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_bucket", bucket))
+    rows = _counted(df, group_cols, order_cols, value_cols).withColumn("_bucket", bucket)
     values = F.struct(*[F.col(v).alias(v) for v in value_cols])
     place = F.struct(*[F.col(c) for c in order_cols], *[F.col(v).alias(f"_v_{v}") for v in value_cols])
     last = rows.groupBy(*group_cols, "_bucket").agg(F.max_by(values, place).alias("_last"))
@@ -55,10 +61,16 @@ def lag_by_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     ``bucket`` is any expression over ``order_cols`` that never falls along
     their order (e.g. the hour of a time); it only spreads the work."""
     group_cols, order_cols, value_cols = list(group_cols), list(order_cols), list(value_cols)
-    rows = _lagged(df, group_cols, order_cols, value_cols, bucket)
-    each = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    before = [F.when(F.col("_copy") > 1, F.col(f"_vals.{v}")).otherwise(F.col(f"_prev.{v}")).alias(prefix + v) for v in value_cols]
-    return each.select(*group_cols, *order_cols, *[v for v in value_cols if v not in order_cols], *before)
+    columns = [*group_cols, *order_cols, *[v for v in value_cols if v not in order_cols]]
+    first = _lagged(df, group_cols, order_cols, value_cols, bucket)
+    first = first.select(*columns, *[F.col(f"_prev.{v}").alias(prefix + v) for v in value_cols])
+    # the other rows of a pile come after an equal one; the number of parts keeps Spark from joining the small pieces again
+    more, parts = F.col("_n") - 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = (_counted(df, group_cols, order_cols, value_cols).where("_n > 1")
+              .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((more - 1) / COPIES))))
+              .repartition(parts, *columns, "_piece"))
+    others = pieces.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), more - F.col("_piece") * COPIES))))
+    return first.unionByName(others.select(*columns, *[F.col(v).alias(prefix + v) for v in value_cols]))
 
 
 def lag_pair_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str, bucket: Column) -> DataFrame:
