@@ -77,3 +77,16 @@ def test_empty(spark):
     assert A.nearest(df, F.col("vec_id") % 20 == 0, 20).collect() == []
     one = spark.createDataFrame([(20, [1.0, 2.0], 1), (21, [1.0, 0.0], 1)], SCHEMA)
     assert [tuple(r) for r in A.nearest(one, F.col("vec_id") % 20 == 0, 20).collect()] == [(20, 1, 21, 1.0)]
+
+
+def test_products_beyond_single_precision():
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(60, 8)).astype(np.float32)
+    rows[:25] *= np.float32(1e20)
+    q, q_row, row = rows[[0, 30]], np.array([0, 30]), np.arange(60)
+    qi, ri, score = A.best_of(q, q_row, rows, row, row, 10)
+    for i in range(2):
+        exact = rows.astype(np.float64) @ q[i].astype(np.float64)
+        exact[q_row[i]] = -np.inf
+        assert ri[qi == i].tolist() == np.argsort(-exact)[:10].tolist()
+        assert np.allclose(score[qi == i], np.sort(exact)[::-1][:10], rtol=1e-9)

@@ -166,16 +166,20 @@ def vectors_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 def best_of(queries: np.ndarray, q_row: np.ndarray, rows: np.ndarray, row: np.ndarray, ids: np.ndarray, k: int):
     """Exact best ``k`` rows of a block for each query: (query, row, score)."""
     out = []
-    r32 = rows.astype(np.float32)
-    norms = np.sqrt((rows.astype(np.float64) ** 2).sum(1)).max()
+    scaled = rows.astype(np.float64)
+    scaled /= max(np.abs(scaled).max(initial=0), 1e-300)  # a common factor changes no order, and products stay finite
+    r32 = scaled.astype(np.float32)
+    norms = np.sqrt((scaled ** 2).sum(1)).max(initial=0)
     for at in range(0, len(queries), 128):
         q = queries[at:at + 128]
-        s = q.astype(np.float32) @ r32.T
-        s[q_row[at:at + 128][:, None] == row] = -np.inf
+        q64 = q.astype(np.float64)
+        q64 /= np.maximum(np.abs(q64).max(1, keepdims=True), 1e-300)
+        s = q64.astype(np.float32) @ r32.T
+        s[q_row[at:at + 128][:, None] == row] = -np.inf  # the only score that isn't finite
         # rows that may be among the best k in double precision
         kth = np.partition(s, -k, 1)[:, -k] if s.shape[1] > k else np.full(len(q), -np.inf, np.float32)
-        margin = 1e-5 * norms * np.sqrt((q.astype(np.float64) ** 2).sum(1))
-        qi, ri = np.nonzero((s >= (kth - margin)[:, None]) & np.isfinite(s) if np.isfinite(s).any() else np.ones(s.shape, bool))
+        margin = 1e-5 * norms * np.sqrt((q64 ** 2).sum(1))
+        qi, ri = np.nonzero((s >= (kth - margin)[:, None]) & np.isfinite(s))
         score = np.empty(len(qi))
         for b in range(0, len(qi), 50_000):
             part = slice(b, b + 50_000)
