@@ -52,3 +52,13 @@ def test_empty(spark):
     out = U.judge_captures(caps, none, "page_id", "url", "at").collect()
     assert [(r["lists"], r["blocked"]) for r in out] == [("", False)]
     assert U.judge_captures(caps.limit(0), none, "page_id", "url", "at").collect() == []
+
+
+def test_patterns_are_read_like_urls(spark):
+    patterns = ["Example.com", "example.com.", "example.com:443", "u@example.com", "EXAMPLE.com:80//a/", "example.com/a/b/", "example.com/A", "example.com/a?x", "http://example.com", "other.org"]
+    caps = spark.createDataFrame([(1, "https://Example.COM.:8080/a//b/c", datetime(2024, 1, 5))], "page_id long, url string, at timestamp")
+    entries = spark.createDataFrame([(f"l{i}", p, "add", D0) for i, p in enumerate(patterns)], "list string, pattern string, action string, entry_date date")
+    assert U.judge_captures(caps, entries, "page_id", "url", "at").collect()[0]["lists"] == "l0,l1,l2,l3,l4,l5"
+    # two spellings are one pattern
+    both = spark.createDataFrame([("l", "Example.com", "add", D0), ("l", "example.com.", "remove", D0 + timedelta(2))], entries.schema)
+    assert [tuple(r) for r in U.validity_intervals(both).collect()] == [("l", "example.com", D0, D0 + timedelta(2))]

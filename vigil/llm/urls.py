@@ -18,7 +18,7 @@ repeated entries count once; an entry with a null field or another action has
 no effect. A capture without URL or time, or whose URL has no host, matches
 nothing. Repeated captures are judged each. Host names match without regard to
 A-Z case, to a port, to user names and to one trailing dot; paths match
-exactly by whole segments. Columns other than those named are ignored.
+exactly by whole non-empty segments; both hold for patterns too. Columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -42,11 +42,21 @@ def segments_of(url):
     return F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda s: s != "")
 
 
+def plain_pattern(pattern):
+    """A pattern with its host and path segments as ``host_of`` and
+    ``segments_of`` give them. One with a scheme, query or fragment is no
+    pattern and stays as it is, so that it matches nothing."""
+    host = host_of(F.concat(F.lit("http://"), F.regexp_extract(pattern, "^[^/]*", 0)))
+    path = segments_of(F.concat(F.lit("http://x"), F.regexp_extract(pattern, "^[^/]*(.*)", 1)))
+    other = pattern.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://|[?#]")
+    return F.when(pattern.isNull() | other, pattern).otherwise(F.concat_ws("/", F.array(host), path))
+
+
 def validity_intervals(entries: DataFrame) -> DataFrame:
-    """(list, pattern, valid_from, valid_to) from dated entries; ``valid_to``
-    is null while the pattern stays on the list. One window row per list,
-    pattern and date."""
-    e = (entries.select("list", "pattern", "action", F.col("entry_date").cast("date").alias("entry_date"))
+    """(list, pattern, valid_from, valid_to) from dated entries, with plain
+    patterns; ``valid_to`` is null while the pattern stays on the list. One
+    window row per list, pattern and date."""
+    e = (entries.select("list", plain_pattern(F.col("pattern")).alias("pattern"), "action", F.col("entry_date").cast("date").alias("entry_date"))
          .where(F.col("action").isin("add", "remove")).dropna()
          .groupBy("list", "pattern", "entry_date").agg(F.max(F.col("action") == "add").alias("on")))
     w = Window.partitionBy("list", "pattern").orderBy("entry_date")
