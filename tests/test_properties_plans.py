@@ -12,7 +12,7 @@ from vigil.functions import scalars as X
 from vigil.operators import cubes as C
 from vigil.operators import drift as D
 from vigil.operators import risk as R
-from vigil.operators.ordered import _range_sorted
+from vigil.operators.ordered import global_position
 from vigil.sources.files import read_events, write_parquet
 
 LABELS = st.lists(st.sampled_from(["fear", "sad", "happy", "odd", " Surprised ", None]), min_size=1, max_size=30)
@@ -57,17 +57,19 @@ def test_single_scan_reports(spark, tmp):
     assert plan(R.risk_score_by_emotion(ev)).count("FileScan parquet") == 1
 
 
-def test_ordered_scans_range_partition_on_full_key(spark):
+def test_positions_deal_rows_by_range_of_the_full_key(spark):
     df = spark.range(100).select(F.when(F.col("id") < 90, "hot").otherwise("cold").alias("g"), F.col("id").alias("t"))
-    p = plan(_range_sorted(df, ["g", "t"], 4))
-    assert "rangepartitioning(g" in p and "hashpartitioning" not in p
+    pos = global_position(df, ["g", "t"], partitions=4)
+    p = plan(pos)
+    assert "hashpartitioning(__range" in p and "hashpartitioning(g" not in p and "SinglePartition" not in p.split("Window")[0]
+    sizes = pos.groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in sizes.collect()) <= 60  # the hot key is split
 
 
 def test_drift_counts_both_sides_in_one_shuffle(spark):
     a = A.inference_log(spark, "/root/testdata/sf0.001")
     b = X.danger(A.safety_events(spark, "/root/testdata/sf0.001"))
-    f = D.drift_frames(a, b, "inference_of_emotion", "emotion", names=("a", "b"))
-    counts = plan(f["aligned"])
+    counts = plan(D.label_counts_of_both(a, b, "inference_of_emotion", "emotion"))
     assert counts.count("FileScan") == 2 and counts.count("hashpartitioning") == 1
 
 

@@ -252,9 +252,12 @@ def test_streams_take_four_column_events(spark, tmp):
     assert spark.read.parquet(os.path.join(tmp, "f_out")).count() == 1
 
 
-def test_append_refuses_a_null_id_visibly(spark, se, tmp):
-    with pytest.raises(Exception, match="event without id"):
-        I.append_events(se.limit(3).withColumn("id", F.when(F.col("id") != "0", F.col("id"))), os.path.join(tmp, "nulls"))
+def test_append_lists_a_null_id_and_goes_on(spark, se, tmp):
+    path = os.path.join(tmp, "nulls")
+    batch = se.orderBy("id").limit(3).withColumn("id", F.when(F.col("id") != "0", F.col("id")))
+    assert I.append_events(batch, path).count() == 2
+    refused = I.read_refused(spark, path).collect()
+    assert [(r.reason, r.id, r.rows) for r in refused] == [("no id", None, 1)] and refused[0].event.emotion is not None
 
 
 def test_ingest_reports_skipped_paths_and_keeps_part_order(spark, tmp):

@@ -152,7 +152,9 @@ def parse_log_time(df: DataFrame, ref_date: str | None = None, now: str | None =
     * else ``time`` is parsed: ISO text or the layouts above, with one
       day/month order per log (``by``), or a bare time on ``ref_date``;
     * else rows get ``now`` minus i minutes, i = 0, 1, ... in the order of
-      the columns ``order`` (default: input order), counted per ``by``.
+      the columns ``order`` (default: input order). With ``by``, they are
+      counted per value of it; the last column of ``order`` then tells the
+      rows of a file's split apart, and those before it the splits.
     """
     for name, date in (("timestamp", None), ("time", ref_date)):
         if name in df.columns:
@@ -161,14 +163,14 @@ def parse_log_time(df: DataFrame, ref_date: str | None = None, now: str | None =
             known = with_day_first(df, name, by)
             parsed = parse_log_time_column(name, date, F.coalesce("_day_first", F.lit(False)))
             return known.withColumn("timestamp", parsed).drop("_day_first")
-    from vigil.operators.ordered import global_position
+    from vigil.operators.ordered import global_position, position_by_cell
 
     if now is None:
         raise ValueError("a log without time columns needs `now`")
-    ordered = global_position(df, list(order) if order else None, out="_row")
-    if by:
-        first = ordered.groupBy(by).agg(F.min("_row").alias("_first"))
-        ordered = ordered.join(first, on=by).withColumn("_row", F.col("_row") - F.col("_first")).drop("_first")
+    if by and order:
+        ordered = position_by_cell(df, [by], list(order)[:-1], list(order)[-1])
+    else:
+        ordered = global_position(df, list(order) if order else None)
     day = 24 * 60  # minutes; an interval's minutes field alone would overflow past 2**31 rows
     back = F.make_dt_interval((F.col("_row") / day).cast("int"), F.lit(0), (F.col("_row") % day).cast("int"))
     return ordered.withColumn("timestamp", F.to_timestamp(F.lit(now)) - back).drop("_row")

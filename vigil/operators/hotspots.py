@@ -26,10 +26,12 @@ def geo_features(df: DataFrame, out: str = "features") -> DataFrame:
 
 
 # K2
-def fit_hotspots(df: DataFrame, k: int = 10, seed: int = 1, max_iter: int = 20) -> KMeansModel:
+def fit_hotspots(df: DataFrame, k: int = 10, seed: int = 1, max_iter: int = 100, tol: float = 1e-9) -> KMeansModel:
+    """KMeans run until no centre moves by more than ``tol`` degrees, so that
+    the centres are the means of their events."""
     if not 2 <= k <= 20:
         raise ValueError("k must be between 2 and 20")
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(geo_features(danger(df)))
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(geo_features(danger(df)))
 
 
 def centres_frame(spark, centres) -> DataFrame:

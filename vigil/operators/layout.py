@@ -1,14 +1,13 @@
 """Physical-layout and comparison jobs.
 
-Rows per partition are reported by the tasks themselves from batch lengths
-(no per-row Python, nothing collected).
+Rows per partition are counted by Spark's own aggregate over the number of the
+partition that each row is in.
 """
 
 from __future__ import annotations
 
 import time
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,16 +17,14 @@ from vigil.sources.files import sql_row_count
 
 # P1
 def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows of each partition, empty ones included, in one pass: every task
-    reports its number and the lengths of the batches it was given."""
-
-    def count(batches):
-        from pyspark import TaskContext
-
-        rows = sum(b.num_rows for b in batches)
-        yield pa.RecordBatch.from_pydict({"partition": pa.array([TaskContext.get().partitionId()], pa.int32()), "records": pa.array([rows], pa.int64())})
-
-    return df.select(F.lit(1).alias("one")).mapInArrow(count, "partition int, records long").orderBy("partition")
+    """Rows of each partition, empty ones included. A partition without rows
+    reports nothing, so the counts are joined to all numbers; how many there
+    are is the partitioning of the plan that is counted."""
+    rows = df.select(F.spark_partition_id().alias("partition"))
+    counts = rows.groupBy("partition").agg(F.count(F.lit(1)).alias("records"))
+    n = rows.rdd.getNumPartitions()  # of the physical plan; no row is read
+    every = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
+    return every.join(counts, "partition", "left").select("partition", F.coalesce("records", F.lit(0)).alias("records")).orderBy("partition")
 
 
 # P2

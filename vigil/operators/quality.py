@@ -39,6 +39,17 @@ def column_diff(df: DataFrame, required: Sequence[str] = K.REQUIRED_LOG_COLUMNS)
     return missing, extra
 
 
+def column_diff_facts(df: DataFrame, required: Sequence[str] = K.REQUIRED_LOG_COLUMNS) -> DataFrame:
+    """(kind, column, rows, filled): missing and extra columns of a log, and
+    how many of its rows have a value there (none where it is missing)."""
+    missing, extra = column_diff(df, required)
+    n = F.count(F.lit(1)).alias("rows")
+    rows = [F.struct(F.lit("missing").alias("kind"), F.lit(c).alias("column"), n, F.lit(0).cast("long").alias("filled")) for c in missing]
+    rows += [F.struct(F.lit("extra").alias("kind"), F.lit(c).alias("column"), n, F.count(F.col(f"`{c}`")).alias("filled")) for c in extra]
+    none = "array<struct<kind: string, column: string, rows: bigint, filled: bigint>>"
+    return df.agg((F.array(*rows) if rows else F.array().cast(none)).alias("_r")).select(F.inline("_r"))
+
+
 def check_columns(df: DataFrame, required: Sequence[str] = K.REQUIRED_LOG_COLUMNS, exact: bool = True) -> bool:
     missing, extra = column_diff(df, required)
     return not missing and (not extra if exact else True)

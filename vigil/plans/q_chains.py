@@ -33,6 +33,36 @@ def q_schema_report(spark, d):
     return P.schema_report(se(spark, d))
 
 
+FACTS = " UNION ALL ".join(f"""SELECT {i} AS position, '{f.name}' AS "column", '{f.dataType.simpleString()}' AS type, count(*) AS rows, count("{f.name}") AS filled FROM se"""
+                          for i, f in enumerate(SAFETY_EVENT.fields))
+
+
+@register("schema_facts", W + FACTS)
+def q_schema_facts(spark, d):
+    """Schema of the event table as it is read, with the filled values of each column."""
+    return P.schema_facts(se(spark, d))
+
+
+TEXT = ("id", "source", "emotion", "risk_level", "model_version", "device_id", "mqtt_signal")
+
+
+@register("describe_text", W + " UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS count, avg(TRY_CAST({c} AS DOUBLE)) AS mean,
+stddev_samp(TRY_CAST({c} AS DOUBLE)) AS stddev, min({c}) AS min, max({c}) AS max, CAST(min(length({c})) AS INTEGER) AS shortest, CAST(max(length({c})) AS INTEGER) AS longest FROM se""" for c in TEXT))
+def q_describe_text(spark, d):
+    """Statistics of the event table's text columns."""
+    return P.describe_text(se(spark, d))
+
+
+@register("column_diff_facts", WQ + """SELECT 'extra' AS kind, 'clock' AS "column", count(*) AS rows, count("time") AS filled FROM iln
+UNION ALL SELECT 'extra', 'note', count(*), count(*) FROM iln
+UNION ALL SELECT 'missing', 'time', count(*), CAST(0 AS BIGINT) FROM iln""")
+def q_column_diff_facts(spark, d):
+    """Columns that a log written as a file lacks or has besides, and how many
+    of its rows fill them."""
+    log = iln(spark, d).withColumnRenamed("time", "clock").withColumn("note", F.lit("n"))
+    return Q.column_diff_facts(I.read_log_csv(spark, _write_csv(log, scratch_path(spark, "log-columns"))))
+
+
 @register("column_diff", """SELECT * FROM (VALUES ('missing', 'time'), ('extra', 'clock'), ('extra', 'note')) t(kind, "column")""")
 def q_column_diff(spark, d):
     """Required log columns that a log lacks, and columns it has besides."""

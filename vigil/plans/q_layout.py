@@ -30,6 +30,26 @@ def q_repartition_report(spark, d):
     return P.repartition_report(se(spark, d), 5)
 
 
+@register("partition_sizes_facts", with_(SE) + """SELECT 'scan' AS layout, count(*) AS records, true AS all_numbered, true AS balanced FROM se
+UNION ALL SELECT 'five', count(*), true, true FROM se
+UNION ALL SELECT 'one id', 1, true, false FROM se WHERE id = '7'""")
+def q_partition_sizes_facts(spark, d):
+    """Facts of the partition reports: all rows are counted, partitions are
+    numbered from 0 without a gap, and five dealt ones differ by few rows (at
+    most one for each input partition); of
+    one event's table all partitions but one are empty."""
+    events = se(spark, d)
+    one = events.repartition(4, "device_id").where("id = '7'")
+    frames = {"scan": P.partition_sizes(events), "five": P.repartition_report(events, 5), "one id": P.partition_sizes(one)}
+    out = None
+    for name, sizes in frames.items():
+        even = F.max("records") - F.min("records") <= (F.lit(64) if name == "five" else F.max("records") if name == "scan" else F.lit(0))
+        facts = sizes.agg(F.lit(name).alias("layout"), F.sum("records").alias("records"),
+                          (F.count(F.lit(1)) == F.max("partition") + 1).alias("all_numbered"), even.alias("balanced"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
+
+
 @register("format_counts", with_(SE) + "SELECT 'CSV' AS format, count(*) AS rows FROM se "
                                      "UNION ALL SELECT 'Parquet', count(*) FROM se")
 def q_format_counts(spark, d):
@@ -63,3 +83,21 @@ def q_geo_features(spark, d):
 def q_geo_hotspots(spark, d):
     """KMeans (k=10, seed 1) centres of danger events (rows check)."""
     return H.geo_hotspots(se(spark, d), 10, 1)
+
+
+@register("geo_hotspots_fixed_point", with_(SE) + f"""SELECT CAST(10 AS BIGINT) AS centres, count(*) AS events, true AS stays, true AS nonempty FROM se
+WHERE risk_level = '{DANGER}' AND latitude IS NOT NULL AND longitude IS NOT NULL""")
+def q_geo_hotspots_fixed_point(spark, d):
+    """One more step of Lloyd's method, written in SQL, from the centres found:
+    each event goes to its nearest centre, each centre to the mean of its
+    events. Settled centres stay where they are."""
+    events = danger(se(spark, d)).where("latitude IS NOT NULL AND longitude IS NOT NULL").select("id", "latitude", "longitude")
+    return spark.sql("""
+        WITH c AS (SELECT collect_list(struct(hotspot, latitude, longitude)) AS cs FROM {centres}),
+        near AS (SELECT e.latitude, e.longitude, array_min(transform(c.cs, x -> struct(
+                   power(e.latitude - x.latitude, 2) + power(e.longitude - x.longitude, 2) AS d2, x.hotspot AS hotspot))).hotspot AS hotspot
+                 FROM {events} e CROSS JOIN c),
+        moved AS (SELECT hotspot, avg(latitude) AS latitude, avg(longitude) AS longitude, count(*) AS n FROM near GROUP BY hotspot)
+        SELECT count(*) AS centres, sum(coalesce(m.n, 0)) AS events,
+               bool_and(abs(m.latitude - k.latitude) < 1e-6 AND abs(m.longitude - k.longitude) < 1e-6) AS stays, bool_and(m.n > 0) AS nonempty
+        FROM {centres} k LEFT JOIN moved m USING (hotspot)""", centres=H.geo_hotspots(se(spark, d), 10, 1), events=events)

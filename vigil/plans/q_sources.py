@@ -66,11 +66,40 @@ def q_append_events(spark, d):
     return I.read_log(spark, path).select(*SAFETY_EVENT_COLUMNS)
 
 
+REFUSED_SQL = W + """
+SELECT 'no id' AS reason, CAST(NULL AS VARCHAR) AS id, CAST(1 AS BIGINT) AS "rows", device_id FROM se WHERE CAST(id AS BIGINT) % 97 = 0
+UNION ALL SELECT 'no id', NULL, CAST(1 AS BIGINT), device_id FROM se WHERE CAST(id AS BIGINT) % 97 = 0
+UNION ALL SELECT 'repeated id', id, CAST(1 AS BIGINT), NULL FROM se WHERE CAST(id AS BIGINT) % 97 <> 0"""
+
+
+def nameless(events):
+    """Some events without id."""
+    return events.withColumn("id", F.when(F.col("id").cast("long") % 97 != 0, F.col("id")))
+
+
+@register("refused_events", REFUSED_SQL)
+def q_refused_events(spark, d):
+    """Every event twice, some without id: what a keyed log refuses of them."""
+    events = nameless(se(spark, d))
+    return I.refused_events(events.unionByName(events), None).select("reason", "id", "rows", F.col("event.device_id").alias("device_id"))
+
+
+@register("append_refused", REFUSED_SQL)
+def q_append_refused(spark, d):
+    """The reject table of a keyed log after two appends of the same events,
+    some of them without id."""
+    events = nameless(se(spark, d))
+    path = scratch_path(spark, "event-log-refused")
+    for _ in range(2):
+        I.append_events(events, path)
+    return I.read_refused(spark, path).select("reason", "id", "rows", F.col("event.device_id").alias("device_id"))
+
+
 # ---- file-based log readers: files written from the test tables, read back by the library ----------
 
 
-def _write_csv(df, path, sep=",", encoding="UTF-8"):
-    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding)
+def _write_csv(df, path, sep=",", encoding="UTF-8", mode="overwrite"):
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("encoding", encoding)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
     return path
@@ -86,6 +115,22 @@ def q_read_log_csv(spark, d):
     return I.read_log_csv(spark, path)
 
 
+@register("read_log_csv_mixed", with_(IL) + """SELECT CASE WHEN CAST(id AS BIGINT) % 3 = 2 THEN NULL ELSE id END AS id, "time",
+  CASE WHEN CAST(id AS BIGINT) % 3 = 1 THEN inference_of_emotion || 'é' ELSE inference_of_emotion END AS inference_of_emotion,
+  CASE WHEN CAST(id AS BIGINT) % 3 = 1 THEN 'n' END AS note FROM il""")
+def q_read_log_csv_mixed(spark, d):
+    """One folder with files of three shapes: commas and UTF-8; semicolons,
+    Latin-1, another column order and one column more; tabs, blanks around the
+    names and no id."""
+    il, n = A.inference_log(spark, d), F.pmod(F.col("id").cast("long"), F.lit(3))
+    path = scratch_path(spark, "log-mixed")
+    _write_csv(il.where(n == 0), path)
+    other = il.withColumn("inference_of_emotion", F.concat("inference_of_emotion", F.lit("é"))).withColumn("note", F.lit("n"))
+    _write_csv(other.where(n == 1).select("inference_of_emotion", "note", "time", "id"), path, sep=";", encoding="ISO-8859-1", mode="append")
+    _write_csv(il.where(n == 2).select(F.col("time").alias(" time"), F.col("inference_of_emotion").alias("inference_of_emotion ")), path, sep="\t", mode="append")
+    return I.read_log_csv(spark, path).select("id", "time", "inference_of_emotion", "note")
+
+
 @register("ingest_logs", with_(SE, HL, IL) + f""", ilh AS ({ILH_SQL})
 SELECT id, "timestamp", inference FROM ilh
 UNION ALL SELECT id, "timestamp", upper(substr(lower(inference), 1, 1)) || substr(lower(inference), 2) FROM hl""")
@@ -111,6 +156,38 @@ def q_convert_folder(spark, d):
     return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in se(spark, d).schema.fields])
 
 
+@register("convert_folder_shapes", W + """SELECT id, emotion, confidence, CAST(NULL AS VARCHAR) AS device_id FROM se WHERE CAST(id AS BIGINT) % 2 = 0
+UNION ALL SELECT id, emotion, NULL, device_id FROM se WHERE CAST(id AS BIGINT) % 2 = 1""")
+def q_convert_folder_shapes(spark, d):
+    """A folder with CSV files of two header shapes, converted file by file."""
+    folder, events = scratch_path(spark, "csv-shapes"), se(spark, d)
+    even = F.col("id").cast("long") % 2 == 0
+    for part, columns in ((even, ("id", "emotion", "confidence")), (~even, ("device_id", "id", "emotion"))):
+        events.where(part).select(*columns).repartition(3).write.mode("append").option("header", True).csv(folder)
+    outs = I.convert_folder(spark, folder, out=scratch_path(spark, "converted-shapes"))
+    frames = [spark.read.parquet(p) for p in outs]
+    shapes = [[p for p, f in zip(outs, frames) if c in f.columns] for c in ("confidence", "device_id")]
+    a, b = (spark.read.parquet(*paths) for paths in shapes)
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.select(F.col("id").cast("string").alias("id"), "emotion", F.col("confidence").cast("double").alias("confidence"), "device_id")
+
+
+@register("list_corpus", W + """SELECT row_number() OVER (ORDER BY emotion) AS id, 'emotion=' || emotion AS folder FROM (SELECT DISTINCT emotion FROM se WHERE emotion IS NOT NULL)""")
+def q_list_corpus(spark, d):
+    """A corpus folder with one recording per emotion, listed and turned into
+    its inference log (M9)."""
+    from vigil.operators.corpus import corpus_log
+
+    root, events = scratch_path(spark, "corpus"), se(spark, d)
+    events.where("emotion IS NOT NULL").select("id", "emotion").repartition(1, "emotion").write.partitionBy("emotion").text(root)
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = paths(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.globStatus(paths(root + "/emotion=*/part-*")):
+        fs.rename(st.getPath(), paths(st.getPath().getParent(), "clip.wav"))
+    listed = I.list_corpus(spark, root)
+    return corpus_log(listed).select("id", F.col("inference_of_emotion").alias("folder"))
+
+
 @register("validate_files", WQ + CHECKS_CTE + 'SELECT "check", ok FROM checks')
 def q_validate_files(spark, d):
     """The inference log written as a CSV file and validated from the file

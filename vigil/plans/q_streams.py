@@ -11,6 +11,7 @@ from vigil.plans.catalog import register
 from vigil.plans.sql_inputs import DANGER, SE, with_
 from vigil.schema import RAW_EVENT, SAFETY_EVENT_COLUMNS
 from vigil.session import scratch_path
+from vigil.sources.files import read_refused
 from vigil.streaming import jobs as S
 
 W = with_(SE)
@@ -62,6 +63,18 @@ def q_stream_risk_log(spark, d):
     return spark.read.parquet(out).select(*SAFETY_EVENT_COLUMNS)
 
 
+@register("stream_risk_log_refused", W + """
+SELECT 'no id' AS reason, CAST(1 AS BIGINT) AS n, CAST(2 * count(*) AS BIGINT) AS total FROM se WHERE CAST(id AS BIGINT) % 97 = 0
+UNION ALL SELECT 'repeated id', CAST(1 AS BIGINT), count(*) FROM se WHERE CAST(id AS BIGINT) % 97 <> 0""")
+def q_stream_risk_log_refused(spark, d):
+    """Every event arrives twice, some without id: the stream ends and lists
+    what it refused."""
+    events = arriving_twice(spark, d)
+    events = events.withColumn("id", F.when(F.col("id").cast("long") % 97 != 0, F.col("id")))
+    out = run(spark, "risk-log-refused", lambda o, c: S.stream_risk_log(events, o, c))
+    return read_refused(spark, out).groupBy(F.col("rows").alias("n"), "reason").agg(F.sum("rows").alias("total"))
+
+
 @register("stream_danger_alerts", W + f"""SELECT "timestamp", latitude, longitude, risk_level FROM se
 WHERE risk_level = '{DANGER}'""")
 def q_stream_danger_alerts(spark, d):

@@ -9,15 +9,16 @@ Sinks write with Spark's own committers; a single output file is opt-in
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import scalars as X
 from vigil.schema import INFERENCE_LOG, SAFETY_EVENT, SAFETY_EVENT_CSV, SAFETY_EVENT_COLUMNS
+from vigil.sources import keyed
 
 DELIMITERS = [",", ";", "\t", "|"]
 
@@ -47,14 +48,20 @@ def sniff_delimiter(header: str) -> str:
     return best[2] if best[0] > 0 else ","
 
 
+def encoded(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """Paths by their form in ``_metadata.file_path`` (a blank is %20 there)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return {hadoop(f).toUri().toString(): f for f in files}
+
+
 def sniff_files(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, str, str]]:
     """(separator, encoding, header line) of delimited text files, by path, from
     one scan of all of them; a file without any line is left out."""
     text = spark.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                                                F.monotonically_increasing_id().alias("at"))
-    place = F.struct("block", "at")
+    place, plain = F.struct("block", "at"), encoded(spark, files)
     found = text.groupBy("file").agg(F.min_by("value", place).alias("header"), F.bool_or(~F.is_valid_utf8("value")).alias("bad"))
-    return {r["file"]: (sniff_delimiter(r["header"]), "ISO-8859-1" if r["bad"] else "UTF-8", r["header"])
+    return {plain[r["file"]]: (sniff_delimiter(r["header"]), "ISO-8859-1" if r["bad"] else "UTF-8", r["header"])
             for r in found.collect()}  # one row per listed file
 
 
@@ -77,12 +84,24 @@ def _read_csv(spark: SparkSession, paths, sep: str, enc: str) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def by_shape(sniffed: dict[str, tuple[str, str, str]]) -> dict[tuple[str, str, str], list[str]]:
+    """Files of each shape: separator, encoding and header line."""
+    shapes: dict[tuple[str, str, str], list[str]] = {}
+    for f in sorted(sniffed):
+        shapes.setdefault(sniffed[f], []).append(f)
+    return shapes
+
+
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Tolerant CSV: delimiter from the header line, UTF-8 else Latin-1, names
-    stripped. The data itself is read by Spark's CSV source in parallel."""
-    sniffed = sniff_files(spark, files_of(spark, path) or [path])
-    sep, enc, _ = sniffed[min(sniffed)] if sniffed else (",", "UTF-8", "")
-    return _read_csv(spark, path, sep, enc)
+    """Tolerant CSV: a file or a folder of files, each with its own separator
+    (from its header line), encoding (UTF-8, else Latin-1) and columns (names
+    stripped). Every shape is one scan by Spark's CSV source; the scans are put
+    together by column name, and a file without a column has nulls there."""
+    shapes = by_shape(sniff_files(spark, files_of(spark, path) or [path]))
+    if not shapes:
+        return _read_csv(spark, path, ",", "UTF-8")
+    frames = [_read_csv(spark, files, sep, enc) for (sep, enc, _), files in shapes.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 # I3
@@ -116,13 +135,10 @@ def log_scans(spark: SparkSession, paths: Sequence[str], skipped: list | None =
     if skipped is not None:
         there = {i for i, f in units if f in sniffed}
         skipped += [p for i, p in enumerate(paths) if i not in there]
-    shapes: dict[tuple[str, str, str], list[str]] = {}
-    for f in sorted(sniffed):
-        shapes.setdefault(sniffed[f], []).append(f)
     out = []
-    for (sep, enc, _), files in shapes.items():
-        here = set(files)
-        own = [(i, f) for i, f in units if f in here]
+    for (sep, enc, _), files in by_shape(sniffed).items():
+        there = {f: e for e, f in encoded(spark, files).items()}
+        own = [(i, there[f]) for i, f in units if f in there]
         logs = spark.createDataFrame(own, "__log int, __file string")
         raw = _read_csv(spark, files, sep, enc)
         raw = raw.withColumn("__file", F.col("_metadata.file_path")).withColumn("__block", F.col("_metadata.file_block_start"))
@@ -162,19 +178,40 @@ def list_files(spark: SparkSession, root: str, glob: str, recursive: bool = True
 
 def convert_folder(spark: SparkSession, folder: str, out: str | None = None, infer: bool = True,
                    files: int | None = None) -> list[str]:
-    """Every ``*.csv`` in ``folder`` -> ``<name>.parquet`` (snappy)."""
-    from vigil.session import run_concurrently
-
-    out = out or folder
-    names = [r["path"] for r in list_files(spark, folder, "*.csv", recursive=False).select("path").collect()]
-
-    def convert(p: str) -> str:
-        base = os.path.basename(p)[: -len(".csv")]
-        df = spark.read.option("header", True).option("inferSchema", infer).csv(p)
-        return write_parquet(df, os.path.join(out, base + ".parquet"), files=files)
-
-    done = run_concurrently({p: (lambda p=p: convert(p)) for p in sorted(names)})  # one job per file
-    return [done[p] for p in sorted(names)]
+    """Every ``*.csv`` in ``folder`` -> ``<name>.parquet`` (snappy), the paths
+    in order. Files with the same header line are one scan, one inference (so
+    one schema) and one write that is partitioned by source file, so the number
+    of jobs does not grow with the files. Files without any line are left out."""
+    out = (out or folder).rstrip("/")
+    found = [f for f in files_of(spark, folder) if f.endswith(".csv")]
+    headers = spark.read.text(found).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+                                            F.col("_metadata.file_block_start").alias("block")) if found else None
+    plain = encoded(spark, found)
+    first = {} if headers is None else {plain[r["file"]]: r["header"] for r in headers.where("block = 0").groupBy("file").agg(
+        F.min_by("value", "at").alias("header")).collect()}  # one row per listed file
+    shapes: dict[str, list[str]] = {}
+    for f in sorted(first):
+        shapes.setdefault(first[f], []).append(f)
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = []
+    for members in shapes.values():
+        names = spark.createDataFrame(list(enumerate(encoded(spark, members))), "__n int, __file string")
+        df = spark.read.option("header", True).option("inferSchema", infer).csv(members)
+        numbered = df.withColumn("__file", F.col("_metadata.file_path")).join(F.broadcast(names), "__file").drop("__file")  # one row per file
+        if files:
+            numbered = numbered.repartition("__n", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
+        part = f"{out}/_converting-{uuid.uuid4().hex[:12]}"
+        numbered.write.partitionBy("__n").option("compression", "snappy").parquet(part)
+        for n, f in enumerate(members):
+            target = f"{out}/{f.rsplit('/', 1)[1][:-len('.csv')]}.parquet"
+            fs.delete(hadoop(target), True)
+            if not fs.rename(hadoop(f"{part}/__n={n}"), hadoop(target)):  # a header alone
+                write_parquet(spark.createDataFrame([], df.schema), target)
+            done.append(target)
+        fs.delete(hadoop(part), True)
+    return sorted(done)
 
 
 # I7
@@ -185,7 +222,7 @@ def size_report(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFr
     return c.crossJoin(p).withColumn("ratio", F.try_divide(F.col("csv_bytes").cast("double"), F.col("parquet_bytes")))
 
 
-# I8 / J5
+# I8 / J5 (the log itself: sources/keyed.py)
 def first_per_id(df: DataFrame, order_col: str | None = None) -> DataFrame:
     """One row per id, the first by ``order_col`` (default: input order: by
     file and place in it where the rows come straight from files).
@@ -194,42 +231,40 @@ def first_per_id(df: DataFrame, order_col: str | None = None) -> DataFrame:
     repeated in a third of the rows still ships one row per task.
     """
     cols = [c for c in df.columns if c != "id"]
-    here = F.monotonically_increasing_id()
-    try:
-        key = F.col(order_col) if order_col else F.struct(*[df.metadataColumn("_metadata")[c] for c in ("file_path", "file_block_start")], here)
-        df.select(key)
-    except AnalysisException:  # not a file scan
-        key = here
-    tagged = df.withColumn("_ord", key)
+    tagged = df.withColumn("_ord", F.col(order_col) if order_col else keyed.place_in_input(df))
     first = tagged.groupBy("id").agg(F.min_by(F.struct(*cols), F.col("_ord")).alias("_r"))
     return first.select("id", *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*df.columns)
 
 
+def _decided(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+    return keyed.decide(keyed.candidates(batch), None if existing is None else existing.select("id"))
+
+
 def new_events(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Rows of ``batch`` that may be appended: first row per id, ids on disk
-    refused. A row without id fails the job, as a key column would refuse it.
-
-    The log is only scanned for its id column and reduced to the batch's ids
-    first, so a small batch (by Spark's own size limit) never shuffles the log."""
-    keyed = batch.withColumn("id", F.when(F.col("id").isNull(), F.raise_error(F.lit("event without id"))).otherwise(F.col("id")))
-    firsts = first_per_id(keyed)
-    if existing is None:
-        return firsts
-    known = existing.select("id").join(firsts.select("id"), on="id", how="left_semi")
-    return firsts.join(known, on="id", how="left_anti")
-
-
-def append_events(batch: DataFrame, path: str) -> DataFrame:
-    """Append to the event log; returns the rows that were written."""
-    from vigil.session import ensure_checkpoint_dir
-
-    spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
-    existing = spark.read.schema(SAFETY_EVENT).parquet(path) if _exists(spark, path) else None
-    # materialise once: the anti-join must not see the rows it is about to write
-    staged = new_events(batch.select(*SAFETY_EVENT_COLUMNS), existing).checkpoint(eager=True)
-    staged.write.mode("append").option("compression", "snappy").parquet(path)
-    return staged
+    """Rows of ``batch`` that may be appended: first row per id, ids among the
+    existing ones refused. Rows without id are refused too, as a key column
+    would; ``refused_events`` lists what is left out.
+
+    Existing ids are reduced to the batch's first, so a small batch (by
+    Spark's own size limit) never shuffles them."""
+    return keyed.accepted(_decided(batch, existing))
+
+
+def refused_events(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """What ``new_events`` leaves out: (reason, id, rows, event)."""
+    return keyed.refusals(_decided(batch, existing))
+
+
+def append_events(batch: DataFrame, path: str, writer: str | None = None, epoch: int | None = None) -> DataFrame:
+    """Append to the keyed event log; the rows that were written (readable
+    until its next append). It reads the ids in the buckets that the batch
+    touches, not the log. Refused rows go to the log's reject table."""
+    return keyed.append_batch(batch.select(*SAFETY_EVENT_COLUMNS), path, writer, epoch)
+
+
+def read_refused(spark: SparkSession, path: str) -> DataFrame:
+    """The reject table of a keyed event log."""
+    return keyed.read_refused(spark, path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

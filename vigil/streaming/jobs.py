@@ -9,8 +9,9 @@ which makes it checkable against the same query run as a batch.
 Jobs take events in the columns of the event log, with or without a risk
 level. State stays bounded: the rolling windows are watermarked; the running
 total, the "latest n" and the hotspot centres are 1, n and k rows kept in
-versioned Parquet folders (the last two versions) by ``foreachBatch``; the
-keyed log itself is the state that refuses repeated ids.
+versioned Parquet folders (the last two versions) by ``foreachBatch``. Repeated
+ids are refused by the keyed log's own id buckets (S1) or by a RocksDB state
+store (S6).
 """
 
 from __future__ import annotations
@@ -68,12 +69,15 @@ def risk_events(events: DataFrame, threshold: float | None = K.CONFIDENCE_THRESH
 
 def stream_risk_log(events: DataFrame, out: str, ckpt: str, available_now: bool = True) -> StreamingQuery:
     """The 20-column event log, keyed for ever: of an id only the first event is
-    written, whenever a repeat arrives. A replayed batch finds its ids written
-    and adds nothing, so a restart loses and repeats no event."""
+    written, whenever a repeat arrives. Each micro-batch is one entry of the
+    log's ledger, so a replayed batch is skipped and one that was cut short is
+    finished. An event without id or with a known id goes to the reject table
+    (``read_refused``) and the stream goes on."""
     from vigil.sources.files import append_events
 
     def write(batch: DataFrame, epoch: int) -> None:
-        append_events(batch, out)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # lives as long as the checkpoint
+        append_events(batch, out, query, epoch)
 
     return _start_batches(risk_events(events).select(*SAFETY_EVENT_COLUMNS), write, ckpt, available_now=available_now)
 
@@ -171,14 +175,30 @@ def stream_rolling_rms(events: DataFrame, out: str, ckpt: str, watermark: str =
 
 
 # S6
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def distinct_events(events: DataFrame, watermark: str | None = None) -> DataFrame:
+    """The first event of each id, kept apart in the query's own state: for
+    ever, or with ``watermark`` for that event time. Events without id have no
+    key and are left out (``stream_risk_log`` lists them)."""
+    keyed = risk_events(events).select(*SAFETY_EVENT_COLUMNS).where(F.col("id").isNotNull())
+    return keyed.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["id"]) if watermark else keyed.dropDuplicates(["id"])
+
+
 def stream_dedup(events: DataFrame, out: str, ckpt: str, watermark: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Refuse repeated ids. By default for ever, against the keyed log ``out``
-    (as S1). With ``watermark``, only repeats within that event time of the
-    first are refused, in bounded state without reading the log."""
-    if watermark is None:
-        return stream_risk_log(events, out, ckpt, available_now=available_now)
-    ev = risk_events(events).select(*SAFETY_EVENT_COLUMNS).withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["id"])
-    return _start(ev, out, ckpt, available_now=available_now)
+    """Refuse repeated ids without reading any log: the ids lie in a RocksDB
+    state store, dealt by id over the shuffle partitions, on each executor's
+    disk rather than its heap and saved in the checkpoint. Without
+    ``watermark`` the state is one id per event for ever."""
+    conf = events.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:  # a started query holds its settings, also in its checkpoint
+        return _start(distinct_events(events, watermark), out, ckpt, available_now=available_now)
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 # S7
