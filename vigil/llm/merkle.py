@@ -14,7 +14,7 @@ every leaf: each round joins one link, appends its siblings to the leaf's
 proof and folds them into the leaf's hash, up to the root. Above the first hop
 all leaves of a block share their links, which are stored once for each block,
 so that no key of a round's join has more than ``BLOCK`` rows, however large
-the group.
+the group. Up to ``SMALL`` of these links are broadcast.
 
 Cases: nulls in any column are marked in the leaf; a null group is a group, the
 first one; null ids come first; rows of equal id and group stand in the order
@@ -40,6 +40,7 @@ FAN = 3
 HOP = 6
 BLOCK = FAN**HOP
 STEPS = "array<struct<left: binary, right: binary>>"
+SMALL = 20_000  # links of blocks that are broadcast, some 700 bytes each
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
@@ -140,7 +141,7 @@ WITH RECURSIVE climb (doc_id, leaf, grp, block, stage, folded, proof, subroot, r
          CAST(NULL AS BINARY), CAST(NULL AS BINARY)
   FROM {{leaves}}
   UNION ALL
-  SELECT c.doc_id, c.leaf, c.grp, c.block, c.stage + 1, {FOLD.format(steps="n.steps", node="c.folded")},
+  SELECT {{{{hint}}}} c.doc_id, c.leaf, c.grp, c.block, c.stage + 1, {FOLD.format(steps="n.steps", node="c.folded")},
          {SIBLINGS.format(steps="n.steps", proof="c.proof")}, n.subroot, n.root
   FROM climb c JOIN {{nodes}} n ON n.stage = c.stage AND n.block = c.block AND n.grp <=> c.grp)
 SELECT doc_id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(root)) AS root,
@@ -162,12 +163,13 @@ def merkle_manifest(docs: DataFrame, leaf: Column, shown: Column, id_col: str =
     roots = numbered(stages[-1].where("place = 0").select("grp", F.col("top").alias("node")), [], [F.asc_nulls_first("grp")])
     root_stages = built_stages(roots, [])
     above = block_links(stages, roots, root_stages, "grp")
+    hint = "/*+ BROADCAST(n) */" if above.count() <= SMALL else ""  # counted; more of them meet the leaves by key
     start = stages[0].selectExpr("doc_id", "node AS leaf", "shown", "grp", f"place DIV {BLOCK} AS block", "steps")
     # a limit on the rows of recursive queries guards against endless ones; the rounds here are as many as stages
     limit = spark.conf.get(ROW_LIMIT)
     spark.conf.set(ROW_LIMIT, "-1")
     try:
-        return saved(spark.sql(CLIMB, leaves=start, nodes=above, last=len(stages) + len(root_stages)))
+        return saved(spark.sql(CLIMB.replace("{{hint}}", hint), leaves=start, nodes=above, last=len(stages) + len(root_stages)))
     finally:
         spark.conf.set(ROW_LIMIT, limit)
 
