@@ -28,6 +28,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import namedtuple
 
 import numpy as np
 import pyarrow as pa
@@ -59,36 +60,38 @@ def hash_of(shingle: bytes, n: int, table: np.ndarray, pows: Powers) -> int:
     return int(gram_hashes(word_hashes(data, s, e, [table], pows)[0], n)[0])
 
 
-class Block:
-    """Index of one block of items: for each shingle width and size class,
-    the sketches' hashes and the items they belong to."""
-
-    def __init__(self, items: list[tuple[int, str]], percent: int) -> None:
-        table, pows = byte_values(SEED, lower=True), Powers()
-        self.ids, self.shingles, self.need, self.width = [], [], [], []
-        classes: dict[tuple[int, int], dict[int, list[int]]] = {}
-        for item, text in items:
-            words = lower_words(text)
-            if not words:
-                continue
-            n = min(WORDS, len(words))
-            own = shingles(words, n)
-            need = -(-percent * len(own) // 100)
-            sketch = sorted(hash_of(s, n, table, pows) for s in own)[:len(own) - need + 1]
-            i = len(self.ids)
-            self.ids.append(item)
-            self.shingles.append(own)
-            self.need.append(need)
-            self.width.append(n)
-            by_hash = classes.setdefault((n, int(math.log2(len(own)))), {})
-            for h in sketch:
-                by_hash.setdefault(h, []).append(i)
-        # (width, least shingles needed in the class, sorted hashes, items of each hash)
-        self.classes = [(n, min(self.need[i] for v in d.values() for i in v), np.array(sorted(d), np.uint64), [d[h] for h in sorted(d)])
-                        for (n, _), d in classes.items()]
-
-
-def candidates(block: Block, words: np.ndarray, first: np.ndarray) -> dict[int, set[int]]:
+Index = namedtuple("Index", "ids shingles need width classes")
+
+
+def index_of(items: list[tuple[int, str]], percent: int) -> tuple:
+    """Index of one block of items: ids, shingles, needed shingles and shingle
+    width of each, and for each shingle width and size class (width, least
+    shingles needed, sorted hashes of the sketches, items of each hash). A
+    plain tuple, which executors read without this package."""
+    table, pows = byte_values(SEED, lower=True), Powers()
+    ids, own_shingles, needs, widths = [], [], [], []
+    classes: dict[tuple[int, int], dict[int, list[int]]] = {}
+    for item, text in items:
+        words = lower_words(text)
+        if not words:
+            continue
+        n = min(WORDS, len(words))
+        own = shingles(words, n)
+        need = -(-percent * len(own) // 100)
+        sketch = sorted(hash_of(s, n, table, pows) for s in own)[:len(own) - need + 1]
+        i = len(ids)
+        ids.append(item)
+        own_shingles.append(own)
+        needs.append(need)
+        widths.append(n)
+        by_hash = classes.setdefault((n, int(math.log2(len(own)))), {})
+        for h in sketch:
+            by_hash.setdefault(h, []).append(i)
+    found = [(n, min(needs[i] for v in d.values() for i in v), np.array(sorted(d), np.uint64), [d[h] for h in sorted(d)]) for (n, _), d in classes.items()]
+    return ids, own_shingles, needs, widths, found
+
+
+def candidates(block: Index, words: np.ndarray, first: np.ndarray) -> dict[int, set[int]]:
     """Document (by place) -> items whose sketch it meets. ``words`` are word
     hashes, ``first`` the first word of each document."""
     found: dict[int, set[int]] = {}
@@ -113,37 +116,45 @@ def candidates(block: Block, words: np.ndarray, first: np.ndarray) -> dict[int,
     return found
 
 
+def item_blocks(items: DataFrame, item_col: str, item_text_col: str, percent: int, block_chars: int):
+    """Broadcast indexes of the items, of about ``block_chars`` characters each."""
+    queries = items.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+    total = queries.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_chars))
+    for b in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about block_chars characters
+        yield items.sparkSession.sparkContext.broadcast(index_of([tuple(r) for r in part], percent))
+
+
+def held_items(block: Index, data: np.ndarray, offsets: np.ndarray, percent: int, table: np.ndarray, pows: Powers):
+    """(document by place, item, shared shingles) of some texts, verified."""
+    starts, ends, first = word_spans(data, offsets)
+    found = candidates(block, word_hashes(data, starts, ends, [table], pows)[0], first)
+    for d, some in sorted(found.items()):
+        words = bytes(data[offsets[d]:offsets[d + 1]]).lower().split()
+        held: dict[int, set[bytes]] = {}
+        for i in sorted(some):
+            n = block.width[i]
+            if n not in held:
+                held[n] = shingles(words, n)
+            shared = len(held[n] & block.shingles[i])
+            if 100 * shared >= percent * len(block.shingles[i]):
+                yield d, i, shared
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                     item_text_col: str = "text", percent: int = SHARE_PERCENT, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item) for each item of which a document
     holds at least ``percent`` of the shingles."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    queries = items.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    total = queries.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
     out = None
-    for b in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about block_chars characters
-        index = spark.sparkContext.broadcast(Block([tuple(r) for r in part], percent))
+    for index in item_blocks(items, item_col, item_text_col, percent, block_chars):
 
-        def search(batches, index=index, percent=percent):
-            block, table, pows = index.value, byte_values(SEED, lower=True), Powers()
+        def search(batches, index=index):
+            block, table, pows = Index(*index.value), byte_values(SEED, lower=True), Powers()
             for batch in text_slices(batches, "text"):
-                data, offsets = column_bytes(batch.column(1))
-                starts, ends, first = word_spans(data, offsets)
-                found = candidates(block, word_hashes(data, starts, ends, [table], pows)[0], first)
-                pairs = []
-                for d, some in sorted(found.items()):
-                    words = bytes(data[offsets[d]:offsets[d + 1]]).lower().split()
-                    held: dict[int, set[bytes]] = {}
-                    for i in sorted(some):
-                        n = block.width[i]
-                        if n not in held:
-                            held[n] = shingles(words, n)
-                        shared = len(held[n] & block.shingles[i])
-                        if 100 * shared >= percent * len(block.shingles[i]):
-                            pairs.append((batch.column(0)[d].as_py(), block.ids[i], shared, len(block.shingles[i])))
+                pairs = [(batch.column(0)[d].as_py(), block.ids[i], shared, len(block.shingles[i]))
+                         for d, i, shared in held_items(block, *column_bytes(batch.column(1)), percent, table, pows)]
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in range(4)],
                                                  ["doc_id", "item_id", "n_shared", "n_item"])
 
@@ -152,11 +163,23 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     return out
 
 
-def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents (doc_id, text, ...) that contain none of the items."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
-    hits = contained_items(keyed, items, id_col="_key").select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(hits, "_key", "left_anti").drop("_key")
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                  percent: int = SHARE_PERCENT, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Documents that contain none of the items, all columns as they are.
+    Documents are read once and pass the blocks of items one after the other,
+    within their task, so no text is shuffled."""
+    at = docs.columns.index(text_col)
+    for index in item_blocks(items, item_col, item_text_col, percent, block_chars):
+
+        def keep(batches, index=index):
+            block, table, pows = Index(*index.value), byte_values(SEED, lower=True), Powers()
+            for batch in text_slices(batches, at):
+                stays = np.ones(batch.num_rows, bool)
+                stays[[d for d, _, _ in held_items(block, *column_bytes(batch.column(at)), percent, table, pows)]] = False
+                yield batch.filter(pa.array(stays))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs
 
 
 def op6_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
