@@ -3,7 +3,8 @@
 Three base patterns find assignments, access keys and long hex runs; a fourth
 finds other random-looking tokens. Every value found is hashed (values never
 leave the scanning task) and the hashes are aggregated over the whole corpus by
-distinct repositories and distinct owners. A value that more than
+distinct repositories and distinct owners, exact copies of a text counting
+once. A value that more than
 ``max_owners`` owners or ``max_repos`` repositories hold is a widely copied
 example; any other is owner-specific and looks live. Owner-specific random
 tokens become additional spans of kind ``owned``; base spans always stay, and
@@ -20,7 +21,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +44,7 @@ MIN_ENTROPY = 3.0  # bits a character of a random-looking token
 MAX_OWNERS = 2
 MAX_REPOS = 4
 SPAN = "struct<start:int,kind:int,end:int,hash:string>"
-SCANNED = f"row long, doc_id long, repo string, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, found array<{SPAN}>"
+SCANNED = f"row long, doc_id long, repo string, owner string, text_a long, text_b long, more array<long>, n_assign long, n_access long, n_hex long, base_sha256 string, found array<{SPAN}>"
 
 
 def entropy(s: str) -> float:
@@ -62,58 +66,66 @@ def scanner():
             out += [(m.start(), 1, m.end(), m[0]) for m in access.finditer(text) if len(m[0]) >= 16]
         out += [(m.start(), 2, m.end(), m[0]) for m in hexa.finditer(text)]
         base = sorted(out)
+        starts, reach = [a for a, *_ in base], list(accumulate((b for _, _, b, _ in base), max))  # the end of all up to each
         for m in token.finditer(text):
-            s = m[0]
+            s, before = m[0], bisect_left(starts, m.end())
             if (any(c.isdigit() for c in s) and any(c.isalpha() for c in s) and entropy(s) >= MIN_ENTROPY
-                    and not any(a < m.end() and m.start() < b for a, _, b, _ in base)):
+                    and not (before and reach[before - 1] > m.start())):
                 out.append((m.start(), 3, m.end(), s))
         return sorted(out)
 
     return spans
 
 
-def scan(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> DataFrame:
-    """One row per document with its spans and candidate hashes."""
+def scan(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column, more: Sequence[str] = ()) -> DataFrame:
+    """One row per document with its spans and candidate hashes, the hash of
+    its text, and the long columns ``more`` as a list."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(repo, F.lit("")).alias("repo"), F.coalesce(owner, F.lit("")).alias("owner"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    names = [x.split()[0] for x in SCANNED.split(", ")]
+                       F.xxhash64(F.lit(1), text).alias("text_a"), F.xxhash64(F.lit(2), text).alias("text_b"),
+                       F.array(*map(F.col, more)).cast("array<long>").alias("more"), text.alias("text"))
+    names = ["row", "doc_id", "repo", "owner", "text_a", "text_b", "more", "n_assign", "n_access", "n_hex", "base_sha256", "found"]
     kind_names = KINDS
 
     def run(batches):
         spans = scanner()
         for batch in batches:
-            texts = batch.column(4).to_pylist()
+            texts = batch.column(7).to_pylist()
             found = [spans(t) for t in texts]
             counts = [[sum(k == kind for _, k, _, _ in f) for f in found] for kind in range(3)]
             base = [hashlib.sha256(",".join(f"{kind_names[k]}:{a}:{b}" for a, k, b, _ in f if k < 3).encode()).hexdigest() for f in found]
             hashed = [[{"start": a, "kind": k, "end": b, "hash": hashlib.sha256(v.encode()).hexdigest()[:32]} for a, k, b, v in f] for f in found]
             item = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("hash", pa.string())])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(4)), *(pa.array(c, pa.int64()) for c in counts),
+                [*(batch.column(i) for i in range(7)), *(pa.array(c, pa.int64()) for c in counts),
                  pa.array(base, pa.string()), pa.array(hashed, pa.list_(item))], names)
 
     return rows.mapInArrow(run, SCANNED)
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of each candidate hash. The first
-    grouping takes out repeats before the shuffle, so that a value copied into
-    a third of all rows costs a row per task, owner and repository."""
-    held = found.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one"))
+    """Distinct owners and repositories of each candidate hash. A text counts
+    once, for its least owner and repository, so that copies of one document
+    do not look like several owners. Each grouping takes out repeats before the
+    shuffle: a value copied into a third of all rows costs a row per task and
+    text, then one per task, owner and repository."""
+    texts = found.groupBy("hash", "text_a", "text_b").agg(F.min(F.struct("owner", "repo")).alias("by"))
+    held = texts.groupBy("hash", F.col("by.owner").alias("owner"), F.col("by.repo").alias("repo")).agg(F.lit(1).alias("one"))
     owners = held.groupBy("hash", "owner").agg(F.count("one").alias("repos"))
     return owners.groupBy("hash").agg(F.count("owner").alias("n_owners"), F.sum("repos").alias("n_repos"))
 
 
 def secret_spans(docs: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id", text_col: str = "text",
-                 max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+                 max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS, more: Sequence[str] = ()) -> DataFrame:
     """One row per document: counts of the base kinds, ``base_sha256``,
     ``found`` (all reported spans with verdicts, by start and kind) and the
     number of base spans held to be copied examples and owner-specific.
 
-    ``repo`` and ``owner`` are expressions over ``docs``."""
-    scanned = saved(scan(docs, id_col, text_col, repo, owner))  # small beside the text; read three times
-    each = scanned.select("row", "repo", "owner", F.explode("found").alias("s")).select("row", "repo", "owner", "s.*")
+    ``repo`` and ``owner`` are expressions over ``docs``; ``more`` names long
+    columns of it to hand through."""
+    scanned = saved(scan(docs, id_col, text_col, repo, owner, more))  # small beside the text; read three times
+    each = scanned.select("row", "repo", "owner", "text_a", "text_b", F.explode("found").alias("s")).select("row", "repo", "owner", "text_a", "text_b", "s.*")
     verdict = ownership(each).select("hash", ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).alias("live"))
     judged = (each.join(verdict, "hash").where((F.col("kind") < 3) | F.col("live"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans"),
@@ -122,33 +134,40 @@ def secret_spans(docs: DataFrame, repo: Column, owner: Column, id_col: str = "do
     none = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")
     return (scanned.drop("found", "repo", "owner").join(judged, "row", "left")
             .select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("spans", none).alias("found"),
-                    F.coalesce("n_copied", F.lit(0)).alias("n_copied"), F.coalesce("n_live", F.lit(0)).alias("n_live")))
+                    F.coalesce("n_copied", F.lit(0)).alias("n_copied"), F.coalesce("n_live", F.lit(0)).alias("n_live"), *[F.col("more")[i].alias(c) for i, c in enumerate(more)]))
 
 
 def redacted(docs: DataFrame, repo: Column, owner: Column, mark: str = "[SECRET]") -> DataFrame:
     """Documents (doc_id, text, ...) whose owner-specific spans are replaced by
-    ``mark``, overlapping ones by one; widely copied examples stay."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
-    found = secret_spans(keyed, repo, owner, id_col="_key").select(F.col("doc_id").alias("_key"), F.filter("found", lambda s: s["live"]).alias("_spans"))
-    found = found.where(F.size("_spans") > 0).groupBy("_key").agg(F.first("_spans").alias("_spans"))  # repeated rows have equal spans
+    ``mark``, overlapping ones by one; widely copied examples stay. A row is
+    found again by 128 bits of hashes of its id and text; its columns travel as
+    one struct, so their names clash with nothing."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    key = [F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), text) for seed in (1, 2)]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key[0].alias("a"), key[1].alias("b"))
+    inner = docs.select(key[0].alias("a"), key[1].alias("b"), repo.alias("repo"), owner.alias("owner"), F.col("text").alias("text"))
+    found = secret_spans(inner, F.col("repo"), F.col("owner"), id_col="a", more=("b",)).withColumnRenamed("doc_id", "a")
+    found = found.select("a", "b", F.filter("found", lambda s: s["live"]).alias("spans")).where(F.size("spans") > 0)
+    found = found.groupBy("a", "b").agg(F.first("spans").alias("spans"))  # repeated rows have equal spans
     names = docs.columns
     at = names.index("text")
 
     def replace(batches):
         for batch in batches:
+            row = batch.column(0)
+            columns = [row.field(i) for i in range(len(names))]
             texts = []
-            for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
+            for text, spans in zip(columns[at].to_pylist(), batch.column(1).to_pylist()):
                 end, out = 0, []
                 for s in spans or []:  # by start
                     if s["start"] >= end:
                         out += [text[end:s["start"]], mark]
                     end = max(end, s["end"])
                 texts.append("".join(out) + text[end:] if spans else text)
-            columns = list(batch.columns[:len(names)])
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return keyed.join(found, "_key", "left").select(*names, "_spans").mapInArrow(replace, docs.schema)
+    return rows.join(found, ["a", "b"], "left").select("row", "spans").mapInArrow(replace, docs.schema)
 
 
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
