@@ -53,5 +53,26 @@ def test_training_leaves_the_fold_out(spark):
     from vigil.llm.labelled import labelled_sample
 
     n = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(200))
-    assert len(labelled_sample(docs, labels, "quality", 4, 2, 1000, 10)) == n
-    assert len(labelled_sample(docs, labels, "quality", 4, 2, 50, 10)) == 50
+    assert len(labelled_sample(docs, labels, "quality", 4, 2, 1000, 10_000)) == n
+    assert len(labelled_sample(docs, labels, "quality", 4, 2, 50, 10_000)) == 50
+    assert len(labelled_sample(docs, labels, "quality", 4, 2, 50, 10)) == 10
+
+
+def test_texts_of_any_length_are_learned_from(spark):
+    from vigil.llm.labelled import labelled_sample
+
+    docs = spark.createDataFrame([(i, ("%%% x### " if i % 2 else f"plain words {i} here ") * (15_000 if i < 8 else 3)) for i in range(16)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2 = 0) AS quality")
+    sample = labelled_sample(docs, labels, "quality", 4, 2, 100, 10**7, piece_chars=1000, pieces=4)
+    kept = {i for i in range(16) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(sample) == len(kept) and max(len(t) for t, _ in sample) == 4003  # four pieces, three line breaks
+    model = Q.train(labelled_sample(docs, labels, "quality", 4, 2, 100, 10**7))
+    assert {r["doc_id"]: r["predicted"] for r in Q.quality_scores(docs, model).collect()} == {i: int(i % 2 == 0) for i in range(16)}
+
+
+def test_flat_bags_are_the_bags():
+    sample = [("one two two", 1), ("", 0), ("é漢 " * 40, 1)]
+    ids, part, first = Q.bags(sample)
+    for i, (t, _) in enumerate(sample):
+        own, weight = Q.bag(t, byte_values(4), Powers())
+        assert (ids[first[i]:first[i + 1]] == own).all() and np.allclose(part[first[i]:first[i + 1]], weight)

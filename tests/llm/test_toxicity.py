@@ -80,3 +80,45 @@ def test_cases(spark):
     assert [r["held_out"] for r in out] == [r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in out]
     assert T.toxicity_scores(docs.limit(0), T.fit_toxicity(docs, labels.limit(0))).collect() == []
     assert T.toxicity_scores(docs, T.fit_toxicity(docs, labels.where("toxic = 0"))).first()["score"] < .01
+
+
+def test_long_toxic_documents_are_learned_from(spark):
+    rows = [(i, "nice calm words about gardens " * 20 if i % 2 else "stupid idiot hate you fool " * 960) for i in range(40)]  # toxic ones of over 24,000 characters
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2 = 0) AS toxic")
+    out = T.toxicity_scores(docs, T.fit_toxicity(docs, labels)).collect()
+    assert all(r["predicted"] == int(r["doc_id"] % 2 == 0) for r in out)
+
+
+def test_forward_pass_is_the_plain_loop():
+    """Scores of windows by the equations, one word at a time."""
+    net = {k: v.astype(np.float64) for k, v in T.new_network(5).items()}
+    words, doc, start, size = parsed(["a bad word é here", "x yy zzz x", ""])
+    sig = lambda v: 1 / (1 + np.exp(-v))
+
+    def vector(i):
+        grams = words.grams[words.first[i]:words.first[i + 1]]
+        chars = net["gram"][grams].sum(0) / max(1, len(grams)) if len(grams) else np.zeros(T.SIDE)
+        return np.concatenate([net["word"][words.ids[i]], chars])
+
+    def layer(xs, d):
+        h, out = np.zeros(T.SIDE), []
+        for x in xs:
+            g = x @ net[f"in_{d}"] + net[f"bias_{d}"]
+            u = h @ net[f"state_{d}"]
+            z, r = sig(g[:T.SIDE] + u[:T.SIDE]), sig(g[T.SIDE:2 * T.SIDE] + u[T.SIDE:2 * T.SIDE])
+            n = np.tanh(g[2 * T.SIDE:] + r * u[2 * T.SIDE:])
+            h = (1 - z) * h + z * n
+            out.append(h)
+        return out
+
+    got = T.logits(net, words, start, size)
+    for s, k, logit in zip(start, size, got):
+        xs = [vector(words.index[s + j]) for j in range(k)]
+        if not k:
+            continue
+        states = [np.concatenate([f, b]) for f, b in zip(layer(xs, "f"), layer(xs[::-1], "b")[::-1])]
+        e = np.array([np.tanh(st @ net["look"] + net["look_bias"]) @ net["look_at"] for st in states])
+        a = np.exp(e - e.max())
+        pooled = (a / a.sum()) @ np.array(states)
+        assert abs(pooled @ net["out"] + float(net["out_bias"].sum()) - logit) < 1e-4

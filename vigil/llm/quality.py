@@ -7,8 +7,9 @@ markers and n-grams of each length are averaged apart (markers over the number
 of words) and then added, so that none drowns the others. A softmax layer turns the
 average into class probabilities. Vectors and weights are trained together by
 stochastic gradient descent (AdaGrad steps) in numpy on a bounded sample of
-labelled documents: up to ``per_class`` a class, whole texts of at most
-``max_chars`` characters. Scoring reads every whole text. Since the output is
+labelled documents: up to ``per_class`` documents and ``budget_chars``
+characters a class, texts of any length (very long ones by random pieces). The
+bags of the sample are two flat arrays on the driver. Scoring reads every whole text. Since the output is
 linear in the average, a bucket's share of the log odds is one number, and a
 document's score is a sum of means over its features.
 
@@ -34,7 +35,7 @@ GRAMS = (2, 3, 4)
 DIM = 12
 EPOCHS = 6
 PER_CLASS = 2000
-MAX_CHARS = 100_000
+BUDGET_CHARS = 8_000_000
 KEEP = 0.7
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -94,14 +95,26 @@ def bag(text: str, table: np.ndarray, pows: Powers) -> tuple[np.ndarray, np.ndar
     return ids.astype(np.int64), np.bincount(place, weight, len(ids))
 
 
+def bags(sample: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets and weights of all texts, one after the other, and the first of
+    each. The arrays are made once, so that they are freed as a whole."""
+    table, pows = byte_values(4), Powers()
+    most = sum((1 + len(GRAMS)) * len(t) + 1 for t, _ in sample)  # untouched pages cost nothing
+    ids, part, first = np.empty(most, np.int32), np.empty(most, np.float32), np.zeros(len(sample) + 1, np.int64)
+    for i, (text, _) in enumerate(sample):
+        own, weight = bag(text, table, pows)
+        first[i + 1] = first[i] + len(own)
+        ids[first[i]:first[i + 1]], part[first[i]:first[i + 1]] = own, weight
+    return ids, part, first
+
+
 def train(sample: list[tuple[str, int]], seed: int = 4) -> tuple[np.ndarray, float]:
     """(log-odds of each bucket, bias) from labelled texts."""
     labels = np.array([y for _, y in sample], np.int64)
     if len(set(labels.tolist())) < 2:
         known = {0: -30.0, 1: 30.0}
         return np.zeros(BUCKETS), known[int(labels[0])] if len(labels) else 0.0
-    table, pows = byte_values(4), Powers()
-    bags = [bag(t, table, pows) for t, _ in sample]
+    ids_of, part_of, first = bags(sample)
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     weights, bias = rng.normal(0, 0.5, (DIM, 2)), np.zeros(2)
@@ -111,9 +124,9 @@ def train(sample: list[tuple[str, int]], seed: int = 4) -> tuple[np.ndarray, flo
         order = rng.permutation(len(sample))
         for at in range(0, len(order), 32):
             batch = order[at:at + 32]
-            ids = np.concatenate([bags[i][0] for i in batch])
-            part = np.concatenate([bags[i][1] for i in batch])
-            doc = np.repeat(np.arange(len(batch)), [len(bags[i][0]) for i in batch])
+            ids = np.concatenate([ids_of[first[i]:first[i + 1]] for i in batch])
+            part = np.concatenate([part_of[first[i]:first[i + 1]] for i in batch])
+            doc = np.repeat(np.arange(len(batch)), np.diff(first)[batch])
             mean = np.stack([np.bincount(doc, part * vectors[ids, k], len(batch)) for k in range(DIM)], 1)
             logits = mean @ weights + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
@@ -163,9 +176,9 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], keep: float
     return rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, ", ".join([SCHEMA, *(f"carry_{c} {types[c]}" for c in carry)]))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> tuple[np.ndarray, float]:
+def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, budget_chars: int = BUDGET_CHARS) -> tuple[np.ndarray, float]:
     """Model from the labels of documents outside the held-out fold."""
-    return train(labelled_sample(docs, labels, "quality", 4, 2, per_class, max_chars))
+    return train(labelled_sample(docs, labels, "quality", 4, 2, per_class, budget_chars))
 
 
 def op4_quality_subword(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,9 +81,9 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def text_slices(batches, text: str, limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that each piece holds about ``limit`` bytes of
-    text (a longer text is a piece of its own)."""
+def text_slices(batches, text: str | int, limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that each piece holds about ``limit`` bytes of the
+    column ``text`` (a longer text is a piece of its own)."""
     for batch in batches:
         _, offsets = column_bytes(batch.column(text))
         at = 0

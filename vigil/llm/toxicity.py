@@ -8,8 +8,8 @@ scored over all its windows of ``WINDOW`` words that start every ``STRIDE``
 words (the last one ends with the text): its score is that of the worst window.
 
 Training is numpy back-propagation with Adam steps on a bounded sample of
-labelled documents (up to ``per_class`` a class, whole texts of at most
-``max_chars`` characters). Labels belong to documents, so in each epoch a toxic
+labelled documents (up to ``per_class`` documents and ``budget_chars``
+characters a class, texts of any length, very long ones by random pieces). Labels belong to documents, so in each epoch a toxic
 document is represented by the window the network finds worst, a clean one by
 its worst and by a random window. Last, scale and bias of the document score are fitted.
 
@@ -35,7 +35,7 @@ GRAMS = (3, 4, 5)  # bytes, ends of the word included
 SIDE = 8  # width of each input vector, of each direction's state and of the attention
 EPOCHS = 10
 PER_CLASS = 1200
-MAX_CHARS = 20_000
+BUDGET_CHARS = 6_000_000
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -300,9 +300,9 @@ def toxicity_scores(docs: DataFrame, net: dict, threshold: float = 0.5) -> DataF
     return rows.mapInArrow(run, SCHEMA)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> dict:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, budget_chars: int = BUDGET_CHARS) -> dict:
     """Network from the labels of documents outside the held-out fold."""
-    return train(labelled_sample(docs, labels, "toxic", 5, 0, per_class, max_chars))
+    return train(labelled_sample(docs, labels, "toxic", 5, 0, per_class, budget_chars))
 
 
 def op9_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
