@@ -108,4 +108,4 @@ def test_one_of_each_takes_repeated_rows_once(spark):
     assert sorted(map(tuple, got.collect()), key=str) == [(1, "a b c d e f"), (4, " "), (4, " "), (None, "x y z u v w")]
     # the repeats go within each task, before rows are dealt
     plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Join LeftSemi") < plan.index("Aggregate [_key")
+    assert plan.index("Join LeftSemi") < plan.index("Aggregate [id")

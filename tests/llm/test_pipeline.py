@@ -101,3 +101,42 @@ def test_extra_columns_pass(spark):
         assert stage(spark, docs, SF).collect() == docs.collect()
     assert P.decontamination_stage(spark, docs, SF).collect() == docs.collect()
     assert P.token_stage(spark, docs, SF).first()["n_tokens"] > 0
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ["_key", "_spans", "_stay", "row", "id", "key", "a", "b", "blank", "spans", "label"]
+    rows = [(i, t, "en", "a", len(t), *range(i, i + len(names))) for i, t in enumerate(["some words here", "some words here", "token=abcdefgh12345 here", "", "benchmark words of a kind"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` long" for n in names))
+    kept = P.near_duplicate_stage(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(kept.collect()) == sorted(r for r in docs.collect() if r["doc_id"] != 1)
+    assert sorted(P.decontamination_stage(spark, docs, SF).collect()) == sorted(docs.collect())
+    clean = {r["doc_id"]: r for r in P.secret_stage(spark, docs, SF).collect()}
+    assert clean[2]["text"] == "[SECRET] here" and [clean[2][n] for n in names] == list(range(2, 2 + len(names)))
+    assert [clean[0][n] for n in names] == list(range(len(names)))
+
+
+def test_executors_without_the_package(tmp_path):
+    """Python workers that cannot import the package run every operator."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = tmp_path / "away.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(Path(P.__file__).parent)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+def there(batches):
+    import importlib.util, pyarrow as pa
+    for b in batches:
+        yield pa.RecordBatch.from_pydict({{"found": [importlib.util.find_spec("vigil") is not None]}})
+assert not spark.range(1).mapInArrow(there, "found boolean").first()[0]
+import __spark_entry__
+for name, query in __spark_entry__.queries().items():
+    if name in ("op2_token_groups", "op3_secret_ownership", "op6_containment", "op8_suffix_lpf", "op10_rlz", "op11_target_resampling", "op12_token_counts", "op13_merkle_manifest", "pipeline"):
+        print(name, query(spark, {SF!r}).count(), flush=True)
+""")
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=900, env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert len(done.stdout.split("\n")) >= 9

@@ -20,7 +20,8 @@ with each member.
 Since only classes are wanted, no pair is compared twice over: inside a group,
 sets already in its largest class don't ask; between groups, after a first
 round in which a few sets of each group ask another group, the members of a
-group's largest class only ask groups whose largest class is another. Every pair of linked sets is then
+group's largest class only ask groups whose largest class is another (found per
+shingle: of the groups that hold it, those not of its most common class). Every pair of linked sets is then
 either compared or known to be in one class. Groups send class labels, not pairs.
 
 Shingles are 62-bit hashes, classes of equal sets 64-bit hashes and the size.
@@ -264,6 +265,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     once = R.distinct_rows(rows.select("key", "id", "text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(once, words))
     shared = R.contested_of(R.block_table(once, prefix_maker(words, percent, frequent), same_document=True))
+    frequent.destroy()  # its readers have written their table
     shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"), F.col("pick").alias("token"))
     # sets with fewer shared prefix shingles than any linked pair has are linked with none; a set's
     # group is the last of its shared ones (frequent ones come last), so that similar sets meet in few groups
@@ -289,7 +291,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # first round: classes inside each group; a few sets of each ask one other group
     some = Window.partitionBy("block").orderBy(F.xxhash64("fp"), "fp")
     asking = sets_in.withColumn("k", F.row_number().over(some)).where(F.col("k") <= ASKING).select("fp")
-    asked = (shared.join(asking, "fp").alias("q").join(matrix.alias("m"), (F.col("q.token") == F.col("m.token")) & (F.col("m.block") < F.col("q.block")) & size_fits)
+    least = matrix.groupBy("token").agg(F.min(F.struct("block", "low", "high")).alias("m")).select("token", "m.*")  # one row a token
+    asked = (shared.join(asking, "fp").alias("q").join(least.alias("m"), (F.col("q.token") == F.col("m.token")) & (F.col("m.block") < F.col("q.block")) & size_fits)
              .groupBy("q.fp").agg(F.min("m.block").alias("block")))
     none = F.lit(0).cast("long").alias("label")
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", none, "text")
@@ -302,9 +305,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # second round: who may still be linked with a member of another class
     main = inside.groupBy("block", "label").count().groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     known = inside.join(main, "block").select("fp", "label", (F.col("label") == F.col("main")).alias("in_main"))
-    q, m = shared.join(known, "fp").alias("q"), matrix.join(main, "block").alias("m")
-    asked = (q.join(m, (F.col("q.token") == F.col("m.token")) & (F.col("q.block") != F.col("m.block")) & (~F.col("in_main") | (F.col("main") != F.col("label"))) & size_fits)
-             .groupBy("q.fp", "m.block", "q.label", "q.size").agg(F.count("*").alias("n")).where(F.col("n") >= need).select("fp", "block", "label"))
+    # a token's blocks are mostly of one class where near copies are many: members of that class, the mass of
+    # sets, only meet the token's other blocks, so that a class over many blocks is not met block by block
+    held = matrix.join(main, "block")
+    common = held.groupBy("token", "main").count().groupBy("token").agg(F.max_by("main", F.struct("count", "main")).alias("common"))
+    held = held.join(common, "token")
+    q = shared.join(known, "fp").join(common, "token").withColumn("usual", F.col("in_main") & (F.col("label") == F.col("common"))).drop("common")
+    fits = (F.col("q.token") == F.col("m.token")) & (F.col("q.block") != F.col("m.block")) & size_fits
+    usual = q.where("usual").alias("q").join(held.where("main != common").alias("m"), fits)
+    other = q.where("NOT usual").alias("q").join(held.alias("m"), fits & (~F.col("in_main") | (F.col("main") != F.col("label"))))
+    asked = (usual.select("q.fp", "m.block", "q.label", "q.size").unionByName(other.select("q.fp", "m.block", "q.label", "q.size"))
+             .groupBy("fp", "block", "label", "size").agg(F.count("*").alias("n")).where(F.col("n") >= need).select("fp", "block", "label"))
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", "label", "text")
     targets = visits.select("block").distinct()
     members = texts.join(targets, "block", "left_semi").join(inside.select("fp", "label"), "fp").select("block", "fp", "label", "text")
@@ -322,12 +333,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Documents without their near copies: of each class the row with the
     smallest id (nulls last) stays, of repeated rows one; documents with empty
-    sets stay all. ``docs`` has doc_id and text."""
+    sets stay all. ``docs`` has doc_id and text; its columns travel as one
+    struct, so their names clash with nothing. A row is known by its id and a
+    hash of id and text."""
     found = jaccard_components(docs, words=words, percent=percent)
-    stays = found.where("class is not null").groupBy("class").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(R.NULL_ID)), "key")).alias("first")).select(F.col("first.key").alias("_stay"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
-    blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return keyed.where(~blank).dropDuplicates(["_key"]).join(stays, F.col("_key") == F.col("_stay"), "left_semi").unionByName(keyed.where(blank)).drop("_key")
+    stays = found.where("class is not null").groupBy("class").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(R.NULL_ID)).alias("id"), "key")).alias("first"))
+    stays = stays.select("first.id", "first.key")
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(doc_id, F.lit(R.NULL_ID)).alias("id"), F.xxhash64(doc_id, text).alias("key"),
+                       (~text.rlike(r"[^\x20\x09-\x0D]")).alias("blank"))
+    kept = rows.where("NOT blank").dropDuplicates(["id", "key"]).join(stays, ["id", "key"], "left_semi")
+    return kept.select("row.*").unionByName(rows.where("blank").select("row.*"))
 
 
 def op2_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
