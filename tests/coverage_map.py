@@ -11,18 +11,18 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # id, function (module.name), registered queries, unit test file
 MAP = [
     ("I1", "sources.files.read_events_csv", ["read_events_csv"], "test_sources_streams"),
-    ("I2", "sources.files.read_log_csv", ["read_log_csv"], "test_quality_drift"),
+    ("I2", "sources.files.read_log_csv", ["read_log_csv", "read_log_csv_mixed"], "test_readers_layout"),
     ("I3", "sources.files.ingest_logs / harmonise_log", ["ingest_logs", "ingest_logs_defaults", "harmonise_log"], ""),
     ("I4", "sources.files.read_events", ["read_events"], ""),
     ("I5", "sources.files.write_parquet", ["read_events", "build_cubes"], "test_sources_streams"),
-    ("I6", "sources.files.convert_folder", ["convert_folder"], "test_sources_streams"),
+    ("I6", "sources.files.convert_folder", ["convert_folder", "convert_folder_shapes"], "test_readers_layout"),
     ("I7", "sources.files.size_report", ["size_report"], "test_sources_streams"),
-    ("I8", "sources.files.append_events / new_events", ["append_events", "new_events"], "test_sources_streams"),
+    ("I8", "sources.files.append_events / new_events (sources.keyed)", ["append_events", "new_events", "append_refused", "refused_events"], "test_keyed_log"),
     ("I9", "sources.files.read_log", ["append_events"], "test_sources_streams"),
     ("I10", "sources.files.sql_row_count", ["sql_row_count", "api_sql_counts"], ""),
     ("I11", "sources.files.write_summary_csv", ["summary_csv"], "test_sources_streams"),
     ("I12", "sources.files.write_report_json", ["report_json"], "test_quality_drift"),
-    ("I13", "sources.files.list_corpus", [], "test_sources_streams"),
+    ("I13", "sources.files.list_corpus", ["list_corpus"], "test_sources_streams"),
     ("X1", "functions.scalars.danger", ["danger"], ""),
     ("X2-X4", "functions.scalars.with_timestamp / with_hour / with_date", ["with_time_parts"], "test_scalars"),
     ("X5-X6", "functions.scalars.with_geo_bucket / bucket_center", ["with_geo_bucket", "cube_geo_hotspots"], "test_scalars"),
@@ -49,7 +49,7 @@ MAP = [
     ("J2", "operators.risk.risk_score_cube", ["risk_score_cube"], "test_risk_cubes"),
     ("J3", "operators.drift.aligned_distributions / aligned_counts", ["aligned_distributions"], "test_quality_drift"),
     ("J4", "operators.quality.invalid_labels", ["invalid_labels"], ""),
-    ("J5", "sources.files.new_events", ["new_events"], "test_sources_streams"),
+    ("J5", "sources.files.new_events / refused_events", ["new_events", "refused_events"], "test_keyed_log"),
     ("A1", "operators.risk.row_count", ["row_count"], ""),
     ("A2", "operators.risk.risk_distribution", ["risk_distribution"], ""),
     ("A3", "operators.risk.danger_rate", ["danger_rate"], "test_risk_cubes"),
@@ -62,8 +62,8 @@ MAP = [
     ("A10", "operators.risk.top_emotion", ["top_emotion"], "test_risk_cubes"),
     ("A11", "operators.risk.summary_report", ["summary_report", "summary_csv", "summary_with_stream"], "test_risk_cubes"),
     ("A12", "operators.profile.null_counts", ["null_counts"], "test_profile"),
-    ("A13", "operators.profile.describe_table", ["describe_table"], "test_profile"),
-    ("A14", "operators.profile.schema_report", ["schema_report"], "test_profile"),
+    ("A13", "operators.profile.describe_table / describe_text", ["describe_table", "describe_text"], "test_profile"),
+    ("A14", "operators.profile.schema_report / schema_facts", ["schema_report", "schema_facts"], "test_profile"),
     ("A15", "operators.cubes.hour_emotion_pivot", ["hour_emotion_pivot"], ""),
     ("A16", "operators.logs.class_distribution", ["class_distribution"], ""),
     ("A17", "operators.logs.daily_trend", ["daily_trend"], ""),
@@ -96,7 +96,7 @@ MAP = [
     ("L3", "operators.quality.top_invalid_labels", ["top_invalid_labels"], "test_quality_drift"),
     ("L4", "operators.quality.sample_invalid_rows", ["sample_invalid_rows"], "test_quality_drift"),
     ("U1", "operators.logs.union_logs", ["union_logs", "ingest_logs"], "test_logs"),
-    ("U2", "operators.quality.column_diff", ["column_diff"], "test_quality_drift"),
+    ("U2", "operators.quality.column_diff / column_diff_facts", ["column_diff", "column_diff_facts"], "test_quality_drift"),
     ("U3", "operators.corpus.corpus_manifest (one pass over the four corpora)", ["corpus_manifest"], ""),
     ("V1", "operators.quality.check_nonempty", ["validation_checks"], "test_quality_drift"),
     ("V2", "operators.quality.check_columns", ["validation_checks"], "test_quality_drift"),
@@ -127,12 +127,12 @@ MAP = [
     ("M8", "operators.corpus.evaluate_predictions", ["evaluate_predictions"], "test_signals_corpus"),
     ("M9", "operators.corpus.corpus_log", ["corpus_log"], "test_signals_corpus"),
     ("K1", "operators.hotspots.geo_features", ["geo_features"], ""),
-    ("K2", "operators.hotspots.geo_hotspots", ["geo_hotspots"], "test_sources_streams"),
-    ("P1", "operators.layout.partition_sizes", ["partition_sizes"], "test_sources_streams"),
-    ("P2", "operators.layout.repartition_report", ["repartition_report"], "test_sources_streams"),
+    ("K2", "operators.hotspots.geo_hotspots", ["geo_hotspots", "geo_hotspots_fixed_point"], "test_sources_streams"),
+    ("P1", "operators.layout.partition_sizes", ["partition_sizes", "partition_sizes_facts"], "test_sources_streams"),
+    ("P2", "operators.layout.repartition_report", ["repartition_report", "partition_sizes_facts"], "test_sources_streams"),
     ("P3", "operators.layout.format_counts / compare_formats", ["format_counts"], "test_sources_streams"),
     ("P4", "operators.layout.api_sql_counts / compare_api_sql", ["api_sql_counts"], "test_sources_streams"),
-    ("S1", "streaming.jobs.stream_risk_log", ["stream_risk_log"], "test_sources_streams"),
+    ("S1", "streaming.jobs.stream_risk_log", ["stream_risk_log", "stream_risk_log_refused"], "test_sources_streams"),
     ("S2", "streaming.jobs.stream_danger_alerts", ["stream_danger_alerts"], "test_sources_streams"),
     ("S3", "streaming.jobs.stream_event_total", ["stream_event_total"], "test_sources_streams"),
     ("S4", "streaming.jobs.stream_recent", ["stream_recent"], "test_sources_streams"),
