@@ -30,12 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.schema import SAFETY_EVENT, SAFETY_EVENT_COLUMNS
+from vigil.session import ensure_checkpoint_dir, run_concurrently
 
 BUCKETS = 64  # of a new log; a bucket's ids should fit a few files
 POINT_IDS = 10  # so many ids are looked up by value, which Bloom filters answer
 KEPT_ENTRIES = 100
 REFUSED = "reason string, id string, rows long, event struct<" + ", ".join(
     f"`{f.name}`: {f.dataType.simpleString()}" for f in SAFETY_EVENT.fields) + ">"
+NEW = "id IS NOT NULL AND NOT known"  # of a decided candidate
 NO_ID, REPEATED = "no id", "repeated id"
 
 
@@ -104,10 +106,10 @@ def keys(log: Folder, runs: dict[str, list], buckets: list[int]) -> DataFrame:
     return reader.parquet(*paths) if paths else log.spark.createDataFrame([], "id string")
 
 
-def write_keys(log: Folder, new: DataFrame, runs: dict[str, list], buckets: int, token: str) -> dict[str, list]:
-    """Add ``new`` ids to their buckets as run ``token``; the runs there are then.
-    Runs of at most twice the ids that follow them are taken into the new one."""
-    fresh = {r["bucket"]: r["n"] for r in new.groupBy(bucket_of(buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a bucket
+def write_keys(log: Folder, new: DataFrame, fresh: dict[int, int], runs: dict[str, list], buckets: int, token: str) -> dict[str, list]:
+    """Add ``new`` ids, ``fresh`` of them in each bucket, to their buckets as
+    run ``token``; the runs there are then. Runs of at most twice the ids that
+    follow them are taken into the new one."""
     after, merged = dict(runs), {}
     for b, n in fresh.items():
         old = list(runs.get(str(b), []))
@@ -171,7 +173,7 @@ def decide(rows: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def accepted(decided: DataFrame) -> DataFrame:
-    return decided.where("id IS NOT NULL AND NOT known").select("event.*")
+    return decided.where(NEW).select("event.*")
 
 
 # --- appends ------------------------------------------------------------------------
@@ -179,16 +181,26 @@ def _carry_out(log: Folder, intent: dict, state: dict, resumed: bool) -> dict:
     """Write what a staged batch decided and commit it."""
     spark, token = log.spark, intent["token"]
     decided = spark.read.parquet(log.at(f"_staged/{token}/decided"))
-    fresh = decided.where("id IS NOT NULL AND NOT known")
-    rows = accepted(decided)
-    if resumed and log.has_events():  # some of them may have been written
-        rows = rows.join(spark.read.schema(SAFETY_EVENT).parquet(log.path).select("id"), "id", "left_anti").select(*SAFETY_EVENT_COLUMNS)
-    rows.write.mode("append").option("compression", "snappy").parquet(log.path)
-    refusals(decided).write.mode("overwrite").parquet(log.at(f"_refused/batch={token}"))
-    runs = write_keys(log, fresh.select("id"), state["keys"], state["buckets"], f"{token}-{uuid.uuid4().hex[:8]}" if resumed else token)
-    n = decided.agg(F.count_if(F.expr("id IS NOT NULL AND NOT known")).alias("written"),
-                    F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
-    entry = {"batch": intent["batch"], "token": token, "buckets": state["buckets"], "written": n["written"], "refused": n["rows"] - n["written"],
+    new = decided.where(NEW)
+    counted = decided.groupBy(F.when(F.expr(NEW), bucket_of(state["buckets"])).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("ids"), F.sum("rows").alias("rows")).collect()  # a row a bucket
+    fresh = {r["bucket"]: r["ids"] for r in counted if r["bucket"] is not None}
+    written, total = sum(fresh.values()), sum(r["rows"] for r in counted)
+
+    def write_rows():
+        rows = accepted(decided)
+        if resumed and log.has_events():  # some of them may have been written
+            rows = rows.join(spark.read.schema(SAFETY_EVENT).parquet(log.path).select("id"), "id", "left_anti").select(*SAFETY_EVENT_COLUMNS)
+        rows.write.mode("append").option("compression", "snappy").parquet(log.path)
+
+    steps = {}  # each may be done again from the staged batch, in any order
+    if written:
+        key_token = f"{token}-{uuid.uuid4().hex[:8]}" if resumed else token
+        steps |= {"rows": write_rows, "keys": lambda: write_keys(log, new.select("id"), fresh, state["keys"], state["buckets"], key_token)}
+    if total > written:
+        steps["refused"] = lambda: refusals(decided).write.mode("overwrite").parquet(log.at(f"_refused/batch={token}"))
+    runs = run_concurrently(steps).get("keys", state["keys"])
+    entry = {"batch": intent["batch"], "token": token, "buckets": state["buckets"], "written": written, "refused": total - written,
              "writers": state["writers"] | ({intent["writer"]: intent["epoch"]} if intent["writer"] else {}), "keys": runs}
     log.write(f"_ledger/{entry['batch']:012d}.json", entry)
     for b, old in state["keys"].items():  # runs that the new ones hold
@@ -208,7 +220,9 @@ def _opened(log: Folder, buckets: int) -> dict:
         if log.has_events():
             token = f"first-{uuid.uuid4().hex[:12]}"
             old = log.spark.read.schema(SAFETY_EVENT).parquet(log.path).select("id").where("id IS NOT NULL").distinct()
-            state["keys"] = write_keys(log, old, {}, buckets, token)
+            old = old.checkpoint()  # written below as it was counted
+            sizes = old.groupBy(bucket_of(buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a bucket
+            state["keys"] = write_keys(log, old, {r["bucket"]: r["n"] for r in sizes}, {}, buckets, token)
     intents = [n for n in log.names("_staged") if n.endswith(".json")]
     for name in intents:
         intent = log.read(f"_staged/{name}")
@@ -224,6 +238,7 @@ def append_batch(batch: DataFrame, path: str, writer: str | None = None, epoch:
     ``writer`` and ``epoch`` number the batches of one writer: one that the
     ledger covers is skipped. ``buckets`` is taken by a new log."""
     spark = batch.sparkSession
+    ensure_checkpoint_dir(spark)
     log = Folder(spark, path)
     state = _opened(log, buckets)
     if writer is not None and state["writers"].get(writer, -1) >= epoch:
@@ -243,12 +258,14 @@ def append_batch(batch: DataFrame, path: str, writer: str | None = None, epoch:
 def known_ids(log: Folder, state: dict, rows: DataFrame) -> DataFrame | None:
     """The log's ids in the buckets that candidates touch; None if there are none."""
     here = rows.where("id IS NOT NULL")
-    touched = [r["bucket"] for r in here.select(bucket_of(state["buckets"]).alias("bucket")).distinct().collect()]  # a row a bucket
+    counted = here.groupBy(bucket_of(state["buckets"]).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a bucket
+    touched = [r["bucket"] for r in counted]
     if not key_paths(log, state["keys"], touched):
         return None
     found = keys(log, state["keys"], touched)
-    few = [r["id"] for r in here.select("id").limit(POINT_IDS + 1).collect()]
-    return found.where(F.col("id").isin(few)) if len(few) <= POINT_IDS else found
+    if sum(r["n"] for r in counted) > POINT_IDS:
+        return found
+    return found.where(F.col("id").isin([r["id"] for r in here.select("id").collect()]))
 
 
 def read_refused(spark: SparkSession, path: str) -> DataFrame:
