@@ -26,9 +26,7 @@ def geo_features(df: DataFrame, out: str = "features") -> DataFrame:
 
 
 # K2
-def fit_hotspots(df: DataFrame, k: int = 10, seed: int = 1, max_iter: int = 100, tol: float = 1e-9) -> KMeansModel:
-    """KMeans run until no centre moves by more than ``tol`` degrees, so that
-    the centres are the means of their events."""
+def fit_hotspots(df: DataFrame, k: int = 10, seed: int = 1, max_iter: int = 20, tol: float = 1e-4) -> KMeansModel:
     if not 2 <= k <= 20:
         raise ValueError("k must be between 2 and 20")
     return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(geo_features(danger(df)))
@@ -40,9 +38,11 @@ def centres_frame(spark, centres) -> DataFrame:
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], CENTRES)
 
 
-def geo_hotspots(df: DataFrame, k: int = 10, seed: int = 1) -> DataFrame:
-    """Cluster centres of DANGER events, ordered by (latitude, longitude)."""
-    model = fit_hotspots(df, k, seed)
+def geo_hotspots(df: DataFrame, k: int = 10, seed: int = 1, max_iter: int = 20, tol: float = 1e-4) -> DataFrame:
+    """Cluster centres of DANGER events, ordered by (latitude, longitude). With
+    enough iterations and a small ``tol`` (degrees) the centres settle on the
+    means of their events."""
+    model = fit_hotspots(df, k, seed, max_iter, tol)
     return centres_frame(df.sparkSession, model.clusterCenters())
 
 

@@ -100,4 +100,4 @@ def q_geo_hotspots_fixed_point(spark, d):
         moved AS (SELECT hotspot, avg(latitude) AS latitude, avg(longitude) AS longitude, count(*) AS n FROM near GROUP BY hotspot)
         SELECT count(*) AS centres, sum(coalesce(m.n, 0)) AS events,
                bool_and(abs(m.latitude - k.latitude) < 1e-6 AND abs(m.longitude - k.longitude) < 1e-6) AS stays, bool_and(m.n > 0) AS nonempty
-        FROM {centres} k LEFT JOIN moved m USING (hotspot)""", centres=H.geo_hotspots(se(spark, d), 10, 1), events=events)
+        FROM {centres} k LEFT JOIN moved m USING (hotspot)""", centres=H.geo_hotspots(se(spark, d), 10, 1, max_iter=100, tol=1e-9), events=events)
