@@ -207,7 +207,10 @@ def convert_folder(spark: SparkSession, folder: str, out: str | None = None, inf
         for n, f in enumerate(members):
             target = f"{out}/{f.rsplit('/', 1)[1][:-len('.csv')]}.parquet"
             fs.delete(hadoop(target), True)
-            if not fs.rename(hadoop(f"{part}/__n={n}"), hadoop(target)):  # a header alone
+            rows = hadoop(f"{part}/__n={n}")
+            if fs.exists(rows):
+                fs.rename(rows, hadoop(target))
+            else:  # a header alone
                 write_parquet(spark.createDataFrame([], df.schema), target)
             done.append(target)
         fs.delete(hadoop(part), True)
