@@ -19,7 +19,7 @@ def main() -> None:
     from vigil.operators import risk as R
     from vigil.operators import corpus as M
     from vigil.operators import windows as WN
-    from vigil.operators.ordered import _range_sorted
+    from vigil.operators.ordered import global_position
     from vigil.session import local_session, scratch_path
     from vigil.sources.files import read_events, write_parquet
 
@@ -37,8 +37,7 @@ def main() -> None:
         "drift alerts (D5)": f["alerts"],
         "threat verdict (W8)": WN.threat_verdict(A.window_scores(spark, sf)),
         "corpus manifest, no shuffle (M1)": M.corpus_manifest(A.corpus_paths(spark, sf)),
-        "range-partitioned scan feeding global positions (M9, before its checkpoint)": _range_sorted(
-            hl.select("id", "timestamp", "inference", "class"), ["id", "timestamp", "inference"], None),
+        "positions by fixed ranges (M9)": global_position(hl.select("id", "timestamp", "inference", "class"), ["id", "timestamp", "inference"]),
     }
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `tests/show_plans.py` on `{sf}` (local[8]); file locations shortened.", ""]
