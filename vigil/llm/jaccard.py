@@ -351,5 +351,23 @@ def op2_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
 
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT row, len(words) AS n, unnest(words) AS word, unnest(range(len(words))) AS i FROM d),
+g AS (SELECT row, i, n, string_agg(word, ' ') OVER (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS gram FROM w),
+s AS (SELECT DISTINCT row, md5_number(gram) AS gram FROM g WHERE i + 4 <= n OR i = 0),
+z AS (SELECT row, count(*) AS size, md5(string_agg(gram, ' ' ORDER BY gram)) AS print FROM s GROUP BY row),
+e AS (SELECT print, min(row) AS row, any_value(size) AS size FROM z GROUP BY print),  -- one row of each set
+l AS (SELECT a.row AS a, b.row AS b FROM e JOIN s a USING (row) JOIN s b USING (gram) JOIN e f ON f.row = b.row
+      WHERE a.row < b.row GROUP BY a.row, b.row, e.size, f.size HAVING 100 * count(*) >= 85 * (e.size + f.size - count(*))),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT row AS a, row AS b FROM e UNION SELECT r.a, o.b FROM reach r JOIN both_ways o ON o.a = r.b),
+o AS (SELECT e.print, min(doc_id) AS least FROM e JOIN reach ON a = e.row JOIN e f ON f.row = b JOIN z ON z.print = f.print JOIN d ON d.row = z.row GROUP BY e.print)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, coalesce(least, doc_id) AS component_id
+FROM d LEFT JOIN z USING (row) LEFT JOIN o USING (print)
+"""
+
 QUERIES = {"op2_token_groups": op2_token_groups}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op2_token_groups": SQL}

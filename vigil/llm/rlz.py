@@ -149,8 +149,20 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op10_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its runs of 50 words that occur in an earlier document."""
     out = parse_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), F.size("factors").cast("long").alias("n_factors"))
-
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(doc_id, 9223372036854775807) AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT row, id, unnest(words) AS word, unnest(range(len(words))) AS i, len(words) AS n FROM d),
+g AS (SELECT row, id, i, n, word, md5_number(string_agg(word, ' ') OVER (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS gram FROM w),
+f AS (SELECT gram, min(id) AS first FROM g WHERE i + 50 <= n GROUP BY gram),
+h AS (SELECT g.*, i + 50 <= n AND first < id AS hit FROM g LEFT JOIN f USING (gram)),
+c AS (SELECT row, i, word, bool_or(coalesce(hit, false)) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM h),
+k AS (SELECT row, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (row)
+"""
 
 QUERIES = {"op10_rlz": op10_rlz}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op10_rlz": SQL}

@@ -180,5 +180,43 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(text, ",").alias("spans"), "n_copied", "n_live")
 
 
+def found_sql(kind: str, pattern: str, value: str, least: int) -> str:
+    """DuckDB: spans of one kind; the pieces between matches give the places."""
+    return f"""
+  SELECT row, '{kind}' AS kind, list_sum(list_transform(pieces[:k], lambda p: length(p))) + coalesce(list_sum(list_transform(matches[:k - 1], lambda p: length(p))), 0) AS start,
+         matches[k] AS match, {value} AS value
+  FROM (SELECT row, string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS matches FROM d), unnest(range(1, len(matches) + 1)) AS t(k)
+  WHERE length({value}) >= {least}"""
+
+
+BOTH = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+VALUE = "[A-Za-z0-9+/_.=-]+"
+ASSIGN_SQL = rf"""({BOTH})["'']?\x20*[:=]\x20*["'']?({VALUE})"""
+SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repo FROM documents),
+base AS (
+  SELECT *, start + length(match) AS "end" FROM ({found_sql("assign", ASSIGN_SQL, f"regexp_extract(matches[k], '{ASSIGN_SQL}', 2)", 8)}
+  UNION ALL {found_sql("access", "AKIA[A-Z0-9]+", "matches[k]", 16)}
+  UNION ALL {found_sql("hex", "[0-9a-f]+", "matches[k]", 32)})),
+token AS (SELECT *, start + length(match) AS "end" FROM ({found_sql("owned", "[A-Za-z0-9+/_-]+", "matches[k]", 20)})),
+random AS (
+  SELECT t.* FROM token t
+  WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+    AND list_sum(list_transform(map_values(list_histogram(string_split(value, ''))), lambda n: -(n / length(value)) * log2(n / length(value)))) >= {MIN_ENTROPY}
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = t.row AND b.start < t."end" AND b."end" > t.start)),
+spans AS (SELECT *, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 WHEN 'hex' THEN 2 ELSE 3 END AS k FROM (SELECT * FROM base UNION ALL SELECT * FROM random)),
+texts AS (SELECT value, text, min((owner, repo)) AS held_by FROM spans JOIN d USING (row) GROUP BY value, text),
+verdict AS (SELECT value, count(DISTINCT held_by[1]) <= {MAX_OWNERS} AND count(DISTINCT held_by) <= {MAX_REPOS} AS live FROM texts GROUP BY value),
+r AS (
+  SELECT row, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, k) FILTER (k < 3) AS base,
+         string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, k) FILTER (k < 3 OR live) AS spans,
+         count(*) FILTER (k < 3 AND NOT live) AS n_copied, count(*) FILTER (k < 3 AND live) AS n_live
+  FROM spans JOIN verdict USING (value) GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN r USING (row)
+"""
+
 QUERIES = {"op3_secret_ownership": op3_secret_ownership}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op3_secret_ownership": SQL}

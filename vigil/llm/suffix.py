@@ -231,5 +231,20 @@ def op8_suffix_lpf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(doc_id, 9223372036854775807) AS id, hex(encode(coalesce(text, ''))) AS data FROM documents),
+p AS (SELECT row, id, length(data) // 2 AS n, piece, substr(data, 2 * piece + 1, 710) AS part  -- 256 bytes and the 99 after them
+      FROM (SELECT *, unnest(range(0, length(data) // 2, 256)) AS piece FROM d)),
+b AS (SELECT row, id, n, piece + j AS i, substr(part, 2 * j + 1, 2) AS byte, CASE WHEN piece + j + 100 <= n THEN md5_number(substr(part, 2 * j + 1, 200)) END AS gram
+      FROM (SELECT *, unnest(range(least(256, n - piece))) AS j FROM p)),
+f AS (SELECT gram, min(id) AS id, arg_min(i, (id, i)) AS i FROM b WHERE gram IS NOT NULL GROUP BY gram),
+h AS (SELECT b.row, b.i, byte, coalesce((b.id, b.i) > (f.id, f.i), false) AS hit FROM b LEFT JOIN f USING (gram)),
+c AS (SELECT row, i, byte, bool_or(hit) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM h),
+r AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY row ORDER BY i) AS opens FROM c),
+k AS (SELECT row, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept FROM r GROUP BY row)
+SELECT doc_id, CAST(length(data) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (row)
+"""
+
 QUERIES = {"op8_suffix_lpf": op8_suffix_lpf}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op8_suffix_lpf": SQL}
