@@ -97,3 +97,36 @@ def test_repeated_rows_meet_once(spark, monkeypatch):
     got = Z.parse_documents(df.repartition(5), width=10, inner=3).collect()
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute(rows, 10)
     assert len(met) == 2 and all(n == keys > 0 for n, keys in met)
+
+
+def test_lookups_compare_words():
+    import numpy as np
+
+    words, ref = np.arange(100, 160), np.concatenate([[1, 2, 3], np.arange(110, 140), [7], np.arange(141, 150)])
+    assert Z.longest(words, 12, ref, 5, 10) == [(10, 40)]  # beyond the seed on both sides
+    assert Z.longest(words, 12, ref, 5, 9) == [(10, 40), (41, 50)]
+    assert Z.longest(words, 12, ref, 6, 10) == []  # a false seed
+    assert Z.longest(words, 55, ref, 0, 10) == [] and Z.longest(words[:5], 0, ref, 3, 10) == []
+
+
+def test_removal_follows_the_factors(spark, monkeypatch):
+    p = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, "a " + p), (2, "b " + p + " c"), (3, "d e f")], "doc_id long, text string")
+    right, shorter = Z.longest, lambda *a: [(s, e - 7) for s, e in right(*a)]
+    removed = lambda: {r["doc_id"]: r["n_removed"] for r in Z.parse_documents(df, width=20).collect()}
+    assert removed() == {1: 0, 2: 60, 3: 0}
+    monkeypatch.setattr(Z, "longest", shorter)
+    assert removed() == {1: 0, 2: 53, 3: 0}
+    monkeypatch.setattr(Z, "longest", lambda *a: [])
+    assert removed() == {1: 0, 2: 0, 3: 0}
+
+
+def test_ids_whose_hashes_clash(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    keyed = R.keyed
+    monkeypatch.setattr(R, "keyed", lambda *a: keyed(*a).withColumn("key", F.lit(5).cast("long")))
+    rows = [r for r in corpus(6, 30)[:30]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Z.parse_documents(df, width=10, inner=3).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute(rows, 10)

@@ -160,16 +160,16 @@ def prefix_maker(words: int, percent: int, frequent):
 
 
 def set_table(rows: DataFrame, words: int) -> DataFrame:
-    """(key, doc_id, fp, size) of every document."""
+    """(id, key, doc_id, fp, size) of every document."""
 
     def run(batches):
         read = set_reader(words)
         for batch in batches:
             for part, grams, first in read(batch):
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("doc_id"), pa.array(fingerprints(grams, first).view(np.int64)), pa.array(np.diff(first), pa.int64())],
-                                                 ["key", "doc_id", "fp", "size"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), part.column("doc_id"), pa.array(fingerprints(grams, first).view(np.int64)), pa.array(np.diff(first), pa.int64())],
+                                                 ["id", "key", "doc_id", "fp", "size"])
 
-    return rows.select("key", "doc_id", "text").mapInArrow(run, "key long, doc_id long, fp long, size long")
+    return rows.select("id", "key", "doc_id", "text").mapInArrow(run, "id long, key long, doc_id long, fp long, size long")
 
 
 class Group:
@@ -284,8 +284,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     across = shared.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
     shared = saved(shared.join(across, "token", "left_semi"), free=True)  # (fp, size, token, block)
     matrix = shared.groupBy("token", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    first_row = sets.groupBy("fp").agg(F.min("key").alias("key"))
-    texts = saved(once.select("key", "text").join(sets_in.join(first_row, "fp"), "key").select("fp", "block", "text"), free=True)
+    first_row = sets.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("one")).select("fp", "one.*")
+    texts = saved(once.join(sets_in.join(first_row, "fp"), ["id", "key"]).select("fp", "block", "text"), free=True)
     size_fits = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("low") * percent <= F.col("size") * 100)
 
     # first round: classes inside each group; a few sets of each ask one other group

@@ -20,8 +20,9 @@ passage that a third of all documents share costs a few records a task, and no
 group grows with the number of documents.
 
 Positions are (id, start). ``same_document`` says whether an earlier start in
-the same document counts as earlier. Documents are known by ``key``, a hash of
-id and text; rows with an equal id are one document, a null id comes last.
+the same document counts as earlier. A text is known by its id and ``key``, a
+hash of id and text, so a clash of hashes needs one id with two texts; rows with
+an equal id are one document, a null id comes last.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ NULL_ID = (1 << 63) - 1
 BLOCK = [("pick", "<u8"), ("content", "<u8"), ("id", "<i8"), ("key", "<i8"), ("start", "<i4"), ("n", "<i4"), ("flag", "u1")]
 PERIODIC, EXTRA, MARKER = 1, 2, 4  # flags: may repeat inside itself; more of the same document; says only that a pick is contested
 ASK = [c for c in BLOCK if c[0] != "content"]  # what step 2 needs of a block
-# packed columns of a result: key, start, windows, and the id and start of the earlier block; or the pick
-SPAN = [("key", "<i8"), ("start", "<i4"), ("n", "<i4"), ("from_id", "<i8"), ("from_start", "<i4")]
+# packed columns of a result: text, start, windows, and the text and start of the earlier block; or the pick
+SPAN = [("key", "<i8"), ("id", "<i8"), ("start", "<i4"), ("n", "<i4"), ("from_id", "<i8"), ("from_key", "<i8"), ("from_start", "<i4")]
 OPEN = [("key", "<i8"), ("id", "<i8"), ("start", "<i4"), ("n", "<i4"), ("pick", "<u8")]
 BLOCKS, REPEATS, CONTESTED = 0, 1, 2  # kinds of packed rows
 PACKED = "kind int, to int, data binary"
@@ -192,7 +193,8 @@ def settle(b: dict[str, np.ndarray], same_document: bool) -> tuple[dict, dict]:
     else:
         stays = ~later
     flag = np.where(new, b["flag"] & ~np.uint8(EXTRA), b["flag"] | np.uint8(EXTRA))
-    spans = joined(pick_rows({"key": b["key"], "start": b["start"], "n": b["n"], "from_id": b["id"][lead], "from_start": b["start"][lead]}, later))
+    spans = joined(pick_rows({"key": b["key"], "id": b["id"], "start": b["start"], "n": b["n"], "from_id": b["id"][lead], "from_key": b["key"][lead],
+                              "from_start": b["start"][lead]}, later))
     # equal rows (same id and start, or same document) under another key: each keeps its own record
     twin = ~new & ~later & (b["key"] != b["key"][lead])
     return pick_rows(b | {"flag": flag}, stays | twin), spans
@@ -202,10 +204,10 @@ def joined(spans: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Spans of a document that follow each other in one earlier document as one."""
     if not len(spans["key"]):
         return spans
-    s = pick_rows(spans, np.lexsort((spans["start"], spans["key"])))
+    s = pick_rows(spans, np.lexsort((spans["start"], spans["key"], spans["id"])))
     new = np.ones(len(s["key"]), bool)
-    new[1:] = ((np.diff(s["key"]) != 0) | (s["start"][1:] != s["start"][:-1] + s["n"][:-1]) | (np.diff(s["from_id"]) != 0)
-               | (s["from_start"][1:] != s["from_start"][:-1] + s["n"][:-1]))
+    new[1:] = ((np.diff(s["id"]) != 0) | (np.diff(s["key"]) != 0) | (s["start"][1:] != s["start"][:-1] + s["n"][:-1]) | (np.diff(s["from_id"]) != 0)
+               | (np.diff(s["from_key"]) != 0) | (s["from_start"][1:] != s["from_start"][:-1] + s["n"][:-1]))
     lead = np.flatnonzero(new)
     return pick_rows(s, lead) | {"n": np.add.reduceat(s["n"], lead)}
 
@@ -248,11 +250,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
-    """One row per key of ``keyed``: rows that repeat with id and text meet
-    once, and results go back to all of them by key. Repeats are dropped within
-    each task before the shuffle; where no key repeats, texts are not moved."""
-    repeated = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return rows if repeated.isEmpty() else rows.dropDuplicates(["key"])
+    """One row per id and key of ``keyed``: rows that repeat with id and text
+    meet once, and results go back to all of them. Repeats are dropped within
+    each task before the shuffle; where none repeats, texts are not moved."""
+    repeated = rows.groupBy("id", "key").agg(F.count("*").alias("n")).where("n > 1")
+    return rows if repeated.isEmpty() else rows.dropDuplicates(["id", "key"])
 
 
 def dealer(parts: int):
@@ -343,7 +345,7 @@ def rows_of(packed: DataFrame, kind: int, layout: list, schema: str) -> DataFram
 
 
 def repeats_of(packed: DataFrame) -> DataFrame:
-    return rows_of(packed, REPEATS, SPAN, "key long, start int, n int, from_id long, from_start int")
+    return rows_of(packed, REPEATS, SPAN, "key long, id long, start int, n int, from_id long, from_key long, from_start int")
 
 
 def contested_of(packed: DataFrame) -> DataFrame:
@@ -373,10 +375,10 @@ def single_windows(rows: DataFrame, window_maker, same_document: bool) -> DataFr
 
 
 def with_spans(rows: DataFrame, spans: DataFrame, columns: list[str], how: str) -> DataFrame:
-    """Documents with the spans of their key as a list ``spans``; a group is
-    one document. Rows that repeat with id and text share their spans."""
-    lists = spans.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("spans"))
-    return rows.join(lists, "key", how)
+    """Documents with their spans as a list ``spans``; a group is one document.
+    Rows that repeat with id and text share their spans."""
+    lists = spans.groupBy("id", "key").agg(F.collect_list(F.struct(*columns)).alias("spans"))
+    return rows.join(lists, ["id", "key"], how)
 
 
 def list_column(column: pa.Array, fields: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:

@@ -112,13 +112,15 @@ def lpf_repeats(pieces: dict[str, np.ndarray], text: np.ndarray, width: int) ->
         order, same = suffix_order(text, start, width)
         found, least = longest_previous(order, same, rank)
         hit, source = order[found], order[least[found]]
-        by = np.lexsort((start_in_doc[hit], pieces["key"][owner[hit]]))
+        by = np.lexsort((start_in_doc[hit], pieces["key"][owner[hit]], pieces["id"][owner[hit]]))
         hit, source = hit[by], source[by]
-        key, first, ref, ref_start = pieces["key"][owner[hit]], start_in_doc[hit], pieces["id"][owner[source]], start_in_doc[source]
+        key, own_id, first = pieces["key"][owner[hit]], pieces["id"][owner[hit]], start_in_doc[hit]
+        ref, ref_key, ref_start = pieces["id"][owner[source]], pieces["key"][owner[source]], start_in_doc[source]
         new = np.ones(len(hit), bool)  # neighbours with one source make one span
-        new[1:] = (np.diff(key) != 0) | (np.diff(first) != 1) | (np.diff(ref) != 0) | (np.diff(ref_start) != 1)
+        new[1:] = (np.diff(own_id) != 0) | (np.diff(key) != 0) | (np.diff(first) != 1) | (np.diff(ref) != 0) | (np.diff(ref_key) != 0) | (np.diff(ref_start) != 1)
         lead = np.flatnonzero(new)
-        out.append({"key": key[lead], "start": first[lead], "n": np.diff(np.append(lead, len(hit))), "from_id": ref[lead], "from_start": ref_start[lead]})
+        out.append({"key": key[lead], "id": own_id[lead], "start": first[lead], "n": np.diff(np.append(lead, len(hit))), "from_id": ref[lead], "from_key": ref_key[lead],
+                    "from_start": ref_start[lead]})
         at = end
     return {name: np.concatenate([o[name] for o in out]).astype(d) if out else np.zeros(0, d) for name, d in R.SPAN}
 
@@ -222,7 +224,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(n_removed, pa.int64()),
                                                   pa.array(removed, pa.list_(item)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "removed", "kept"])
 
-    return R.with_spans(rows.select("key", "doc_id", "text"), hits, ["start", "n"], "left").select("doc_id", "text", "spans").mapInArrow(cut, schema)
+    return R.with_spans(rows.select("id", "key", "doc_id", "text"), hits, ["start", "n"], "left").select("doc_id", "text", "spans").mapInArrow(cut, schema)
 
 
 def op8_suffix_lpf(spark: SparkSession, sf_dir: str) -> DataFrame:
