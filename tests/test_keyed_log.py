@@ -162,3 +162,19 @@ def test_keyed_stream_keeps_its_state_over_a_restart(spark, tmp):
     assert any(f.endswith((".zip", ".changelog")) for f in state) and not any(f.endswith(".snapshot") for f in state)  # RocksDB
     plan = S.distinct_events(live(spark, src))._jdf.queryExecution().analyzed().toString()
     assert "Deduplicate [id" in plan and "Join" not in plan
+
+
+def test_events_leave_the_scan_unsorted(spark, se, tmp):
+    path = os.path.join(tmp, "big-batch")
+    repeated = se.withColumn("id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("hot")).otherwise(F.col("id")))
+    repeated.coalesce(1).write.parquet(path)
+    batch = spark.read.parquet(path)
+    found = KL.candidates(batch)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+    shuffle = max(i for i, line in enumerate(plan[:scan]) if "Exchange" in line)
+    assert not [line for line in plan[shuffle:scan] if "Sort" in line]  # a task's memory doesn't grow with its row group
+    want = {r["id"]: r["n"] for r in batch.groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert {r["id"]: r["rows"] for r in found.select("id", "rows").collect()} == want
+    first = next(r for r in batch.collect() if r["id"] == "hot")  # one file, read in its order
+    assert found.where("id = 'hot'").select("event.*").first() == first

@@ -35,6 +35,7 @@ from vigil.session import ensure_checkpoint_dir, run_concurrently
 BUCKETS = 64  # of a new log; a bucket's ids should fit a few files
 POINT_IDS = 10  # so many ids are looked up by value, which Bloom filters answer
 KEPT_ENTRIES = 100
+SPREAD = 32  # parts over which the rows of one id are dealt before they are sorted
 REFUSED = "reason string, id string, rows long, event struct<" + ", ".join(
     f"`{f.name}`: {f.dataType.simpleString()}" for f in SAFETY_EVENT.fields) + ">"
 NEW = "id IS NOT NULL AND NOT known"  # of a decided candidate
@@ -145,11 +146,15 @@ def place_in_input(df: DataFrame) -> Column:
 
 def candidates(batch: DataFrame) -> DataFrame:
     """(id, rows, event): the first event of each id and the number of its
-    rows; each event without id by itself. ``min_by`` aggregates before the
-    shuffle, so an id with a third of the rows ships one row a task."""
+    rows; each event without id by itself. ``min_by`` of an event sorts whole
+    rows, and a task that reads a row group of a file has millions of them: the
+    rows leave the scan unsorted, by id and one of ``SPREAD`` parts, and are
+    sorted in shuffle partitions. There ``min_by`` aggregates before the second
+    shuffle, so an id with a third of the rows ships one row a part."""
     event = F.struct(*[F.col(c) for c in batch.columns])
     tagged = batch.select(F.col("id"), event.alias("event"), place_in_input(batch).alias("_ord"))
-    firsts = tagged.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min_by("event", "_ord").alias("event"))
+    dealt = tagged.where("id IS NOT NULL").repartition("id", F.pmod(F.xxhash64("_ord"), F.lit(SPREAD)))
+    firsts = dealt.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min_by("event", "_ord").alias("event"))
     return firsts.unionByName(tagged.where("id IS NULL").select("id", F.lit(1).cast("long").alias("rows"), "event"))
 
 
