@@ -19,18 +19,33 @@ they are; an empty table gives an empty table; columns besides those of
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import bpe, decontam, jaccard, quality, secrets
-from vigil.session import ensure_checkpoint_dir
+from vigil.session import bounded_batches, ensure_checkpoint_dir
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
 
 
+def bounded(stage):
+    """A stage whose Arrow batches are bounded by bytes, so that an executor's
+    memory does not depend on the length of texts; the session keeps the bound
+    (a stage's rows are computed when they are written)."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@bounded
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -38,22 +53,26 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.where("predicted = 1").select(*(F.col(f"carry_{c}").alias(c) for c in docs.columns))
 
 
+@bounded
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return jaccard.one_of_each(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
+@bounded
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     return decontam.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@bounded
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with owner-specific credentials replaced."""
     clean = secrets.redacted(docs, F.concat_ws("/", "source", "lang"), F.col("source"))
     return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+@bounded
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each text: doc_id, n_tokens, ids and both digests."""
     return bpe.encode_decode(docs, bpe.vocabulary_path(), with_ids=True).drop("decoded")

@@ -140,3 +140,22 @@ for name, query in __spark_entry__.queries().items():
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=900, env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
     assert done.returncode == 0, done.stderr[-2000:]
     assert len(done.stdout.split("\n")) >= 9
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    from vigil.session import BATCH_CONF, bounded_batches
+
+    before = spark.conf.get(BATCH_CONF)
+    docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 2000) AS text")
+    try:
+        spark.conf.set(BATCH_CONF, "256m")
+        P.token_stage(spark, docs.limit(1), SF)  # a stage bounds its session's batches
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long").collect()
+        assert len(sizes) > 3 and max(r["size"] for r in sizes) < 8 << 20  # 30 MB in all
+        spark.conf.set(BATCH_CONF, "1m")
+        bounded_batches(spark)
+        assert spark.conf.get(BATCH_CONF) == "1m"  # a smaller bound stays
+    finally:
+        spark.conf.set(BATCH_CONF, before)

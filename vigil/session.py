@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 # Settings a job of this library expects; all are Spark's own knobs.
 RECOMMENDED_CONF = {
@@ -66,6 +68,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Arrow batches of at most about ``size`` bytes in this session. Spark's
+    usual batch of 10,000 rows is 20 MB and more of texts, which the executor
+    and its Python workers hold several times over and keep allocated."""
+    jvm = spark.sparkContext._jvm
+    if not 0 < jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_CONF)) <= size:
+        spark.conf.set(BATCH_CONF, f"{size}b")
+
+
 def run_concurrently(jobs: dict, max_workers: int = 8) -> dict:
     """Run independent Spark actions from threads (Spark schedules concurrent
     jobs); returns name -> result, re-raising the first failure."""
