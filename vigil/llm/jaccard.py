@@ -7,9 +7,11 @@ for every document its set size and the smallest id it reaches over links.
 Method. Equal sets are one class. Similar sets are partitioned into groups: a
 set's prefix (its first shingles in one order of all shingles, rare ones first)
 must share ``need`` shingles with that of any linked set, so shingles that no
-other prefix holds, and sets with too few shared ones, drop out; the rest are
-grouped by the last of their shared prefix shingles, large groups in blocks of
-bounded size.
+other prefix holds, and sets with too few shared ones, drop out. That is done
+twice: by an order from a sample over all sets, then by exact frequencies among
+the sets left, so that shingles of a large family don't fill the prefixes when
+a corpus outgrows the sample. The rest are grouped by the last of their shared
+prefix shingles, large groups in blocks of bounded size.
 The token-group matrix holds, per group, the union of its members' shingles: its
 prefix part is a table (token, group) that names the other groups a set must ask,
 and the whole union is built where the group's members meet. A set that asks a
@@ -19,9 +21,9 @@ with each member.
 
 Since only classes are wanted, no pair is compared twice over: inside a group,
 sets already in its largest class don't ask; between groups, after a first
-round in which a few sets of each group ask another group, the members of a
-group's largest class only ask groups whose largest class is another (found per
-shingle: of the groups that hold it, those not of its most common class). Every pair of linked sets is then
+round in which a few sets of each group ask another group, classes are ranked by
+size, and a set only asks groups that hold a class of higher rank than its own:
+of two sets in different classes, the one of lower rank asks. Every pair of linked sets is then
 either compared or known to be in one class. Groups send class labels, not pairs.
 
 Shingles are 62-bit hashes, classes of equal sets 64-bit hashes and the size.
@@ -172,6 +174,31 @@ def set_table(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("id", "key", "doc_id", "text").mapInArrow(run, "id long, key long, doc_id long, fp long, size long")
 
 
+def shingle_rows(texts: DataFrame, words: int) -> DataFrame:
+    """(fp, size, token) for every shingle of every set of ``texts`` (fp, text)."""
+
+    def run(batches):
+        read = set_reader(words)
+        for batch in batches:
+            for part, grams, first in read(batch):
+                size = np.diff(first)
+                fp = part.column("fp").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(fp, size)), pa.array(np.repeat(size, size), pa.int64()), pa.array(grams.view(np.int64))], ["fp", "size", "token"])
+
+    return texts.select("fp", "text").mapInArrow(run, "fp long, size long, token long")
+
+
+def rare_prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(fp, size, token, n): prefixes of the sets of ``texts``, shingles ordered
+    by the number ``n`` of these sets that hold them. Shingles of one set come
+    first; they take their places and are left out."""
+    counted = shingle_rows(texts, words).withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1")
+    own = Window.partitionBy("fp")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "token"))
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 + F.floor(F.col("size") * 3 / 100)  # as in prefix_maker
+    return counted.withColumn("place", place).where(F.col("place") <= length).drop("place")
+
+
 class Group:
     """The members of a group: their shingles by token, and their union."""
 
@@ -266,13 +293,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     frequent = spark.sparkContext.broadcast(frequent_shingles(once, words))
     shared = R.contested_of(R.block_table(once, prefix_maker(words, percent, frequent), same_document=True))
     frequent.destroy()  # its readers have written their table
-    shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"), F.col("pick").alias("token"))
-    # sets with fewer shared prefix shingles than any linked pair has are linked with none; a set's
-    # group is the last of its shared ones (frequent ones come last), so that similar sets meet in few groups
+    shared = shared.select(F.col("key").alias("fp"), F.col("n").cast("long").alias("size"))
+    # sets with fewer shared prefix shingles than any linked pair has are linked with none
     need = 1 + F.floor(F.ceil(F.col("size") * percent / 100) * 3 / 100)
+    left = shared.groupBy("fp").agg(F.first("size").alias("size"), F.count("*").alias("n")).where(F.col("n") >= need).select("fp")
+    first_row = sets.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("one")).select("fp", "one.*")
+    texts = saved(once.join(left.join(first_row, "fp"), ["id", "key"]).select("fp", "text"), free=True)
+    # the same with exact frequencies among the sets left; a set's group is the last of its
+    # shared shingles (frequent ones come last), so that similar sets meet in few groups
+    shared = rare_prefixes(texts, words, percent).withColumn("sets", F.count("*").over(Window.partitionBy("token"))).where("sets > 1")
     own = Window.partitionBy("fp")  # one set's prefix
-    shared = (shared.withColumn("n", F.count("*").over(own)).withColumn("first", F.max("token").over(own))
-              .where(F.col("n") >= need).drop("n"))
+    shared = (shared.withColumn("shares", F.count("*").over(own)).withColumn("first", F.max(F.struct("n", "token")).over(own)["token"])
+              .where(F.col("shares") >= need).select("fp", "size", "token", "first"))
     shared = saved(shared, free=True)
     heads = shared.groupBy("fp").agg(F.first("size").alias("size"), F.first("first").alias("first"))
     large = (heads.groupBy("first").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
@@ -284,8 +316,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     across = shared.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
     shared = saved(shared.join(across, "token", "left_semi"), free=True)  # (fp, size, token, block)
     matrix = shared.groupBy("token", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    first_row = sets.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("one")).select("fp", "one.*")
-    texts = saved(once.join(sets_in.join(first_row, "fp"), ["id", "key"]).select("fp", "block", "text"), free=True)
+    texts = texts.join(sets_in.select("fp", "block"), "fp")
     size_fits = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("low") * percent <= F.col("size") * 100)
 
     # first round: classes inside each group; a few sets of each ask one other group
@@ -303,19 +334,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     inside = saved(inside.join(joined, "label", "left").select("fp", "block", F.coalesce("component", "label").alias("label")), free=True)
 
     # second round: who may still be linked with a member of another class
-    main = inside.groupBy("block", "label").count().groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    known = inside.join(main, "block").select("fp", "label", (F.col("label") == F.col("main")).alias("in_main"))
-    # a token's blocks are mostly of one class where near copies are many: members of that class, the mass of
-    # sets, only meet the token's other blocks, so that a class over many blocks is not met block by block
-    held = matrix.join(main, "block")
-    common = held.groupBy("token", "main").count().groupBy("token").agg(F.max_by("main", F.struct("count", "main")).alias("common"))
-    held = held.join(common, "token")
-    q = shared.join(known, "fp").join(common, "token").withColumn("usual", F.col("in_main") & (F.col("label") == F.col("common"))).drop("common")
-    fits = (F.col("q.token") == F.col("m.token")) & (F.col("q.block") != F.col("m.block")) & size_fits
-    usual = q.where("usual").alias("q").join(held.where("main != common").alias("m"), fits)
-    other = q.where("NOT usual").alias("q").join(held.alias("m"), fits & (~F.col("in_main") | (F.col("main") != F.col("label"))))
-    asked = (usual.select("q.fp", "m.block", "q.label", "q.size").unionByName(other.select("q.fp", "m.block", "q.label", "q.size"))
-             .groupBy("fp", "block", "label", "size").agg(F.count("*").alias("n")).where(F.col("n") >= need).select("fp", "block", "label"))
+    # of two sets in different classes the one whose class ranks lower asks the other's block, so that
+    # the sets of a large class don't ask their many small neighbours one by one
+    ranks = inside.join(inside.groupBy("label").count(), "label").select("fp", "block", "label", F.struct("count", "label").alias("rank"))
+    held = matrix.join(ranks.groupBy("block").agg(F.max("rank").alias("top")), "block")
+    highest = held.groupBy("token").agg(F.max("top").alias("highest"))
+    q = shared.join(ranks.drop("block"), "fp").join(highest, "token").where(F.col("rank") < F.col("highest"))
+    fits = (F.col("q.token") == F.col("m.token")) & (F.col("q.block") != F.col("m.block")) & size_fits & (F.col("q.rank") < F.col("m.top"))
+    asked = (q.alias("q").join(held.alias("m"), fits).groupBy("q.fp", "m.block", "q.label", "q.size").agg(F.count("*").alias("n"))
+             .where(F.col("n") >= need).select("fp", "block", "label"))
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", "label", "text")
     targets = visits.select("block").distinct()
     members = texts.join(targets, "block", "left_semi").join(inside.select("fp", "label"), "fp").select("block", "fp", "label", "text")
