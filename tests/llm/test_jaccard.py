@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from vigil.llm import graph
 from vigil.llm import jaccard as J
 from vigil.llm.graph import components
 
@@ -109,3 +110,24 @@ def test_one_of_each_takes_repeated_rows_once(spark):
     # the repeats go within each task, before rows are dealt
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join LeftSemi") < plan.index("Aggregate [id")
+
+
+def test_few_edges_need_few_rounds(spark, monkeypatch):
+    # each round's plans weigh on the driver; a path of 400 nodes used to take nine tables
+    tables = []
+    monkeypatch.setattr(graph, "saved", lambda df, free=False, save=graph.saved: tables.append(1) or save(df, free))
+    nodes = list(range(400))
+    random.Random(3).shuffle(nodes)
+    edges = list(zip(nodes, nodes[1:]))
+    got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "a long, b long").coalesce(1)).collect()}
+    assert got == dict.fromkeys(nodes, 0)
+    assert len(tables) <= 3
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 50])
+def test_components_whose_edges_fill_many_chunks(spark, chunk):
+    rng = random.Random(chunk)
+    edges = [(rng.randrange(-150, 150), rng.randrange(-150, 150)) for _ in range(170)] + [(5, 5), (900, 900)] + [(999, k) for k in range(400, 460)]
+    want = union_find({n for e in edges for n in e}, edges)
+    got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges * 2, "a long, b long"), chunk=chunk).collect()}
+    assert got == want

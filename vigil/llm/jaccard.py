@@ -310,7 +310,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     large = (heads.groupBy("first").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
              .where(F.col("blocks") > 1))  # groups of more than one block are few
     block = F.xxhash64("first", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1)))).alias("block")
-    sets_in = saved(heads.join(large, "first", "left").select("fp", "size", block))
+    sets_in = saved(heads.join(large, "first", "left").select("fp", "size", block), free=True)
     shared = shared.join(large, "first", "left").select("fp", "size", "token", block)
     # the token-group matrix over prefixes, where a shingle is in more than one group
     across = shared.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
@@ -327,7 +327,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .groupBy("q.fp").agg(F.min("m.block").alias("block")))
     none = F.lit(0).cast("long").alias("label")
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", none, "text")
-    met = saved(meet_groups(texts.select("block", "fp", none, "text"), visits, words, percent, classes=True))
+    met = saved(meet_groups(texts.select("block", "fp", none, "text"), visits, words, percent, classes=True), free=True)
     inside = met.where(~F.col("visitor")).select("fp", "block", "label")
     links = met.where("visitor").select("fp", F.col("label").alias("b")).join(inside.select("fp", F.col("label").alias("a")), "fp").select("a", "b")
     joined = components(links).select(F.col("node").alias("label"), "component")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 def saved(df: DataFrame, free: bool = False) -> DataFrame:
     """A table written below the shared folder that ``spark.checkpoint.dir``
     names, and read again: it cuts the lineage like a checkpoint, but computes
-    the table once. With ``free``, shuffle files of the steps before it go."""
+    the table once. With ``free``, shuffle files of the steps before it go, and
+    so do their plans and broadcasts on the driver, whose heap shrinks again."""
     from vigil.session import ensure_checkpoint_dir  # here, so that modules that hold this function travel by value
 
     spark, schema = df.sparkSession, df.schema
