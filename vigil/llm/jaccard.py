@@ -325,6 +325,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = matrix.groupBy("token").agg(F.min(F.struct("block", "low", "high")).alias("m")).select("token", "m.*")  # one row a token
     asked = (shared.join(asking, "fp").alias("q").join(least.alias("m"), (F.col("q.token") == F.col("m.token")) & (F.col("m.block") < F.col("q.block")) & size_fits)
              .groupBy("q.fp").agg(F.min("m.block").alias("block")))
+    asked = saved(asked, free=True)  # who asks whom stands in a plan three times and more
     none = F.lit(0).cast("long").alias("label")
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", none, "text")
     met = saved(meet_groups(texts.select("block", "fp", none, "text"), visits, words, percent, classes=True), free=True)
@@ -343,13 +344,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fits = (F.col("q.token") == F.col("m.token")) & (F.col("q.block") != F.col("m.block")) & size_fits & (F.col("q.rank") < F.col("m.top"))
     asked = (q.alias("q").join(held.alias("m"), fits).groupBy("q.fp", "m.block", "q.label", "q.size").agg(F.count("*").alias("n"))
              .where(F.col("n") >= need).select("fp", "block", "label"))
+    asked = saved(asked, free=True)
     visits = asked.join(texts.drop("block"), "fp").select("block", "fp", "label", "text")
     targets = visits.select("block").distinct()
     members = texts.join(targets, "block", "left_semi").join(inside.select("fp", "label"), "fp").select("block", "fp", "label", "text")
     more = meet_groups(members, visits, words, percent, classes=False).join(inside.select("fp", F.col("label").alias("own")), "fp")
     more = saved(more.select(F.col("own").alias("a"), F.col("label").alias("b")), free=True)
     joined = components(more).select(F.col("node").alias("label"), "component")
-    classes = inside.join(joined, "label", "left").select("fp", F.coalesce("component", "label").alias("class"))
+    classes = saved(inside.join(joined, "label", "left").select("fp", F.coalesce("component", "label").alias("class")), free=True)
 
     # every document: its set's class, and the smallest id of the class
     every = sets.join(classes, "fp", "left").select("doc_id", "size", "key", F.when(F.col("size") > 0, F.coalesce("class", "fp")).alias("class"))
