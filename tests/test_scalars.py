@@ -143,3 +143,32 @@ def test_generated_times_pass_the_int_range(spark):
     row = F.lit(3_000_000_000)
     back = F.make_dt_interval((row / 1440).cast("int"), F.lit(0), (row % 1440).cast("int"))
     assert str(spark.range(1).select((F.to_timestamp(F.lit("9000-01-01 00:00:00")) - back).cast("string")).first()[0]) == "3296-01-10 16:00:00"
+
+
+def test_layouts_are_tried_on_texts_of_their_shape(spark):
+    """The guards of the layouts keep every text that a layout reads."""
+    texts = ["3/4/2026", "03/04/2026 9:5", "13/04/2026 09:05:07", "04/13/2026 09:05:07", "31/02/2026", "2/30/2026 10:00", "1-2-2026 23:59:59", "1-2--2026", "31.12.2026", "12.31.2026",
+             "2026/3/4", "2026/12/31 0:0:0", "-2026/3/4", "+12026/3/4", "3/4/+12026", "003/0004/2026 007:008:009", "3/4/26", "3/4-2026", "3/4/2026 24:00", "3/4/2026 10:00:60", "3/4/2026  10:00",
+             "3/4/2026T10:00", "3/4/2026 10:00:00.5", "0/4/2026", "3/0/2026", " 3/4/2026 10:00 ", "3/4/2026 10:00\n", "10:00:00", "2026-03-01 10:00:00", "2026-03-01", "n/a", "", None]
+    df = spark.createDataFrame([(i, v, order) for i, v in enumerate(texts) for order in (True, False, None)], "i int, t string, d boolean")
+    c = F.trim("t")
+    for layouts in (X.YEAR_FIRST, X.MONTH_FIRST, X.DAY_FIRST):
+        every = F.coalesce(*[F.try_to_timestamp(c, F.lit(x)) for x in layouts])
+        got = df.select("t", X._first_layout(c, layouts).alias("a"), every.alias("b"))
+        assert got.where("NOT a <=> b").collect() == [] and got.where("a IS NOT NULL").count() > 0
+        for x in layouts:  # a text of another shape is never handed to the parser
+            kept = df.where(c.rlike(X.layout_shape(x) + "$"))
+            assert kept.where(F.trim("t").isin("10:00:00", "2026-03-01 10:00:00", "n/a", "")).count() == 0
+    month, day = (F.coalesce(*[F.try_to_timestamp(c, F.lit(x)) for x in p]) for p in (X.MONTH_FIRST, X.DAY_FIRST))
+    year = F.coalesce(*[F.try_to_timestamp(c, F.lit(x)) for x in X.YEAR_FIRST])
+    whole = F.coalesce(F.when(c.rlike(X.ISO_TEXT), F.try_to_timestamp(c)), year, F.when(F.col("d"), F.coalesce(day, month)).otherwise(F.coalesce(month, day)))
+    got = df.select("t", "d", X.parse_log_time_column("t", None, F.col("d")).alias("a"), whole.alias("b"))
+    assert got.where("NOT a <=> b").collect() == []
+
+
+def test_titles_of_plain_and_separated_labels(spark):
+    labels = [" surprised ", "a  b", "O'NEIL_x 2nd", "very-SAD face", "a/b.c", "-", "", "élan vital", "a\tb", None]
+    df = spark.createDataFrame([(v,) for v in labels], "s string")
+    spaced = F.initcap(F.regexp_replace(F.lower("s"), r"([^\p{L}\p{N}'_])", "$1 "))
+    whole = F.regexp_replace(spaced, r"([^\p{L}\p{N}'_]) ", "$1")
+    assert df.where(~X.title_label("s").eqNullSafe(whole)).collect() == []

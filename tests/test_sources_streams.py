@@ -1,4 +1,5 @@
 import os
+import re
 from datetime import datetime
 
 import pandas as pd
@@ -226,6 +227,27 @@ def test_ingest_counter_ids_decided_per_file(spark, tmp):
     assert {r.id for r in out.collect()} == {"Stream_1"} and out.count() == 20
 
 
+def test_ingest_moves_no_rows_of_a_log_to_one_task(spark, tmp):
+    """Decisions taken per log go to the rows; joining by log would bring all
+    rows of a log into one task."""
+    a, b = os.path.join(tmp, "a.csv"), os.path.join(tmp, "b.csv")
+    pd.DataFrame({"id": [1, 2], "time": ["10:00:00", "13/04/2026 10:00:00"], "inference_of_emotion": ["fear", "very-sad"]}).to_csv(a, index=False)
+    pd.DataFrame({"ID": ["d", "d"], "Timestamp": ["2026-03-01 10:00:00", None], "Inference": ["fear", "sad"]}).to_csv(b, index=False, sep=";")
+    out = I.ingest_logs(spark, [a, b], ref_date="2026-03-01")
+    assert rows(out.select("id", F.col("timestamp").cast("string"), "inference")) == [
+        ("Stream_1", "2026-03-01 10:00:00", "Fear"), ("Stream_1", "2026-04-13 10:00:00", "Very-Sad"), ("d", "2026-03-01 10:00:00", "Fear"), ("d", None, "Sad")]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("BroadcastHashJoin") >= 4
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:  # Java compiles no method of over 8000 bytes
+        again = I.ingest_logs(spark, [a, b], ref_date="2026-03-01")
+        made = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenString(again._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", made)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_ingest_repeated_path_is_bound_twice(spark, tmp):
     p = os.path.join(tmp, "r.csv")
     pd.DataFrame({"id": ["d", "d"], "time": ["10:00:00", "10:00:01"], "inference": ["fear", "sad"]}).to_csv(p, index=False)

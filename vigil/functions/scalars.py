@@ -9,6 +9,7 @@ row by a broadcast cross join (a one-row frame is a proven size bound).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -90,11 +91,12 @@ def title_label(c: str | Column) -> Column:
 
     Spark's ``initcap`` only breaks words at blanks; a blank is inserted after
     every other separator, ``initcap`` runs, and the inserted blanks go again.
+    A text without other separators needs ``initcap`` alone.
     """
     low = F.lower(_col(c).cast("string"))
     spaced = F.regexp_replace(low, r"([^\p{L}\p{N}'_])", "$1 ")
-    titled = F.initcap(spaced)
-    return F.regexp_replace(titled, r"([^\p{L}\p{N}'_]) ", "$1")
+    titled = F.regexp_replace(F.initcap(spaced), r"([^\p{L}\p{N}'_]) ", "$1")
+    return F.when(low.rlike(r"[^\p{L}\p{N}'_ ]"), titled).otherwise(F.initcap(low))
 
 
 def canonical_label(c: str | Column) -> Column:
@@ -114,21 +116,38 @@ MONTH_FIRST = [d + t for d in ("M/d/yyyy", "M-d-yyyy") for t in CLOCKS]
 DAY_FIRST = [d + t for d in ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy") for t in CLOCKS]
 ISO_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([T ].+)?$"  # a date, with or without time, fraction and zone
 TIME_TEXT = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"  # a bare time of day
+# what a layout's field can be in a text that Spark's parser (not its LEGACY one) reads
+FIELDS = {"yyyy": r"[+-]?\d{4,}", "M": r"0*([1-9]|1[0-2])", "d": r"0*([1-9]|[12]\d|3[01])", "H": r"0*(\d|1\d|2[0-3])",
+          "m": r"0*[0-5]?\d", "s": r"0*[0-5]?\d"}
+
+
+def layout_shape(layout: str) -> str:
+    """Pattern that every text beginning with a value of ``layout`` matches (a
+    date that is not in the calendar may match it too)."""
+    return "^" + "".join(FIELDS.get(part) or re.escape(part) for part in re.findall(r"[A-Za-z]+|[^A-Za-z]+", layout))
 
 
 def _first_layout(c: Column, layouts: Sequence[str]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in layouts])
+    """The first of ``layouts`` that reads the text. Only layouts of its shape
+    are tried, as a try that fails costs an exception."""
+    by_date: dict[str, list[Column]] = {}
+    for fmt in layouts:
+        by_date.setdefault(fmt.split(" ")[0], []).append(F.when(c.rlike(layout_shape(fmt) + "$"), F.try_to_timestamp(c, F.lit(fmt))))
+    return F.coalesce(*[F.when(c.contains(date.strip("yMd")[0]) & c.rlike(layout_shape(date)), F.coalesce(*tries)) for date, tries in by_date.items()])
 
 
 def parse_log_time_column(c: str | Column, ref_date: str | None, day_first: Column | None = None) -> Column:
     """Text -> timestamp: ISO text, then year-first, then month-first or (where
     ``day_first``) day-first layouts, each with the other order as a last
     resort; a bare time of day is placed on ``ref_date``."""
-    c = F.trim(_col(c).cast("string"))
+    return _parse_trimmed(F.trim(_col(c).cast("string")), ref_date, day_first)
+
+
+def _parse_trimmed(c: Column, ref_date: str | None, day_first: Column | None = None) -> Column:
+    # every layout adds to the method that Spark generates for a row, and Java compiles none of over 8000 bytes: so few are listed twice
     tries = [F.when(c.rlike(ISO_TEXT), F.try_to_timestamp(c)), _first_layout(c, YEAR_FIRST)]
     month, day = _first_layout(c, MONTH_FIRST), _first_layout(c, DAY_FIRST)
-    tries.append(F.coalesce(month, day) if day_first is None else
-                 F.when(day_first, F.coalesce(day, month)).otherwise(F.coalesce(month, day)))
+    tries += [month, day] if day_first is None else [F.when(~F.coalesce(day_first, F.lit(False)), month), day, month]
     if ref_date is not None:
         tries.append(F.when(c.rlike(TIME_TEXT), F.try_to_timestamp(F.concat(F.lit(ref_date + " "), c))))
     return F.coalesce(*tries)
@@ -141,7 +160,8 @@ def with_day_first(df: DataFrame, col: str, by: str | None = None, out: str = "_
     c = F.trim(F.col(col).cast("string"))
     counts = df.groupBy(*([by] if by else [])).agg(
         (F.count(_first_layout(c, DAY_FIRST)) > F.count(_first_layout(c, MONTH_FIRST))).alias(out))
-    return df.join(counts, on=by, how="left") if by else df.crossJoin(F.broadcast(counts))  # one row without ``by``
+    # one row per log, so no row of the logs is moved
+    return df.join(F.broadcast(counts), on=by, how="left") if by else df.crossJoin(F.broadcast(counts))
 
 
 def parse_log_time(df: DataFrame, ref_date: str | None = None, now: str | None = None,
@@ -160,9 +180,9 @@ def parse_log_time(df: DataFrame, ref_date: str | None = None, now: str | None =
         if name in df.columns:
             if not isinstance(df.schema[name].dataType, T.StringType):
                 return df.withColumnRenamed(name, "timestamp")
-            known = with_day_first(df, name, by)
-            parsed = parse_log_time_column(name, date, F.coalesce("_day_first", F.lit(False)))
-            return known.withColumn("timestamp", parsed).drop("_day_first")
+            known = with_day_first(df.withColumn("__text", F.trim(name)), name, by)  # trimmed once, not for every layout
+            parsed = _parse_trimmed(F.col("__text"), date, F.col("_day_first"))
+            return known.withColumn("timestamp", parsed).drop("_day_first", "__text")
     from vigil.operators.ordered import global_position, position_by_cell
 
     if now is None:
@@ -199,8 +219,8 @@ def collapse_counter_ids(df: DataFrame, share: float = K.COUNTER_ID_SHARE, by: s
         F.count(F.lit(1)).alias("_n"),
     )
     flag = stats.select(*keys, (F.coalesce(F.col("_nd"), F.lit(0)) > F.col("_n") * F.lit(share)).alias("_counter"))
-    # one row without ``by``; with it, one row per log, and Spark picks the join by its size
-    j = df.join(flag, on=by, how="left") if by else df.crossJoin(F.broadcast(flag))
+    # one row without ``by``; with it, one row per log, so no row of the logs is moved
+    j = df.join(F.broadcast(flag), on=by, how="left") if by else df.crossJoin(F.broadcast(flag))
     return (j.withColumn("id_original", F.when(F.col("_counter"), F.col("id").cast("string")))
              .withColumn("id", F.when(F.col("_counter"), F.lit(K.STREAM_LOG_ID)).otherwise(F.col("id").cast("string")))
              .drop("_counter"))

@@ -143,7 +143,7 @@ def log_scans(spark: SparkSession, paths: Sequence[str], skipped: list | None =
         raw = _read_csv(spark, files, sep, enc)
         raw = raw.withColumn("__file", F.col("_metadata.file_path")).withColumn("__block", F.col("_metadata.file_block_start"))
         raw = raw.withColumn("__at", F.monotonically_increasing_id())  # within one split
-        out.append((raw.join(logs, on="__file"), sorted({i for i, _ in own})))
+        out.append((raw.join(F.broadcast(logs), on="__file"), sorted({i for i, _ in own})))  # one row per listed file
     return out
 
 
